@@ -33,6 +33,7 @@ LOOKUP_DEVICE = "7"
 TOP_N = 10
 ARRIVAL_PRIME = 7919
 ARRIVAL_SPREAD = 50
+ARRIVAL_CHUNKS = 8
 
 
 # --------------------------------------------------------------------------
@@ -102,6 +103,18 @@ def q_late_events(spark, sf):
         "event_id", "device_id", "timestamp", "arrival", "max_before", "message")
 
 
+def q_stream_refire(spark, sf):
+    from ..streaming.replay import refire_replay
+
+    return refire_replay(spark, sf, DAY_MS, SLIDE_4H_MS, lateness=DAY_MS, chunks=ARRIVAL_CHUNKS)
+
+
+def q_stream_quarantine(spark, sf):
+    from ..streaming.replay import quarantine_replay
+
+    return quarantine_replay(spark, sf, chunks=ARRIVAL_CHUNKS)
+
+
 def q_stream_append(spark, sf):
     from ..streaming.replay import stream_metrics_once
 
@@ -147,6 +160,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "usage_bands": lambda s, d: bands.usage_bands(_events(s, d)),
     "usage_bands_test": lambda s, d: bands.usage_bands(_events(s, d), bands.TEST_BANDS),
     "stream_append_matches_batch": q_stream_append,
+    "stream_refire_revisions": q_stream_refire,
+    "stream_late_quarantine": q_stream_quarantine,
 }
 
 
@@ -322,6 +337,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, device_id, percentile_95, percentile_95 >= 80.0 AS high_usage FROM m""",
         "usage_bands": _bands_sql(bands.GENERATOR_BANDS),
         "usage_bands_test": _bands_sql(bands.TEST_BANDS),
+        "stream_late_quarantine": f"""WITH ev AS ({_ev_sql()}),
+            a AS (SELECT *, {arrival} AS arrival FROM ev),
+            b AS (SELECT min(arrival) AS lo, (max(arrival) - min(arrival)) // {ARRIVAL_CHUNKS} + 1
+                         AS step FROM a),
+            c AS (SELECT a.*, (arrival - lo) // step AS batch_id FROM a, b),
+            mx AS (SELECT batch_id, max(t) AS top FROM c GROUP BY batch_id),
+            pm AS (SELECT batch_id, max(top) OVER (ORDER BY batch_id
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM mx)
+            SELECT c.event_id, c.device_id, c.t AS timestamp, c.arrival,
+                   'Late event: ' || c.device_id || ' at ' || CAST(c.t AS VARCHAR) AS message,
+                   c.batch_id
+            FROM c JOIN pm USING (batch_id)
+            WHERE (c.t - c.t % {late.DEFAULT_SLIDE_MS}) + {late.DEFAULT_SIZE_MS
+                + late.OUT_OF_ORDERNESS_MS + late.ALLOWED_LATENESS_MS} <= pm.prev""",
         "stream_append_matches_batch": f"""WITH {_table_sql()}
             SELECT {_M_COLS} FROM m
             WHERE win_end <= (SELECT max(epoch_us(ts) // 1000) FROM events) - 35000""",

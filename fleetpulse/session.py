@@ -68,3 +68,4 @@ def shared_path(spark: SparkSession, name: str) -> str:
     checkpoints and intermediate tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+

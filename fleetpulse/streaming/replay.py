@@ -31,3 +31,79 @@ def stream_metrics_once(spark: SparkSession, sf_dir: str, size, slide,
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return table.scan().select(*[c for c in TABLE_COLUMNS if c != "created_at"])
+
+
+def write_arrival_chunks(spark: SparkSession, events: DataFrame, arrival: str, chunks: int,
+                         folder: str) -> None:
+    """Lay ``events`` out as ``chunks`` files in arrival order (file i holds
+    the i-th range of arrival numbers), written one after the other so a
+    file stream with one file per trigger replays them in that order."""
+    bounds = events.agg(F.min(arrival), F.max(arrival)).first()
+    lo, hi = int(bounds[0]), int(bounds[1])
+    step = (hi - lo) // chunks + 1
+    for i in range(chunks):
+        part = events.filter((F.col(arrival) >= lo + i * step) & (F.col(arrival) < lo + (i + 1) * step))
+        part.coalesce(1).write.mode("overwrite").parquet(f"{folder}/chunk-{i:05d}")
+
+
+def refire_replay(spark: SparkSession, sf_dir: str, size="30 seconds", slide="5 seconds",
+                  out_of_orderness="35 seconds", lateness="35 seconds",
+                  chunks: int = 8, prime: int = 7919, spread: int = 50,
+                  timeout_s: int = 1800) -> DataFrame:
+    """O-30 over the driver's events delivered in arrival order
+    (arrival = event_id + (event_id * prime) % spread), ``chunks`` micro-
+    batches: every revision the re-firing operator emits."""
+    from .refire import refiring_windows
+
+    raw = spark.read.parquet(table_path(sf_dir, "events"))
+    arrival = F.col("event_id") + F.pmod(F.col("event_id") * F.lit(prime), F.lit(spread))
+    staged = shared_path(spark, "arrival-chunks")
+    write_arrival_chunks(spark, raw.withColumn("arrival", arrival), "arrival", chunks, staged)
+    schema = spark.read.parquet(f"{staged}/chunk-00000").schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(staged))
+    from ..sources.events import bind_events
+
+    revisions = refiring_windows(bind_events(stream, "user_id"), size, slide,
+                                 out_of_orderness, lateness)
+    out = shared_path(spark, "revisions")
+    q = (revisions.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", shared_path(spark, "revisions-ckpt"))
+         .outputMode("append").trigger(availableNow=True).start())
+    if not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError("stream did not finish")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out)
+
+
+def quarantine_replay(spark: SparkSession, sf_dir: str, chunks: int = 8, prime: int = 7919,
+                      spread: int = 50, timeout_s: int = 1800) -> DataFrame:
+    """O-31 stream over the driver's events in arrival order, ``chunks``
+    micro-batches: the quarantined rows."""
+    from ..sources.events import bind_events
+    from .late import start_quarantine_stream
+
+    raw = spark.read.parquet(table_path(sf_dir, "events"))
+    arrival = F.col("event_id") + F.pmod(F.col("event_id") * F.lit(prime), F.lit(spread))
+    staged = shared_path(spark, "arrival-chunks")
+    write_arrival_chunks(spark, raw.withColumn("arrival", arrival), "arrival", chunks, staged)
+    schema = spark.read.parquet(f"{staged}/chunk-00000").schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(staged))
+    events = bind_events(stream, "user_id", keep=("event_id", "arrival"))
+    out = shared_path(spark, "quarantine")
+    q = start_quarantine_stream(events, out, shared_path(spark, "quarantine-state"),
+                                shared_path(spark, "quarantine-ckpt"))
+    if not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError("stream did not finish")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    try:
+        return spark.read.parquet(out).select("event_id", "device_id", "timestamp", "arrival",
+                                              "message", "batch_id")
+    except Exception:
+        return spark.createDataFrame([], "event_id long, device_id string, timestamp long, "
+                                         "arrival long, message string, batch_id long")
