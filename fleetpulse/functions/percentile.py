@@ -75,3 +75,25 @@ def p95_of_values(values: Column, p: float = P95) -> Column:
     return (F.when(size_all == 1, F.try_element_at(values, F.lit(1)))
             .when((size_all > 1) & (F.size(clean) == 0), F.lit(float("nan")))
             .otherwise(percentile_of_sorted(clean, p)))
+
+
+def weighted_value_at(vals: Column, below: Column, rank: Column) -> Column:
+    """First value of an ascending list of (v, c) structs whose running
+    count, started at ``below``, reaches ``rank`` (null if never)."""
+    init = F.struct(below.cast("long").alias("acc"), F.lit(None).cast("double").alias("x"))
+
+    def step(s, e):
+        acc = s["acc"] + e["c"]
+        x = F.when(s["x"].isNull() & (acc >= rank), e["v"]).otherwise(s["x"])
+        return F.struct(acc.alias("acc"), x.alias("x"))
+
+    return F.aggregate(vals, init, step, lambda s: s["x"])
+
+
+def percentile_of_weighted(vals: Column, n: Column, p: float = P95) -> Column:
+    """Legacy percentile of an ascending (v, c) list holding n usable
+    values; null when n = 0."""
+    _, r_lo, r_hi = legacy_ranks(n, p)
+    zero = F.lit(0).cast("long")
+    return F.when(n > 0, legacy_combine(weighted_value_at(vals, zero, r_lo),
+                                        weighted_value_at(vals, zero, r_hi), n, p))

@@ -31,7 +31,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.percentile import P95, legacy_combine, legacy_ranks
+from ..functions.percentile import (P95, legacy_combine, legacy_ranks, percentile_of_weighted,
+                                   weighted_value_at)
 
 # Coarse-bucket resolution (buckets per binary order of
 # magnitude), the clamp that keeps infinities in their own end buckets, and
@@ -79,16 +80,7 @@ def bucketize(hist: DataFrame, keys: Sequence[str], value: str, count_col: str =
 
 
 def _value_at(vals: Column, below: Column, rank: Column) -> Column:
-    """First value of a sorted (v, c) list whose running count, started at
-    ``below``, reaches ``rank``."""
-    init = F.struct(below.cast("long").alias("acc"), F.lit(None).cast("double").alias("x"))
-
-    def step(s, e):
-        acc = s["acc"] + e["c"]
-        x = F.when(s["x"].isNull() & (acc >= rank), e["v"]).otherwise(s["x"])
-        return F.struct(acc.alias("acc"), x.alias("x"))
-
-    return F.aggregate(vals, init, step, lambda s: s["x"])
+    return weighted_value_at(vals, below, rank)
 
 
 def ranks_from_buckets(buckets: DataFrame, keys: Sequence[str],
@@ -169,3 +161,47 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str,
     hist = (df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c")))
     buckets = bucketize(hist, keys, value, "c")
     return percentile_from_buckets(buckets, keys, p, out)
+
+
+def histogram_windows(hist: DataFrame, keys: Sequence[str], value: str = "cpu_usage",
+                      count_col: str = "c", first: str = "mn", last: str = "mx",
+                      p: float = P95, method: str = "auto", list_max: int = 200_000,
+                      out: str = "percentile_95") -> DataFrame:
+    """Per group of a histogram with time bounds (keys, value, c, mn, mx):
+    event_count, window_start, window_end, n (usable) and the percentile
+    (NaN when no usable value).
+
+    "list": one aggregate holding each group's sorted (value, count) list;
+    "buckets": the two-level selection; "auto": "list" only when the
+    largest group is proven to hold at most ``list_max`` rows (one small
+    aggregate; only that number reaches the driver).
+    """
+    keys = list(keys)
+    v = F.col(value)
+    ok = usable(v)
+    if method == "auto":
+        top = (hist.groupBy(*keys).agg(F.sum(count_col).alias("_n"))
+               .agg(F.max("_n")).first()[0])
+        method = "list" if (top or 0) <= list_max else "buckets"
+    if method == "list":
+        g = hist.groupBy(*keys).agg(
+            F.sum(count_col).alias("event_count"), F.min(first).alias("window_start"),
+            F.max(last).alias("window_end"),
+            F.sum(F.when(ok, F.col(count_col)).otherwise(F.lit(0))).alias("n"),
+            F.sort_array(F.collect_list(F.when(ok, F.struct(v.alias("v"),
+                                                           F.col(count_col).alias("c")))))
+            .alias("_vals"))
+        pct = percentile_of_weighted(F.col("_vals"), F.col("n"), p)
+        return g.select(*keys, "event_count", "window_start", "window_end", "n",
+                        F.coalesce(pct, F.lit(float("nan"))).alias(out))
+    if method != "buckets":
+        raise ValueError(f"unknown method {method!r}")
+    stats = hist.groupBy(*keys).agg(F.sum(count_col).alias("event_count"),
+                                    F.min(first).alias("window_start"),
+                                    F.max(last).alias("window_end"))
+    pct = percentile_from_buckets(bucketize(hist.select(*keys, value, count_col), keys, value,
+                                            count_col), keys, p, "_p")
+    res = stats.join(pct, on=keys, how="left")
+    return res.select(*keys, "event_count", "window_start", "window_end", "n",
+                      F.when(F.col("n") > 0, F.col("_p")).otherwise(F.lit(float("nan")))
+                      .alias(out))

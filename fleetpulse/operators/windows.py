@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.percentile import P95, p95_of_values
-from .quantile import BUCKET, bucketize, coarse_bucket, percentile_from_buckets
+from .quantile import (BUCKET, bucketize, coarse_bucket, histogram_windows,
+                       percentile_from_buckets)
 
 # A window's values are gathered in one list only below this many rows
 # (8 bytes a value: 1.6 MB), checked before the plan is chosen.
@@ -201,9 +202,11 @@ def pane_partials(events: DataFrame, pane, keys: Sequence[str] = ("device_id",),
 
 def windows_from_partials(partials: DataFrame, size, slide=None, pane=None,
                           keys: Sequence[str] = ("device_id",), value: str = "cpu_usage",
-                          p: float = P95) -> DataFrame:
+                          p: float = P95, method: str = "auto") -> DataFrame:
     """O-17 merge: roll pane partials (possibly from several sources or
-    batches, unioned) up to windows; same output as ``window_p95``."""
+    batches, unioned) up to windows; same output as ``window_p95``.
+
+    ``method`` as in ``operators.quantile.histogram_windows``."""
     size_ms = parse_duration_ms(size)
     slide_ms = size_ms if slide is None else parse_duration_ms(slide)
     pane_ms = math.gcd(size_ms, slide_ms) if pane is None else parse_duration_ms(pane)
@@ -211,18 +214,13 @@ def windows_from_partials(partials: DataFrame, size, slide=None, pane=None,
         raise ValueError("window size and slide must be multiples of the pane")
     keys = list(keys)
     pp = partials.withColumnRenamed("pane_start", "_pane")
-    ph = pp.groupBy(*keys, "_pane", value).agg(F.sum("c").alias("c"))
-    ps = pp.groupBy(*keys, "_pane").agg(F.sum("c").alias("c"), F.min("mn").alias("mn"),
-                                        F.max("mx").alias("mx"))
     if pane_ms == size_ms:
-        stats = ps.select(*keys, F.col("_pane").alias("win_start"), F.col("c").alias("event_count"),
-                          F.col("mn").alias("window_start"), F.col("mx").alias("window_end"))
+        wh = pp.withColumnRenamed("_pane", "win_start")
     else:
-        stats = (_pane_to_windows(ps, size_ms, slide_ms, pane_ms)
-                 .groupBy(*keys, "win_start")
-                 .agg(F.sum("c").alias("event_count"), F.min("mn").alias("window_start"),
-                      F.max("mx").alias("window_end")))
-    return _from_pane_histogram(ph, stats, keys, value, size_ms, slide_ms, pane_ms, p)
+        wh = _pane_to_windows(pp, size_ms, slide_ms, pane_ms).drop("_pane")
+    res = histogram_windows(wh, keys + ["win_start"], value, "c", "mn", "mx", p, method)
+    return res.select(*keys, "win_start", (F.col("win_start") + F.lit(size_ms)).alias("win_end"),
+                      "event_count", "window_start", "window_end", "percentile_95")
 
 
 def _window_p95_array(df, size_ms, slide_ms, keys, value, time, p):

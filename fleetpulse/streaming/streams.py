@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import result_id
 from ..functions.percentile import P95
 from ..operators.clean import to_metric_rows, valid_events
-from ..operators.quantile import bucketize, percentile_from_buckets
+from ..operators.quantile import histogram_windows
 from ..operators.windows import parse_duration_ms
 from ..schema import EVENT_SCHEMA
 from ..sources.codec import decode_events, encode_results
@@ -115,26 +115,20 @@ def window_histogram_stream(events: DataFrame, size=WINDOW_SIZE, slide=WINDOW_SL
                  F.max("timestamp").alias("mx")))
 
 
-def results_from_histogram(hist: DataFrame, p: float = P95,
-                           now_ms: int | None = None) -> DataFrame:
+def results_from_histogram(hist: DataFrame, p: float = P95, now_ms: int | None = None,
+                           method: str = "auto") -> DataFrame:
     """Batch step over closed windows' histogram rows -> result rows (the
     same columns as ``operators.results.compute_results``)."""
     h = hist.select("device_id",
                     F.unix_millis(F.col("w.start")).alias("win_start"),
                     F.unix_millis(F.col("w.end")).alias("win_end"),
                     "cpu_usage", "c", "mn", "mx")
-    gkeys = ["device_id", "win_start", "win_end"]
-    stats = h.groupBy(*gkeys).agg(F.sum("c").alias("event_count"),
-                                  F.min("mn").alias("window_start"),
-                                  F.max("mx").alias("window_end"))
-    pct = percentile_from_buckets(bucketize(h, gkeys, "cpu_usage", "c"), gkeys, p, "_p95")
-    res = stats.join(pct, on=gkeys, how="left")
-    p95 = F.when(F.col("n") > 0, F.col("_p95")).otherwise(F.lit(float("nan")))
+    res = histogram_windows(h, ["device_id", "win_start", "win_end"], p=p, method=method)
     clock = F.col("win_end") if now_ms is None else F.lit(int(now_ms)).cast("long")
     return res.select(
         result_id(F.col("device_id"), F.col("win_start"), F.col("win_end"),
                   F.col("event_count")).alias("id"),
-        "device_id", "window_start", "window_end", p95.alias("percentile_95"),
+        "device_id", "window_start", "window_end", "percentile_95",
         clock.alias("last_updated"), "win_start", "win_end", "event_count")
 
 
@@ -155,16 +149,24 @@ def start_metrics_stream(events: DataFrame, table: MetricsTable, checkpoint: str
     hist = window_histogram_stream(events, size, slide, watermark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # The micro-batch is the stateful operator's output: persist it so
+        # the selection's branches read it instead of running it again.
         batch = batch.persist()
+        if batch.isEmpty():
+            batch.unpersist()
+            return
+        rows = to_metric_rows(results_from_histogram(batch)).persist()
         try:
-            rows = to_metric_rows(results_from_histogram(batch))
             if validate == "strict":
-                rows, rejected = split_valid(rows)
+                good, rejected = split_valid(rows)
                 if reject_table is not None:
                     (rejected.write.mode("append").partitionBy("window_date")
                      .parquet(reject_table.path))
-            table.append(rows)
+                table.append(good)
+            else:
+                table.append(rows)
         finally:
+            rows.unpersist()
             batch.unpersist()
 
     w = (hist.writeStream.outputMode("append").foreachBatch(write_batch)

@@ -165,3 +165,17 @@ def test_hot_group_many_distinct_values(spark):
     got = {r.device_id: r.percentile_95 for r in window_p95(df, "1 day", method="hist").collect()}
     assert got["hot"] == legacy_p95([v for d, _, v in rows if d == "hot"])
     assert got["d3"] == 3.0
+
+
+@pytest.mark.parametrize("method", ["list", "buckets"])
+def test_partials_methods_agree(spark, method):
+    import random
+
+    rnd = random.Random(9)
+    rows = [(f"d{rnd.randrange(3)}", T0 + rnd.randrange(120_000), float(rnd.randrange(50)))
+            for _ in range(400)]
+    parts = pane_partials(events_df(spark, rows), "5 seconds")
+    got = sorted(windows_from_partials(parts, "30 seconds", "5 seconds", method=method).collect())
+    want = sorted(window_p95(events_df(spark, rows), "30 seconds", "5 seconds",
+                             method="array").collect())
+    assert got == want
