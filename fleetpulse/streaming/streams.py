@@ -195,3 +195,46 @@ def start_kafka_results_stream(events: DataFrame, bootstrap: str, checkpoint: st
 __all__ = ["EVENT_SCHEMA", "kafka_source_options", "kafka_sink_options", "read_event_stream",
            "read_table_stream", "window_histogram_stream", "results_from_histogram",
            "start_metrics_stream", "start_kafka_results_stream"]
+
+
+def read_result_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
+                       options: dict | None = None) -> DataFrame:
+    """O-03: the result records the writer consumes (JSON values from the
+    results topic, or JSON-lines files)."""
+    from ..sources.codec import decode_results
+
+    if fmt == "kafka":
+        raw = spark.readStream.format("kafka").options(**(options or {})).load()
+        return decode_results(raw.select(F.col("value").cast("string").alias("value")))
+    if fmt == "text":
+        return decode_results(spark.readStream.text(path))
+    raise ValueError(f"unknown stream format {fmt!r}")
+
+
+def start_writer_stream(results: DataFrame, table: MetricsTable, checkpoint: str,
+                        validate: str = "none", reject_path: str | None = None,
+                        available_now: bool = False, processing_time: str | None = None):
+    """O-03 + O-09 + O-10 + O-21 + O-32: result records -> metrics rows
+    (validated if asked) -> idempotent append, one transaction per
+    micro-batch; the source offsets are committed only after the append."""
+    from ..operators.clean import split_valid
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = to_metric_rows(batch).persist()
+        try:
+            if validate == "strict":
+                good, rejected = split_valid(rows)
+                if reject_path:
+                    rejected.write.mode("append").parquet(reject_path)
+                table.append(good)
+            else:
+                table.append(rows)
+        finally:
+            rows.unpersist()
+
+    w = results.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    if processing_time:
+        w = w.trigger(processingTime=processing_time)
+    elif available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()

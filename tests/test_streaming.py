@@ -104,3 +104,29 @@ def test_kafka_option_maps():
     assert o["subscribe"] == "events" and o["startingOffsets"] == "earliest"
     assert o["maxOffsetsPerTrigger"] == "500"
     assert kafka_sink_options("broker:9092")["topic"] == "processed-events"
+
+
+def test_writer_stream_validates_and_dedups(spark, tmp_path):
+    from fleetpulse.streaming.streams import read_result_stream, start_writer_stream
+
+    src = tmp_path / "results"
+    os.makedirs(src)
+    recs = [{"id": "a", "deviceId": "d1", "windowStart": T0, "windowEnd": T0 + 5, "percentile95": 50.0,
+             "lastUpdated": T0 + 9},
+            {"id": "a", "deviceId": "d1", "windowStart": T0, "windowEnd": T0 + 5, "percentile95": 50.0,
+             "lastUpdated": T0 + 9},
+            {"id": "b", "deviceId": " ", "windowStart": T0, "windowEnd": T0 + 5, "percentile95": 50.0,
+             "lastUpdated": T0 + 9},
+            {"id": "c", "deviceId": "d2", "windowStart": T0, "windowEnd": T0, "percentile95": 10.0,
+             "lastUpdated": T0 + 9}]
+    with open(src / "part-0.json", "w") as f:
+        for r in recs:
+            f.write(json.dumps(r) + "\n")
+    table = MetricsTable(spark, shared_path(spark, "writer"))
+    rej = str(tmp_path / "rejected")
+    run(start_writer_stream(read_result_stream(spark, "text", str(src)), table,
+                            str(tmp_path / "ck5"), validate="strict", reject_path=rej,
+                            available_now=True))
+    assert [r.event_id for r in table.scan().collect()] == ["a"]
+    assert sorted(r.reject_reason for r in spark.read.parquet(rej).collect()) == [
+        "invalid_device_id", "invalid_window_range"]
