@@ -27,11 +27,12 @@ def valid_events(df: DataFrame) -> DataFrame:
     return df.filter(F.col("device_id").isNotNull())
 
 
-def to_metric_rows(results: DataFrame, created_at=None) -> DataFrame:
+def to_metric_rows(results: DataFrame, created_at=None, keep=()) -> DataFrame:
     """O-09: result rows -> metrics-table rows (``id`` becomes ``event_id``,
-    ``created_at`` stamped, ``window_date`` derived for partitioning)."""
+    ``created_at`` stamped, ``window_date`` derived for partitioning);
+    ``keep`` carries extra result columns along."""
     created = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
-    return results.select(
+    return results.select(*keep,
         F.col("id").alias("event_id"), "device_id", "window_start", "window_end",
         "percentile_95", "last_updated",
         created.alias("created_at"),

@@ -9,12 +9,12 @@ its *last* window has closed for good before it arrives:
 (defaults 5 s, 30 s, 35 s, 35 s). Arrival order is a column (a Kafka
 offset, an ingest sequence); ties are broken by a second column.
 
-The running maximum over arrival order is computed in two levels so that
-no step sees the whole table in one task: rows are cut into chunks of
-consecutive arrival numbers; a per-chunk max is a plain aggregate; a
-prefix max over the chunk table (one row per chunk) gives the max of all
-earlier chunks; the running max inside a chunk is a window partitioned by
-chunk.
+The running maximum over arrival order is computed in levels so that no
+step sees the whole table in one task: rows are cut into chunks of
+consecutive arrival numbers; a per-chunk max is a plain aggregate; a prefix
+max over the chunk table (itself split into groups of chunks) gives the max
+of all earlier chunks; the running max inside a chunk is a window
+partitioned by chunk.
 """
 
 from __future__ import annotations
@@ -40,16 +40,35 @@ def close_time(t, size_ms: int, slide_ms: int, ooo_ms: int, late_ms: int):
     return t - F.pmod(t, F.lit(slide_ms)) + F.lit(size_ms + ooo_ms + late_ms)
 
 
+def _exclusive_prefix_max(table: DataFrame, order: str, value: str, out: str,
+                          fan: int) -> DataFrame:
+    """Max of ``value`` over rows with a smaller ``order`` (dense integer
+    ids), in two levels: within groups of ``fan`` consecutive ids, and over
+    the group maxima. The only window without a partition key runs on
+    len(table) / fan rows."""
+    t = table.withColumn("_grp", F.floor(F.col(order) / F.lit(fan)).cast("long"))
+    groups = t.groupBy("_grp").agg(F.max(value).alias("_gmax"))
+    groups = groups.withColumn("_before_grp", F.max("_gmax").over(
+        Window.orderBy("_grp").rowsBetween(Window.unboundedPreceding, -1)))
+    inside = Window.partitionBy("_grp").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    t = t.withColumn("_before_in_grp", F.max(value).over(inside))
+    t = t.join(groups.select("_grp", "_before_grp"), on="_grp", how="left")
+    return t.withColumn(out, F.greatest("_before_grp", "_before_in_grp")).drop(
+        "_grp", "_before_grp", "_before_in_grp")
+
+
 def max_seen_before(df: DataFrame, time: str, arrival: str, tie: str,
                     chunk: int = CHUNK) -> DataFrame:
     """Add ``max_before``: max of ``time`` over rows strictly earlier in
-    (arrival, tie) order (null for the first row)."""
+    (arrival, tie) order (null for the first row).
+
+    Three levels, none of which holds more than ``chunk`` rows of a
+    partition or more than rows / chunk^2 rows in one task: rows within a
+    chunk of arrival numbers; chunks within a group of ``chunk`` chunks;
+    groups."""
     c = df.withColumn("_chunk", F.floor(F.col(arrival) / F.lit(chunk)).cast("long"))
     per_chunk = c.groupBy("_chunk").agg(F.max(time).alias("_cmax"))
-    # One row per chunk: rows / CHUNK rows in this window.
-    prefix = per_chunk.withColumn(
-        "_before_chunk",
-        F.max("_cmax").over(Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)))
+    prefix = _exclusive_prefix_max(per_chunk, "_chunk", "_cmax", "_before_chunk", chunk)
     inner = Window.partitionBy("_chunk").orderBy(arrival, tie).rowsBetween(
         Window.unboundedPreceding, -1)
     c = c.withColumn("_before_in", F.max(time).over(inner))

@@ -61,9 +61,13 @@ def global_p95(events: DataFrame, now_ms: int = 0) -> DataFrame:
     stats = ev.agg(F.count(F.lit(1)).alias("event_count"),
                    F.min("device_id").alias("_dev"),
                    F.min("timestamp").alias("_mn"),
-                   F.max("timestamp").alias("_mx")).withColumn("_g", F.lit(1))
-    pct = exact_percentile(ev, ["_g"], "cpu_usage", out="_p95").select("_g", "_p95")
-    joined = stats.join(pct, on="_g", how="left")
+                   F.max("timestamp").alias("_mx"),
+                   F.lit(None).cast("double").alias("_p95"))
+    pct = exact_percentile(ev, ["_g"], "cpu_usage", out="_p95").select(
+        F.lit(None).cast("long").alias("event_count"), F.lit(None).cast("string").alias("_dev"),
+        F.lit(None).cast("long").alias("_mn"), F.lit(None).cast("long").alias("_mx"), "_p95")
+    # One row and at most one row: stacked and folded, no join needed.
+    joined = stats.unionByName(pct).agg(*[F.max(c).alias(c) for c in stats.columns])
     empty = F.col("event_count") == 0
     clock = F.lit(int(now_ms)).cast("long")
     return joined.select(

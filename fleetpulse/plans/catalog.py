@@ -63,9 +63,7 @@ def _as_text_date(df):
 
 
 def _with_window_end(spark, sf):
-    r = _results(spark, sf)
-    return to_metric_rows(r, created_at=FIXED_CREATED).join(
-        r.select(F.col("id").alias("event_id"), "win_end"), "event_id")
+    return to_metric_rows(_results(spark, sf), created_at=FIXED_CREATED, keep=("win_end",))
 
 
 def _altered(df):

@@ -18,7 +18,7 @@ def test_two_level_running_max_equals_plain(spark):
     df = df.select("device_id", "timestamp", "cpu_usage", "ts",
                    (F.col("arr") % 1000 * 7 + F.col("arr") / 1000).cast("long").alias("arr"),
                    "tie")
-    mine = max_seen_before(df, "timestamp", "arr", "tie", chunk=64).select("arr", "tie", "max_before")
+    mine = max_seen_before(df, "timestamp", "arr", "tie", chunk=8).select("arr", "tie", "max_before")
     plain = df.withColumn("max_before", F.max("timestamp").over(
         Window.orderBy("arr", "tie").rowsBetween(Window.unboundedPreceding, -1))) \
         .select("arr", "tie", "max_before")
