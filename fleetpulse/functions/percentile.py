@@ -26,6 +26,13 @@ from pyspark.sql import functions as F
 P95 = 0.95
 
 
+def max_rule_holds(bound: int, p: float = P95) -> bool:
+    """True when every group of at most ``bound`` values returns its
+    maximum (pos >= n for all n <= bound), checked in the same double
+    arithmetic the expressions use. For p = 0.95 this is n <= 19."""
+    return all(p * (n + 1) >= n for n in range(1, int(bound) + 1))
+
+
 def legacy_position(n: Column, p: float = P95) -> Column:
     """pos = p * (n + 1), in double arithmetic."""
     return F.lit(float(p)) * (n + F.lit(1)).cast("double")

@@ -31,8 +31,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.percentile import (P95, legacy_combine, legacy_ranks, percentile_of_weighted,
-                                   weighted_value_at)
+from ..functions.percentile import (P95, legacy_combine, legacy_ranks, max_rule_holds,
+                                   percentile_of_weighted, weighted_value_at)
 
 # Coarse-bucket resolution (buckets per binary order of
 # magnitude), the clamp that keeps infinities in their own end buckets, and
@@ -172,17 +172,27 @@ def histogram_windows(hist: DataFrame, keys: Sequence[str], value: str = "cpu_us
     (NaN when no usable value).
 
     "list": one aggregate holding each group's sorted (value, count) list;
-    "buckets": the two-level selection; "auto": "list" only when the
-    largest group is proven to hold at most ``list_max`` rows (one small
-    aggregate; only that number reaches the driver).
+    "buckets": the two-level selection; "max": the largest usable value,
+    valid only for groups small enough that the rule returns the maximum;
+    "auto": the largest group's size is proven first (one small aggregate,
+    only that number reaches the driver), then "max" if the rule allows,
+    "list" up to ``list_max`` rows, else "buckets".
     """
     keys = list(keys)
     v = F.col(value)
     ok = usable(v)
     if method == "auto":
         top = (hist.groupBy(*keys).agg(F.sum(count_col).alias("_n"))
-               .agg(F.max("_n")).first()[0])
-        method = "list" if (top or 0) <= list_max else "buckets"
+               .agg(F.max("_n")).first()[0]) or 0
+        method = "max" if max_rule_holds(top, p) else "list" if top <= list_max else "buckets"
+    if method == "max":
+        g = hist.groupBy(*keys).agg(
+            F.sum(count_col).alias("event_count"), F.min(first).alias("window_start"),
+            F.max(last).alias("window_end"),
+            F.sum(F.when(ok, F.col(count_col)).otherwise(F.lit(0))).alias("n"),
+            F.max(F.when(ok, v)).alias("_top"))
+        return g.select(*keys, "event_count", "window_start", "window_end", "n",
+                        F.coalesce(F.col("_top"), F.lit(float("nan"))).alias(out))
     if method == "list":
         g = hist.groupBy(*keys).agg(
             F.sum(count_col).alias("event_count"), F.min(first).alias("window_start"),

@@ -31,9 +31,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.percentile import P95, p95_of_values
+from ..functions.percentile import P95, max_rule_holds, p95_of_values
 from .quantile import (BUCKET, bucketize, coarse_bucket, histogram_windows,
-                       percentile_from_buckets)
+                       percentile_from_buckets, usable)
 
 # A window's values are gathered in one list only below this many rows
 # (8 bytes a value: 1.6 MB), checked before the plan is chosen.
@@ -136,8 +136,10 @@ def window_p95(events: DataFrame, size, slide=None, keys: Sequence[str] = ("devi
     ms). Rows with a null key are dropped first (O-07).
 
     ``method``: "hist" (skew-safe histogram selection), "array" (one list
-    per window) or "auto": "array" only when ``largest_window_bound`` proves
-    that no window holds more than ``array_max`` rows, else "hist".
+    per window), "max" (only valid when no window holds more rows than the
+    percentile rule returns the maximum for: 19 at p = 0.95) or "auto":
+    ``largest_window_bound`` proves the largest window size, then "max" if
+    the rule allows it, "array" up to ``array_max`` rows, else "hist".
     """
     size_ms = parse_duration_ms(size)
     slide_ms = size_ms if slide is None else parse_duration_ms(slide)
@@ -150,7 +152,12 @@ def window_p95(events: DataFrame, size, slide=None, keys: Sequence[str] = ("devi
             df = df.filter(F.col(k).isNotNull())
     if method == "auto":
         bound = largest_window_bound(df, keys, size_ms, slide_ms, time)
-        method = "array" if bound <= array_max else "hist"
+        if max_rule_holds(bound, p):
+            method = "max"
+        else:
+            method = "array" if bound <= array_max else "hist"
+    if method == "max":
+        return _window_p95_max(df, size_ms, slide_ms, keys, value, time)
     if method == "array":
         return _window_p95_array(df, size_ms, slide_ms, keys, value, time, p)
     if method != "hist":
@@ -234,3 +241,19 @@ def _window_p95_array(df, size_ms, slide_ms, keys, value, time, p):
                       (F.col("win_start") + F.lit(size_ms)).alias("win_end"),
                       "event_count", "window_start", "window_end",
                       p95_of_values(F.col("_vals"), p).alias("percentile_95"))
+
+
+def _window_p95_max(df, size_ms, slide_ms, keys, value, time):
+    """Every window holds few enough rows that the percentile is the
+    largest usable value: one hash aggregate, no lists."""
+    v = F.col(value)
+    w = assign_windows(df, size_ms, slide_ms, time)
+    agg = (w.groupBy(*keys, "win_start")
+           .agg(F.count(F.lit(1)).alias("event_count"),
+                F.min(time).alias("window_start"),
+                F.max(time).alias("window_end"),
+                F.max(F.when(usable(v), v)).alias("_top")))
+    return agg.select(*keys, "win_start",
+                      (F.col("win_start") + F.lit(size_ms)).alias("win_end"),
+                      "event_count", "window_start", "window_end",
+                      F.coalesce(F.col("_top"), F.lit(float("nan"))).alias("percentile_95"))

@@ -59,3 +59,23 @@ def test_null_device_dropped(spark):
     df = events_df(spark, [(None, T0, 1.0), ("", T0, 2.0), ("d", T0, 3.0)])
     out = {r.device_id for r in window_p95(df, "1 minute").collect()}
     assert out == {"", "d"}
+
+
+def test_max_rule_threshold():
+    from fleetpulse.functions.percentile import max_rule_holds
+
+    assert max_rule_holds(19) and not max_rule_holds(20)
+
+
+def test_max_method_equals_array_on_small_windows(spark):
+    rows = rows_for(300, devices=40) + [("nan-dev", T0, float("nan")),
+                                        ("nan-dev", T0 + 1, float("nan"))]
+    df = events_df(spark, rows)
+    a = window_p95(df, 30_000, 5_000, method="max").collect()
+    b = window_p95(df, 30_000, 5_000, method="array").collect()
+    assert max(r.event_count for r in b) <= 19
+
+    def key(r):
+        return tuple("nan" if isinstance(x, float) and x != x else x for x in r)
+
+    assert sorted(map(key, a)) == sorted(map(key, b))
