@@ -2,12 +2,12 @@
 again for every micro-batch that brings rows up to the allowed lateness.
 
 No built-in output mode does this (append fires once, update fires before
-the window closes), so it is one ``transformWithStateInPandas`` operator:
+the window closes), so it is one ``transformWithState`` operator (row interface):
 
 * Rows are first expanded to their windows, and the operator is keyed by
   (device, window start): a hot device's windows spread over partitions,
-  and each key's state is one window's value histogram (value -> count)
-  plus its count and observed bounds.
+  and each key's state is one window's values plus its count and observed
+  bounds.
 * Spark's watermark is set to ``size + out_of_orderness + lateness`` behind
   the max event time, so its own late-row filter never drops a row the
   reference would still take; the reference's watermark is rebuilt inside
@@ -30,9 +30,8 @@ import math
 import sys
 
 import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -102,16 +101,15 @@ class RefiringWindows(StatefulProcessor):
         self.vals = handle.getListState("vals", "v double")
         self.meta = handle.getValueState("meta", "n long, mn long, mx long, fired boolean")
 
-    def _emit(self, device: str, win_start: int, n: int, mn: int, mx: int,
-              ref_wm: int) -> pd.DataFrame:
+    def _emit(self, device: str, win_start: int, n: int, mn: int, mx: int, ref_wm: int) -> Row:
         vals = np.fromiter((r[0] for r in self.vals.get()), dtype="float64")
         win_end = win_start + self.size_ms
         rid = hashlib.sha256(f"{device}|{win_start}|{win_end}|{n}".encode()).hexdigest()
-        return pd.DataFrame([{
-            "id": rid, "device_id": device, "window_start": mn, "window_end": mx,
-            "percentile_95": legacy_percentile(vals, np.ones(len(vals), dtype="int64"), self.p),
-            "last_updated": max(win_end, ref_wm), "win_start": win_start,
-            "win_end": win_end, "event_count": n}])
+        return Row(id=rid, device_id=device, window_start=mn, window_end=mx,
+                   percentile_95=legacy_percentile(vals, np.ones(len(vals), dtype="int64"),
+                                                   self.p),
+                   last_updated=max(win_end, ref_wm), win_start=win_start, win_end=win_end,
+                   event_count=n)
 
     def handleInputRows(self, key, rows, timerValues):
         device, win_start = key[0], int(key[1])
@@ -119,22 +117,22 @@ class RefiringWindows(StatefulProcessor):
         ref_wm = timerValues.getCurrentWatermarkInMs() + self.shift
         if ref_wm >= win_end + self.lateness_ms:
             return iter([])          # window already closed for good
+        batch = list(rows)
+        if not batch:
+            return iter([])
         meta = self.meta.get()
         fresh = meta is None
         n, mn, mx, fired = (0, None, None, False) if fresh else meta
-        batch = pd.concat(list(rows), ignore_index=True)
-        if batch.empty:
-            return iter([])
         out = []
         if not fresh and not fired and ref_wm >= win_end:
             # The window became due with this batch's watermark; its timer
             # runs after these rows, so fire it here first, as it stood.
             out.append(self._emit(device, win_start, n, mn, mx, win_end))
-        self.vals.appendList([(float(v),) for v in batch["cpu_usage"].to_numpy()])
-        n += int(len(batch))
-        lo, hi = int(batch["timestamp"].min()), int(batch["timestamp"].max())
-        mn = lo if mn is None else min(mn, lo)
-        mx = hi if mx is None else max(mx, hi)
+        self.vals.appendList([(float(r["cpu_usage"]),) for r in batch])
+        times = [int(r["timestamp"]) for r in batch]
+        n += len(batch)
+        mn = min(times) if mn is None else min(mn, min(times))
+        mx = max(times) if mx is None else max(mx, max(times))
         if fresh:
             self.handle.registerTimer(win_end - self.shift)
             self.handle.registerTimer(win_end + self.lateness_ms - self.shift)
@@ -177,5 +175,5 @@ def refiring_windows(events: DataFrame, size="30 seconds", slide="5 seconds",
          .withWatermark("ts", f"{delay_ms // 1000} seconds"))
     proc = RefiringWindows(size_ms, ooo_ms, late_ms, delay_ms, p)
     return (w.groupBy("device_id", "win_start")
-            .transformWithStateInPandas(statefulProcessor=proc, outputStructType=OUTPUT_SCHEMA,
-                                        outputMode="Append", timeMode="EventTime"))
+            .transformWithState(statefulProcessor=proc, outputStructType=OUTPUT_SCHEMA,
+                                outputMode="Append", timeMode="EventTime"))
