@@ -113,15 +113,21 @@ def _pane_to_windows(ph: DataFrame, size_ms: int, slide_ms: int, pane_ms: int) -
 
 def largest_window_bound(df: DataFrame, keys: Sequence[str], size_ms: int, slide_ms: int,
                          time: str = "timestamp") -> int:
-    """Upper bound of the rows in any one (key, window): the largest
-    (key, pane) count times the panes a window spans. One small aggregate
-    (map-side combined, one row per key and pane); only the bound reaches
-    the driver."""
+    """The number of rows in the largest (key, window).
+
+    Counted per (key, pane) first (map-side combined: one row per key and
+    pane crosses the shuffle), the pane counts fan out to their windows and
+    are summed; only the maximum reaches the driver."""
     pane_ms = math.gcd(size_ms, slide_ms)
     per_pane = (df.groupBy(*keys, _floor_to(F.col(time), pane_ms).alias("_pane"))
                 .agg(F.count(F.lit(1)).alias("c")))
-    top = per_pane.agg(F.max("c")).first()[0]
-    return int(top or 0) * (size_ms // pane_ms)
+    if pane_ms == size_ms:
+        per_window = per_pane
+    else:
+        per_window = (_pane_to_windows(per_pane, size_ms, slide_ms, pane_ms)
+                      .groupBy(*keys, "win_start").agg(F.sum("c").alias("c")))
+    top = per_window.agg(F.max("c")).first()[0]
+    return int(top or 0)
 
 
 def window_p95(events: DataFrame, size, slide=None, keys: Sequence[str] = ("device_id",),
