@@ -28,6 +28,8 @@ BASE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+ROCKSDB_PROVIDER = BASE_CONF["spark.sql.streaming.stateStore.providerClass"]
+
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "fleetpulse", extra: dict | None = None) -> SparkSession:
@@ -69,3 +71,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def ensure_rocksdb_state(spark: SparkSession) -> None:
+    """State operators with several state variables (transformWithState)
+    need the RocksDB state store; switch the session to it for the queries
+    started afterwards (a running query keeps the provider it began with)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)

@@ -37,6 +37,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from ..functions.percentile import P95
 from ..operators.windows import assign_windows, parse_duration_ms
+from ..session import ensure_rocksdb_state
 
 # The processor runs in Python workers (also a driver-side one for init):
 # this module travels by value, so no worker has to import the package.
@@ -173,6 +174,7 @@ def refiring_windows(events: DataFrame, size="30 seconds", slide="5 seconds",
     w = (assign_windows(events.filter(events.device_id.isNotNull()), size_ms, slide_ms)
          .select("device_id", "win_start", "timestamp", "cpu_usage", "ts")
          .withWatermark("ts", f"{delay_ms // 1000} seconds"))
+    ensure_rocksdb_state(events.sparkSession)
     proc = RefiringWindows(size_ms, ooo_ms, late_ms, delay_ms, p)
     return (w.groupBy("device_id", "win_start")
             .transformWithState(statefulProcessor=proc, outputStructType=OUTPUT_SCHEMA,
