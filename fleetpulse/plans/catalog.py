@@ -19,8 +19,9 @@ from ..operators import bands, late
 from ..operators.clean import to_metric_rows, validate_metrics
 from ..operators.results import compute_results, global_p95
 from ..operators.windows import pane_partials, windows_from_partials
+from ..functions.timeutil import ingest_lag
 from ..sources import codec
-from ..sources.events import load_events, read_table
+from ..sources.events import load_events
 from ..sources.store import apply_append, duplicate_ids
 from . import metrics as M
 
@@ -131,9 +132,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p95_from_panes": lambda s, d: windows_from_partials(
         pane_partials(_events(s, d), SLIDE_4H_MS), DAY_MS, SLIDE_4H_MS),
     "json_round_trip": q_json_round_trip_clean,
-    "ingest_lag": lambda s, d: _events(s, d, keep=("event_id",)).select(
-        "event_id", "device_id", "timestamp",
-        (F.lit(FIXED_NOW_MS) - F.col("timestamp")).alias("lag_ms")),
+    "ingest_lag": lambda s, d: ingest_lag(_events(s, d, keep=("event_id",)), FIXED_NOW_MS)
+    .select("event_id", "device_id", "timestamp", "lag_ms"),
     "metric_rows": lambda s, d: _as_text_date(_table(s, d)),
     "metrics_rejected_by_reason": lambda s, d: validate_metrics(_table(s, d)).groupBy(
         F.coalesce("reject_reason", F.lit("valid")).alias("reason")).agg(
