@@ -79,3 +79,27 @@ def test_max_method_equals_array_on_small_windows(spark):
         return tuple("nan" if isinstance(x, float) and x != x else x for x in r)
 
     assert sorted(map(key, a)) == sorted(map(key, b))
+
+
+def test_auto_routes_hot_device_to_buckets(spark, monkeypatch):
+    """A device holding a third of the rows: above the list bound, auto must
+    take the bucket plan, and the result is the same exact percentile."""
+    import fleetpulse.operators.windows as W
+
+    rnd = random.Random(21)
+    rows = [("hot", T0 + rnd.randrange(60_000), round(rnd.uniform(0, 100), 3)) for _ in range(600)]
+    rows += [(f"d{i % 40}", T0 + rnd.randrange(60_000), round(rnd.uniform(0, 100), 2))
+             for i in range(1200)]
+    df = events_df(spark, rows)
+    chosen = []
+    real = W._from_pane_histogram
+
+    def spy(*a, **k):
+        chosen.append("hist")
+        return real(*a, **k)
+
+    monkeypatch.setattr(W, "_from_pane_histogram", spy)
+    got = sorted(window_p95(df, "30 seconds", "5 seconds", method="auto", array_max=50).collect())
+    assert chosen == ["hist"]
+    want = sorted(window_p95(df, "30 seconds", "5 seconds", method="array").collect())
+    assert got == want
