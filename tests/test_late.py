@@ -37,3 +37,13 @@ def test_delay_sequence(spark):
     late = late_events(df, "arr", "arr").collect()
     assert [r.timestamp - T0 for r in late] == [2000]
     assert late[0].message == f"Late event: device-001 at {T0 + 2000}"
+
+
+def test_on_time_is_the_complement(spark):
+    from fleetpulse.operators.late import on_time_events
+
+    seq = [0, 4000, 29999, 65000, 1000, 101000, 2000, 102000]
+    df = spark.createDataFrame([("device-001", T0 + t, 1.0, i) for i, t in enumerate(seq)],
+                               "device_id string, timestamp long, cpu_usage double, arr long")
+    kept = sorted(r.timestamp - T0 for r in on_time_events(df, "arr", "arr").collect())
+    assert kept == sorted(t for t in seq if t != 2000)

@@ -17,3 +17,11 @@ def test_instants_and_lag(spark):
     assert r.window_start_ts.isoformat().startswith("2024-01-01T00:00:00.123")
     lag = ingest_lag(df.withColumnRenamed("window_start", "timestamp"), now_ms=1_704_067_201_000)
     assert lag.collect()[0].lag_ms == 877
+
+
+def test_event_time_from_ms(spark):
+    from fleetpulse.sources.events import with_event_time
+
+    df = spark.createDataFrame([(1_704_067_200_500,)], "timestamp long")
+    r = with_event_time(df).collect()[0]
+    assert r.ts.isoformat().startswith("2024-01-01T00:00:00.5")
