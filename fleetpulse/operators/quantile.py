@@ -3,22 +3,20 @@
 The percentile of a group needs the values at two ranks. Collecting a
 group's values into one array (or one window partition) does not survive a
 hot key: one device, or one event type, may hold a third of all rows. The
-selection here works on a *value histogram* and never holds more than one
-coarse value bucket of one group in one place:
+bucket plan here works on a *value histogram* and holds no list at all:
 
 1. Histogram: (keys, v) -> count, a plain aggregate with map-side partial
    combining. Repeated values collapse before the shuffle, and that shuffle
    is hashed on the value too, so a hot group is spread over all tasks.
 2. Each distinct value gets a coarse bucket ``b``, a monotone function of
    the value (sign and 1/64 of a binary order of magnitude: at most ~2^18
-   buckets per group, and about 70 two-decimal values per bucket for CPU
-   percentages). Per (keys, b): the count and the bucket's sorted
-   (value, count) list.
-3. A running sum over the bucket *counts* of a group (a window over at most
-   ~2^18 small rows, arrays left out) gives the count below each bucket and
-   the group size; the buckets that hold the wanted ranks (at most two per
-   group) are joined back to their lists, and the rank is found inside the
-   list.
+   buckets per group). The histogram is partitioned by (keys, b) once.
+3. Bucket counts (no shuffle) -> a running sum over the buckets of a group
+   (a window over at most ~2^18 small rows) gives the count below each
+   bucket and the group size; the buckets holding the wanted ranks (at most
+   two per group) are joined back to the histogram rows on the same
+   partitioning, and a window sorted by value inside just those buckets
+   (spillable, like any sort) gives exact ranks.
 
 Exactness: buckets are contiguous value ranges because ``b`` is monotone
 (log2 is semi-monotone; scaling by a positive constant and floor keep it).
@@ -32,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.percentile import (P95, legacy_combine, legacy_ranks, max_rule_holds,
-                                   percentile_of_weighted, weighted_value_at)
+                                   percentile_of_weighted)
 
 # Coarse-bucket resolution (buckets per binary order of
 # magnitude), the clamp that keeps infinities in their own end buckets, and
@@ -58,109 +56,84 @@ def coarse_bucket(v: Column) -> Column:
             .when(v > 0, pos).when(v < 0, -pos).otherwise(F.lit(0))).cast("long")
 
 
-def bucketize(hist: DataFrame, keys: Sequence[str], value: str, count_col: str = "c",
-              extra_aggs: Sequence[Column] = ()) -> DataFrame:
-    """Histogram rows (keys, value, count_col, ...) -> one row per
-    (keys, bucket): ``_bc`` usable count, ``_vals`` sorted (v, c) list.
+def bucketed_histogram(hist: DataFrame, keys: Sequence[str], value: str,
+                       count_col: str = "c") -> DataFrame:
+    """(keys, value, count) rows -> one row per distinct usable value:
+    (keys, bucket, value, c), hash-partitioned by (keys, bucket).
 
-    Unusable values (NaN, null) form the null bucket with ``_bc`` = 0 and
-    are still seen by ``extra_aggs`` (e.g. event counts, time bounds).
-    If ``hist`` already carries the bucket column and is partitioned by
-    (keys, bucket), no shuffle is added here.
-    """
+    Rows may repeat a value (they are summed). Both branches of the
+    selection read this one exchange: the bucket counts need no further
+    shuffle, and the wanted buckets are joined back without moving it."""
     v = F.col(value)
-    h = hist if BUCKET in hist.columns else hist.withColumn(BUCKET, coarse_bucket(v))
-    ok = usable(v)
-    return h.groupBy(*keys, BUCKET).agg(
-        F.sum(F.when(ok, F.col(count_col)).otherwise(F.lit(0))).alias("_bc"),
-        F.sort_array(F.collect_list(F.when(ok, F.struct(v.alias("v"),
-                                                       F.col(count_col).alias("c")))))
-        .alias("_vals"),
-        *extra_aggs)
-
-
-def _value_at(vals: Column, below: Column, rank: Column) -> Column:
-    return weighted_value_at(vals, below, rank)
-
-
-def ranks_from_buckets(buckets: DataFrame, keys: Sequence[str],
-                       rank_fns: dict[str, Callable[[Column], Column]],
-                       group_aggs: dict[str, Callable[[Window], Column]] | None = None
-                       ) -> DataFrame:
-    """Values at given 1-based ranks per group, from ``bucketize`` output.
-
-    ``rank_fns``: output name -> function of n (usable count) -> rank.
-    ``group_aggs``: output name -> function of the whole-group window ->
-    window aggregate over bucket rows (e.g. event counts). Returns keys, n,
-    ``distinct_values``, the group aggregates and one column per rank; every
-    group appears once, ranks are null where the group has no usable value.
-
-    Both branches below read the same bucket aggregate, so the shuffle that
-    feeds it runs once (Spark reuses the exchange).
+    # The explicit not-null filter equals what the join below would infer
+    # for one branch only; stated here, both branches stay identical and
+    # Spark reuses the exchange.
+    return (hist.filter(usable(v))
+            .withColumn(BUCKET, coarse_bucket(v))
+            .filter(F.col(BUCKET).isNotNull())
+            .repartition(*keys, BUCKET)
+            .groupBy(*keys, BUCKET, value).agg(F.sum(count_col).alias("c")))
+
+
+def select_ranks(bh: DataFrame, keys: Sequence[str], value: str,
+                 rank_fns: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """Values at given 1-based ranks per group of a ``bucketed_histogram``.
+
+    ``rank_fns``: output name -> function of n (the group's usable count)
+    -> rank. Returns keys, n and one column per rank (groups without a
+    usable value do not appear).
     """
     keys = list(keys)
-    group_aggs = group_aggs or {}
+    counts = bh.groupBy(*keys, BUCKET).agg(F.sum("c").alias("_bc"))
+    # Bucket counts only: at most ~2^18 small rows per group.
     running = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys)
-    first = Window.partitionBy(*keys).orderBy(BUCKET)
-    # Bucket counts only (lists left out): at most ~2^18 small rows a group.
-    counts = (buckets.withColumn("_nd", F.size("_vals")).drop("_vals")
-              .withColumn("_cum", F.sum("_bc").over(running))
-              .withColumn("n", F.sum("_bc").over(whole))
-              .withColumn("distinct_values", F.sum("_nd").over(whole))
-              .withColumn("_rn", F.row_number().over(first)))
-    for name, fn in group_aggs.items():
-        counts = counts.withColumn(name, fn(whole))
-    counts = counts.withColumn("_prev", F.col("_cum") - F.col("_bc"))
+    counts = (counts.withColumn("_cum", F.sum("_bc").over(running))
+              .withColumn("n", F.sum("_bc").over(Window.partitionBy(*keys)))
+              .withColumn("_prev", F.col("_cum") - F.col("_bc")))
     hit_any = F.lit(False)
     for name, fn in rank_fns.items():
-        r = fn(F.col("n"))
-        counts = counts.withColumn(f"_r{name}", r)
+        counts = counts.withColumn(f"_r{name}", fn(F.col("n")))
         r = F.col(f"_r{name}")
         hit_any = hit_any | ((F.col("_prev") < r) & (r <= F.col("_cum")))
-    # Per group: the buckets holding a wanted rank, plus one row for the
-    # group figures (a group of only NaN has no wanted bucket).
-    group_cols = ["n", "distinct_values"] + list(group_aggs)
-    sel = (counts.withColumn("_hit", hit_any)
-           .filter(F.col("_hit") | (F.col("_rn") == 1))
-           .select(*keys, BUCKET, "_hit", "_prev", "_rn", *group_cols,
-                   *[f"_r{name}" for name in rank_fns]))
-    lists = buckets.select(*keys, BUCKET, "_vals")
-    found = sel.join(lists, on=keys + [BUCKET], how="left")
-    aggs = [F.max(F.when(F.col("_rn") == 1, F.col(c))).alias(c) for c in group_cols]
+    targets = counts.filter(hit_any).select(*keys, BUCKET, "_prev", "n",
+                                            *[f"_r{name}" for name in rank_fns])
+    # Only the rows of the (at most two) wanted buckets per group go on, to a
+    # spillable window sorted by value; the histogram side is not moved.
+    cand = bh.join(targets, on=keys + [BUCKET])
+    within = Window.partitionBy(*keys, BUCKET).orderBy(value).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    cand = cand.withColumn("_vcum", F.col("_prev") + F.sum("c").over(within))
+    picks = []
     for name in rank_fns:
         r = F.col(f"_r{name}")
-        # null when the rank lies past this bucket; guarded when before it
-        aggs.append(F.max(F.when(F.col("_hit") & (F.col("_prev") < r),
-                                 _value_at(F.col("_vals"), F.col("_prev"), r))).alias(name))
-    return found.groupBy(*keys).agg(*aggs)
+        hit = ((F.col("_vcum") - F.col("c")) < r) & (r <= F.col("_vcum"))
+        picks.append(F.max(F.when(hit, F.col(value))).alias(name))
+    return cand.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
 
 
-def percentile_from_buckets(buckets: DataFrame, keys: Sequence[str], p: float = P95,
-                            out: str = "percentile_95",
-                            group_aggs: dict | None = None) -> DataFrame:
-    """keys, n, group aggregates, <out> (null where no usable value)."""
-    sel = ranks_from_buckets(buckets, keys, {
+def percentile_by_buckets(bh: DataFrame, keys: Sequence[str], value: str, p: float = P95,
+                          out: str = "percentile_95") -> DataFrame:
+    """keys, n, <out>: legacy percentile per group of a bucketed histogram."""
+    sel = select_ranks(bh, keys, value, {
         "_x_lo": lambda n: legacy_ranks(n, p)[1],
         "_x_hi": lambda n: legacy_ranks(n, p)[2],
-    }, group_aggs)
-    pct = F.when(F.col("n") > 0,
-                 legacy_combine(F.col("_x_lo"), F.col("_x_hi"), F.col("n"), p))
-    return sel.withColumn(out, pct).drop("_x_lo", "_x_hi")
+    })
+    return sel.select(*keys, "n", legacy_combine(F.col("_x_lo"), F.col("_x_hi"), F.col("n"), p)
+                      .alias(out))
 
 
 def exact_percentile(df: DataFrame, keys: Sequence[str], value: str,
                      p: float = P95, out: str = "percentile_95") -> DataFrame:
     """Grouped exact legacy percentile of ``value``: keys, n, <out>.
 
-    NaN and null values are dropped; a group without any usable value gets
-    a null percentile (callers apply their own empty/NaN rules).
+    NaN and null values are dropped; a group without any usable value does
+    not appear (callers apply their own empty/NaN rules). Repeated values
+    are counted map-side before the first shuffle.
     """
     keys = list(keys)
-    hist = (df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c")))
-    buckets = bucketize(hist, keys, value, "c")
-    return percentile_from_buckets(buckets, keys, p, out)
+    hist = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c"))
+    return percentile_by_buckets(bucketed_histogram(hist, keys, value, "c"), keys, value, p, out)
 
 
 def histogram_windows(hist: DataFrame, keys: Sequence[str], value: str = "cpu_usage",
@@ -209,9 +182,10 @@ def histogram_windows(hist: DataFrame, keys: Sequence[str], value: str = "cpu_us
     stats = hist.groupBy(*keys).agg(F.sum(count_col).alias("event_count"),
                                     F.min(first).alias("window_start"),
                                     F.max(last).alias("window_end"))
-    pct = percentile_from_buckets(bucketize(hist.select(*keys, value, count_col), keys, value,
-                                            count_col), keys, p, "_p")
+    pct = percentile_by_buckets(bucketed_histogram(hist, keys, value, count_col), keys, value,
+                                p, "_p")
     res = stats.join(pct, on=keys, how="left")
-    return res.select(*keys, "event_count", "window_start", "window_end", "n",
+    return res.select(*keys, "event_count", "window_start", "window_end",
+                      F.coalesce("n", F.lit(0)).alias("n"),
                       F.when(F.col("n") > 0, F.col("_p")).otherwise(F.lit(float("nan")))
                       .alias(out))

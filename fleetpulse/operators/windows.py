@@ -32,8 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.percentile import P95, max_rule_holds, p95_of_values
-from .quantile import (BUCKET, bucketize, coarse_bucket, histogram_windows,
-                       percentile_from_buckets, usable)
+from .quantile import bucketed_histogram, histogram_windows, percentile_by_buckets, usable
 
 # A window's values are gathered in one list only below this many rows
 # (8 bytes a value: 1.6 MB), checked before the plan is chosen.
@@ -180,15 +179,13 @@ def _from_pane_histogram(ph: DataFrame, stats: DataFrame, keys, value, size_ms,
                          pane_ms, p) -> DataFrame:
     gkeys = list(keys) + ["win_start"]
     if pane_ms == size_ms:
-        wh = ph.withColumnRenamed("_pane", "win_start")
+        rows = ph.withColumnRenamed("_pane", "win_start")
     else:
-        # Panes fan out to windows; one exchange on (key, window, bucket)
-        # serves both the per-value and the per-bucket aggregate.
-        wh = (_pane_to_windows(ph, size_ms, slide_ms, pane_ms)
-              .withColumn(BUCKET, coarse_bucket(F.col(value)))
-              .repartition(*gkeys, BUCKET)
-              .groupBy(*gkeys, BUCKET, value).agg(F.sum("c").alias("c")))
-    pct = percentile_from_buckets(bucketize(wh, gkeys, value, "c"), gkeys, p, "_p95")
+        # Panes fan out to windows; the one exchange on (key, window,
+        # bucket) serves the bucket counts and the rank selection.
+        rows = _pane_to_windows(ph, size_ms, slide_ms, pane_ms)
+    pct = percentile_by_buckets(bucketed_histogram(rows, gkeys, value, "c"), gkeys, value, p,
+                                "_p95")
     res = stats.join(pct, on=gkeys, how="left")
     # A window with no usable value (only NaN) gets NaN; a single NaN value
     # is returned as is, which is the same NaN.
