@@ -80,3 +80,24 @@ def ensure_rocksdb_state(spark: SparkSession) -> None:
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
         spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
+def start_with_partitions(writer, spark: SparkSession, state_partitions: int | None):
+    """Start a streaming query with ``state_partitions`` shuffle (and state)
+    partitions. A query keeps the partition count it first started with
+    (it runs on a copy of the session's settings), so the session's own
+    setting is put back right after the start."""
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
+def default_state_partitions(spark: SparkSession) -> int:
+    """One state partition per core the cluster offers."""
+    return max(1, int(spark.sparkContext.defaultParallelism))

@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 from ..operators.late import (ALLOWED_LATENESS_MS, DEFAULT_SIZE_MS, DEFAULT_SLIDE_MS,
                               OUT_OF_ORDERNESS_MS, close_time)
 from ..operators.windows import parse_duration_ms
+from ..session import start_with_partitions
 
 
 def start_quarantine_stream(events: DataFrame, quarantine_path: str, state_path: str,
                             checkpoint: str, size=DEFAULT_SIZE_MS, slide=DEFAULT_SLIDE_MS,
                             out_of_orderness=OUT_OF_ORDERNESS_MS,
-                            lateness=ALLOWED_LATENESS_MS, available_now: bool = True):
+                            lateness=ALLOWED_LATENESS_MS, available_now: bool = True,
+                            state_partitions: int | None = None):
     size_ms, slide_ms = parse_duration_ms(size), parse_duration_ms(slide)
     ooo_ms, late_ms = parse_duration_ms(out_of_orderness), parse_duration_ms(lateness)
     spark = events.sparkSession
@@ -58,7 +60,7 @@ def start_quarantine_stream(events: DataFrame, quarantine_path: str, state_path:
     w = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
-    return w.start()
+    return start_with_partitions(w, spark, state_partitions)
 
 
 def read_quarantine(spark: SparkSession, quarantine_path: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_path
+from ..session import default_state_partitions, shared_path, start_with_partitions
 from ..sources.events import table_path
 from ..sources.store import TABLE_COLUMNS, MetricsTable
 from .streams import WATERMARK_DELAY, read_table_stream, start_metrics_stream
@@ -24,7 +24,8 @@ def stream_metrics_once(spark: SparkSession, sf_dir: str, size, slide,
     events = read_table_stream(spark, sf_dir, schema, device, glob="events.parquet")
     table = MetricsTable(spark, shared_path(spark, "stream-metrics"))
     q = start_metrics_stream(events, table, shared_path(spark, "stream-ckpt"), size, slide,
-                             watermark, available_now=True)
+                             watermark, available_now=True,
+                             state_partitions=default_state_partitions(spark))
     if not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError("stream did not finish")
@@ -67,9 +68,11 @@ def refire_replay(spark: SparkSession, sf_dir: str, size="30 seconds", slide="5
     revisions = refiring_windows(bind_events(stream, "user_id"), size, slide,
                                  out_of_orderness, lateness)
     out = shared_path(spark, "revisions")
-    q = (revisions.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", shared_path(spark, "revisions-ckpt"))
-         .outputMode("append").trigger(availableNow=True).start())
+    q = start_with_partitions(
+        revisions.writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", shared_path(spark, "revisions-ckpt"))
+        .outputMode("append").trigger(availableNow=True),
+        spark, default_state_partitions(spark))
     if not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError("stream did not finish")
@@ -95,7 +98,8 @@ def quarantine_replay(spark: SparkSession, sf_dir: str, chunks: int = 8, prime:
     events = bind_events(stream, "user_id", keep=("event_id", "arrival"))
     out = shared_path(spark, "quarantine")
     q = start_quarantine_stream(events, out, shared_path(spark, "quarantine-state"),
-                                shared_path(spark, "quarantine-ckpt"))
+                                shared_path(spark, "quarantine-ckpt"),
+                                state_partitions=default_state_partitions(spark))
     if not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError("stream did not finish")

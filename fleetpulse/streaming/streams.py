@@ -30,6 +30,7 @@ from ..operators.windows import parse_duration_ms
 from ..schema import EVENT_SCHEMA
 from ..sources.codec import decode_events, encode_results
 from ..sources.events import bind_events
+from ..session import start_with_partitions
 from ..sources.store import MetricsTable
 
 # The reference job's settings (code, not README).
@@ -136,13 +137,16 @@ def start_metrics_stream(events: DataFrame, table: MetricsTable, checkpoint: str
                          size=WINDOW_SIZE, slide=WINDOW_SLIDE,
                          watermark: str = WATERMARK_DELAY, available_now: bool = True,
                          processing_time: str | None = None, validate: str = "none",
-                         reject_table: MetricsTable | None = None):
+                         reject_table: MetricsTable | None = None,
+                         state_partitions: int | None = None):
     """O-32: windows -> results -> idempotent append, one transaction per
     micro-batch. A replayed batch (after a failure, before the checkpoint
     commit) appends nothing new, as the ids are deterministic.
 
     ``validate`` "none" follows the reference's bulk path; "strict" applies
-    O-10 and sends rejected rows to ``reject_table``.
+    O-10 and sends rejected rows to ``reject_table``. ``state_partitions``
+    fixes the number of state partitions at the query's first start
+    (default: the session's shuffle partitions).
     """
     from ..operators.clean import split_valid
 
@@ -175,7 +179,7 @@ def start_metrics_stream(events: DataFrame, table: MetricsTable, checkpoint: str
         w = w.trigger(processingTime=processing_time)
     elif available_now:
         w = w.trigger(availableNow=True)
-    return w.start()
+    return start_with_partitions(w, events.sparkSession, state_partitions)
 
 
 def start_kafka_results_stream(events: DataFrame, bootstrap: str, checkpoint: str,
