@@ -243,7 +243,9 @@ def _window_p95_array(df, size_ms, slide_ms, keys, value, time, p):
     return agg.select(*keys, "win_start",
                       (F.col("win_start") + F.lit(size_ms)).alias("win_end"),
                       "event_count", "window_start", "window_end",
-                      p95_of_values(F.col("_vals"), p).alias("percentile_95"))
+                      # a window always has events; with no usable value it is NaN
+                      F.when(F.size("_vals") == 0, F.lit(float("nan")))
+                      .otherwise(p95_of_values(F.col("_vals"), p)).alias("percentile_95"))
 
 
 def _window_p95_max(df, size_ms, slide_ms, keys, value, time):

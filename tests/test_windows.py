@@ -103,3 +103,12 @@ def test_auto_routes_hot_device_to_buckets(spark, monkeypatch):
     assert chosen == ["hist"]
     want = sorted(window_p95(df, "30 seconds", "5 seconds", method="array").collect())
     assert got == want
+
+
+def test_all_null_window_is_nan_in_every_plan(spark):
+    import math
+
+    df = events_df(spark, [("n", T0, None), ("n", T0 + 1, None), ("v", T0, 5.0)])
+    for method in ["max", "array", "hist"]:
+        got = {r.device_id: r.percentile_95 for r in window_p95(df, "1 minute", method=method).collect()}
+        assert math.isnan(got["n"]) and got["v"] == 5.0, method
