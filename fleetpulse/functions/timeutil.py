@@ -11,6 +11,26 @@ def ts_to_ms(ts: Column) -> Column:
     return F.unix_millis(ts)
 
 
+def ntz_to_ms(ntz: str) -> Column:
+    """TIMESTAMP_NTZ (a wall-clock reading in UTC) -> epoch ms, floored,
+    independent of the session time zone (a cast to TIMESTAMP would read
+    the wall clock in the session's zone)."""
+    us = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ntz}`)"
+    return F.expr(f"({us} - pmod({us}, 1000)) div 1000")
+
+
+def column_to_ms(df, col: str) -> Column:
+    """Epoch ms of a time column of any of the usual types."""
+    from pyspark.sql import types as T
+
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, T.TimestampNTZType):
+        return ntz_to_ms(col)
+    if isinstance(dtype, T.TimestampType):
+        return ts_to_ms(F.col(col))
+    return F.col(col).cast("long")
+
+
 def ms_to_ts(ms: Column) -> Column:
     """O-11: epoch ms -> TIMESTAMP (the Instant view of a long column)."""
     return F.timestamp_millis(ms)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timeutil import ms_to_ts, ts_to_ms
+from ..functions.timeutil import column_to_ms, ms_to_ts
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -28,11 +28,12 @@ def bind_events(raw: DataFrame, device: str | Column = "user_id",
     """events(event_id, ts NTZ, user_id, event_type, value, props) ->
     (device_id, timestamp, cpu_usage, ts, *keep).
 
-    ``ts`` arrives as TIMESTAMP_NTZ with microseconds; it is read as UTC and
-    floored to the millisecond, as the wire format carries epoch ms.
+    ``ts`` arrives as TIMESTAMP_NTZ with microseconds; it is read as UTC
+    (whatever the session's time zone) and floored to the millisecond, as
+    the wire format carries epoch ms.
     """
     dev = F.col(device) if isinstance(device, str) else device
-    ms = ts_to_ms(F.col("ts").cast("timestamp"))
+    ms = column_to_ms(raw, "ts")
     cols = [dev.cast("string").alias("device_id"),
             ms.alias("timestamp"),
             F.col("value").cast("double").alias("cpu_usage")]

@@ -25,3 +25,17 @@ def test_event_time_from_ms(spark):
     df = spark.createDataFrame([(1_704_067_200_500,)], "timestamp long")
     r = with_event_time(df).collect()[0]
     assert r.ts.isoformat().startswith("2024-01-01T00:00:00.5")
+
+
+def test_ntz_binding_ignores_session_zone(spark):
+    from fleetpulse.sources.events import bind_events
+
+    raw = spark.sql("SELECT 1L AS event_id, TIMESTAMP_NTZ'2024-01-01 00:00:00.123456' AS ts, "
+                    "7L AS user_id, 'view' AS event_type, 1.5D AS value, '' AS props")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        r = bind_events(raw).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert r.timestamp == 1_704_067_200_123 and r.device_id == "7"
