@@ -173,7 +173,7 @@ def refiring_windows(events: DataFrame, size="30 seconds", slide="5 seconds",
     delay_ms = size_ms + ooo_ms + late_ms
     w = (assign_windows(events.filter(events.device_id.isNotNull()), size_ms, slide_ms)
          .select("device_id", "win_start", "timestamp", "cpu_usage", "ts")
-         .withWatermark("ts", f"{delay_ms // 1000} seconds"))
+         .withWatermark("ts", f"{delay_ms} milliseconds"))
     ensure_rocksdb_state(events.sparkSession)
     proc = RefiringWindows(size_ms, ooo_ms, late_ms, delay_ms, p)
     return (w.groupBy("device_id", "win_start")

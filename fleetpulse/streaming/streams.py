@@ -108,8 +108,8 @@ def window_histogram_stream(events: DataFrame, size=WINDOW_SIZE, slide=WINDOW_SL
                             watermark: str = WATERMARK_DELAY) -> DataFrame:
     """O-27 + O-29 stateful part: per (device, window, value) the count and
     the first/last event time, emitted once the window is closed."""
-    size_s = f"{parse_duration_ms(size) // 1000} seconds"
-    slide_s = f"{parse_duration_ms(slide) // 1000} seconds"
+    size_s = f"{parse_duration_ms(size)} milliseconds"
+    slide_s = f"{parse_duration_ms(slide)} milliseconds"
     ev = valid_events(events).withWatermark("ts", watermark)
     return (ev.groupBy("device_id", F.window("ts", size_s, slide_s).alias("w"), "cpu_usage")
             .agg(F.count(F.lit(1)).alias("c"), F.min("timestamp").alias("mn"),
