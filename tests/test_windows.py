@@ -3,6 +3,8 @@ list form on shuffled input."""
 
 import random
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import T0, events_df
@@ -112,3 +114,45 @@ def test_all_null_window_is_nan_in_every_plan(spark):
     for method in ["max", "array", "hist"]:
         got = {r.device_id: r.percentile_95 for r in window_p95(df, "1 minute", method=method).collect()}
         assert math.isnan(got["n"]) and got["v"] == 5.0, method
+
+
+def brute_force_windows(rows, size, slide):
+    """Plain Python: every window containing each row, then the rule."""
+    from collections import defaultdict
+
+    from conftest import legacy_p95
+
+    groups = defaultdict(list)
+    for d, t, v in rows:
+        last = t - t % slide
+        s = last
+        while s > t - size:
+            groups[(d, s)].append((t, v))
+            s -= slide
+    out = {}
+    for (d, s), items in groups.items():
+        vals = [v for _, v in items]
+        out[(d, s)] = (len(items), min(t for t, _ in items), max(t for t, _ in items),
+                       legacy_p95(vals))
+    return out
+
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]),
+                          st.integers(min_value=0, max_value=90_000),
+                          st.sampled_from([0.0, 1.5, 12.25, 50.0, 75.5, 99.9, 100.0])),
+                min_size=1, max_size=80),
+       st.sampled_from([(30_000, 5_000), (20_000, 20_000), (30_000, 20_000)]))
+def test_every_plan_equals_brute_force(spark, raw, shape):
+    size, slide = shape
+    rows = [(d, T0 + t, v) for d, t, v in raw]
+    want = brute_force_windows(rows, size, slide)
+    df = events_df(spark, rows)
+    bound = max(c for c, _, _, _ in want.values())
+    methods = ["array", "hist", "auto"] + (["max"] if bound <= 19 else [])
+    for method in methods:
+        got = {(r.device_id, r.win_start): (r.event_count, r.window_start, r.window_end,
+                                            r.percentile_95)
+               for r in window_p95(df, size, slide, method=method).collect()}
+        assert got == want, method
