@@ -163,3 +163,15 @@ def test_stream_equals_batch_on_shuffled_input(spark, tmp_path):
     want = {(r.device_id, r.window_start, r.window_end, r.percentile_95)
             for r in batch.filter(F.col("win_end") <= max_t - 35_000).collect()}
     assert got == want
+
+
+def test_state_partitions_do_not_leak_into_the_session(spark, seq_stream, tmp_path):
+    from fleetpulse.session import start_with_partitions
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    w = (seq_stream.groupBy("device_id").count().writeStream.outputMode("complete")
+         .format("memory").queryName("parts_probe")
+         .option("checkpointLocation", str(tmp_path / "ck7")).trigger(availableNow=True))
+    run(start_with_partitions(w, spark, 3))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.sql("select sum(count) as n from parts_probe").collect()[0].n == 8
