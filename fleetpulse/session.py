@@ -65,6 +65,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def workers_import(spark: SparkSession, root: str) -> None:
+    """Put ``root`` on the import path of Python workers started from now on
+    (where the package is neither installed nor shipped with --py-files)."""
+    env = spark.sparkContext.environment
+    have = [p for p in env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *have])
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (for stream
     checkpoints and intermediate tables)."""
