@@ -6,13 +6,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetpulse.llm import bpe, packing, substring
+from fleetpulse.llm import bpe, jaccard, packing, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(_table(spark, sf_dir, "documents"),
                             public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -32,6 +36,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_bpe": op5_bpe,
     "op6_packing": op6_packing,
     "op9_substring_dedup": op9_substring_dedup,

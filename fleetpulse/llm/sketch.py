@@ -53,6 +53,14 @@ class RepeatSketch:
         return out
 
 
+    def contains(self, h: np.ndarray) -> np.ndarray:
+        out = np.ones(len(h), bool)
+        for row in range(ROWS):
+            cell = self.cells(h, row)
+            out &= (self.seen[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+        return out
+
+
 def _blocks(rows: dict[int, list[bytes]]) -> pa.RecordBatch:
     keys = sorted(rows)
     return pa.record_batch([pa.array(keys, pa.int32()), pa.array([rows[k][0] for k in keys], pa.binary()),
@@ -96,6 +104,38 @@ def build_repeat_sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.nda
     return out.data.tobytes()
 
 
+def build_counts(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> np.ndarray:
+    """A one-row count-min sketch with 16-bit counters that saturate
+    (at most 8 MB at 22 bits): counts never come out too low before 65,535."""
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << bits, np.uint32)
+        for batch in batches:
+            cell, n = np.unique((hashes(batch) >> U(64 - bits)).astype(np.int64), return_counts=True)
+            total[cell] += n.astype(np.uint32)
+        total = np.minimum(total, 65535).astype("<u2")
+        for k in range(0, len(total), BLOCK):
+            if total[k:k + BLOCK].any():
+                yield pa.record_batch([pa.array([k // BLOCK], pa.int32()),
+                                       pa.array([total[k:k + BLOCK].tobytes()], pa.binary())], names=["block", "x"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                have[k] = have.get(k, 0) + np.frombuffer(x, "<u2").astype(np.uint64)
+        for k in sorted(have):
+            x = np.minimum(have[k], U(65535)).astype("<u2")
+            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([x.tobytes()], pa.binary())],
+                                  names=["block", "x"])
+
+    out = np.zeros(1 << bits, "<u2")
+    for row in df.mapInArrow(partial, "block int, x binary").repartition("block") \
+            .mapInArrow(merge, "block int, x binary").toLocalIterator():
+        x = np.frombuffer(row["x"], "<u2")
+        out[row["block"] * BLOCK:row["block"] * BLOCK + len(x)] = x
+    return out
+
+
 def text_bytes(df: DataFrame, column: str) -> int:
     """Bytes of a text column, over all rows."""
     return df.agg(F.sum(F.octet_length(F.col(column).cast("string")).cast("long"))).first()[0] or 0
