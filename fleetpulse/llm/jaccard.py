@@ -118,7 +118,7 @@ def _light_rows(docs: DataFrame, largest: int) -> DataFrame:
                     continue
                 a, b = mix(values ^ SALTS[2]), mix(values ^ SALTS[3])
                 for i in range(n // 10 + 1):
-                    left_out = np.array(list(combinations(range(n), i)), np.int64).reshape(-1, i)
+                    left_out = np.array(list(combinations(range(n), i)), np.int64).reshape(comb(n, i), i)
                     k1.append(a.sum(dtype=U) - a[left_out].sum(axis=1, dtype=U))
                     k2.append(np.bitwise_xor.reduce(b) ^ np.bitwise_xor.reduce(b[left_out], axis=1))
                     m += [n - i] * len(left_out)
