@@ -45,7 +45,8 @@ from fleetpulse.llm.tables import components, staged
 from fleetpulse.llm.textcore import BASES, U, Words, mix, slabs, slices_hash, windows
 
 WIDTH = 3                # words in a shingle
-LEADERS = 8              # sets that a min-hash group compares with
+LEADERS = 64             # sets that a min-hash group compares with at most
+ENOUGH = 3               # links after which a set looks for no further leader
 MAX_LIGHT = 29           # largest size for which subsets may be enumerated
 COUNT_BITS = 22          # at most so many bits of counters for rarity
 # Salts of the two min-hashes and of the set key's lanes.
@@ -142,15 +143,21 @@ def light_links(docs: DataFrame, largest: int) -> DataFrame:
 
 
 class Leaders:
-    """Compares the sets of one group with its first few sets."""
+    """Compares the sets of one group with the group's leaders. A set that
+    links with none becomes a leader itself, up to ``LEADERS``."""
 
     def __init__(self):
         self.sets: list[tuple[bytes, np.ndarray]] = []
 
     def add(self, key: bytes, values: np.ndarray) -> tuple[list[bytes], bool]:
-        """Leaders that link with the set; whether it became one itself."""
-        found = [k for k, other in self.sets if linked(values, other)]
-        lead = len(self.sets) < LEADERS
+        """Up to ``ENOUGH`` leaders that link with the set; whether it now leads."""
+        found = []
+        for k, other in self.sets:
+            if linked(values, other):
+                found.append(k)
+                if len(found) == ENOUGH:
+                    break
+        lead = not found and len(self.sets) < LEADERS
         if lead:
             self.sets.append((key, values))
         return found, lead

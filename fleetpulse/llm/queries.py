@@ -6,13 +6,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetpulse.llm import bpe, jaccard, packing, substring
+from fleetpulse.llm import bpe, jaccard, langid, packing, quality, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    forest = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.scored(docs, forest, ["doc_id"]).select(
+        "row.doc_id", quality.held_out("row.doc_id", 5, 0).alias("held_out"), "score",
+        F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -30,15 +38,23 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "sequence_id", "offset")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.predicted(docs, langid.fit(docs), ["doc_id"]).select(
+        "row.doc_id", quality.held_out("row.doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(_table(spark, sf_dir, "documents"), ["doc_id"])
     return out.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_bpe": op5_bpe,
     "op6_packing": op6_packing,
+    "op7_language_id": op7_language_id,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
