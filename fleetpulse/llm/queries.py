@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetpulse.llm import bpe, jaccard, langid, packing, quality, substring
+from fleetpulse.llm import bpe, jaccard, langid, neighbours, packing, quality, substring, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", quality.held_out("row.doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(_table(spark, sf_dir, "documents"), ["doc_id"])
     return out.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -51,11 +59,22 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_topk": op2_topk,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_bpe": op5_bpe,
     "op6_packing": op6_packing,
     "op7_language_id": op7_language_id,
+    "op8_neighbours": op8_neighbours,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op2_topk": """
+        WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                     AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+                   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5""",
+}
