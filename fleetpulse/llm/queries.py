@@ -6,7 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetpulse.llm import bpe, jaccard, langid, neighbours, packing, quality, substring, topk
+from fleetpulse.llm import (bpe, jaccard, langid, licenses, neighbours, packing, quality, substring, topk,
+                            urls)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,16 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a capture, fetched on a day told by its URL, against a
+    dated list over the pages' own hosts."""
+    captures = _table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("id"), "url", urls.number(F.col("url"), "fetched", 365).alias("day"))
+    out = urls.filter_urls(captures, urls.dated_entries(captures))
+    return out.select(F.col("id").alias("page_id"), F.col("day").alias("fetch_day"), "n_active", "rule",
+                      (F.col("n_active") > 0).alias("blocked"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -57,18 +68,33 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(_table(spark, sf_dir, "documents"))
+    base = F.transform("places", lambda p: p["label"])
+    more = F.transform("found", lambda f: f["label"])
+    return out.select(
+        "row.doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(F.transform("places", lambda p: p["at"])).cast("long").alias("first_word"),
+        F.array_max(F.transform("places", lambda p: p["at"])).cast("long").alias("last_word"),
+        licenses.joined(base).alias("base_labels"), licenses.joined(F.concat(base, more)).alias("labels"),
+        F.coalesce(F.array_max(F.transform("found", lambda f: f["share"])), F.lit(0.0)).alias("score"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_topk": op2_topk,
+    "op3_url_filters": op3_url_filters,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_bpe": op5_bpe,
     "op6_packing": op6_packing,
     "op7_language_id": op7_language_id,
     "op8_neighbours": op8_neighbours,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_licenses": op10_licenses,
 }
 
 SQL = {
+    "op3_url_filters": urls.SQL,
     "op2_topk": """
         WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
