@@ -1,8 +1,75 @@
-"""The corpus pipeline (stages are added as their operators land)."""
+"""The corpus pipeline: from raw documents to training windows.
 
-STAGES = []
-ORACLE_SQL = None
+Language ID, quality classifier, n-gram Jaccard join, substring dedup,
+packing. Every stage takes (spark, docs, sf_dir) and returns a DataFrame;
+``run`` writes each result as Parquet into the shared folder and reads it
+again as the next stage's documents. All but the last stage return the
+columns of their input, whatever they are.
 
+Defined cases: see each operator. Rows with a null id pass the join stage;
+of rows that repeat an id one stays; texts emptied by the substring stage
+stay as empty documents; empty tables pass through.
+"""
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from fleetpulse.llm import jaccard, langid, packing, quality, substring
+from fleetpulse.llm.tables import staged
+
+SURE = 0.3          # least confidence of a language; chance is 0.25 with four languages
+
+
+def _names(docs: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in docs.columns]
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or whose language is anyone's guess, go."""
+    found = langid.predicted(docs, langid.fit(docs), _names(docs))
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= SURE)).select("row.*")
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    forest = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.scored(docs, forest, _names(docs)).where(F.col("score") >= quality.THRESHOLD).select("row.*")
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near copies the document with the smallest id stays."""
+    told = staged(jaccard.jaccard_components(docs).where("doc_id is not null").groupBy("doc_id")
+                  .agg(F.count("*").alias("n"), F.min("component_id").alias("low")), "told")
+    alone = docs.join(told.where("n > 1 or low <> doc_id").select("doc_id"), "doc_id", "left_anti").select(*_names(docs))
+    several = docs.join(told.where("n > 1 and low = doc_id").select("doc_id"), "doc_id", "left_semi") \
+        .groupBy("doc_id").agg(F.min(F.struct(*_names(docs))).alias("row")).select("row.*").select(*_names(docs))
+    return alone.union(several)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words in windows that occur more than once go; other texts stay as they are."""
+    out = substring.remove_repeats(docs, _names(docs))
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("long"))
+    new = {"text": text, "n_chars": F.coalesce(chars, F.col("row.n_chars")) if "n_chars" in docs.columns else None}
+    return out.select(*[(new[c] if new.get(c) is not None else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, placed in windows of 1024 ids."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [("language", language), ("quality", good), ("near_copies", one_of_each), ("repeats", without_repeats),
+          ("packing", windows)]
+ORACLE_SQL = None   # trained models and hashed windows: tested against brute force instead
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fleetpulse.llm.quality import held_out
+from fleetpulse.llm.tables import with_fields
 from fleetpulse.llm.textcore import slabs
 
 DIMS_BITS = 14
@@ -191,4 +192,4 @@ def predicted(docs: DataFrame, model: Model, keep: list[str], text_col: str = "t
             yield pa.record_batch([part.column("row"), pa.array([f[0] for f in found], pa.string()),
                                    pa.array([f[1] for f in found], pa.float64())], names=["row", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    return rows.mapInArrow(run, with_fields(rows, "row", "lang_pred string, score double"))

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from fleetpulse.llm.tables import with_fields
 from fleetpulse.llm.textcore import BASES, Words, slabs, windows
 
 TRAIN_ROWS = 20_000
@@ -203,4 +204,4 @@ def scored(docs: DataFrame, forest: Forest, keep: list[str], text_col: str = "te
             score = shared.value.predict(statistics(part.column("text")))
             yield pa.record_batch([part.column("row"), pa.array(score)], names=["row", "score"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(run, with_fields(rows, "row", "score double"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fleetpulse.llm.sketch import RepeatSketch, bits_for, build_repeat_sketch, text_bytes
-from fleetpulse.llm.tables import staged
+from fleetpulse.llm.tables import staged, with_fields
 from fleetpulse.llm.textcore import BASES, U, Words, sequence_keys, slabs, windows
 
 GRAM = 8
@@ -179,7 +179,6 @@ def remove_repeats(docs: DataFrame, keep: list[str], text_col: str = "text", k:
     ranges = staged(repeat_ranges(docs, text_col, k).groupBy("doc")
                     .agg(F.collect_set(F.struct("lo", "hi")).alias("ranges")), "repeat-ranges")
     rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), F.col(text_col).cast("string").alias("text"))
-    row_type = rows.schema["row"].dataType.simpleString()
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slabs(batches, "text"):
@@ -209,6 +208,6 @@ def remove_repeats(docs: DataFrame, keep: list[str], text_col: str = "text", k:
                                    pa.array(total, pa.int64()), pa.array(removed, pa.int64())],
                                   names=["row", "text", "kept", "n_words", "n_removed"])
 
-    return (rows.mapInArrow(keyed, f"row {row_type}, text string, doc binary")
+    return (rows.mapInArrow(keyed, with_fields(rows, "row", "text string, doc binary"))
             .join(ranges, "doc", "left").select("row", "text", "ranges")
-            .mapInArrow(cut, f"row {row_type}, text string, kept string, n_words bigint, n_removed bigint"))
+            .mapInArrow(cut, with_fields(rows, "row", "text string, kept string, n_words bigint, n_removed bigint")))

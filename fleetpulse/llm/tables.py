@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from fleetpulse.session import shared_path
 
@@ -17,6 +18,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_fields(df: DataFrame, column: str, fields: str) -> StructType:
+    """The schema of one column of ``df`` followed by ``fields`` (a DDL list)."""
+    return StructType([df.schema[column], *StructType.fromDDL(fields).fields])
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): for every node of ``links`` the smallest node that it
     reaches. Rounds of contraction: each node takes the smallest neighbour
