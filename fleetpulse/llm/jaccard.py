@@ -38,7 +38,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from fleetpulse.llm.sketch import RepeatSketch, bits_for, build_counts, build_repeat_sketch, text_bytes
 from fleetpulse.llm.tables import components, staged
@@ -274,26 +274,94 @@ def _postings(docs: DataFrame, smallest: int, counts, bits: int, mean: float) ->
             .mapInArrow(shared_lists, schema))
 
 
+def _needed(na, nb):
+    """Least overlap of linked sets of these sizes."""
+    return -(-9 * (na + nb) // 19)
+
+
+class _List:
+    """One inverted list: sets by key, with component, size and the shared
+    tokens of their prefixes in the common order."""
+
+    def __init__(self, token: int):
+        self.token, self.rows = token, []
+
+    def pairs(self, out: tuple[list, list]) -> None:
+        """Pairs of different components whose first common token this is,
+        so that no pair comes from two lists. ``meetings`` counts the common
+        tokens of both prefixes; what lies beyond the prefixes can add no
+        more than the longer remainder."""
+        rows = self.rows
+        if len({r[1] for r in rows}) < 2:
+            return
+        if len(rows) <= 16:
+            cut = [(set(r[3]), set(r[3][:r[3].index(self.token)])) for r in rows]
+            for i, (key, root, n, _) in enumerate(rows):
+                whole, before = cut[i]
+                for j in range(i):
+                    other, other_root, m, _ = rows[j]
+                    if root != other_root and 10 * min(n, m) >= 9 * max(n, m) and before.isdisjoint(cut[j][1]) \
+                            and self._enough(len(whole & cut[j][0]), n, m):
+                        out[0].append(min(key, other))
+                        out[1].append(max(key, other))
+            return
+        for lo in range(0, len(rows), 1024):            # blocks bound the memory of a long list
+            for hi in range(lo, len(rows), 1024):
+                self._block(rows[lo:lo + 1024], rows[hi:hi + 1024], lo == hi, out)
+
+    @staticmethod
+    def _enough(met, n, m):
+        beyond = np.maximum(n - n // 10 - meetings(n), m - m // 10 - meetings(m))
+        return (met >= np.minimum(meetings(n), meetings(m))) & (met + beyond >= _needed(n, m))
+
+    def _block(self, a: list, b: list, same: bool, out: tuple[list, list]) -> None:
+        tokens, column = np.unique(np.concatenate([np.asarray(r[3], np.int64) for r in (*a, *b)]), return_inverse=True)
+        whole = np.zeros((len(a) + len(b), len(tokens)), np.float32)
+        before = np.zeros_like(whole)
+        at = 0
+        for k, r in enumerate((*a, *b)):
+            cells = column[at:at + len(r[3])]
+            whole[k, cells] = 1
+            before[k, cells[:r[3].index(self.token)]] = 1
+            at += len(cells)
+        n = np.array([r[2] for r in (*a, *b)])
+        na, nb = n[:len(a), None], n[None, len(a):]
+        roots = np.unique(np.array([r[1] for r in (*a, *b)], object), return_inverse=True)[1]
+        ok = (roots[:len(a), None] != roots[None, len(a):]) & (10 * np.minimum(na, nb) >= 9 * np.maximum(na, nb))
+        ok &= before[:len(a)] @ before[len(a):].T == 0
+        ok &= self._enough((whole[:len(a)] @ whole[len(a):].T).astype(np.int64), na, nb)
+        if same:
+            ok &= np.tri(len(a), k=-1, dtype=bool)
+        for i, j in zip(*np.nonzero(ok)):
+            out[0].append(min(a[i][0], b[j][0]))
+            out[1].append(max(a[i][0], b[j][0]))
+
+
 def _candidates(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): sets of different components that meet often enough and early
-    enough in the lists to be linked."""
-    rooted = staged(postings.join(labels.select(F.col("node").alias("s"), "root"), "s", "left")
-                    .withColumn("root", F.coalesce("root", "s")), "postings")
-    mixed = (rooted.groupBy("token", "root").agg(F.min("n").alias("low"), F.max("n").alias("high")))
-    left = mixed.select("token", F.col("root").alias("ra"), F.col("low").alias("la"), F.col("high").alias("ha"))
-    right = mixed.select("token", F.col("root").alias("rb"), F.col("low").alias("lb"), F.col("high").alias("hb"))
-    roots = left.join(right, "token").where("ra < rb AND 10 * ha >= 9 * lb AND 10 * hb >= 9 * la") \
-        .select("token", "ra", "rb")
-    a = rooted.select("token", F.col("root").alias("ra"), F.col("s").alias("a"), F.col("n").alias("na"),
-                      F.col("p").alias("pa"))
-    b = rooted.select("token", F.col("root").alias("rb"), F.col("s").alias("b"), F.col("n").alias("nb"),
-                      F.col("p").alias("pb"))
-    met = (roots.join(a, ["token", "ra"]).join(b, ["token", "rb"])
-           .where("10 * least(na, nb) >= 9 * greatest(na, nb)")
-           .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"), F.max("pa").alias("pa"), F.max("pb").alias("pb")))
-    overlap = F.col("met") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    least: Column = F.lit(1) + F.least(F.lit(4), F.floor(F.least("na", "nb") / 50))
-    return met.where((F.col("met") >= least) & (19 * overlap >= 9 * (F.col("na") + F.col("nb")))).select("a", "b")
+    """(a, b): sets of different components that meet often enough in the
+    lists to be linked, each pair once."""
+    kept = staged(postings, "postings")
+    prefix = kept.groupBy("s").agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "token"))),
+                                               lambda x: x["token"]).alias("prefix"))
+    sets = staged(prefix.join(labels.select(F.col("node").alias("s"), "root"), "s", "left")
+                  .select("s", F.coalesce("root", "s").alias("root"), "prefix"), "prefixes")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, out = _List(0), ([], [])
+        for batch in batches:
+            for token, key, root, n, prefix in zip(*(batch.column(c).to_pylist()
+                                                     for c in ("token", "s", "root", "n", "prefix"))):
+                if token != now.token or not now.rows:
+                    now.pairs(out)
+                    now = _List(token)
+                now.rows.append((key, root, n, prefix))
+            yield pa.record_batch([pa.array(x, pa.binary()) for x in out], names=["a", "b"])
+            out = ([], [])
+        now.pairs(out)
+        yield pa.record_batch([pa.array(x, pa.binary()) for x in out], names=["a", "b"])
+
+    return (kept.select("token", "s", "n").join(sets, "s").repartition("token").sortWithinPartitions("token")
+            .mapInArrow(scan, "a binary, b binary"))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
