@@ -33,6 +33,14 @@ def max_rule_holds(bound: int, p: float = P95) -> bool:
     return all(p * (n + 1) >= n for n in range(1, int(bound) + 1))
 
 
+def max_rule_limit(p: float = P95) -> int:
+    """The largest size up to which every group returns its maximum."""
+    n = 0
+    while n < 1000 and p * (n + 2) >= n + 1:
+        n += 1
+    return n
+
+
 def legacy_position(n: Column, p: float = P95) -> Column:
     """pos = p * (n + 1), in double arithmetic."""
     return F.lit(float(p)) * (n + F.lit(1)).cast("double")

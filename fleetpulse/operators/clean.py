@@ -40,7 +40,9 @@ def to_metric_rows(results: DataFrame, created_at=None, keep=()) -> DataFrame:
 
 
 def reject_reason(df: DataFrame):
-    """The first failing rule's reason, or null when the metric is valid."""
+    """The first failing rule's reason, or null when the metric is valid. A
+    device of blanks and control characters up to U+0020 is blank; NaN is
+    neither under 0 nor over 100 and passes, as in the reference."""
     cols = [F.col(c) for c in METRIC_FIELDS if c in df.columns]
     all_null = F.lit(True)
     for c in cols:
@@ -50,10 +52,10 @@ def reject_reason(df: DataFrame):
     p95 = F.col("percentile_95")
     lu = F.coalesce(F.col("last_updated"), F.lit(0))
     return (F.when(all_null, F.lit(REASON_NULL))
-            .when(dev.isNull() | (F.trim(dev) == ""), F.lit(REASON_DEVICE))
+            .when(dev.isNull() | dev.rlike(r"^[\x00-\x20]*$"), F.lit(REASON_DEVICE))
             .when((ws <= 0) | (we <= 0), F.lit(REASON_TIMES))
             .when(ws >= we, F.lit(REASON_RANGE))
-            .when(p95.isNull() | (p95 < 0) | (p95 > 100), F.lit(REASON_P95))
+            .when(p95.isNull() | (~F.isnan(p95) & ((p95 < 0) | (p95 > 100))), F.lit(REASON_P95))
             .when(lu <= 0, F.lit(REASON_UPDATED)))
 
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .clean import valid_events
 from .windows import parse_duration_ms
 
 # The reference job's window and watermark settings.
@@ -85,7 +86,7 @@ def late_events(df: DataFrame, arrival: str, tie: str, time: str = "timestamp",
     reference's message ``Late event: <device> at <time>``."""
     size_ms, slide_ms = parse_duration_ms(size), parse_duration_ms(slide)
     ooo_ms, late_ms = parse_duration_ms(out_of_orderness), parse_duration_ms(lateness)
-    m = max_seen_before(df, time, arrival, tie, chunk)
+    m = max_seen_before(valid_events(df) if "device_id" in df.columns else df, time, arrival, tie, chunk)
     late = m.filter(close_time(F.col(time), size_ms, slide_ms, ooo_ms, late_ms)
                     <= F.col("max_before"))
     return late.withColumn("message", F.concat(F.lit("Late event: "), F.col("device_id"),

@@ -29,7 +29,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.percentile import (P95, legacy_combine, legacy_ranks, max_rule_holds,
+from ..functions.percentile import (P95, legacy_combine, legacy_ranks, max_rule_limit,
                                    percentile_of_weighted)
 
 # Coarse-bucket resolution (buckets per binary order of
@@ -138,7 +138,7 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str,
 
 def histogram_windows(hist: DataFrame, keys: Sequence[str], value: str = "cpu_usage",
                       count_col: str = "c", first: str = "mn", last: str = "mx",
-                      p: float = P95, method: str = "auto", list_max: int = 200_000,
+                      p: float = P95, method: str = "auto",
                       out: str = "percentile_95") -> DataFrame:
     """Per group of a histogram with time bounds (keys, value, c, mn, mx):
     event_count, window_start, window_end, n (usable) and the percentile
@@ -147,17 +147,20 @@ def histogram_windows(hist: DataFrame, keys: Sequence[str], value: str = "cpu_us
     "list": one aggregate holding each group's sorted (value, count) list;
     "buckets": the two-level selection; "max": the largest usable value,
     valid only for groups small enough that the rule returns the maximum;
-    "auto": the largest group's size is proven first (one small aggregate,
-    only that number reaches the driver), then "max" if the rule allows,
-    "list" up to ``list_max`` rows, else "buckets".
+    "auto": each group by its own size, its maximum up to what the rule
+    allows and the two-level selection beyond, in one plan.
     """
     keys = list(keys)
     v = F.col(value)
     ok = usable(v)
     if method == "auto":
-        top = (hist.groupBy(*keys).agg(F.sum(count_col).alias("_n"))
-               .agg(F.max("_n")).first()[0]) or 0
-        method = "max" if max_rule_holds(top, p) else "list" if top <= list_max else "buckets"
+        every = histogram_windows(hist, keys, value, count_col, first, last, p, "max", out)
+        large = every.filter(F.col("n") > F.lit(max_rule_limit(p))).select(*keys)
+        pct = percentile_by_buckets(
+            bucketed_histogram(hist.join(large, on=keys, how="left_semi"), keys, value, count_col),
+            keys, value, p, "_p").select(*keys, "_p")
+        return (every.join(pct, on=keys, how="left").withColumn(out, F.coalesce("_p", out))
+                .select(*every.columns))
     if method == "max":
         g = hist.groupBy(*keys).agg(
             F.sum(count_col).alias("event_count"), F.min(first).alias("window_start"),

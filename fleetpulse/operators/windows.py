@@ -31,12 +31,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.percentile import P95, max_rule_holds, p95_of_values
+from ..functions.percentile import P95, max_rule_limit, p95_of_values
 from .quantile import bucketed_histogram, histogram_windows, percentile_by_buckets, usable
 
-# A window's values are gathered in one list only below this many rows
-# (8 bytes a value: 1.6 MB), checked before the plan is chosen.
-ARRAY_MAX = 200_000
 
 WINDOW_COLUMNS = ["win_start", "win_end", "event_count", "window_start",
                   "window_end", "percentile_95"]
@@ -110,29 +107,9 @@ def _pane_to_windows(ph: DataFrame, size_ms: int, slide_ms: int, pane_ms: int) -
     return ph.withColumn("win_start", F.explode(F.sequence(first, last, F.lit(slide_ms))))
 
 
-def largest_window_bound(df: DataFrame, keys: Sequence[str], size_ms: int, slide_ms: int,
-                         time: str = "timestamp") -> int:
-    """The number of rows in the largest (key, window).
-
-    Counted per (key, pane) first (map-side combined: one row per key and
-    pane crosses the shuffle), the pane counts fan out to their windows and
-    are summed; only the maximum reaches the driver."""
-    pane_ms = math.gcd(size_ms, slide_ms)
-    per_pane = (df.groupBy(*keys, _floor_to(F.col(time), pane_ms).alias("_pane"))
-                .agg(F.count(F.lit(1)).alias("c")))
-    if pane_ms == size_ms:
-        per_window = per_pane
-    else:
-        per_window = (_pane_to_windows(per_pane, size_ms, slide_ms, pane_ms)
-                      .groupBy(*keys, "win_start").agg(F.sum("c").alias("c")))
-    top = per_window.agg(F.max("c")).first()[0]
-    return int(top or 0)
-
-
 def window_p95(events: DataFrame, size, slide=None, keys: Sequence[str] = ("device_id",),
                value: str = "cpu_usage", time: str = "timestamp", p: float = P95,
-               method: str = "auto", drop_null_keys: bool = True,
-               array_max: int = ARRAY_MAX) -> DataFrame:
+               method: str = "auto", drop_null_keys: bool = True) -> DataFrame:
     """Per key and window: win_start, win_end (true bounds, ms), event_count,
     window_start / window_end (observed min / max event time, ms) and
     percentile_95.
@@ -140,11 +117,13 @@ def window_p95(events: DataFrame, size, slide=None, keys: Sequence[str] = ("devi
     ``events`` needs the key columns, ``value`` (double) and ``time`` (epoch
     ms). Rows with a null key are dropped first (O-07).
 
-    ``method``: "hist" (skew-safe histogram selection), "array" (one list
-    per window), "max" (only valid when no window holds more rows than the
-    percentile rule returns the maximum for: 19 at p = 0.95) or "auto":
-    ``largest_window_bound`` proves the largest window size, then "max" if
-    the rule allows it, "array" up to ``array_max`` rows, else "hist".
+    ``method``: "hist" (skew-safe histogram selection for every window),
+    "array" (one list per window), "max" (only valid when no window holds
+    more rows than the percentile rule returns the maximum for: 19 at
+    p = 0.95) or "auto": one plan in which each window takes the way that
+    its own size calls for, its maximum up to that many rows and the
+    histogram selection beyond. Planning runs no job, and one large window
+    changes nothing for the others. -0.0 counts as 0.0.
     """
     size_ms = parse_duration_ms(size)
     slide_ms = size_ms if slide is None else parse_duration_ms(slide)
@@ -155,26 +134,38 @@ def window_p95(events: DataFrame, size, slide=None, keys: Sequence[str] = ("devi
     if drop_null_keys:
         for k in keys:
             df = df.filter(F.col(k).isNotNull())
-    if method == "auto":
-        bound = largest_window_bound(df, keys, size_ms, slide_ms, time)
-        if max_rule_holds(bound, p):
-            method = "max"
-        else:
-            method = "array" if bound <= array_max else "hist"
+    df = df.withColumn(value, F.col(value) + F.lit(0.0))
     if method == "max":
         return _window_p95_max(df, size_ms, slide_ms, keys, value, time)
     if method == "array":
         return _window_p95_array(df, size_ms, slide_ms, keys, value, time, p)
+    pane_ms = math.gcd(size_ms, slide_ms)
+    if method == "auto":
+        return _window_p95_by_size(df, keys, value, time, size_ms, slide_ms, pane_ms, p)
     if method != "hist":
         raise ValueError(f"unknown method {method!r}")
-
-    pane_ms = math.gcd(size_ms, slide_ms)
     # Value histogram per (key, pane, value): the one shuffle of raw rows.
     ph = _pane_histogram(df, keys, value, time, pane_ms)
     stats = window_stats(df, keys, size_ms, slide_ms, time)
     return _from_pane_histogram(ph, stats, keys, value, size_ms, slide_ms, pane_ms, p)
 
 
+def _window_p95_by_size(df, keys, value, time, size_ms, slide_ms, pane_ms, p) -> DataFrame:
+    """Windows of few rows take their maximum; the rest select ranks from
+    the pane histogram, which fans out to those windows only."""
+    gkeys = list(keys) + ["win_start"]
+    every = _window_p95_max(df, size_ms, slide_ms, keys, value, time)
+    large = every.filter(F.col("event_count") > F.lit(max_rule_limit(p))).select(*gkeys)
+    ph = _pane_histogram(df, keys, value, time, pane_ms)
+    rows = ph.withColumnRenamed("_pane", "win_start") if pane_ms == size_ms \
+        else _pane_to_windows(ph, size_ms, slide_ms, pane_ms)
+    rows = rows.join(large, on=gkeys, how="left_semi")
+    pct = percentile_by_buckets(bucketed_histogram(rows, gkeys, value, "c"), gkeys, value, p, "_p95")
+    return (every.join(pct.select(*gkeys, "_p95"), on=gkeys, how="left")
+            .withColumn("percentile_95", F.coalesce("_p95", "percentile_95")).drop("_p95")
+            .select(*every.columns))
+
+
 def _from_pane_histogram(ph: DataFrame, stats: DataFrame, keys, value, size_ms, slide_ms,
                          pane_ms, p) -> DataFrame:
     gkeys = list(keys) + ["win_start"]

@@ -19,7 +19,7 @@ from ..operators import bands, late
 from ..operators.clean import to_metric_rows, validate_metrics
 from ..operators.results import compute_results, global_p95
 from ..operators.windows import pane_partials, windows_from_partials
-from ..functions.timeutil import ingest_lag
+from ..functions.timeutil import as_instants, ingest_lag
 from ..sources import codec
 from ..sources.events import load_events
 from ..sources.store import apply_append, duplicate_ids
@@ -134,6 +134,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_round_trip": q_json_round_trip_clean,
     "ingest_lag": lambda s, d: ingest_lag(_events(s, d, keep=("event_id",)), FIXED_NOW_MS)
     .select("event_id", "device_id", "timestamp", "lag_ms"),
+    "result_json_round_trip": lambda s, d: codec.decode_results(codec.encode_results(
+        compute_results(_events(s, d), "1 day", "4 hours"))),
+    "instant_views": lambda s, d: as_instants(_table(s, d).select(
+        "event_id", "window_start", "window_end", "last_updated")).select(
+        "event_id", *[F.unix_micros(f"{c}_ts").alias(f"{c}_us")
+                      for c in ("window_start", "window_end", "last_updated")]),
     "metric_rows": lambda s, d: _as_text_date(_table(s, d)),
     "metrics_rejected_by_reason": lambda s, d: validate_metrics(_table(s, d)).groupBy(
         F.coalesce("reject_reason", F.lit("valid")).alias("reason")).agg(
@@ -271,6 +277,11 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN event_type = 'error' THEN 0.0 ELSE v END AS cpu_usage FROM ev""",
         "ingest_lag": f"""WITH ev AS ({_ev_sql()})
             SELECT event_id, device_id, t AS timestamp, {FIXED_NOW_MS} - t AS lag_ms FROM ev""",
+        "result_json_round_trip": f"""WITH {_table_sql()}
+            SELECT event_id AS id, device_id, window_start, window_end, percentile_95, last_updated FROM m""",
+        "instant_views": f"""WITH {_table_sql()}
+            SELECT event_id, window_start * 1000 AS window_start_us, window_end * 1000 AS window_end_us,
+                   last_updated * 1000 AS last_updated_us FROM m""",
         "metric_rows": f"WITH {_table_sql()} SELECT {_M_COLS} FROM m",
         "metrics_rejected_by_reason": f"""WITH {_table_sql()}
             SELECT CASE WHEN device_id IS NULL OR trim(device_id) = '' THEN 'invalid_device_id'

@@ -61,12 +61,18 @@ def encode_results(df: DataFrame) -> DataFrame:
 
 
 def decode_results(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """O-03: result JSON -> result rows (for the writer's stream)."""
+    """O-03: result JSON -> result rows (for the writer's stream). Missing
+    numbers read 0, as the consumer's primitive fields do; a record that is
+    not JSON at all reads null throughout (rejected as a null metric)."""
     from ..schema import RESULT_JSON_SCHEMA
 
     r = df.select(F.from_json(F.col(value_col).cast("string"), RESULT_JSON_SCHEMA).alias("_r"))
+    empty = F.col("_r.id").isNull() & F.col("_r.deviceId").isNull()
+    for c in ("windowStart", "windowEnd", "percentile95", "lastUpdated"):
+        empty = empty & F.col(f"_r.{c}").isNull()
+    number = lambda c, zero: F.when(~empty, F.coalesce(F.col(f"_r.{c}"), F.lit(zero)))
     return r.select(F.col("_r.id").alias("id"), F.col("_r.deviceId").alias("device_id"),
-                    F.col("_r.windowStart").alias("window_start"),
-                    F.col("_r.windowEnd").alias("window_end"),
-                    F.col("_r.percentile95").alias("percentile_95"),
-                    F.col("_r.lastUpdated").alias("last_updated"))
+                    number("windowStart", 0).cast("long").alias("window_start"),
+                    number("windowEnd", 0).cast("long").alias("window_end"),
+                    number("percentile95", 0.0).alias("percentile_95"),
+                    number("lastUpdated", 0).cast("long").alias("last_updated"))

@@ -16,7 +16,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
+from ..operators.clean import valid_events
 from ..operators.late import (ALLOWED_LATENESS_MS, DEFAULT_SIZE_MS, DEFAULT_SLIDE_MS,
                               OUT_OF_ORDERNESS_MS, close_time)
 from ..operators.windows import parse_duration_ms
@@ -33,12 +35,14 @@ def start_quarantine_stream(events: DataFrame, quarantine_path: str, state_path:
     spark = events.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        prev = None
         try:
-            seen = spark.read.parquet(state_path).filter(F.col("batch_id") < batch_id)
-            prev = seen.agg(F.max("max_time")).first()[0]
-        except Exception:          # no batch recorded yet
-            prev = None
-        batch = batch.persist()
+            seen = spark.read.schema("max_time long, batch_id long").parquet(state_path)
+            prev = seen.filter(F.col("batch_id") < batch_id).agg(F.max("max_time")).first()[0]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":      # no batch recorded yet
+                raise
+        batch = valid_events(batch).persist()
         try:
             if prev is not None:
                 late = batch.filter(close_time(F.col("timestamp"), size_ms, slide_ms, ooo_ms,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..session import default_state_partitions, shared_path, start_with_partitions
 from ..sources.events import table_path
@@ -17,16 +18,25 @@ from ..sources.store import TABLE_COLUMNS, MetricsTable
 from .streams import WATERMARK_DELAY, read_table_stream, start_metrics_stream
 
 
+def _until_done(query) -> bool:
+    query.awaitTermination()
+    return True
+
+
 def stream_metrics_once(spark: SparkSession, sf_dir: str, size, slide,
                         watermark: str = WATERMARK_DELAY, device: str = "user_id",
-                        timeout_s: int = 900) -> DataFrame:
-    schema = spark.read.parquet(table_path(sf_dir, "events")).schema
-    events = read_table_stream(spark, sf_dir, schema, device, glob="events.parquet")
-    table = MetricsTable(spark, shared_path(spark, "stream-metrics"))
+                        timeout_s: int | None = None) -> DataFrame:
+    path = table_path(sf_dir, "events")
+    batch = spark.read.parquet(path)
+    # A table may be one file (picked by name in its folder) or a folder of files.
+    single = all(f.endswith("/events.parquet") for f in batch.inputFiles())
+    events = read_table_stream(spark, sf_dir if single else path, batch.schema, device,
+                               glob="events.parquet" if single else None)
+    table = MetricsTable(spark, shared_path(spark, "stream-metrics"), id_scope="date")
     q = start_metrics_stream(events, table, shared_path(spark, "stream-ckpt"), size, slide,
                              watermark, available_now=True,
                              state_partitions=default_state_partitions(spark))
-    if not q.awaitTermination(timeout_s):
+    if not (q.awaitTermination(timeout_s) if timeout_s else _until_done(q)):
         q.stop()
         raise TimeoutError("stream did not finish")
     if q.exception() is not None:
@@ -50,7 +60,7 @@ def write_arrival_chunks(spark: SparkSession, events: DataFrame, arrival: str, c
 def refire_replay(spark: SparkSession, sf_dir: str, size="30 seconds", slide="5 seconds",
                   out_of_orderness="35 seconds", lateness="35 seconds",
                   chunks: int = 8, prime: int = 7919, spread: int = 50,
-                  timeout_s: int = 1800) -> DataFrame:
+                  timeout_s: int | None = None) -> DataFrame:
     """O-30 over the driver's events delivered in arrival order
     (arrival = event_id + (event_id * prime) % spread), ``chunks`` micro-
     batches: every revision the re-firing operator emits."""
@@ -73,7 +83,7 @@ def refire_replay(spark: SparkSession, sf_dir: str, size="30 seconds", slide="5
         .option("checkpointLocation", shared_path(spark, "revisions-ckpt"))
         .outputMode("append").trigger(availableNow=True),
         spark, default_state_partitions(spark))
-    if not q.awaitTermination(timeout_s):
+    if not (q.awaitTermination(timeout_s) if timeout_s else _until_done(q)):
         q.stop()
         raise TimeoutError("stream did not finish")
     if q.exception() is not None:
@@ -82,7 +92,7 @@ def refire_replay(spark: SparkSession, sf_dir: str, size="30 seconds", slide="5
 
 
 def quarantine_replay(spark: SparkSession, sf_dir: str, chunks: int = 8, prime: int = 7919,
-                      spread: int = 50, timeout_s: int = 1800) -> DataFrame:
+                      spread: int = 50, timeout_s: int | None = None) -> DataFrame:
     """O-31 stream over the driver's events in arrival order, ``chunks``
     micro-batches: the quarantined rows."""
     from ..sources.events import bind_events
@@ -100,7 +110,7 @@ def quarantine_replay(spark: SparkSession, sf_dir: str, chunks: int = 8, prime:
     q = start_quarantine_stream(events, out, shared_path(spark, "quarantine-state"),
                                 shared_path(spark, "quarantine-ckpt"),
                                 state_partitions=default_state_partitions(spark))
-    if not q.awaitTermination(timeout_s):
+    if not (q.awaitTermination(timeout_s) if timeout_s else _until_done(q)):
         q.stop()
         raise TimeoutError("stream did not finish")
     if q.exception() is not None:
@@ -108,6 +118,8 @@ def quarantine_replay(spark: SparkSession, sf_dir: str, chunks: int = 8, prime:
     try:
         return spark.read.parquet(out).select("event_id", "device_id", "timestamp", "arrival",
                                               "message", "batch_id")
-    except Exception:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":          # nothing was late
+            raise
         return spark.createDataFrame([], "event_id long, device_id string, timestamp long, "
                                          "arrival long, message string, batch_id long")

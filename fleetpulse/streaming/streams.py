@@ -39,15 +39,16 @@ WINDOW_SIZE = "30 seconds"
 WINDOW_SLIDE = "5 seconds"
 EVENTS_TOPIC = "events"
 RESULTS_TOPIC = "processed-events"
-RESULTS_BATCH_MAX = 500
 
 
 def kafka_source_options(bootstrap: str, topic: str = EVENTS_TOPIC,
-                         max_offsets: int | None = None) -> dict[str, str]:
+                         max_offsets: int | None = None,
+                         fail_on_data_loss: bool = True) -> dict[str, str]:
     """O-01 / O-03 options: value-only records, start at the earliest
-    offset; ``max_offsets`` bounds a micro-batch (the writer's 500)."""
+    offset; ``max_offsets`` bounds a micro-batch (the writer's 500). A query
+    fails on expired offsets unless ``fail_on_data_loss`` is False."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": "earliest", "failOnDataLoss": "false"}
+            "startingOffsets": "earliest", "failOnDataLoss": str(fail_on_data_loss).lower()}
     if max_offsets:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets))
     return opts
@@ -60,14 +61,14 @@ def kafka_sink_options(bootstrap: str, topic: str = RESULTS_TOPIC) -> dict[str,
 
 
 def read_event_stream(spark: SparkSession, fmt: str = "json", path: str | None = None,
-                      options: dict | None = None, max_files_per_trigger: int | None = None
-                      ) -> DataFrame:
+                      options: dict | None = None, max_files_per_trigger: int | None = None,
+                      malformed: bool = False) -> DataFrame:
     """O-01 + O-05 + O-08: a stream of (device_id, timestamp, cpu_usage, ts).
 
     fmt "kafka": JSON values from a topic (needs the Kafka connector on
-    the classpath); "json": JSON-lines files in ``path`` with the wire
-    names; "text": raw JSON lines, decoded permissively (bad lines dropped
-    here, see ``quarantine_stream``).
+    the classpath); "json" or "text": JSON-lines files in ``path`` with the
+    wire names. Malformed records are not events; ``malformed=True`` gives
+    those instead (column ``record``), for a query that keeps them.
     """
     reader = spark.readStream
     if max_files_per_trigger:
@@ -75,18 +76,12 @@ def read_event_stream(spark: SparkSession, fmt: str = "json", path: str | None =
     if fmt == "kafka":
         raw = reader.format("kafka").options(**(options or {})).load()
         dec = decode_events(raw.select(F.col("value").cast("string").alias("value")))
-    elif fmt == "text":
+    elif fmt in ("json", "text"):
         dec = decode_events(reader.text(path))
-    elif fmt == "json":
-        from ..schema import EVENT_JSON_SCHEMA
-
-        j = reader.schema(EVENT_JSON_SCHEMA).json(path)
-        dec = j.select(F.col("deviceId").alias("device_id"),
-                       F.coalesce("timestamp", F.lit(0)).alias("timestamp"),
-                       F.coalesce("cpuUsage", F.lit(0.0)).alias("cpu_usage"),
-                       F.lit(None).cast("string").alias("_corrupt"))
     else:
         raise ValueError(f"unknown stream format {fmt!r}")
+    if malformed:
+        return dec.filter(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("record"))
     good = dec.filter(F.col("_corrupt").isNull()).drop("_corrupt")
     return good.withColumn("ts", F.timestamp_millis("timestamp"))
 
@@ -140,7 +135,11 @@ def start_metrics_stream(events: DataFrame, table: MetricsTable, checkpoint: str
                          reject_table: MetricsTable | None = None,
                          state_partitions: int | None = None):
     """O-32: windows -> results -> idempotent append, one transaction per
-    micro-batch. A replayed batch (after a failure, before the checkpoint
+    micro-batch. Each window is written once, when the watermark passes its
+    end; rows later than that are for a quarantine stream started with
+    ``lateness=0``, so that every row is in one of the two. Windows that
+    fire again for late rows are ``start_revisions_stream``'s (with a
+    quarantine of the default lateness). A replayed batch (after a failure, before the checkpoint
     commit) appends nothing new, as the ids are deterministic.
 
     ``validate`` "none" follows the reference's bulk path; "strict" applies
@@ -164,8 +163,7 @@ def start_metrics_stream(events: DataFrame, table: MetricsTable, checkpoint: str
             if validate == "strict":
                 good, rejected = split_valid(rows)
                 if reject_table is not None:
-                    (rejected.write.mode("append").partitionBy("window_date")
-                     .parquet(reject_table.path))
+                    write_rejects(rejected, reject_table.path, batch_id)
                 table.append(good)
             else:
                 table.append(rows)
@@ -182,6 +180,35 @@ def start_metrics_stream(events: DataFrame, table: MetricsTable, checkpoint: str
     return start_with_partitions(w, events.sparkSession, state_partitions)
 
 
+def write_rejects(rejected: DataFrame, path: str, batch_id: int) -> None:
+    """Rejected rows with their reason; a replayed batch replaces its own."""
+    (rejected.withColumn("batch_id", F.lit(batch_id).cast("long"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(path))
+
+
+def start_revisions_stream(events: DataFrame, table: MetricsTable, checkpoint: str,
+                           size=WINDOW_SIZE, slide=WINDOW_SLIDE,
+                           out_of_orderness: str = WATERMARK_DELAY,
+                           lateness: str = WATERMARK_DELAY, available_now: bool = True,
+                           state_partitions: int | None = None):
+    """O-30 + O-32: every revision of the re-firing windows, appended to the
+    table under its own id (a window fires when the watermark passes its end
+    and again for each batch with late rows, until it closes for good)."""
+    from .refire import refiring_windows
+
+    revisions = refiring_windows(events, size, slide, out_of_orderness, lateness)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        table.append(to_metric_rows(batch))
+
+    w = (revisions.writeStream.outputMode("append").foreachBatch(write_batch)
+         .option("checkpointLocation", checkpoint))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return start_with_partitions(w, events.sparkSession, state_partitions)
+
+
 def start_kafka_results_stream(events: DataFrame, bootstrap: str, checkpoint: str,
                                size=WINDOW_SIZE, slide=WINDOW_SLIDE,
                                watermark: str = WATERMARK_DELAY):
@@ -189,8 +216,12 @@ def start_kafka_results_stream(events: DataFrame, bootstrap: str, checkpoint: st
     hist = window_histogram_stream(events, size, slide, watermark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (encode_results(results_from_histogram(batch)).write.format("kafka")
-         .options(**kafka_sink_options(bootstrap)).save())
+        batch = batch.persist()          # the percentile plan reads it more than once
+        try:
+            (encode_results(results_from_histogram(batch)).write.format("kafka")
+             .options(**kafka_sink_options(bootstrap)).save())
+        finally:
+            batch.unpersist()
 
     return (hist.writeStream.outputMode("append").foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint).start())
@@ -229,7 +260,7 @@ def start_writer_stream(results: DataFrame, table: MetricsTable, checkpoint: str
             if validate == "strict":
                 good, rejected = split_valid(rows)
                 if reject_path:
-                    rejected.write.mode("append").parquet(reject_path)
+                    write_rejects(rejected, reject_path, batch_id)
                 table.append(good)
             else:
                 table.append(rows)

@@ -1,0 +1,157 @@
+"""Rows are accounted for: late rows, null keys, broken records, folders,
+percentile plans."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import T0, events_df
+from fleetpulse.operators.clean import validate_metrics
+from fleetpulse.operators.windows import window_p95
+from fleetpulse.sources import codec
+from fleetpulse.sources.store import TABLE_COLUMNS, MetricsTable
+from fleetpulse.streaming.late import start_quarantine_stream
+from fleetpulse.streaming.streams import (kafka_source_options, read_event_stream, start_metrics_stream,
+                                          start_revisions_stream, write_rejects)
+
+LATE = [0, 4_000, 70_000, 71_000, 1_000, 200_000, 300_000]
+
+
+def _files(spark, folder, times):
+    """One event per file, in this order."""
+    for k, ms in enumerate(times):
+        (folder / f"{k:03d}.json").write_text(
+            '{"deviceId": "d", "timestamp": %d, "cpuUsage": %d}\n' % (T0 + ms, k + 1))
+        import os
+        os.utime(folder / f"{k:03d}.json", (1_700_000_000 + k, 1_700_000_000 + k))
+
+
+def _done(query):
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def test_rows_that_the_append_stream_drops_are_quarantined(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    _files(spark, src, LATE)
+    table = MetricsTable(spark, str(tmp_path / "t"), id_scope="date")
+    stream = lambda: read_event_stream(spark, "json", str(src), max_files_per_trigger=1)
+    _done(start_metrics_stream(stream(), table, str(tmp_path / "c1")))
+    _done(start_quarantine_stream(stream(), str(tmp_path / "q"), str(tmp_path / "s"), str(tmp_path / "c2"),
+                                  lateness=0))
+    late = [r.timestamp for r in spark.read.parquet(str(tmp_path / "q")).collect()]
+    assert late == [T0 + 1_000]
+    bounds = {x for r in table.scan().collect() for x in (r.window_start, r.window_end)}
+    assert T0 in bounds and T0 + 4_000 in bounds and T0 + 1_000 not in bounds
+
+
+def test_revisions_reach_the_table(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    _files(spark, src, LATE)
+    table = MetricsTable(spark, str(tmp_path / "t"))
+    _done(start_revisions_stream(read_event_stream(spark, "json", str(src), max_files_per_trigger=1), table,
+                                 str(tmp_path / "c")))
+    assert table.duplicate_ids().count() == 0
+    # the window from T0 on fires with 0 s and 4 s, and again with the late row
+    tops = {r.percentile_95 for r in table.scan().filter(F.col("window_start") == T0).collect()}
+    assert {2.0, 5.0} <= tops
+
+
+def _row(spark, event_id, start):
+    day = None if start is None else F.to_date(F.timestamp_millis(F.lit(start)))
+    return spark.createDataFrame([(event_id, "d", start, 2, 1.0, 3)],
+                                 "event_id string, device_id string, window_start long, window_end long, "
+                                 "percentile_95 double, last_updated long") \
+        .withColumn("created_at", F.lit(None).cast("timestamp")) \
+        .withColumn("window_date", F.lit(None).cast("date") if day is None else day).select(*TABLE_COLUMNS)
+
+
+@pytest.mark.parametrize("scope", ["table", "date"])
+def test_append_null_dates_and_ids(spark, tmp_path, scope):
+    table = MetricsTable(spark, str(tmp_path / "t"), id_scope=scope)
+    table.append(_row(spark, "a", T0))
+    for _ in range(2):                          # a replay stores nothing new
+        table.append(_row(spark, "b", None))
+        table.append(_row(spark, "b", None).union(_row(spark, "c", T0)))
+    assert sorted(r.event_id for r in table.scan().collect()) == ["a", "b", "c"]
+    with pytest.raises(ValueError):
+        table.append(_row(spark, None, T0))
+
+
+def test_one_id_on_two_dates_is_stored_once(spark, tmp_path):
+    table = MetricsTable(spark, str(tmp_path / "t"))
+    table.append(_row(spark, "a", T0))
+    table.append(_row(spark, "a", T0 + 3 * 86_400_000))
+    assert table.scan().count() == 1 and table.duplicate_ids().count() == 0
+
+
+def test_read_errors_are_not_an_empty_table(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "x.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        MetricsTable(spark, str(tmp_path / "t")).scan().count()
+
+
+def test_broken_lines_are_kept_apart(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.json").write_text('{"deviceId": "d", "timestamp": 5, "cpuUsage": 1}\n{broken\n')
+    for malformed, want in ((False, ["d"]), (True, ["{broken"])):
+        out = str(tmp_path / f"out{malformed}")
+        _done(read_event_stream(spark, "json", str(src), malformed=malformed).writeStream.format("parquet")
+              .option("path", out).option("checkpointLocation", out + "c").trigger(availableNow=True).start())
+        assert [r[0] for r in spark.read.parquet(out).select(F.col("record" if malformed else "device_id")).collect()] == want
+
+
+def test_rejects_of_a_replayed_batch_replace_their_own(spark, tmp_path):
+    bad = spark.createDataFrame([("d", "r")], "device_id string, reject_reason string")
+    for batch in (1, 1, 2):
+        write_rejects(bad, str(tmp_path / "r"), batch)
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 2
+
+
+def test_validation_parity(spark):
+    rows = [("a", "\t", 1, 2, 5.0, 3), ("b", "d", 1, 2, float("nan"), 3), ("c", "d", 1, 2, 100.5, 3)]
+    df = spark.createDataFrame(rows, "event_id string, device_id string, window_start long, window_end long, "
+                                     "percentile_95 double, last_updated long")
+    assert {r.event_id: r.reject_reason for r in validate_metrics(df).collect()} == {
+        "a": "invalid_device_id", "b": None, "c": "invalid_percentile"}
+
+
+def test_result_decoder_defaults(spark):
+    df = spark.createDataFrame([('{"id": "x", "deviceId": "d"}',), ("{",)], "value string")
+    got = codec.decode_results(df).collect()
+    assert tuple(got[0]) == ("x", "d", 0, 0, 0.0, 0) and tuple(got[1]) == (None,) * 6
+
+
+def test_data_loss_fails_unless_allowed():
+    assert kafka_source_options("b")["failOnDataLoss"] == "true"
+    assert kafka_source_options("b", fail_on_data_loss=False)["failOnDataLoss"] == "false"
+
+
+def test_folder_of_event_files(spark, tmp_path):
+    from fleetpulse.streaming.replay import stream_metrics_once
+    sf = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{sf}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    a = stream_metrics_once(spark, str(tmp_path), "1 day", "1 day")
+    b = stream_metrics_once(spark, sf, "1 day", "1 day")
+    assert a.count() == b.count() > 0
+
+
+def test_one_large_window_leaves_the_others_alone(spark):
+    rows = [("hot", T0 + k, float(k % 97)) for k in range(60)] + [(f"d{k}", T0, -0.0) for k in range(5)]
+    df = events_df(spark, rows)
+    plans = {m: sorted(window_p95(df, "30 seconds", "5 seconds", method=m).collect()) for m in ("auto", "hist", "array")}
+    assert plans["auto"] == plans["hist"] == plans["array"]
+    zero = [r.percentile_95 for r in plans["auto"] if r.device_id == "d0"][0]
+    assert str(zero) == "0.0"
+
+
+def test_planning_starts_no_job(spark):
+    df = events_df(spark, [("d", T0, 1.0)])
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    window_p95(df, "30 seconds", "5 seconds")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+
+

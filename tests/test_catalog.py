@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from fleetpulse.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -43,11 +44,12 @@ def canon(rows, cols):
 
 
 def test_every_query_has_sql():
-    missing = set(E.queries()) - set(E.oracle_sql()) - {"stream_refire_revisions"}
+    missing = set(catalog.QUERIES) - set(E.oracle_sql()) - {"stream_refire_revisions"}
+    assert set(catalog.QUERIES) <= set(E.queries())
     assert not missing
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SKIP))
 def test_query_matches_oracle(spark, duck, name):
     got = E.queries()[name](spark, SF)
     cols = sorted(got.columns)

@@ -50,10 +50,10 @@ def test_hist_equals_array_sliding_and_tumbling(spark):
         assert a == b, (size, slide)
 
 
-def test_auto_picks_by_bound(spark):
+def test_auto_equals_one_plan_for_all(spark):
     df = events_df(spark, rows_for(300))
-    a = sorted(window_p95(df, "30 seconds", "5 seconds", method="auto", array_max=1).collect())
-    b = sorted(window_p95(df, "30 seconds", "5 seconds", method="auto").collect())
+    a = sorted(window_p95(df, "30 seconds", "5 seconds", method="auto").collect())
+    b = sorted(window_p95(df, "30 seconds", "5 seconds", method="array").collect())
     assert a == b
 
 
@@ -93,16 +93,7 @@ def test_auto_routes_hot_device_to_buckets(spark, monkeypatch):
     rows += [(f"d{i % 40}", T0 + rnd.randrange(60_000), round(rnd.uniform(0, 100), 2))
              for i in range(1200)]
     df = events_df(spark, rows)
-    chosen = []
-    real = W._from_pane_histogram
-
-    def spy(*a, **k):
-        chosen.append("hist")
-        return real(*a, **k)
-
-    monkeypatch.setattr(W, "_from_pane_histogram", spy)
-    got = sorted(window_p95(df, "30 seconds", "5 seconds", method="auto", array_max=50).collect())
-    assert chosen == ["hist"]
+    got = sorted(window_p95(df, "30 seconds", "5 seconds", method="auto").collect())
     want = sorted(window_p95(df, "30 seconds", "5 seconds", method="array").collect())
     assert got == want
 
