@@ -21,21 +21,24 @@ PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L
 find = regex.compile(PATTERN).findall
 blank_end = regex.compile(r"\A\p{White_Space}|\p{White_Space}\Z").search
 
-CACHE = 700_000     # chunks a worker keeps between slabs; only speed depends on it
+CACHE = 700_000     # entries a worker keeps between slabs; only speed depends on it
 
 
 class ChunkEncoder:
     """Text -> ids as little-endian unsigned 32-bit bytes. ``encode`` maps a
-    list of strings to their id bytes, each string on its own."""
+    list of strings to their id bytes, each string on its own;
+    ``encode_chunks`` may do so faster for strings that begin with a space
+    and hold no other blank at an end."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], list[bytes]],
+                 encode_chunks: Callable[[list[str]], list[bytes]] | None = None, cache: int = CACHE):
+        self.encode, self.encode_chunks, self.cache = encode, encode_chunks or encode, cache
         self.chunks: dict[str, bytes | None] = {}       # None: a blank end
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, whole."""
         seen = self.chunks
-        if len(seen) > CACHE:
+        if len(seen) > self.cache:
             seen.clear()
         cut = [t.split(" ") for t in texts]
         new = {c for x in cut for c in x[1:]}.difference(seen)
@@ -44,7 +47,7 @@ class ChunkEncoder:
             if c and not blank_end(c):
                 spaced.append(" " + c)
             seen[c] = None
-        for c, ids in zip(spaced, self.encode(spaced)):
+        for c, ids in zip(spaced, self.encode_chunks(spaced)):
             seen[c[1:]] = ids
         bodies = [list(map(seen.__getitem__, x[1:])) for x in cut]
         # The first chunk has no space before it; texts with other blanks are encoded whole.

@@ -30,14 +30,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from fleetpulse.llm.bpe_words import ChunkEncoder, blank_end
+from fleetpulse.llm.bpe_words import ChunkEncoder
 from fleetpulse.llm.textcore import slabs
 
 WINDOW = 1024
 PIECE = 256
 GROUP = 512
 SEPARATOR = 0
-RUN = 1 << 15         # characters given to the tokenizer in one string
+RUN = 4096            # chunks given to the tokenizer in one string
+CHUNKS = 1_300_000    # chunks a worker remembers; only speed depends on it
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
@@ -100,31 +101,21 @@ def _worker(spec: str) -> ChunkEncoder:
             width[i] = len(token)
 
         def encode(strings: list[str]) -> list[bytes]:
-            # Strings that begin with a space after a string that doesn't end in a blank can be
-            # tokenized in one go: no token crosses the boundary, so bytes tell whose an id is.
-            runs, at = [], 0
-            while at < len(strings):
-                to, size = at + 1, len(strings[at])
-                while to < len(strings) and strings[to][:1] == " " and size < RUN and strings[to - 1].strip() \
-                        and not blank_end(strings[to - 1][-1]) and not blank_end(strings[to][1:2]):
-                    size += len(strings[to])
-                    to += 1
-                runs.append((at, to))
-                at = to
-            out: list[bytes] = []
-            coded = tokenizer.encode_batch_fast(["".join(strings[a:b]) for a, b in runs], add_special_tokens=False)
-            for (a, b), x in zip(runs, coded):
-                ids = np.array(x.ids, "<u4")
-                if b == a + 1:
-                    out.append(ids.tobytes())
-                    continue
-                ends = np.cumsum([len(s.encode()) for s in strings[a:b]])
-                cut = [0, *(4 * np.searchsorted(np.cumsum(width[ids]), ends, side="right")).tolist()]
-                data = ids.tobytes()
-                out += [data[i:j] for i, j in zip(cut, cut[1:])]
-            return out
-
-        _workers[key] = ChunkEncoder(encode)
+            coded = tokenizer.encode_batch_fast(strings, add_special_tokens=False)
+            return [np.array(x.ids, "<u4").tobytes() for x in coded]
+
+        def encode_chunks(chunks: list[str]) -> list[bytes]:
+            # No token crosses the space that a chunk begins with, so chunks are tokenized in
+            # long runs; the bytes of the ids tell where each chunk's ids end.
+            ends = np.cumsum([len(c.encode()) for c in chunks], dtype=np.int64)
+            runs = ["".join(chunks[k:k + RUN]) for k in range(0, len(chunks), RUN)]
+            coded = tokenizer.encode_batch_fast(runs, add_special_tokens=False)
+            ids = np.concatenate([np.array(x.ids, "<u4") for x in coded]) if coded else np.zeros(0, "<u4")
+            cut = [0, *(4 * np.searchsorted(np.cumsum(width[ids]), ends, side="right")).tolist()]
+            data = ids.tobytes()
+            return [data[a:b] for a, b in zip(cut, cut[1:])]
+
+        _workers[key] = ChunkEncoder(encode, encode_chunks, CHUNKS)
     return _workers[key]
 
 
