@@ -340,11 +340,14 @@ class _List:
 def _candidates(postings: DataFrame, labels: DataFrame) -> DataFrame:
     """(a, b): sets of different components that meet often enough in the
     lists to be linked, each pair once."""
-    kept = staged(postings, "postings")
-    prefix = kept.groupBy("s").agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "token"))),
-                                               lambda x: x["token"]).alias("prefix"))
-    sets = staged(prefix.join(labels.select(F.col("node").alias("s"), "root"), "s", "left")
-                  .select("s", F.coalesce("root", "s").alias("root"), "prefix"), "prefixes")
+    rooted = staged(postings.join(labels.select(F.col("node").alias("s"), "root"), "s", "left")
+                    .select("token", "s", "n", "p", F.coalesce("root", "s").alias("root")), "postings")
+    # Lists within one component have no pair to offer and share no token with another's set.
+    mixed = rooted.groupBy("token").agg(F.min(F.xxhash64("root")).alias("x"), F.max(F.xxhash64("root")).alias("y")) \
+        .where("x <> y").select("token")
+    kept = staged(rooted.join(mixed, "token", "left_semi").select("token", "s", "n", "p", "root"), "mixed-lists")
+    sets = staged(kept.groupBy("s").agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "token"))),
+                                                    lambda x: x["token"]).alias("prefix")), "prefixes")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, out = _List(0), ([], [])
@@ -360,7 +363,7 @@ def _candidates(postings: DataFrame, labels: DataFrame) -> DataFrame:
         now.pairs(out)
         yield pa.record_batch([pa.array(x, pa.binary()) for x in out], names=["a", "b"])
 
-    return (kept.select("token", "s", "n").join(sets, "s").repartition("token").sortWithinPartitions("token")
+    return (kept.select("token", "s", "n", "root").join(sets, "s").repartition("token").sortWithinPartitions("token")
             .mapInArrow(scan, "a binary, b binary"))
 
 
