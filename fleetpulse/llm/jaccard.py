@@ -12,14 +12,17 @@ the corpus' size histogram.
   and without looking at the sets again.
 * Heavy sets (and light ones near the boundary) scan inverted lists. A list
   belongs to a shingle; a set of n shingles stands in the lists of its
-  n // 10 + l rarest ones. Rarity is a count-min estimate over all documents
-  (any order common to all sets gives right results, a good one gives short
-  lists). Linked sets meet in l lists at least, and the place of the last
-  meeting bounds their overlap. What passes is verified on the whole sets.
+  n // 10 + 1 rarest ones, so linked sets meet in one at least. Rarity is a
+  count-min estimate over all documents (any order common to all sets gives
+  right results, a good one gives short lists). A list pairs sets of fitting
+  sizes whose parity sketches allow the link: a sketch holds, for each of its
+  cells, whether an odd number of elements falls there, so two sketches differ
+  in no more cells than the sets differ in elements, which for linked sets are
+  (a + b) / 19 at most. What passes is verified on the whole sets.
 
 Copies: equal sets share one key, and everything is keyed by it. Near copies
 in thousands would make thousands of pairs for each; only components are
-asked for, so leaders come first: sets that share a min-hash are compared
+asked for, so leaders come first: sets that share two min-hashes are compared
 with at most ``LEADERS`` leaders, within a slab of a task and then between
 slabs, and the links found are united. Lists then pair only sets of
 different components, so no link between them is lost and no group is
@@ -49,6 +52,9 @@ LEADERS = 64             # sets that a min-hash group compares with at most
 ENOUGH = 3               # links after which a set looks for no further leader
 MAX_LIGHT = 29           # largest size for which subsets may be enumerated
 COUNT_BITS = 22          # at most so many bits of counters for rarity
+SKETCH = 256             # cells of a parity sketch
+WIDE, WIDE_SKETCH = 600, 1024   # sets of at least so many shingles have the larger sketch
+LIST_BLOCK = 1024        # rows of a list that are compared at a time
 # Salts of the two min-hashes and of the set key's lanes.
 SALTS = (U(0x243F6A8885A308D3), U(0x13198A2E03707344), U(0xA4093822299F31D0), U(0x082EFA98EC4E6C89))
 
@@ -84,16 +90,33 @@ def distinct_sets(part: pa.RecordBatch) -> dict[bytes, np.ndarray]:
 
 
 def min_hash(values: np.ndarray, k: int) -> int:
-    return int(mix(values ^ SALTS[k]).min())
+    """One hash of the two smallest: sets that are linked agree in it with a
+    chance of 0.8 or more, sets that only share common words seldom do."""
+    h = mix(values ^ SALTS[k])
+    low = np.partition(h, 1)[:2] if len(h) > 1 else h[[0, 0]]
+    return int((mix(low[:1]) ^ low[1:])[0])
 
 
-def subset_rows(n: int) -> int:
-    return sum(comb(n, i) for i in range(n // 10 + 1))
+def parity(values: np.ndarray) -> bytes:
+    cells = WIDE_SKETCH if len(values) >= WIDE else SKETCH
+    at = (mix(values ^ SALTS[2]) & U(cells - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=cells) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(sketch: bytes) -> np.ndarray:
+    """A sketch in ``SKETCH`` cells; a wide one's cells meet by their remainder."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, SKETCH // 8))
 
 
-def meetings(n):
-    """Lists in which linked sets of about this size meet at least."""
-    return 1 + np.minimum(4, np.asarray(n) // 50)
+def may_link(x: bytes, y: bytes, total: int) -> bool:
+    """Whether sets with these sketches and ``total`` elements may be linked."""
+    if len(x) != len(y):
+        x, y = folded(x).tobytes(), folded(y).tobytes()
+    return 19 * (int.from_bytes(x) ^ int.from_bytes(y)).bit_count() <= total
+
+
+def subset_rows(n: int) -> int:
+    return sum(comb(n, i) for i in range(n // 10 + 1))
 
 
 def boundary(sizes: dict[int, int]) -> int:
@@ -218,153 +241,130 @@ def leader_links(docs: DataFrame, larger_than: int, bits: int) -> DataFrame:
 
 
 def _postings(docs: DataFrame, smallest: int, counts, bits: int, mean: float) -> DataFrame:
-    """(token, s, n, p): the places of sets of at least ``smallest`` in the
-    lists of their rarest shingles; lists of one set are dropped."""
+    """(token, s, n): sets of at least ``smallest`` in the lists of their
+    rarest shingles, where another set of fitting size stands too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
         for part in slabs(batches, "text"):
-            token, own, size, place = [], [], [], []
+            token, own, size = [], [], []
             for key, values in distinct_sets(part).items():
                 n = len(values)
                 if n < smallest:
                     continue
                 level = np.log2(1 + table[(values >> U(64 - bits)).astype(np.int64)] / mean).astype(np.int64)
-                take = min(n, n // 10 + int(meetings(n)))
+                take = n // 10 + 1
                 chosen = values[np.lexsort((values, level))[:take]]
                 token.append(chosen.view(np.int64))
                 own += [key] * take
                 size.append(np.full(take, n, np.int32))
-                place.append(np.arange(take, dtype=np.int32))
             if own:
                 yield pa.record_batch([pa.array(np.concatenate(token)), pa.array(own, pa.binary()),
-                                       pa.array(np.concatenate(size)), pa.array(np.concatenate(place))],
-                                      names=["token", "s", "n", "p"])
+                                       pa.array(np.concatenate(size))], names=["token", "s", "n"])
 
     def shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None                      # (token, s) read last
-        alone = None                     # its row, while its list has no other set
+        """Rows come by list and size: the nearest other sizes are next to a row."""
+        held, wanted = None, False          # the last row so far, and whether it stays
         for batch in batches:
             if not batch.num_rows:
                 continue
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
             token, own = batch.column("token").to_numpy(), batch.column("s").to_pylist()
-            head = np.ones(len(own), bool)
-            head[1:] = token[1:] != token[:-1]
-            new = head.copy()            # a set not met before in its list
-            new[1:] |= [x != y for x, y in zip(own[1:], own)]
-            goes_on = last is not None and last[0] == token[0]
-            if goes_on:
-                new[0] = own[0] != last[1]
-            group = np.cumsum(head) - 1
-            met = np.bincount(group, new).astype(np.int64)
-            if goes_on:
-                met[0] += 1 if alone is not None else 2
-                if met[0] > 1 and alone is not None:
-                    yield alone
-            if not goes_on or len(met) > 1 or met[0] > 1:
-                alone = None
-            if met[-1] == 1 and alone is None:
-                alone = batch.slice(int(np.searchsorted(group, group[-1])), 1)
-            last = token[-1], own[-1]
-            take = new & (met[group] > 1)
-            if take.any():
-                yield batch.filter(pa.array(take))
-
-    schema = "token bigint, s binary, n int, p int"
-    return (docs.mapInArrow(run, schema).repartition("token").sortWithinPartitions("token", "s")
+            new = np.ones(len(own), bool)   # copies of a set follow one another
+            new[1:] = (token[1:] != token[:-1]) | np.array([x != y for x, y in zip(own[1:], own)], bool)
+            batch = batch.filter(pa.array(new))
+            token, n = token[new], batch.column("n").to_numpy().astype(np.int64)
+            near = (token[1:] == token[:-1]) & (10 * n[:-1] >= 9 * n[1:])
+            stays = np.zeros(len(token), bool)
+            stays[0] = wanted
+            stays[:-1] |= near
+            stays[1:] |= near
+            held, wanted = batch.slice(len(token) - 1, 1), bool(stays[-1])
+            yield batch.slice(0, len(token) - 1).filter(pa.array(stays[:-1]))
+        if wanted:
+            yield held
+
+    schema = "token bigint, s binary, n int"
+    return (docs.mapInArrow(run, schema).repartition("token").sortWithinPartitions("token", "n", "s")
             .mapInArrow(shared_lists, schema))
 
 
-def _needed(na, nb):
-    """Least overlap of linked sets of these sizes."""
-    return -(-9 * (na + nb) // 19)
-
-
 class _List:
-    """One inverted list: sets by key, with component, size and the shared
-    tokens of their prefixes in the common order."""
+    """One inverted list, read in order of size: (set, component, size,
+    sketch). Rows that are too small for what follows are forgotten."""
 
     def __init__(self, token: int):
-        self.token, self.rows = token, []
-
-    def pairs(self, out: tuple[list, list]) -> None:
-        """Pairs of different components whose first common token this is,
-        so that no pair comes from two lists. ``meetings`` counts the common
-        tokens of both prefixes; what lies beyond the prefixes can add no
-        more than the longer remainder."""
-        rows = self.rows
-        if len({r[1] for r in rows}) < 2:
-            return
-        if len(rows) <= 16:
-            cut = [(set(r[3]), set(r[3][:r[3].index(self.token)])) for r in rows]
-            for i, (key, root, n, _) in enumerate(rows):
-                whole, before = cut[i]
-                for j in range(i):
-                    other, other_root, m, _ = rows[j]
-                    if root != other_root and 10 * min(n, m) >= 9 * max(n, m) and before.isdisjoint(cut[j][1]) \
-                            and self._enough(len(whole & cut[j][0]), n, m):
-                        out[0].append(min(key, other))
-                        out[1].append(max(key, other))
+        self.token, self.held, self.fresh = token, [], []
+
+    def add(self, row: tuple, out: set) -> None:
+        self.fresh.append(row)
+        if len(self.fresh) == LIST_BLOCK:
+            self.meet(out)
+
+    def meet(self, out: set) -> None:
+        """Pairs of the fresh rows with one another and with those held."""
+        fresh, self.fresh = self.fresh, []
+        if not fresh:
             return
-        for lo in range(0, len(rows), 1024):            # blocks bound the memory of a long list
-            for hi in range(lo, len(rows), 1024):
-                self._block(rows[lo:lo + 1024], rows[hi:hi + 1024], lo == hi, out)
+        self.held = [r for r in self.held if 10 * r[2] >= 9 * fresh[0][2]]
+        if len({r[1] for r in (*self.held, *fresh)}) > 1:
+            self._block(fresh, fresh, True, out)
+            for lo in range(0, len(self.held), LIST_BLOCK):
+                self._block(fresh, self.held[lo:lo + LIST_BLOCK], False, out)
+        self.held += fresh
 
     @staticmethod
-    def _enough(met, n, m):
-        beyond = np.maximum(n - n // 10 - meetings(n), m - m // 10 - meetings(m))
-        return (met >= np.minimum(meetings(n), meetings(m))) & (met + beyond >= _needed(n, m))
-
-    def _block(self, a: list, b: list, same: bool, out: tuple[list, list]) -> None:
-        tokens, column = np.unique(np.concatenate([np.asarray(r[3], np.int64) for r in (*a, *b)]), return_inverse=True)
-        whole = np.zeros((len(a) + len(b), len(tokens)), np.float32)
-        before = np.zeros_like(whole)
-        at = 0
-        for k, r in enumerate((*a, *b)):
-            cells = column[at:at + len(r[3])]
-            whole[k, cells] = 1
-            before[k, cells[:r[3].index(self.token)]] = 1
-            at += len(cells)
-        n = np.array([r[2] for r in (*a, *b)])
-        na, nb = n[:len(a), None], n[None, len(a):]
-        roots = np.unique(np.array([r[1] for r in (*a, *b)], object), return_inverse=True)[1]
-        ok = (roots[:len(a), None] != roots[None, len(a):]) & (10 * np.minimum(na, nb) >= 9 * np.maximum(na, nb))
-        ok &= before[:len(a)] @ before[len(a):].T == 0
-        ok &= self._enough((whole[:len(a)] @ whole[len(a):].T).astype(np.int64), na, nb)
-        if same:
-            ok &= np.tri(len(a), k=-1, dtype=bool)
-        for i, j in zip(*np.nonzero(ok)):
-            out[0].append(min(a[i][0], b[j][0]))
-            out[1].append(max(a[i][0], b[j][0]))
-
-
-def _candidates(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): sets of different components that meet often enough in the
-    lists to be linked, each pair once."""
+    def _block(a: list, b: list, same: bool, out: set) -> None:
+        if len(a) * len(b) <= 256:
+            found = ((x, y) for i, x in enumerate(a) for y in (b[:i] if same else b)
+                     if x[1] != y[1] and 10 * min(x[2], y[2]) >= 9 * max(x[2], y[2]))
+        else:
+            n, m = (np.array([r[2] for r in rows], np.int64) for rows in (a, b))
+            roots, others = (np.array([r[1] for r in rows], np.int64) for rows in (a, b))
+            x, y = (np.unpackbits(np.array([folded(r[3]) for r in rows]), axis=1).astype(np.float32) for rows in (a, b))
+            apart = x.sum(axis=1)[:, None] + y.sum(axis=1)[None] - 2 * (x @ y.T)
+            n, m = n[:, None], m[None]
+            ok = (roots[:, None] != others[None]) & (10 * np.minimum(n, m) >= 9 * np.maximum(n, m)) & (19 * apart <= n + m)
+            if same:
+                ok &= np.tri(len(a), k=-1, dtype=bool)
+            found = ((a[i], b[j]) for i, j in zip(*np.nonzero(ok)))
+        out.update((min(x[0], y[0]), max(x[0], y[0])) for x, y in found if may_link(x[3], y[3], x[2] + y[2]))
+
+
+def _candidates(postings: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): sets of different components that share a list and may be
+    linked by size and sketch, each pair once."""
     rooted = staged(postings.join(labels.select(F.col("node").alias("s"), "root"), "s", "left")
-                    .select("token", "s", "n", "p", F.coalesce("root", "s").alias("root")), "postings")
-    # Lists within one component have no pair to offer and share no token with another's set.
-    mixed = rooted.groupBy("token").agg(F.min(F.xxhash64("root")).alias("x"), F.max(F.xxhash64("root")).alias("y")) \
-        .where("x <> y").select("token")
-    kept = staged(rooted.join(mixed, "token", "left_semi").select("token", "s", "n", "p", "root"), "mixed-lists")
-    sets = staged(kept.groupBy("s").agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "token"))),
-                                                    lambda x: x["token"]).alias("prefix")), "prefixes")
+                    .select("token", "s", "n", F.xxhash64(F.coalesce("root", "s")).alias("root")), "postings")
+    # Lists within one component have no pair to offer.
+    mixed = rooted.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
+    kept = rooted.join(mixed, "token", "left_semi").select("token", "s", "n", "root")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, out = _List(0), ([], [])
+        now, told = _List(0), set()          # pairs of earlier batches, as many as memory allows
+        out: set[tuple[bytes, bytes]] = set()
+
+        def rows() -> pa.RecordBatch:
+            fresh = sorted(out - told)
+            if len(told) > 1 << 16:
+                told.clear()
+            told.update(fresh)
+            out.clear()
+            cols = list(zip(*fresh)) or [(), ()]
+            return pa.record_batch([pa.array(x, pa.binary()) for x in cols], names=["a", "b"])
+
         for batch in batches:
-            for token, key, root, n, prefix in zip(*(batch.column(c).to_pylist()
-                                                     for c in ("token", "s", "root", "n", "prefix"))):
-                if token != now.token or not now.rows:
-                    now.pairs(out)
+            for token, *row in zip(*(batch.column(c).to_pylist() for c in ("token", "s", "root", "n", "sketch"))):
+                if token != now.token:
+                    now.meet(out)
                     now = _List(token)
-                now.rows.append((key, root, n, prefix))
-            yield pa.record_batch([pa.array(x, pa.binary()) for x in out], names=["a", "b"])
-            out = ([], [])
-        now.pairs(out)
-        yield pa.record_batch([pa.array(x, pa.binary()) for x in out], names=["a", "b"])
+                now.add(tuple(row), out)
+            yield rows()
+        now.meet(out)
+        yield rows()
 
-    return (kept.select("token", "s", "n", "root").join(sets, "s").repartition("token").sortWithinPartitions("token")
-            .mapInArrow(scan, "a binary, b binary"))
+    return (kept.join(classes.select("s", "sketch"), "s").repartition("token").sortWithinPartitions("token", "n")
+            .mapInArrow(scan, "a binary, b binary").distinct())
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -415,13 +415,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         for part in slabs(batches, "text"):
             sets = sets_of(part.column("text"))
             yield pa.record_batch([part.column("id"), pa.array([len(s) for s in sets], pa.int64()),
-                                   pa.array([set_key(s) if len(s) else None for s in sets], pa.binary())],
-                                  names=["id", "n_shingles", "s"])
+                                   pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
+                                   pa.array([parity(s) if len(s) else None for s in sets], pa.binary())],
+                                  names=["id", "n_shingles", "s", "sketch"])
 
     rows = staged(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-                  .mapInArrow(keyed, f"id {kind}, n_shingles bigint, s binary"), "set-keys")
+                  .mapInArrow(keyed, f"id {kind}, n_shingles bigint, s binary, sketch binary"), "set-keys")
     classes = staged(rows.where("s is not null").groupBy("s")
-                     .agg(F.min("id").alias("low"), F.max("n_shingles").alias("n")), "set-classes")
+                     .agg(F.min("id").alias("low"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch")), "set-classes")
     sizes = {r["n"]: r["c"] for r in classes.where(f"n <= {MAX_LIGHT}").groupBy("n").agg(F.count("*").alias("c")).collect()}
     light = boundary(sizes)
     size = text_bytes(texts, "text")
@@ -436,7 +437,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     early = components(light_links(texts, light).union(
         leader_links(texts, light, bits_for(2 * classes.count(), 0.1))))
     smallest = -(-9 * (light + 1) // 10)
-    pairs = staged(_candidates(_postings(texts, smallest, counts, bits, 1 + float(table.mean())), early), "candidates")
+    pairs = staged(_candidates(_postings(texts, smallest, counts, bits, 1 + float(table.mean())), early, classes),
+                   "candidates")
     links = _verified(texts, pairs)
     labels = components(links.union(early.where("node <> root").select("node", "root")))
     lowest = classes.join(labels.withColumnRenamed("node", "s"), "s", "left") \

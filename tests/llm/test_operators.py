@@ -178,6 +178,33 @@ def test_subset_rule_equals_the_condition():
     assert jaccard.boundary({29: 100}) < 29
 
 
+def test_lists_lose_no_linked_pair():
+    """Sketches never part linked sets, narrow or wide, nor do blocks of a list
+    that is read by size; every pair comes once."""
+    rnd = np.random.default_rng(4)
+    rows, sets = [], []
+    for n in (20, 20, 300, 560, 590, 605, 640, 2500):
+        base = rnd.integers(0, 2 ** 63, n).astype(np.uint64)
+        for k in range(12):
+            values = np.unique(np.concatenate([base[k * n // 200:], rnd.integers(0, 2 ** 63, k * n // 300).astype(np.uint64)]))
+            sets.append(values)
+            rows.append((jaccard.set_key(values), len(rows), len(values), jaccard.parity(values)))
+    true = {tuple(sorted((rows[i][0], rows[j][0]))) for i in range(len(rows)) for j in range(i)
+            if rows[i][0] != rows[j][0] and jaccard.linked(sets[i], sets[j])}
+    assert len(true) > 100
+    for size in (3, 16, 1024):
+        jaccard.LIST_BLOCK, before = size, jaccard.LIST_BLOCK
+        try:
+            found, one = set(), jaccard._List(7)
+            for row in sorted(rows, key=lambda r: r[2]):
+                one.add(row, found)
+            one.meet(found)
+        finally:
+            jaccard.LIST_BLOCK = before
+        assert true <= found
+        assert len(found) < 2 * len(true)
+
+
 def test_quality_learns_and_is_defined_everywhere(spark, nothing):
     rnd = random.Random(2)
     good = lambda: " ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(40)) + "."
