@@ -48,12 +48,13 @@ from fleetpulse.llm.tables import components, staged
 from fleetpulse.llm.textcore import BASES, U, Words, mix, slabs, slices_hash, windows
 
 WIDTH = 3                # words in a shingle
+SIZE_CLASS = 1.25        # sizes in this ratio are one class when leaders are sought; the second min-hash's are shifted by half
 LEADERS = 64             # sets that a min-hash group compares with at most
 ENOUGH = 3               # links after which a set looks for no further leader
 MAX_LIGHT = 29           # largest size for which subsets may be enumerated
 COUNT_BITS = 22          # at most so many bits of counters for rarity
 SKETCH = 256             # cells of a parity sketch
-WIDE, WIDE_SKETCH = 600, 1024   # sets of at least so many shingles have the larger sketch
+WIDE, MOST_CELLS = 600, 1 << 16  # sets of at least so many shingles have a cell for each, up to a bound
 LIST_BLOCK = 1024        # rows of a list that are compared at a time
 # Salts of the two min-hashes and of the set key's lanes.
 SALTS = (U(0x243F6A8885A308D3), U(0x13198A2E03707344), U(0xA4093822299F31D0), U(0x082EFA98EC4E6C89))
@@ -90,28 +91,30 @@ def distinct_sets(part: pa.RecordBatch) -> dict[bytes, np.ndarray]:
 
 
 def min_hash(values: np.ndarray, k: int) -> int:
-    """One hash of the two smallest: sets that are linked agree in it with a
-    chance of 0.8 or more, sets that only share common words seldom do."""
+    """One hash of the two smallest and the size class: most linked sets
+    agree in it for one ``k`` at least, sets that share a passage seldom do."""
     h = mix(values ^ SALTS[k])
     low = np.partition(h, 1)[:2] if len(h) > 1 else h[[0, 0]]
-    return int((mix(low[:1]) ^ low[1:])[0])
+    size = int(np.log(len(h)) / np.log(SIZE_CLASS) + k / 2)
+    return int((mix(low[:1] + U(size)) ^ low[1:])[0])
 
 
 def parity(values: np.ndarray) -> bytes:
-    cells = WIDE_SKETCH if len(values) >= WIDE else SKETCH
+    cells = min(MOST_CELLS, 1 << (len(values) - 1).bit_length()) if len(values) >= WIDE else SKETCH
     at = (mix(values ^ SALTS[2]) & U(cells - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=cells) & 1).astype(np.uint8)).tobytes()
 
 
-def folded(sketch: bytes) -> np.ndarray:
-    """A sketch in ``SKETCH`` cells; a wide one's cells meet by their remainder."""
-    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, SKETCH // 8))
+def folded(sketch: bytes, size: int = SKETCH // 8) -> np.ndarray:
+    """A sketch in ``size`` bytes; a wide one's cells meet by their remainder."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, size))
 
 
 def may_link(x: bytes, y: bytes, total: int) -> bool:
     """Whether sets with these sketches and ``total`` elements may be linked."""
     if len(x) != len(y):
-        x, y = folded(x).tobytes(), folded(y).tobytes()
+        size = min(len(x), len(y))
+        x, y = folded(x, size).tobytes(), folded(y, size).tobytes()
     return 19 * (int.from_bytes(x) ^ int.from_bytes(y)).bit_count() <= total
 
 
