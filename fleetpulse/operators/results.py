@@ -46,9 +46,10 @@ def compute_results(events: DataFrame, size=DEFAULT_SIZE, slide=DEFAULT_SLIDE,
         clock.alias("last_updated"), "win_start", "win_end", "event_count")
 
 
-def global_p95(events: DataFrame, now_ms: int = 0) -> DataFrame:
+def global_p95(events: DataFrame, now_ms: int | None = None) -> DataFrame:
     """O-14 + O-18 over all rows at once: one row, with the empty default
-    (device "unknown", p95 0.0, times = clock) when there is no row.
+    (device "unknown", p95 0.0, times = clock: ``now_ms``, else the session's
+    current time) when there is no row.
 
     The reference keeps the first event's device; a cluster has no "first",
     so the smallest device id is kept. Built on the histogram selection: no
@@ -69,7 +70,7 @@ def global_p95(events: DataFrame, now_ms: int = 0) -> DataFrame:
     # One row and at most one row: stacked and folded, no join needed.
     joined = stats.unionByName(pct).agg(*[F.max(c).alias(c) for c in stats.columns])
     empty = F.col("event_count") == 0
-    clock = F.lit(int(now_ms)).cast("long")
+    clock = clock_ms(now_ms)
     return joined.select(
         F.when(empty, F.lit("unknown")).otherwise(F.col("_dev")).alias("device_id"),
         F.col("event_count"),

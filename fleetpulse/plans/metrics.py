@@ -65,13 +65,14 @@ def newest_per_device(df: DataFrame, order: list[Column] | None = None) -> DataF
 
 
 def latest_for_device(df: DataFrame, device_id: str, checked: bool = True) -> DataFrame:
-    """O-23: the newest metric of one device (empty when unknown). The
-    device filter reaches the Parquet scan; top-1 is TakeOrderedAndProject."""
+    """O-23: the newest metric of one device (empty when unknown); of rows
+    that tie in both times the greatest event_id. The device filter reaches
+    the Parquet scan; top-1 is TakeOrderedAndProject."""
     if checked:
         check_device_id(device_id)
-    return (project(df.filter(F.col("device_id") == F.lit(device_id)))
-            .orderBy(F.col("last_updated").desc(), F.col("window_end").desc())
-            .limit(1))
+    return project(df.filter(F.col("device_id") == F.lit(device_id))
+                   .orderBy(F.col("last_updated").desc(), F.col("window_end").desc(), F.col("event_id").desc())
+                   .limit(1))
 
 
 def _at_scalar_max(df: DataFrame, col: str, slack_ms: int = 0) -> DataFrame:

@@ -105,6 +105,8 @@ def test_merge_of_partials(spark):
 
 
 def test_empty_default(spark):
+    live = global_p95(events_df(spark, [])).collect()[0]
+    assert live.window_start == live.window_end > 1_700_000_000_000
     out = global_p95(events_df(spark, []), now_ms=123).collect()
     assert len(out) == 1
     r = out[0]

@@ -27,6 +27,11 @@ def test_latest_of_three(spark):
                                     "window_end", "last_updated"}
 
 
+def test_latest_tie_goes_to_the_greatest_id(spark):
+    df = table(spark, [("a", 10.0, T), ("a", 30.0, T), ("a", 20.0, T)])
+    assert M.latest_for_device(df.repartition(3), "a").collect()[0].percentile_95 == 20.0
+
+
 def test_special_and_long_ids(spark):
     special = "device-with-special_chars.123-test@domain"
     long_id = "x" * 200
