@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fleetpulse.llm import jaccard, langid, packing, quality, substring
 from fleetpulse.llm.tables import staged
 
+NEAR = {"width": 5, "percent": 80}   # near copies: words in a shingle, least Jaccard similarity
 SURE = 0.3          # least confidence of a language; chance is 0.25 with four languages
 
 
@@ -40,7 +41,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies the document with the smallest id stays."""
-    told = staged(jaccard.jaccard_components(docs).where("doc_id is not null").groupBy("doc_id")
+    told = staged(jaccard.jaccard_components(docs, **NEAR).where("doc_id is not null").groupBy("doc_id")
                   .agg(F.count("*").alias("n"), F.min("component_id").alias("low")), "told")
     alone = docs.join(told.where("n > 1 or low <> doc_id").select("doc_id"), "doc_id", "left_anti").select(*_names(docs))
     several = docs.join(told.where("n > 1 and low = doc_id").select("doc_id"), "doc_id", "left_semi") \

@@ -1,8 +1,10 @@
 """Jaccard join of documents on word shingles, size-aware: heavy and light.
 
-Two sets link when 100 * |A & B| >= 90 * |A | B|. The boundary between light
-(small) and heavy (large) sets is the size with the least estimated cost over
-the corpus' size histogram.
+Two sets link when 100 * |A & B| >= percent * |A | B|. Width of the shingles
+and percent are a ``Rule``; whatever follows is derived from it, and the
+numbers below are those of three words and 90 percent. The boundary between
+light (small) and heavy (large) sets is the size with the least estimated cost
+over the corpus' size histogram.
 
 * Light sets enumerate subsets. With S = A & B, |S| = m, and i, j the
   elements that A and B have besides, the condition is 9 * (i + j) <= m. So
@@ -29,7 +31,7 @@ different components, so no link between them is lost and no group is
 expanded into its pairs.
 
 Defined cases: null or empty texts have no shingles and link with nothing;
-texts under three words have one shingle, the whole sequence; repeated rows
+texts under a shingle's words have one, the whole sequence; repeated rows
 are one set (and one component); null ids sort first in no component and
 keep null; empty tables give empty results; extra columns are not read.
 """
@@ -37,6 +39,7 @@ keep null; empty tables give empty results; extra columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from math import comb
 
 import numpy as np
@@ -47,25 +50,46 @@ from fleetpulse.llm.sketch import RepeatSketch, bits_for, build_counts, build_re
 from fleetpulse.llm.tables import components, staged
 from fleetpulse.llm.textcore import BASES, U, Words, mix, slabs, slices_hash, windows
 
-WIDTH = 3                # words in a shingle
 SIZE_CLASS = 1.25        # sizes in this ratio are one class when leaders are sought; the second min-hash's are shifted by half
 LEADERS = 64             # sets that a min-hash group compares with at most
 ENOUGH = 3               # links after which a set looks for no further leader
 MAX_LIGHT = 29           # largest size for which subsets may be enumerated
 COUNT_BITS = 22          # at most so many bits of counters for rarity
 SKETCH = 256             # cells of a parity sketch
-WIDE, MOST_CELLS = 600, 1 << 16  # sets of at least so many shingles have a cell for each, up to a bound
+MOST_APART, MOST_CELLS = 63, 1 << 16  # sets that may differ in more elements have a cell for each, up to a bound
 LIST_BLOCK = 1024        # rows of a list that are compared at a time
 # Salts of the two min-hashes and of the set key's lanes.
 SALTS = (U(0x243F6A8885A308D3), U(0x13198A2E03707344), U(0xA4093822299F31D0), U(0x082EFA98EC4E6C89))
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+@dataclass(frozen=True)
+class Rule:
+    """Words in a shingle, and the least percentage of the union in common."""
+    width: int = 3
+    percent: int = 90
+
+    def fits(self, n, m):
+        """Whether the size ``n`` is near enough to a larger one (or arrays of them)."""
+        return 100 * n >= self.percent * m
+
+    def depth(self, n: int) -> int:
+        """Elements that a set of ``n`` may have beside another's."""
+        return (100 - self.percent) * n // 100
+
+    def may_differ(self, apart, total):
+        """Whether sets of ``total`` elements in all may differ in ``apart`` of them."""
+        return (100 + self.percent) * apart <= (100 - self.percent) * total
+
+
+RULE = Rule()
+
+
+def linked(a: np.ndarray, b: np.ndarray, rule: Rule = RULE) -> bool:
     """The condition on two sorted sets."""
-    if not len(a) or 10 * min(len(a), len(b)) < 9 * max(len(a), len(b)):
+    if not len(a) or not rule.fits(min(len(a), len(b)), max(len(a), len(b))):
         return False
     both = len(a) + len(b) - len(np.union1d(a, b))
-    return 100 * both >= 90 * (len(a) + len(b) - both)
+    return 100 * both >= rule.percent * (len(a) + len(b) - both)
 
 
 def set_key(values: np.ndarray) -> bytes:
@@ -73,21 +97,21 @@ def set_key(values: np.ndarray) -> bytes:
                      else 0], U).tobytes()
 
 
-def sets_of(texts: pa.Array) -> list[np.ndarray]:
+def sets_of(texts: pa.Array, width: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every text."""
     words = Words(texts, lower=True)
     lane = words.lane(0)
-    grams = windows(lane, WIDTH, BASES[1])
+    grams = windows(lane, width, BASES[1])
     short = slices_hash(lane, words.first[:-1], words.first[1:], BASES[1]) if len(words.count) else lane
     out = []
     for d, (lo, hi) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist())):
-        out.append(np.unique(grams[lo:hi - WIDTH + 1]) if hi - lo >= WIDTH
+        out.append(np.unique(grams[lo:hi - width + 1]) if hi - lo >= width
                    else short[d:d + 1] if hi > lo else lane[:0])
     return out
 
 
-def distinct_sets(part: pa.RecordBatch) -> dict[bytes, np.ndarray]:
-    return {set_key(s): s for s in sets_of(part.column("text")) if len(s)}
+def distinct_sets(part: pa.RecordBatch, width: int) -> dict[bytes, np.ndarray]:
+    return {set_key(s): s for s in sets_of(part.column("text"), width) if len(s)}
 
 
 def min_hash(values: np.ndarray, k: int) -> int:
@@ -99,8 +123,9 @@ def min_hash(values: np.ndarray, k: int) -> int:
     return int((mix(low[:1] + U(size)) ^ low[1:])[0])
 
 
-def parity(values: np.ndarray) -> bytes:
-    cells = min(MOST_CELLS, 1 << (len(values) - 1).bit_length()) if len(values) >= WIDE else SKETCH
+def parity(values: np.ndarray, rule: Rule = RULE) -> bytes:
+    wide = rule.may_differ(MOST_APART, 2 * len(values))
+    cells = max(SKETCH, min(MOST_CELLS, 1 << (len(values) - 1).bit_length())) if wide else SKETCH
     at = (mix(values ^ SALTS[2]) & U(cells - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=cells) & 1).astype(np.uint8)).tobytes()
 
@@ -110,41 +135,41 @@ def folded(sketch: bytes, size: int = SKETCH // 8) -> np.ndarray:
     return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, size))
 
 
-def may_link(x: bytes, y: bytes, total: int) -> bool:
+def may_link(x: bytes, y: bytes, total: int, rule: Rule = RULE) -> bool:
     """Whether sets with these sketches and ``total`` elements may be linked."""
     if len(x) != len(y):
         size = min(len(x), len(y))
         x, y = folded(x, size).tobytes(), folded(y, size).tobytes()
-    return 19 * (int.from_bytes(x) ^ int.from_bytes(y)).bit_count() <= total
+    return rule.may_differ((int.from_bytes(x) ^ int.from_bytes(y)).bit_count(), total)
 
 
-def subset_rows(n: int) -> int:
-    return sum(comb(n, i) for i in range(n // 10 + 1))
+def subset_rows(n: int, rule: Rule = RULE) -> int:
+    return sum(comb(n, i) for i in range(rule.depth(n) + 1))
 
 
-def boundary(sizes: dict[int, int]) -> int:
+def boundary(sizes: dict[int, int], rule: Rule = RULE) -> int:
     """Largest light size: subsets cost their rows; a heavy set costs its
     places in lists, each of which may lead to a check of the whole set."""
     costs = []
     for x in range(MAX_LIGHT + 1):
-        light = sum(c * subset_rows(n) for n, c in sizes.items() if n <= x)
-        heavy = sum(c * (n // 10 + 1) * (n + 1) for n, c in sizes.items() if x < n <= MAX_LIGHT)
+        light = sum(c * subset_rows(n, rule) for n, c in sizes.items() if n <= x)
+        heavy = sum(c * (rule.depth(n) + 1) * (n + 1) for n, c in sizes.items() if x < n <= MAX_LIGHT)
         costs.append(light + heavy)
     return int(np.argmin(costs))
 
 
-def _light_rows(docs: DataFrame, largest: int) -> DataFrame:
+def _light_rows(docs: DataFrame, largest: int, rule: Rule) -> DataFrame:
     """(k1, k2, m, extra, s): subsets of sets of at most ``largest``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from itertools import combinations
         for part in slabs(batches, "text"):
             k1, k2, m, extra, own = [], [], [], [], []
-            for key, values in distinct_sets(part).items():
+            for key, values in distinct_sets(part, rule.width).items():
                 n = len(values)
                 if n > largest:
                     continue
                 a, b = mix(values ^ SALTS[2]), mix(values ^ SALTS[3])
-                for i in range(n // 10 + 1):
+                for i in range(rule.depth(n) + 1):
                     left_out = np.array(list(combinations(range(n), i)), np.int64).reshape(comb(n, i), i)
                     k1.append(a.sum(dtype=U) - a[left_out].sum(axis=1, dtype=U))
                     k2.append(np.bitwise_xor.reduce(b) ^ np.bitwise_xor.reduce(b[left_out], axis=1))
@@ -160,26 +185,27 @@ def _light_rows(docs: DataFrame, largest: int) -> DataFrame:
     return docs.mapInArrow(run, "k1 bigint, k2 bigint, m int, extra int, s binary")
 
 
-def light_links(docs: DataFrame, largest: int) -> DataFrame:
-    rows = staged(_light_rows(docs, largest).distinct(), "subsets")
+def light_links(docs: DataFrame, largest: int, rule: Rule) -> DataFrame:
+    rows = staged(_light_rows(docs, largest, rule).distinct(), "subsets")
     least = staged(rows.groupBy("k1", "k2").agg(F.min(F.struct("extra", "s")).alias("e"), F.count("*").alias("c"))
                    .where("c > 1").select("k1", "k2", "e"), "subset-leaders")
     return (rows.join(least, ["k1", "k2"])
-            .where("s <> e.s AND 9 * (extra + e.extra) <= m").select(F.col("s").alias("a"), F.col("e.s").alias("b")))
+            .where(f"s <> e.s AND {rule.percent} * (extra + e.extra) <= {100 - rule.percent} * m").select(F.col("s").alias("a"), F.col("e.s").alias("b")))
 
 
 class Leaders:
     """Compares the sets of one group with the group's leaders. A set that
     links with none becomes a leader itself, up to ``LEADERS``."""
 
-    def __init__(self):
+    def __init__(self, rule: Rule):
+        self.rule = rule
         self.sets: list[tuple[bytes, np.ndarray]] = []
 
     def add(self, key: bytes, values: np.ndarray) -> tuple[list[bytes], bool]:
         """Up to ``ENOUGH`` leaders that link with the set; whether it now leads."""
         found = []
         for k, other in self.sets:
-            if linked(values, other):
+            if linked(values, other, self.rule):
                 found.append(k)
                 if len(found) == ENOUGH:
                     break
@@ -189,13 +215,13 @@ class Leaders:
         return found, lead
 
 
-def leader_links(docs: DataFrame, larger_than: int, bits: int) -> DataFrame:
+def leader_links(docs: DataFrame, larger_than: int, bits: int, rule: Rule) -> DataFrame:
     """Links of sets with leaders of their min-hash groups (some links, not
     all: they only unite near copies early)."""
     schema = "group bigint, s binary, data binary, other binary"
 
     def keys(batch: pa.RecordBatch) -> np.ndarray:
-        found = [[min_hash(v, k) for v in distinct_sets(p).values() if len(v) > larger_than for k in (0, 1)]
+        found = [[min_hash(v, k) for v in distinct_sets(p, rule.width).values() if len(v) > larger_than for k in (0, 1)]
                  for p in slabs([batch], "text")]
         return np.array([x for f in found for x in f], U)
 
@@ -211,20 +237,20 @@ def leader_links(docs: DataFrame, larger_than: int, bits: int) -> DataFrame:
         for part in slabs(batches, "text"):
             groups: dict[int, Leaders] = {}
             out = []
-            many = {k: v for k, v in distinct_sets(part).items() if len(v) > larger_than}
+            many = {k: v for k, v in distinct_sets(part, rule.width).items() if len(v) > larger_than}
             for salt in (0, 1):
                 hashes = np.array([min_hash(v, salt) for v in many.values()], U)
                 for (key, values), h, yes in zip(many.items(), hashes.view(np.int64).tolist(),
                                                  repeated.repeated(hashes)):
                     if yes:
-                        found, lead = groups.setdefault(h, Leaders()).add(key, values)
+                        found, lead = groups.setdefault(h, Leaders(rule)).add(key, values)
                         out += [(h, key, None, other) for other in found]
                         if lead:
                             out.append((h, key, values.tobytes(), None))
             yield rows_of(out)
 
     def second_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, leaders, last = None, Leaders(), None
+        group, leaders, last = None, Leaders(rule), None
         for batch in batches:
             out = []
             for h, key, data, other in zip(*(batch.column(c).to_pylist() for c in range(4))):
@@ -232,7 +258,7 @@ def leader_links(docs: DataFrame, larger_than: int, bits: int) -> DataFrame:
                     out.append((key, other))
                     continue
                 if h != group:
-                    group, leaders, last = h, Leaders(), None
+                    group, leaders, last = h, Leaders(rule), None
                 if key != last:                          # copies of one set follow one another
                     out += [(key, x) for x in leaders.add(key, np.frombuffer(data, U))[0]]
                     last = key
@@ -243,19 +269,19 @@ def leader_links(docs: DataFrame, larger_than: int, bits: int) -> DataFrame:
             .mapInArrow(second_round, "a binary, b binary"))
 
 
-def _postings(docs: DataFrame, smallest: int, counts, bits: int, mean: float) -> DataFrame:
+def _postings(docs: DataFrame, smallest: int, counts, bits: int, mean: float, rule: Rule) -> DataFrame:
     """(token, s, n): sets of at least ``smallest`` in the lists of their
     rarest shingles, where another set of fitting size stands too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
         for part in slabs(batches, "text"):
             token, own, size = [], [], []
-            for key, values in distinct_sets(part).items():
+            for key, values in distinct_sets(part, rule.width).items():
                 n = len(values)
                 if n < smallest:
                     continue
                 level = np.log2(1 + table[(values >> U(64 - bits)).astype(np.int64)] / mean).astype(np.int64)
-                take = n // 10 + 1
+                take = rule.depth(n) + 1
                 chosen = values[np.lexsort((values, level))[:take]]
                 token.append(chosen.view(np.int64))
                 own += [key] * take
@@ -277,7 +303,7 @@ def _postings(docs: DataFrame, smallest: int, counts, bits: int, mean: float) ->
             new[1:] = (token[1:] != token[:-1]) | np.array([x != y for x, y in zip(own[1:], own)], bool)
             batch = batch.filter(pa.array(new))
             token, n = token[new], batch.column("n").to_numpy().astype(np.int64)
-            near = (token[1:] == token[:-1]) & (10 * n[:-1] >= 9 * n[1:])
+            near = (token[1:] == token[:-1]) & rule.fits(n[:-1], n[1:])
             stays = np.zeros(len(token), bool)
             stays[0] = wanted
             stays[:-1] |= near
@@ -296,8 +322,8 @@ class _List:
     """One inverted list, read in order of size: (set, component, size,
     sketch). Rows that are too small for what follows are forgotten."""
 
-    def __init__(self, token: int):
-        self.token, self.held, self.fresh = token, [], []
+    def __init__(self, token: int, rule: Rule = RULE):
+        self.token, self.rule, self.held, self.fresh = token, rule, [], []
 
     def add(self, row: tuple, out: set) -> None:
         self.fresh.append(row)
@@ -309,32 +335,32 @@ class _List:
         fresh, self.fresh = self.fresh, []
         if not fresh:
             return
-        self.held = [r for r in self.held if 10 * r[2] >= 9 * fresh[0][2]]
+        self.held = [r for r in self.held if self.rule.fits(r[2], fresh[0][2])]
         if len({r[1] for r in (*self.held, *fresh)}) > 1:
-            self._block(fresh, fresh, True, out)
+            self._block(fresh, fresh, True, out, self.rule)
             for lo in range(0, len(self.held), LIST_BLOCK):
-                self._block(fresh, self.held[lo:lo + LIST_BLOCK], False, out)
+                self._block(fresh, self.held[lo:lo + LIST_BLOCK], False, out, self.rule)
         self.held += fresh
 
     @staticmethod
-    def _block(a: list, b: list, same: bool, out: set) -> None:
+    def _block(a: list, b: list, same: bool, out: set, rule: Rule) -> None:
         if len(a) * len(b) <= 256:
             found = ((x, y) for i, x in enumerate(a) for y in (b[:i] if same else b)
-                     if x[1] != y[1] and 10 * min(x[2], y[2]) >= 9 * max(x[2], y[2]))
+                     if x[1] != y[1] and rule.fits(min(x[2], y[2]), max(x[2], y[2])))
         else:
             n, m = (np.array([r[2] for r in rows], np.int64) for rows in (a, b))
             roots, others = (np.array([r[1] for r in rows], np.int64) for rows in (a, b))
             x, y = (np.unpackbits(np.array([folded(r[3]) for r in rows]), axis=1).astype(np.float32) for rows in (a, b))
             apart = x.sum(axis=1)[:, None] + y.sum(axis=1)[None] - 2 * (x @ y.T)
             n, m = n[:, None], m[None]
-            ok = (roots[:, None] != others[None]) & (10 * np.minimum(n, m) >= 9 * np.maximum(n, m)) & (19 * apart <= n + m)
+            ok = (roots[:, None] != others[None]) & rule.fits(np.minimum(n, m), np.maximum(n, m)) & rule.may_differ(apart, n + m)
             if same:
                 ok &= np.tri(len(a), k=-1, dtype=bool)
             found = ((a[i], b[j]) for i, j in zip(*np.nonzero(ok)))
-        out.update((min(x[0], y[0]), max(x[0], y[0])) for x, y in found if may_link(x[3], y[3], x[2] + y[2]))
+        out.update((min(x[0], y[0]), max(x[0], y[0])) for x, y in found if may_link(x[3], y[3], x[2] + y[2], rule))
 
 
-def _candidates(postings: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+def _candidates(postings: DataFrame, labels: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): sets of different components that share a list and may be
     linked by size and sketch, each pair once."""
     rooted = staged(postings.join(labels.select(F.col("node").alias("s"), "root"), "s", "left")
@@ -344,7 +370,7 @@ def _candidates(postings: DataFrame, labels: DataFrame, classes: DataFrame) -> D
     kept = rooted.join(mixed, "token", "left_semi").select("token", "s", "n", "root")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, told = _List(0), set()          # pairs of earlier batches, as many as memory allows
+        now, told = _List(0, rule), set()          # pairs of earlier batches, as many as memory allows
         out: set[tuple[bytes, bytes]] = set()
 
         def rows() -> pa.RecordBatch:
@@ -360,7 +386,7 @@ def _candidates(postings: DataFrame, labels: DataFrame, classes: DataFrame) -> D
             for token, *row in zip(*(batch.column(c).to_pylist() for c in ("token", "s", "root", "n", "sketch"))):
                 if token != now.token:
                     now.meet(out)
-                    now = _List(token)
+                    now = _List(token, rule)
                 now.add(tuple(row), out)
             yield rows()
         now.meet(out)
@@ -370,7 +396,7 @@ def _candidates(postings: DataFrame, labels: DataFrame, classes: DataFrame) -> D
             .mapInArrow(scan, "a binary, b binary").distinct())
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """Pairs whose whole sets are linked. A bloom table of the keys asked for
     picks the texts whose sets travel."""
     asked = pairs.select(F.col("a").alias("s")).union(pairs.select(F.col("b").alias("s"))).distinct()
@@ -382,7 +408,7 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = RepeatSketch(bits, shared.value)
         for part in slabs(batches, "text"):
-            have = distinct_sets(part)
+            have = distinct_sets(part, rule.width)
             keys = [k for k, yes in zip(have, table.contains(head(have))) if yes] if have else []
             yield pa.record_batch([pa.array(keys, pa.binary()), pa.array([have[k].tobytes() for k in keys], pa.binary())],
                                   names=["s", "data"])
@@ -399,7 +425,7 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("a", "b", "x", "y")))
-            ok = [linked(np.frombuffer(x, U), np.frombuffer(y, U)) for _, _, x, y in rows]
+            ok = [linked(np.frombuffer(x, U), np.frombuffer(y, U), rule) for _, _, x, y in rows]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     sets = staged(docs.mapInArrow(run, "s binary, data binary").repartition("s").sortWithinPartitions("s")
@@ -409,17 +435,19 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             .mapInArrow(check, "a binary, b binary"))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
+                       percent: int = 90) -> DataFrame:
     """(id, n_shingles, component_id) for every row."""
+    rule = Rule(width, percent)
     texts = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slabs(batches, "text"):
-            sets = sets_of(part.column("text"))
+            sets = sets_of(part.column("text"), width)
             yield pa.record_batch([part.column("id"), pa.array([len(s) for s in sets], pa.int64()),
                                    pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
-                                   pa.array([parity(s) if len(s) else None for s in sets], pa.binary())],
+                                   pa.array([parity(s, rule) if len(s) else None for s in sets], pa.binary())],
                                   names=["id", "n_shingles", "s", "sketch"])
 
     rows = staged(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -427,22 +455,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = staged(rows.where("s is not null").groupBy("s")
                      .agg(F.min("id").alias("low"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch")), "set-classes")
     sizes = {r["n"]: r["c"] for r in classes.where(f"n <= {MAX_LIGHT}").groupBy("n").agg(F.count("*").alias("c")).collect()}
-    light = boundary(sizes)
+    light = boundary(sizes, rule)
     size = text_bytes(texts, "text")
     bits = min(COUNT_BITS, max(16, int(max(1, size // 40)).bit_length()))
 
     def shingles(batch: pa.RecordBatch) -> np.ndarray:
-        found = [s for p in slabs([batch], "text") for s in distinct_sets(p).values()]
+        found = [s for p in slabs([batch], "text") for s in distinct_sets(p, width).values()]
         return np.concatenate(found) if found else np.zeros(0, U)
 
     table = build_counts(texts, shingles, bits)
     counts = texts.sparkSession.sparkContext.broadcast(table)
-    early = components(light_links(texts, light).union(
-        leader_links(texts, light, bits_for(2 * classes.count(), 0.1))))
-    smallest = -(-9 * (light + 1) // 10)
-    pairs = staged(_candidates(_postings(texts, smallest, counts, bits, 1 + float(table.mean())), early, classes),
+    early = components(light_links(texts, light, rule).union(
+        leader_links(texts, light, bits_for(2 * classes.count(), 0.1), rule)))
+    smallest = -(-percent * (light + 1) // 100)
+    pairs = staged(_candidates(_postings(texts, smallest, counts, bits, 1 + float(table.mean()), rule), early, classes,
+                                rule),
                    "candidates")
-    links = _verified(texts, pairs)
+    links = _verified(texts, pairs, rule)
     labels = components(links.union(early.where("node <> root").select("node", "root")))
     lowest = classes.join(labels.withColumnRenamed("node", "s"), "s", "left") \
         .select("s", "low", F.coalesce("root", "s").alias("root"))

@@ -37,7 +37,7 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -360,6 +360,52 @@ def test_pipeline_stages(spark, docs, nothing, tmp_path):
     assert len(ids) == len(set(ids)) and len(ids) > 20
 
 
+def _brute_components(texts, width, percent):
+    sets = {}
+    for d, t in texts.items():
+        w = re.findall(WORD, _lower(t))
+        sets[d] = frozenset(tuple(w[i:i + width]) for i in range(len(w) - width + 1)) or frozenset([tuple(w)] if w else [])
+    root = {d: d for d in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if b < a and both and 100 * both >= percent * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {d: find(d) for d in root}
+
+
+def test_near_copies_stage_takes_five_words_and_four_fifths(spark):
+    """Copies that three words and 0.9 do not link go; others stay."""
+    import corpus_pipeline as C
+    workers_import(spark, E.ROOT)
+    rnd = random.Random(8)
+    words = ["".join(rnd.choice("abcdeilnorst") for _ in range(6)) for _ in range(3000)]
+    texts = []
+    for n in (6, 12, 20, 28, 50, 50, 90, 150, 320, 700):
+        own = [rnd.choice(words) for _ in range(n)]
+        texts.append(own)
+        for changes in (1, 1, 2, 3, n // 40 + 1, n // 25 + 1):
+            near = list(own)
+            for _ in range(changes):
+                near[rnd.randrange(n)] = rnd.choice(words)
+            texts.append(near)
+        texts += [own[n // 8:], own[n // 4:]]
+    texts = {i: " ".join(t) for i, t in enumerate(texts)}
+    want, strict = (_brute_components(texts, *rule) for rule in ((5, 80), (3, 90)))
+    docs = spark.createDataFrame([(d, t) for d, t in texts.items()], "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in C.one_of_each(spark, docs, "").collect()}
+    assert kept == set(want.values())
+    assert len(kept) < len(set(strict.values())) - 5
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+    assert got == strict
+
+
 def test_entry_registers_one_query_per_operator():
     names = E.queries()
     assert {n for n in names if re.match(r"op\d+_", n)} == {
