@@ -2,8 +2,9 @@
 
 Vectors are compared within a label by cosine, in double precision. Equal
 vectors are one node. A first neighbour graph comes from ``TREES`` random
-sign signatures: nodes of one signature, ordered along a further random
-direction, are compared in runs of ``RUN``. Then the graph is refined: the
+sign signatures, with bits by the number of the label's own nodes: nodes of
+one signature, ordered along a further random direction, are compared in runs
+of ``RUN``. Then the graph is refined: the
 neighbours of a node (its list and the lists that it stands in) are joined
 with one another, and every node keeps its best ``k``. Links (cosine of at
 least the threshold) are kept whenever they are met, beside the lists.
@@ -82,6 +83,11 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: list[str]):
         yield now, held
 
 
+def with_bits(classes: DataFrame) -> DataFrame:
+    """``bits`` of the signatures of a class of ``n`` nodes: leaves of about half a run."""
+    return classes.withColumn("bits", F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / (RUN / 2)))).cast("int"))
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, id_col: str = "vec_id",
                     vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(id, n_links, component_id, kept) for every row."""
@@ -109,16 +115,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, id_
     nodes = staged(table.where("node is not null").groupBy("node")
                    .agg(F.first("label").alias("label"), F.first("v").alias("v"), F.min("id").alias("low"),
                         F.count("*").alias("copies")), "nodes")
-    most = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
-    bits = max(0, int(np.ceil(np.log2(max(1, most) / (RUN / 2)))))
+    # Only nodes of one label and length are compared: each such class has bits by its own size.
+    classes = staged(with_bits(nodes.groupBy("label", F.length("v").alias("bytes")).agg(F.count("*").alias("n"))), "classes")
+    sized = nodes.select("node", "label", "v", F.length("v").alias("bytes")).join(classes, ["label", "bytes"])
 
     def planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            data = batch.column("v").to_pylist()
-            for size in sorted({len(d) for d in data}):
-                at = [i for i, d in enumerate(data) if len(d) == size]
+            data, depth = batch.column("v").to_pylist(), batch.column("bits").to_pylist()
+            for size, bits in sorted({(len(d), b) for d, b in zip(data, depth)}):
+                at = [i for i, d in enumerate(data) if len(d) == size and depth[i] == bits]
                 m = _unit([data[i] for i in at])
                 part = batch.take(pa.array(at))
                 for tree in range(TREES):
@@ -130,7 +137,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, id_
                         part.column("node"), part.column("label"), part.column("v")],
                         names=["leaf", "along", "node", "label", "v"])
 
-    leaves = nodes.select("node", "label", "v").mapInArrow(planted, f"leaf string, along double, {NODE}")
+    leaves = sized.select("node", "label", "v", "bits").mapInArrow(planted, f"leaf string, along double, {NODE}")
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Consecutive nodes of a leaf, RUN at a time; the streams are sorted."""

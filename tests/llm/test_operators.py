@@ -305,6 +305,30 @@ def test_neighbours(spark):
     assert neighbours.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def _pairs_table(spark, sizes, seed=11):
+    """Labels of so many (vectors, pairs): vectors apart from one another, some with one near copy."""
+    rnd = np.random.default_rng(seed)
+    rows, links = [], {}
+    for label, (n, pairs) in enumerate(sizes):
+        x = rnd.standard_normal((n, 64))
+        x[1:2 * pairs:2] = x[:2 * pairs:2] + 0.33 * rnd.standard_normal((pairs, 64))
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        near = np.flatnonzero((unit[:2 * pairs:2] * unit[1:2 * pairs:2]).sum(1) >= 0.93)
+        links.update({len(rows) + 2 * int(i) + k: len(rows) + 2 * int(i) for i in near for k in (0, 1)})
+        rows += [(len(rows) + i, v.tolist(), label) for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4), links
+
+
+def test_signature_bits_follow_each_labels_own_size(spark):
+    """Small labels beside a hot one keep all their links."""
+    workers_import(spark, E.ROOT)
+    classes = spark.createDataFrame([("hot", 20000), ("small", 500), ("one", 1)], "label string, n long")
+    assert {r.label: r.bits for r in neighbours.with_bits(classes).collect()} == {"hot": 9, "small": 3, "one": 0}
+    table, links = _pairs_table(spark, [(6000, 0), (500, 250), (300, 100)])
+    got = {r.vec_id: r.component_id for r in neighbours.near_duplicates(table).where("n_links > 0").collect()}
+    assert len(links) > 400 and got == links
+
+
 def test_url_filters_as_of(spark):
     entries = spark.createDataFrame(
         [("bad.example.com", 10, "add"), ("bad.example.com", 20, "remove"), ("bad.example.com", 30, "add"),
