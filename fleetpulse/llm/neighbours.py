@@ -1,7 +1,7 @@
 """Embedding near-dedup by NN-descent.
 
 Vectors are compared within a label by cosine, in double precision. Equal
-vectors are one node. A first neighbour graph comes from ``TREES`` random
+vectors are one node. A first neighbour graph comes from ``TREES`` or more random
 sign signatures, with bits by the number of the label's own nodes: nodes of
 one signature, ordered along a further random direction, are compared in runs
 of ``RUN``. Then the graph is refined: the
@@ -13,9 +13,16 @@ A list whose last entry still reaches the threshold is saturated: it cannot
 show all links. Saturated or not, a link never leaves its component, so the
 list of a node is enlarged to its whole component: components are compared
 in blocks of ``BLOCK`` nodes, which counts every link exactly without a row
-for each pair. An audit compares ``AUDIT`` nodes, chosen by a hash, with all
-rows; while fewer than ``RECALL`` of their links were found, lists double
-and refinement goes on (up to ``ROUNDS`` rounds).
+for each pair.
+
+An audit compares nodes of every label, chosen by a hash, with all nodes of
+it, in blocks: ``AUDIT`` of them, and four times as many as long as fewer than
+``LINKED`` have links at all. A label that is audited whole (small ones are at
+once) is exact by that. Any other is done when its audited nodes with links
+have found ``RECALL`` of them, a mean over nodes; until then it gets fresh
+trees, more of them the more bits they have, its lists double, and refinement
+goes on. Labels that are not done after ``ROUNDS`` rounds are compared whole,
+in blocks.
 
 Defined cases: rows with a null label, a null or zero vector, or null or
 non-finite components link with nothing; vectors of different lengths never
@@ -34,7 +41,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetpulse.llm.tables import components, staged
 
-TREES, RUN, BLOCK, AUDIT, RECALL, ROUNDS = 4, 128, 256, 200, 0.98, 4
+TREES, RUN, BLOCK, AUDIT, LINKED, RECALL, ROUNDS = 4, 128, 256, 200, 100, 0.98, 4
 NODE = "node string, label string, v binary"
 
 
@@ -83,6 +90,21 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: list[str]):
         yield now, held
 
 
+def _forest(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (first, second) that leave the components of a block as they
+    are, with places of rows and then of columns."""
+    n = len(hit)
+    low = np.arange(n + hit.shape[1])
+    while True:
+        rows = np.minimum(low[:n], np.where(hit, low[n:][None], len(low)).min(axis=1, initial=len(low)))
+        cols = np.minimum(low[n:], np.where(hit, rows[:, None], len(low)).min(axis=0, initial=len(low)))
+        new = np.concatenate([rows, cols])
+        if (new == low).all():
+            first = np.flatnonzero(low != np.arange(len(low)))
+            return first, low[first]
+        low = new
+
+
 def with_bits(classes: DataFrame) -> DataFrame:
     """``bits`` of the signatures of a class of ``n`` nodes: leaves of about half a run."""
     return classes.withColumn("bits", F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / (RUN / 2)))).cast("int"))
@@ -119,7 +141,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, id_
     classes = staged(with_bits(nodes.groupBy("label", F.length("v").alias("bytes")).agg(F.count("*").alias("n"))), "classes")
     sized = nodes.select("node", "label", "v", F.length("v").alias("bytes")).join(classes, ["label", "bytes"])
 
-    def planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def planted(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -128,7 +150,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, id_
                 at = [i for i, d in enumerate(data) if len(d) == size and depth[i] == bits]
                 m = _unit([data[i] for i in at])
                 part = batch.take(pa.array(at))
-                for tree in range(TREES):
+                for tree in (turn * 64 + k for k in range(max(TREES, bits))):
                     plane = np.random.default_rng([size, tree]).standard_normal((m.shape[1], bits + 1))
                     p = m @ plane
                     sign = (p[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(at), int)
@@ -137,8 +159,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, id_
                         part.column("node"), part.column("label"), part.column("v")],
                         names=["leaf", "along", "node", "label", "v"])
 
-    leaves = sized.select("node", "label", "v", "bits").mapInArrow(planted, f"leaf string, along double, {NODE}")
-
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Consecutive nodes of a leaf, RUN at a time; the streams are sorted."""
         now, held = None, []
@@ -165,10 +185,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, id_
         return (pairs.groupBy("a", "b").agg(F.max("sim").alias("sim")).withColumn("place", F.row_number().over(order))
                 .where(F.col("place") <= size).select("a", "b", "sim"))
 
-    found = staged(leaves.repartition("label", "leaf").sortWithinPartitions("label", "leaf", "along")
-                   .mapInArrow(runs, "a string, b string, sim double"), "first-graph")
-    graph = staged(lists(found, k), "graph")
-    links = staged(found.where(F.col("sim") >= threshold).select("a", "b"), "links")
+    def from_trees(pending: DataFrame, turn: int) -> DataFrame:
+        leaves = pending.select("node", "label", "v", "bits").mapInArrow(
+            lambda batches: planted(batches, turn), f"leaf string, along double, {NODE}")
+        return staged(leaves.repartition("label", "leaf").sortWithinPartitions("label", "leaf", "along")
+                      .mapInArrow(runs, "a string, b string, sim double"), "trees")
 
     def join_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = ([], [], [])
@@ -180,51 +201,92 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, id_
         if out[0]:
             yield _pairs(*out)
 
-    def audited(labels: DataFrame) -> float:
-        """Share of the audit nodes' links that join nodes of one component."""
-        chosen = nodes.orderBy(F.xxhash64("node")).limit(AUDIT).select("node", "label", "v").collect()  # bounded
-        by: dict[tuple[str, int], list] = {}
-        for r in chosen:
-            by.setdefault((r["label"], len(r["v"])), []).append((r["node"], bytes(r["v"])))
-
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                label, data, node = (batch.column(c).to_pylist() for c in ("label", "v", "node"))
-                out = ([], [], [])
-                for (lab, size), own in by.items():
-                    at = [i for i in range(len(node)) if label[i] == lab and len(data[i]) == size]
-                    if at:
-                        sims = _unit([data[i] for i in at]) @ _unit([v for _, v in own]).T
-                        for i, j in zip(*np.nonzero(sims >= threshold)):
-                            if node[at[i]] != own[j][0]:
-                                out[0].append(own[j][0])
-                                out[1].append(node[at[i]])
-                                out[2].append(float(sims[i, j]))
-                yield _pairs(*out)
+    one = F.pmod(F.xxhash64(F.lit("audit"), "node"), F.lit(1 << 30)) / float(1 << 30)
+    sets = ["label", "bytes"]
+
+    def compared(asked: DataFrame, forest: bool) -> DataFrame:
+        """(label, bytes, a, b): links of the nodes whose hash lies between
+        ``done`` and ``upto`` of their class, or as many as unite the same."""
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for (label, size, *_), group in _grouped(batches, [*sets, "i", "j"]):
+                own, rows = ([r for r in group if r["asks"] == asks] for asks in (True, False))
+                if not own or not rows:
+                    continue
+                hit = _unit([r["v"] for r in own]) @ _unit([r["v"] for r in rows]).T >= threshold
+                names = [r["node"] for r in own], [r["node"] for r in rows]
+                if forest:
+                    both = [*names[0], *names[1]]
+                    pairs = [(both[x], both[y]) for x, y in zip(*_forest(hit))]
+                else:
+                    pairs = [(names[0][x], names[1][y]) for x, y in zip(*np.nonzero(hit))]
+                pairs = [p for p in pairs if p[0] != p[1]]
+                yield _rows({"label": ([label] * len(pairs), pa.string()), "bytes": ([size] * len(pairs), pa.int32()),
+                             "a": ([p[0] for p in pairs], pa.string()), "b": ([p[1] for p in pairs], pa.string())})
+
+        here = sized.join(asked.select(*sets, "done", "upto"), sets)
+        rows = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
+        asks = F.greatest(F.lit(1), F.ceil(F.col("n") * (F.col("upto") - F.col("done")) / BLOCK)).cast("int")
+        place = lambda name, many: F.pmod(F.xxhash64(F.lit(name), "node"), many).cast("int")
+        each = lambda many: F.explode(F.sequence(F.lit(0), many - 1))
+        cols = [*sets, "i", "j", "asks", "node", "v"]
+        dealt = here.where((one >= F.col("done")) & (one < F.col("upto"))) \
+            .select("*", place("asks", asks).alias("i"), each(rows).alias("j"), F.lit(True).alias("asks")).select(*cols) \
+            .union(here.select("*", each(asks).alias("i"), place("rows", rows).alias("j"), F.lit(False).alias("asks")).select(*cols))
+        return staged(dealt.repartition(*sets, "i", "j").sortWithinPartitions(*sets, "i", "j")
+                      .mapInArrow(meet, "label string, bytes int, a string, b string"), "compared")
+
+    # What the audit is held against: the links of nodes chosen by a hash, until enough have some.
+    asked = classes.withColumn("done", F.lit(0.0)).withColumn(
+        "upto", F.when(F.col("n") <= 2 * BLOCK, 1.0).otherwise(F.lit(float(AUDIT)) / F.col("n")))
+    truth, pending = None, None
+    while True:
+        got = compared(asked, False)
+        truth = got if truth is None else truth.union(got)
+        linked = truth.groupBy(*sets).agg(F.count_distinct("a").alias("linked"))
+        judged = staged(asked.join(linked, sets, "left")
+                        .withColumn("enough", F.coalesce(F.col("linked") >= LINKED, F.lit(False))).drop("linked"), "judged")
+        some = judged.where("upto < 1 AND enough").drop("enough")
+        pending = some if pending is None else pending.union(some)
+        asked = judged.where("upto < 1 AND NOT enough").drop("enough").withColumn("done", F.col("upto")) \
+            .withColumn("upto", F.least(F.lit(1.0), 4 * F.col("upto")))
+        if asked.isEmpty():
+            break
 
-        true = nodes.select("node", "label", "v").mapInArrow(compare, "a string, b string, sim double")
-        root = labels.select(F.col("node"), "root")
-        both = true.join(root.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left") \
-            .join(root.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left") \
-            .agg(F.count("*").alias("n"), F.count_if(F.col("ra") == F.col("rb")).alias("hit")).first()
-        return both["hit"] / both["n"] if both["n"] else 1.0
+    def missing(pending: DataFrame, labels: DataFrame) -> DataFrame:
+        """Classes whose audited nodes lack links: a mean over nodes of the
+        share of their links that join nodes of one component."""
+        root = lambda name: labels.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+        share = (truth.join(root("a"), "a", "left").join(root("b"), "b", "left").groupBy(*sets, "a")
+                 .agg(F.avg(F.coalesce(F.col("root_a") == F.col("root_b"), F.lit(False)).cast("double")).alias("share"))
+                 .groupBy(*sets).agg(F.avg("share").alias("share")))
+        return staged(pending.join(share, sets).where(F.col("share") < RECALL).drop("share"), "pending")
 
-    size, labels = k, None
+    size, graph, links = k, None, None
     for turn in range(ROUNDS):
+        if pending.isEmpty():
+            break
+        waiting = staged(sized.join(pending.select(*sets), sets, "left_semi"), "waiting")
+        found = from_trees(waiting, turn)
+        fresh = found.where(F.col("sim") >= threshold).select("a", "b")
+        links = fresh if links is None else links.union(fresh)
+        graph = found if graph is None else found.union(graph.join(waiting.select(F.col("node").alias("a")), "a", "left_semi")
+                                                        .select("a", "b", "sim"))
+        graph = staged(lists(graph, size), "graph")
         either = graph.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "sim") \
             .union(graph.select(F.col("b").alias("pivot"), F.col("a").alias("node"), "sim"))
         near = F.row_number().over(Window.partitionBy("pivot").orderBy(F.desc("sim"), "node"))
         members = (either.groupBy("pivot", "node").agg(F.max("sim").alias("sim")).withColumn("place", near)
                    .where(F.col("place") <= 2 * size).select("pivot", "node")
-                   .union(nodes.select(F.col("node").alias("pivot"), "node")))
+                   .union(waiting.select(F.col("node").alias("pivot"), "node")))
         met = staged(members.join(nodes.select("node", "v"), "node").repartition("pivot").sortWithinPartitions("pivot")
                      .mapInArrow(join_neighbours, "a string, b string, sim double"), "met")
         links = staged(links.union(met.where(F.col("sim") >= threshold).select("a", "b")).distinct(), "links")
-        labels = components(links)
-        if audited(labels) >= RECALL:
-            break
+        pending = missing(pending, components(links))
         graph = staged(lists(graph.union(met), 2 * size), "graph")
         size *= 2
+    rest = pending.withColumn("done", F.col("upto")).withColumn("upto", F.lit(1.0))
+    all_links = truth.select("a", "b").union(compared(rest, True).select("a", "b"))
+    labels = components(all_links if links is None else all_links.union(links))
 
     # Every node's list becomes its component, compared in blocks.
     sizes = labels.groupBy("root").agg(F.count("*").alias("size"))

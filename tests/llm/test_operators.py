@@ -329,6 +329,34 @@ def test_signature_bits_follow_each_labels_own_size(spark):
     assert len(links) > 400 and got == links
 
 
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_recall_is_secured_where_links_are_rare(spark, monkeypatch, rounds):
+    """One node in a hundred has a link: the audit asks until it sees some, and
+    what rounds do not find is compared whole."""
+    workers_import(spark, E.ROOT)
+    monkeypatch.setattr(neighbours, "ROUNDS", rounds)
+    monkeypatch.setattr(neighbours, "LINKED", 20)
+    monkeypatch.setattr(neighbours, "RECALL", 1.0)
+    table, links = _pairs_table(spark, [(3000, 30), (1200, 300)])
+    got = {r.vec_id: r.component_id for r in neighbours.near_duplicates(table).where("n_links > 0").collect()}
+    assert len(links) > 300 and got == links
+
+
+def test_block_forest_keeps_components():
+    rnd = np.random.default_rng(3)
+    for share in (0.0, 0.02, 0.2):
+        hit = rnd.random((40, 50)) < share
+        first, second = neighbours._forest(hit)
+        low = []
+        for links in ([(i, 40 + j) for i, j in zip(*np.nonzero(hit))], list(zip(first, second))):
+            root = list(range(90))
+            for _ in range(90):
+                for x, y in links:
+                    root[x] = root[y] = min(root[x], root[y])
+            low.append(root)
+        assert low[0] == low[1] and len(first) < 90
+
+
 def test_url_filters_as_of(spark):
     entries = spark.createDataFrame(
         [("bad.example.com", 10, "add"), ("bad.example.com", 20, "remove"), ("bad.example.com", 30, "add"),
