@@ -20,7 +20,9 @@ over the corpus' size histogram.
   sizes whose parity sketches allow the link: a sketch holds, for each of its
   cells, whether an odd number of elements falls there, so two sketches differ
   in no more cells than the sets differ in elements, which for linked sets are
-  (a + b) / 19 at most. What passes is verified on the whole sets.
+  (a + b) / 19 at most. What passes is verified on the whole sets. A long
+  list is dealt in blocks by size class and hash; blocks of one class or
+  neighbouring ones meet in pairs, each pair a group of its own.
 
 Copies: equal sets share one key, and everything is keyed by it. Near copies
 in thousands would make thousands of pairs for each; only components are
@@ -58,6 +60,7 @@ COUNT_BITS = 22          # at most so many bits of counters for rarity
 SKETCH = 256             # cells of a parity sketch
 MOST_APART, MOST_CELLS = 63, 1 << 16  # sets that may differ in more elements have a cell for each, up to a bound
 LIST_BLOCK = 1024        # rows of a list that are compared at a time
+LIST_ROWS = 4096         # a list of more rows is dealt in blocks of about so many, which meet in pairs
 # Salts of the two min-hashes and of the set key's lanes.
 SALTS = (U(0x243F6A8885A308D3), U(0x13198A2E03707344), U(0xA4093822299F31D0), U(0x082EFA98EC4E6C89))
 
@@ -360,6 +363,35 @@ class _List:
         out.update((min(x[0], y[0]), max(x[0], y[0])) for x, y in found if may_link(x[3], y[3], x[2] + y[2], rule))
 
 
+def _dealt(kept: DataFrame, rule: Rule) -> DataFrame:
+    """(token, g, h, second, s, n, root): the rows of long lists, once for
+    every pair of blocks (g, h) that they take part in; ``second`` tells the
+    side. Sizes that fit lie in one class or in neighbouring ones."""
+    ratio = np.log(100 / rule.percent) * 1.000001       # a little wide: rounding never parts sizes that fit
+    rows = kept.withColumn("class", F.floor(F.log("n") / F.lit(float(ratio))))
+    counts = staged(rows.groupBy("token", "class").agg(F.count("*").alias("c")), "list-sizes")
+    long = counts.join(counts.groupBy("token").agg(F.sum("c").alias("all")).where(F.col("all") > LIST_ROWS), "token")
+    blocks = long.select("token", "class", F.ceil(F.col("c") / LIST_ROWS).cast("int").alias("blocks"))
+    around = staged(blocks.join(blocks.select("token", (F.col("class") - 1).alias("class"), F.col("blocks").alias("above")),
+                                ["token", "class"], "left")
+                    .join(blocks.select("token", (F.col("class") + 1).alias("class"), F.col("blocks").alias("below")),
+                          ["token", "class"], "left").fillna(0, ["above", "below"]), "list-blocks")
+    numbers = lambda lo, hi: F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+    name = lambda up, i: F.concat_ws("-", F.col("class") + up, i)
+    meets = lambda g, h, second: F.struct(g.alias("g"), h.alias("h"), F.lit(second).alias("second"))
+    first, zero = F.col("blocks") - 1, F.lit(0)
+    here = name(0, F.col("own"))
+    groups = F.concat(
+        F.transform(numbers(F.col("own"), first), lambda i: meets(here, name(0, i), False)),
+        F.transform(numbers(zero, F.col("own") - 1), lambda i: meets(name(0, i), here, True)),
+        F.transform(numbers(zero, F.col("above") - 1), lambda i: meets(here, name(1, i), False)),
+        F.transform(numbers(zero, F.col("below") - 1), lambda i: meets(name(-1, i), here, True)))
+    return (rows.join(around, ["token", "class"])
+            .withColumn("own", F.pmod(F.xxhash64("s"), F.col("blocks")).cast("int"))
+            .select("token", "s", "n", "root", F.explode(groups).alias("to"))
+            .select("token", "to.g", "to.h", "to.second", "s", "n", "root"))
+
+
 def _candidates(postings: DataFrame, labels: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): sets of different components that share a list and may be
     linked by size and sketch, each pair once."""
@@ -367,7 +399,8 @@ def _candidates(postings: DataFrame, labels: DataFrame, classes: DataFrame, rule
                     .select("token", "s", "n", F.xxhash64(F.coalesce("root", "s")).alias("root")), "postings")
     # Lists within one component have no pair to offer.
     mixed = rooted.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
-    kept = rooted.join(mixed, "token", "left_semi").select("token", "s", "n", "root")
+    kept = staged(rooted.join(mixed, "token", "left_semi").select("token", "s", "n", "root"), "lists")
+    long = kept.groupBy("token").count().where(F.col("count") > LIST_ROWS).select("token")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, told = _List(0, rule), set()          # pairs of earlier batches, as many as memory allows
@@ -392,8 +425,42 @@ def _candidates(postings: DataFrame, labels: DataFrame, classes: DataFrame, rule
         now.meet(out)
         yield rows()
 
-    return (kept.join(classes.select("s", "sketch"), "s").repartition("token").sortWithinPartitions("token", "n")
-            .mapInArrow(scan, "a binary, b binary").distinct())
+    def scan_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Both blocks of a pair, or one with itself; groups come one after another."""
+        now, sides = None, ([], [])
+
+        def pairs() -> pa.RecordBatch:
+            out: set[tuple[bytes, bytes]] = set()
+            first, second = sides
+            alone = now is not None and now[1] == now[2]
+            for i in range(0, len(first), LIST_BLOCK):
+                a = first[i:i + LIST_BLOCK]
+                if alone:
+                    _List._block(a, a, True, out, rule)
+                for j in range(0, i if alone else len(second), LIST_BLOCK):
+                    _List._block(a, (first if alone else second)[j:j + LIST_BLOCK], False, out, rule)
+            cols = list(zip(*sorted(out))) or [(), ()]
+            return pa.record_batch([pa.array(x, pa.binary()) for x in cols], names=["a", "b"])
+
+        for batch in batches:
+            for token, g, h, second, *row in zip(*(batch.column(c).to_pylist() for c in (
+                    "token", "g", "h", "second", "s", "root", "n", "sketch"))):
+                if (token, g, h) != now:
+                    if now is not None:
+                        yield pairs()
+                    now, sides = (token, g, h), ([], [])
+                sides[second].append(tuple(row))
+        if now is not None:
+            yield pairs()
+
+    sketches = classes.select("s", "sketch")
+    found = (kept.join(long, "token", "left_anti").join(sketches, "s").repartition("token")
+             .sortWithinPartitions("token", "n").mapInArrow(scan, "a binary, b binary"))
+    if not long.isEmpty():
+        found = found.union(_dealt(kept.join(long, "token", "left_semi"), rule).join(sketches, "s")
+                            .repartition("token", "g", "h").sortWithinPartitions("token", "g", "h")
+                            .mapInArrow(scan_blocks, "a binary, b binary"))
+    return found.distinct()
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:

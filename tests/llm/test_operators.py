@@ -205,6 +205,41 @@ def test_lists_lose_no_linked_pair():
         assert len(found) < 2 * len(true)
 
 
+def test_long_lists_are_dealt_in_blocks(spark, monkeypatch):
+    """No group of a long list grows with it, and every fitting pair meets once."""
+    workers_import(spark, E.ROOT)
+    monkeypatch.setattr(jaccard, "LIST_ROWS", 50)
+    rnd = random.Random(6)
+    sizes = [rnd.choice((36, 36, 36, 38, 40, 41, 45, 50, 60)) for _ in range(400)]
+    kept = spark.createDataFrame([(7, bytes([i % 256, i // 256]), n, i) for i, n in enumerate(sizes)],
+                                 "token long, s binary, n int, root long")
+    groups = {}
+    for r in jaccard._dealt(kept, jaccard.RULE).collect():
+        groups.setdefault((r.g, r.h), ([], []))[r.second].append(r.root)
+    assert max(len(a) + len(b) for a, b in groups.values()) < 4 * 50
+    met = Counter()
+    for (g, h), (a, b) in groups.items():
+        met.update((min(x, y), max(x, y)) for i, x in enumerate(a) for y in (a[:i] if g == h else b))
+    assert set(met.values()) == {1}
+    assert {(i, j) for j in range(400) for i in range(j) if jaccard.RULE.fits(min(sizes[i], sizes[j]), max(sizes[i], sizes[j]))} <= set(met)
+
+
+def test_templated_family_of_one_long_list(spark, monkeypatch):
+    workers_import(spark, E.ROOT)
+    monkeypatch.setattr(jaccard, "LIST_ROWS", 30)
+    rnd = random.Random(7)
+    words = ["".join(rnd.choice("abcdeilnorst") for _ in range(7)) for _ in range(2000)]
+    base = words[:38]
+    texts = [[*base[:19], w, *base[20:]] for w in words[100:300]]      # one slot changed: 33 of 39, nobody links
+    for t in list(texts[:40]):
+        texts.append(t + [rnd.choice(words)])                         # a word more: 36 of 37, linked
+    texts = {i: " ".join(t) for i, t in enumerate(texts)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+    assert got == _brute_components(texts, 3, 90)
+    assert len(set(got.values())) == 200
+
+
 def test_quality_learns_and_is_defined_everywhere(spark, nothing):
     rnd = random.Random(2)
     good = lambda: " ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(40)) + "."
