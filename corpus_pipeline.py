@@ -7,8 +7,9 @@ again as the next stage's documents. All but the last stage return the
 columns of their input, whatever they are.
 
 Defined cases: see each operator. Rows with a null id pass the join stage;
-of rows that repeat an id one stays; texts emptied by the substring stage
-stay as empty documents; empty tables pass through.
+of rows that are equal in all columns one stays; rows that share an id but not
+their text are documents of their own there; texts emptied by the substring
+stage stay as empty documents; empty tables pass through.
 """
 
 from __future__ import annotations
@@ -40,12 +41,17 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the document with the smallest id stays."""
-    told = staged(jaccard.jaccard_components(docs, **NEAR).where("doc_id is not null").groupBy("doc_id")
-                  .agg(F.count("*").alias("n"), F.min("component_id").alias("low")), "told")
-    alone = docs.join(told.where("n > 1 or low <> doc_id").select("doc_id"), "doc_id", "left_anti").select(*_names(docs))
-    several = docs.join(told.where("n > 1 and low = doc_id").select("doc_id"), "doc_id", "left_semi") \
-        .groupBy("doc_id").agg(F.min(F.struct(*_names(docs))).alias("row")).select("row.*").select(*_names(docs))
+    """Of each component of near copies one row stays, of those with the smallest id."""
+    names = _names(docs)
+    # Rows that share an id are told apart by what they hold.
+    held = F.xxhash64(*names, *[F.col(c).isNull() for c in names])
+    keyed = docs.select(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", held.alias("held"))).alias("key"),
+                        F.struct(*names).alias("row"))
+    told = staged(jaccard.jaccard_components(keyed.select("key", "row.text"), id_col="key", **NEAR).where("key is not null")
+                  .groupBy("key").agg(F.count("*").alias("n"), F.min("component_id").alias("low")), "told")
+    alone = keyed.join(told.where("n > 1 or low <> key").select("key"), "key", "left_anti").select("row.*")
+    several = keyed.join(told.where("n > 1 and low = key").select("key"), "key", "left_semi") \
+        .groupBy("key").agg(F.min("row").alias("row")).select("row.*")
     return alone.union(several)
 
 

@@ -493,6 +493,17 @@ def test_near_copies_stage_takes_five_words_and_four_fifths(spark):
     assert got == strict
 
 
+def test_near_copies_stage_judges_rows_not_ids(spark):
+    import corpus_pipeline as C
+    workers_import(spark, E.ROOT)
+    rnd = random.Random(9)
+    a, b, c, d = (" ".join("".join(rnd.choice("abcdeilnorst") for _ in range(6)) for _ in range(30)) for _ in range(4))
+    rows = [(1, a), (5, a), (5, b), (6, c), (6, d), (7, c), (8, d), (8, d), (9, None), (9, None), (None, a), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    kept = Counter(tuple(r) for r in C.one_of_each(spark, docs, "").collect())
+    assert kept == Counter([(1, a), (5, b), (6, c), (6, d), (9, None), (None, a), (None, a)])
+
+
 def test_entry_registers_one_query_per_operator():
     names = E.queries()
     assert {n for n in names if re.match(r"op\d+_", n)} == {
