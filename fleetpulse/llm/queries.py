@@ -6,8 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetpulse.llm import (bpe, jaccard, langid, licenses, neighbours, packing, quality, substring, topk,
-                            urls)
+from fleetpulse.llm import (bpe, collocations, conversations, hnsw, jaccard, langid, licenses, neighbours, packing,
+                            quality, substring, topk, urls)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("found", lambda f: f["share"])), F.lit(0.0)).alias("score"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.ranked(collocations.mine(_table(spark, sf_dir, "documents")))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(conversations.damaged(_table(spark, sf_dir, "conversations")))
+
+
+def op13_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_topk": op2_topk,
@@ -91,10 +103,14 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_licenses": op10_licenses,
+    "op11_collocations": op11_collocations,
+    "op12_conversations": op12_conversations,
+    "op13_hnsw": op13_hnsw,
 }
 
 SQL = {
     "op3_url_filters": urls.SQL,
+    "op11_collocations": collocations.SQL,
     "op2_topk": """
         WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
