@@ -205,6 +205,9 @@ def index(rows: DataFrame, keep: int, shard: int = SHARD) -> DataFrame:
     sizes = nodes.groupBy("dims").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
     dealt = nodes.join(sizes, "dims").withColumn("key", F.xxhash64("node")) \
         .withColumn("shard", F.pmod("key", "shards").cast("int"))
+    # Building is long for the few bytes a shard has: partitions by the number of shards, not by their size.
+    total = sizes.agg(F.sum("shards")).first()[0] or 1
+    dealt = dealt.repartition(4 * total, "dims", "shard")
 
     def make(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         dims, no, shards = (x.as_py() for x in key)
