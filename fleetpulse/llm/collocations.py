@@ -45,6 +45,7 @@ LONGEST = 5             # words in a phrase
 LEAST = 100             # occurrences of a phrase
 TOP = 2000              # phrases told for a language
 SLAB = 8 << 20
+PARTS = 64              # parts of a language whose first phrases are sought apart
 
 # Bytes between words, and bytes that end a piece of text.
 _GAP = np.zeros(256, bool)
@@ -341,9 +342,13 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col:
 
 
 def ranked(found: DataFrame, top: int = TOP) -> DataFrame:
-    """Each language's first ``top`` by score, count and phrase."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top) \
+    """Each language's first ``top`` by score, count and phrase: first of
+    every part of a language, so that no task sorts a whole language."""
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    place = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    heads = found.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))) \
+        .withColumn("rank", place("lang", "part")).where(F.col("rank") <= top)
+    return heads.withColumn("rank", place("lang")).where(F.col("rank") <= top) \
         .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
