@@ -17,6 +17,14 @@ REASON_P95 = "invalid_percentile"
 REASON_UPDATED = "invalid_last_updated"
 REASONS = [REASON_NULL, REASON_DEVICE, REASON_TIMES, REASON_RANGE, REASON_P95, REASON_UPDATED]
 
+# What the table itself refuses, whatever was validated before.
+REASON_RECORD = "undecodable_record"
+REASON_NO_ID = "null_event_id"
+REASON_NO_DEVICE = "null_device_id"
+REASON_LONG_ID = "event_id_too_long"
+REASON_LONG_DEVICE = "device_id_too_long"
+MAX_TEXT = 255
+
 METRIC_FIELDS = ["event_id", "device_id", "window_start", "window_end", "percentile_95",
                  "last_updated"]
 
@@ -69,3 +77,28 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     v = validate_metrics(df)
     return (v.filter(F.col("reject_reason").isNull()).drop("reject_reason"),
             v.filter(F.col("reject_reason").isNotNull()))
+
+
+def constraint_reason(df: DataFrame):
+    """Why the table would refuse a row, or null: ids and devices are not
+    null and hold at most 255 characters."""
+    return (F.when(F.col("event_id").isNull(), F.lit(REASON_NO_ID))
+            .when(F.col("device_id").isNull(), F.lit(REASON_NO_DEVICE))
+            .when(F.char_length("event_id") > MAX_TEXT, F.lit(REASON_LONG_ID))
+            .when(F.char_length("device_id") > MAX_TEXT, F.lit(REASON_LONG_DEVICE)))
+
+
+def split_storable(df: DataFrame, validate: str = "none") -> tuple[DataFrame, DataFrame]:
+    """(rows the table takes, the others with their ``reject_reason``). A row
+    that cannot be decoded or stored never holds up the rest of its batch;
+    "strict" applies the validation rules (O-10) before the constraints."""
+    if validate not in ("none", "strict"):
+        raise ValueError(f"unknown validation {validate!r}")
+    reason = constraint_reason(df)
+    if validate == "strict":
+        reason = F.coalesce(reject_reason(df), reason)
+    if "record" in df.columns:
+        reason = F.when(F.col("record").isNotNull(), F.lit(REASON_RECORD)).otherwise(reason)
+    marked = df.withColumn("reject_reason", reason)
+    return (marked.filter(F.col("reject_reason").isNull()).drop("reject_reason"),
+            marked.filter(F.col("reject_reason").isNotNull()))

@@ -91,13 +91,13 @@ def window_stats(df: DataFrame, keys: Sequence[str], size_ms: int, slide_ms: int
     if pane_ms == size_ms:
         return ps.select(*keys, F.col("_pane").alias("win_start"), F.col("c").alias("event_count"),
                          F.col("mn").alias("window_start"), F.col("mx").alias("window_end"))
-    return (_pane_to_windows(ps, size_ms, slide_ms, pane_ms)
+    return (fan_out(ps, size_ms, slide_ms, pane_ms)
             .groupBy(*keys, "win_start")
             .agg(F.sum("c").alias("event_count"), F.min("mn").alias("window_start"),
                  F.max("mx").alias("window_end")))
 
 
-def _pane_to_windows(ph: DataFrame, size_ms: int, slide_ms: int, pane_ms: int) -> DataFrame:
+def fan_out(ph: DataFrame, size_ms: int, slide_ms: int, pane_ms: int) -> DataFrame:
     """Explode each pane to the window starts s with s <= pane and
     s + size >= pane + pane_ms."""
     pane = F.col("_pane")
@@ -158,7 +158,7 @@ def _window_p95_by_size(df, keys, value, time, size_ms, slide_ms, pane_ms, p) ->
     large = every.filter(F.col("event_count") > F.lit(max_rule_limit(p))).select(*gkeys)
     ph = _pane_histogram(df, keys, value, time, pane_ms)
     rows = ph.withColumnRenamed("_pane", "win_start") if pane_ms == size_ms \
-        else _pane_to_windows(ph, size_ms, slide_ms, pane_ms)
+        else fan_out(ph, size_ms, slide_ms, pane_ms)
     rows = rows.join(large, on=gkeys, how="left_semi")
     pct = percentile_by_buckets(bucketed_histogram(rows, gkeys, value, "c"), gkeys, value, p, "_p95")
     return (every.join(pct.select(*gkeys, "_p95"), on=gkeys, how="left")
@@ -174,7 +174,7 @@ def _from_pane_histogram(ph: DataFrame, stats: DataFrame, keys, value, size_ms,
     else:
         # Panes fan out to windows; the one exchange on (key, window,
         # bucket) serves the bucket counts and the rank selection.
-        rows = _pane_to_windows(ph, size_ms, slide_ms, pane_ms)
+        rows = fan_out(ph, size_ms, slide_ms, pane_ms)
     pct = percentile_by_buckets(bucketed_histogram(rows, gkeys, value, "c"), gkeys, value, p,
                                 "_p95")
     res = stats.join(pct, on=gkeys, how="left")
@@ -218,7 +218,7 @@ def windows_from_partials(partials: DataFrame, size, slide=None, pane=None,
     if pane_ms == size_ms:
         wh = pp.withColumnRenamed("_pane", "win_start")
     else:
-        wh = _pane_to_windows(pp, size_ms, slide_ms, pane_ms).drop("_pane")
+        wh = fan_out(pp, size_ms, slide_ms, pane_ms).drop("_pane")
     res = histogram_windows(wh, keys + ["win_start"], value, "c", "mn", "mx", p, method)
     return res.select(*keys, "win_start", (F.col("win_start") + F.lit(size_ms)).alias("win_end"),
                       "event_count", "window_start", "window_end", "percentile_95")

@@ -35,6 +35,9 @@ TOP_N = 10
 ARRIVAL_PRIME = 7919
 ARRIVAL_SPREAD = 50
 ARRIVAL_CHUNKS = 8
+REFIRE_BATCHES = 4
+REFIRE_SPREAD = 400         # late by up to about a day and a half on the smallest table
+ACCOUNT_MS = 600_000
 
 
 # --------------------------------------------------------------------------
@@ -105,13 +108,72 @@ def q_late_events(spark, sf):
 def q_stream_refire(spark, sf):
     from ..streaming.replay import refire_replay
 
-    return refire_replay(spark, sf, DAY_MS, SLIDE_4H_MS, lateness=DAY_MS, chunks=ARRIVAL_CHUNKS)
+    return refire_replay(spark, sf, DAY_MS, SLIDE_4H_MS, lateness=DAY_MS, batches=REFIRE_BATCHES,
+                         prime=ARRIVAL_PRIME, spread=REFIRE_SPREAD)
 
 
 def q_stream_quarantine(spark, sf):
     from ..streaming.replay import quarantine_replay
 
-    return quarantine_replay(spark, sf, chunks=ARRIVAL_CHUNKS)
+    return quarantine_replay(spark, sf, chunks=ARRIVAL_CHUNKS).select(
+        "event_id", "device_id", "timestamp", "arrival", "message", "batch_id")
+
+
+def q_stream_row_accounting(spark, sf):
+    """Every event is in the windows or in the quarantine: rows by where they
+    went, per device (windows of one slide, so that a row is in one)."""
+    from ..streaming.replay import job_replay
+
+    out = job_replay(spark, sf, ACCOUNT_MS, ACCOUNT_MS, lateness=0, batches=REFIRE_BATCHES,
+                     prime=ARRIVAL_PRIME, spread=REFIRE_SPREAD)
+    last = out["outbox"].groupBy("device_id", "win_start").agg(F.max("event_count").alias("n"))
+    counted = last.groupBy("device_id").agg(F.sum("n").alias("in_windows"))
+    late = out["quarantine"].groupBy("device_id").agg(F.count(F.lit(1)).alias("in_quarantine"))
+    total = _events(spark, sf).groupBy("device_id").agg(F.count(F.lit(1)).alias("events"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return total.join(counted, "device_id", "left").join(late, "device_id", "left").select(
+        "device_id", "events", zero("in_windows"), zero("in_quarantine"))
+
+
+def q_writer_stream(spark, sf):
+    """Result records through the writer, twice: some without an id, some
+    that are not JSON, some with a device too long for the table. What is
+    stored and what is kept apart, by reason."""
+    from ..streaming.replay import writer_replay
+
+    res = _results(spark, sf)
+    kind = F.pmod(F.col("win_start") / SLIDE_4H_MS + F.length("device_id"), F.lit(7)).cast("int")
+    res = res.withColumn("kind", kind).withColumn("id", F.when(F.col("kind") != 1, F.col("id"))).withColumn(
+        "device_id", F.when(F.col("kind") == 3, F.repeat("device_id", 256)).otherwise(F.col("device_id")))
+    wire = codec.encode_results(res, keep=("kind",))
+    records = wire.select(F.when(F.col("kind") == 2, F.concat(F.lit("{"), F.col("value"))).otherwise(F.col("value"))
+                          .alias("value"))
+    table, rejects = writer_replay(spark, records, 8)
+    stored = table.scan().select(F.lit("stored").alias("reason"), "device_id", "percentile_95")
+    apart = rejects.select(F.col("reject_reason").alias("reason"),
+                           F.when(F.col("reject_reason") == "null_event_id", F.col("device_id")).alias("device_id"),
+                           F.when(F.col("reject_reason") == "null_event_id", F.col("percentile_95")).alias("percentile_95"))
+    return stored.unionByName(apart).groupBy("reason", "device_id").agg(
+        F.count(F.lit(1)).alias("row_count"), F.max("percentile_95").alias("max_p95"))
+
+
+def _stored(spark, sf):
+    """A stored table of the 1 day / 4 h windows, appended in three parts, the
+    second of them twice."""
+    from ..session import shared_path
+    from ..sources.store import MetricsTable
+
+    table = MetricsTable(spark, shared_path(spark, "stored"), id_scope="date")
+    rows = _metric_rows(spark, sf).persist()
+    part = F.pmod(F.datediff(F.col("window_date"), F.lit("2024-01-01").cast("date")), F.lit(3))
+    for k in (0, 1, 1, 2):
+        table.append(rows.filter(part == k))
+    rows.unpersist()
+    return table
+
+
+def q_stored_table(spark, sf):
+    return _as_text_date(_stored(spark, sf).scan().drop("created_at"))
 
 
 def q_stream_append(spark, sf):
@@ -165,6 +227,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "usage_bands_test": lambda s, d: bands.usage_bands(_events(s, d), bands.TEST_BANDS),
     "stream_append_matches_batch": q_stream_append,
     "stream_refire_revisions": q_stream_refire,
+    "stream_row_accounting": q_stream_row_accounting,
+    "writer_stream": q_writer_stream,
+    "stored_table": q_stored_table,
+    "stored_latest_for_device": lambda s, d: M.stored_latest_for_device(_stored(s, d), LOOKUP_DEVICE),
+    "stored_top_devices": lambda s, d: M.stored_top_devices(_stored(s, d), TOP_N),
+    "stored_newest": lambda s, d: M.stored_newest_recent(_stored(s, d), TOP_N, span_ms=DAY_MS),
     "stream_late_quarantine": q_stream_quarantine,
 }
 
@@ -259,6 +327,13 @@ def oracle_sql() -> dict[str, str]:
     alter = ("SELECT event_id, device_id, window_start, window_end, percentile_95 + 1.0 AS "
              "percentile_95, last_updated + 1 AS last_updated, window_date FROM")
     arrival = f"event_id + ((event_id * {ARRIVAL_PRIME}) % {ARRIVAL_SPREAD})"
+    spread_arrival = f"event_id + ((event_id * {ARRIVAL_PRIME}) % {REFIRE_SPREAD})"
+    batches = f"""b AS (SELECT min(arrival) AS lo, (max(arrival) - min(arrival)) // {REFIRE_BATCHES} + 1 AS step FROM a),
+            c AS (SELECT a.*, (arrival - lo) // step AS batch_id FROM a, b),
+            mx AS (SELECT batch_id, max(t) AS top FROM c GROUP BY batch_id),
+            pm AS (SELECT batch_id, max(top) OVER (ORDER BY batch_id
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM mx),
+            pm2 AS (SELECT batch_id, max(top) OVER (ORDER BY batch_id) AS now FROM mx)"""
     sql = {
         "p95_sliding_1d_4h": f"WITH {_results_sql()} SELECT {_RES_COLS} FROM res",
         "p95_sliding_30s_5s": f"WITH {_results_sql(30_000, 5_000)} SELECT {_RES_COLS} FROM res",
@@ -360,8 +435,47 @@ def oracle_sql() -> dict[str, str]:
             FROM c JOIN pm USING (batch_id)
             WHERE (c.t - c.t % {late.DEFAULT_SLIDE_MS}) + {late.DEFAULT_SIZE_MS
                 + late.OUT_OF_ORDERNESS_MS + late.ALLOWED_LATENESS_MS} <= pm.prev""",
+        "stream_refire_revisions": f"""WITH ev AS ({_ev_sql()}),
+            a AS (SELECT *, {spread_arrival} AS arrival FROM ev),
+            {batches},
+            w AS (SELECT c.*, (t - t % {SLIDE_4H_MS}) - k.k * {SLIDE_4H_MS} AS win_start, pm.prev
+                  FROM c JOIN pm USING (batch_id), range(0, {DAY_MS // SLIDE_4H_MS}) AS k(k)),
+            due AS (SELECT *, win_start + {DAY_MS} AS win_end FROM w
+                    WHERE win_start + {DAY_MS} + 35000 <= (SELECT max(top) FROM mx)
+                      AND (prev IS NULL OR win_start + {DAY_MS} + 35000 + {DAY_MS} > prev)),
+            fire AS (SELECT due.*, (SELECT min(batch_id) FROM pm2 WHERE pm2.now >= due.win_end + 35000) AS first_due
+                     FROM due),
+            g AS (SELECT device_id, win_start, win_end, count(*) AS event_count, min(t) AS window_start,
+                         max(t) AS window_end, list_sort(list(v)) AS xs,
+                         max(CASE WHEN batch_id <= first_due THEN 1 ELSE 0 END)
+                           + count(DISTINCT CASE WHEN batch_id > first_due THEN batch_id END) AS revisions
+                  FROM fire GROUP BY device_id, win_start, win_end),
+            q AS (SELECT *, len(xs) AS n, 0.95::DOUBLE * (len(xs) + 1) AS pos FROM g)
+            SELECT device_id, win_start, win_end, event_count, window_start, window_end,
+                   CASE WHEN pos < 1 THEN xs[1] WHEN pos >= n THEN xs[n]
+                        ELSE xs[floor(pos)::BIGINT] + (pos - floor(pos))
+                             * (xs[floor(pos)::BIGINT + 1] - xs[floor(pos)::BIGINT]) END AS percentile_95,
+                   revisions, revisions AS in_table, revisions AS in_sink FROM q""",
+        "stream_row_accounting": f"""WITH ev AS ({_ev_sql()}),
+            a AS (SELECT *, {spread_arrival} AS arrival FROM ev),
+            {batches},
+            k AS (SELECT c.*, pm.prev, (SELECT max(top) FROM mx) AS top, (t - t % {ACCOUNT_MS}) + {ACCOUNT_MS} AS win_end
+                  FROM c JOIN pm USING (batch_id))
+            SELECT device_id, count(*) AS events,
+                   count(*) FILTER (WHERE win_end + 35000 <= top AND (prev IS NULL OR win_end + 35000 > prev)) AS in_windows,
+                   count(*) FILTER (WHERE win_end + 35000 <= prev) AS in_quarantine
+            FROM k GROUP BY device_id""",
+        "writer_stream": f"""WITH {_results_sql()},
+            k AS (SELECT *, (win_start // {SLIDE_4H_MS} + length(device_id)) % 7 AS kind FROM res),
+            r AS (SELECT CASE kind WHEN 1 THEN 'null_event_id' WHEN 2 THEN 'undecodable_record'
+                              WHEN 3 THEN 'device_id_too_long' ELSE 'stored' END AS reason,
+                         CASE WHEN kind IN (2, 3) THEN NULL ELSE device_id END AS device_id,
+                         CASE WHEN kind IN (2, 3) THEN NULL ELSE percentile_95 END AS p FROM k)
+            SELECT reason, device_id, count(*) AS row_count, max(p) AS max_p95 FROM r GROUP BY reason, device_id""",
         "stream_append_matches_batch": f"""WITH {_table_sql()}
             SELECT {_M_COLS} FROM m
             WHERE win_end <= (SELECT max(epoch_us(ts) // 1000) FROM events) - 35000""",
     }
+    sql |= {"stored_table": sql["metric_rows"], "stored_latest_for_device": sql["latest_for_device"],
+            "stored_top_devices": sql["top_devices_observed"], "stored_newest": sql["newest_last_60s"]}
     return sql

@@ -151,3 +151,32 @@ def count_for_device(df: DataFrame, device_id: str) -> DataFrame:
     """O-19: rows of one device."""
     return df.filter(F.col("device_id") == F.lit(device_id)).agg(
         F.count(F.lit(1)).alias("row_count"))
+
+
+# --------------------------------------------------------------------------
+# The same questions on a stored table, reading only the dates that can
+# answer them.
+# --------------------------------------------------------------------------
+
+def stored_latest_for_device(table, device_id: str) -> DataFrame:
+    """O-23 on a ``MetricsTable``."""
+    check_device_id(device_id)
+    return latest_for_device(table.scan_latest_of(device_id), device_id)
+
+
+def stored_top_devices(table, n: int) -> DataFrame:
+    """O-24 on a ``MetricsTable`` (basis: the observed window end)."""
+    n = check_n(n)
+    return top_devices(table.scan_newest("window_end"), n)
+
+
+def stored_top_at_latest_update(table, n: int) -> DataFrame:
+    """O-25 on a ``MetricsTable``."""
+    n = check_n(n)
+    return top_at_latest_update(table.scan_newest("last_updated"), n)
+
+
+def stored_newest_recent(table, n: int, span_ms: int = 60_000) -> DataFrame:
+    """O-26 on a ``MetricsTable``."""
+    n = check_n(n)
+    return newest_recent(table.scan_newest("last_updated", span_ms), n, span_ms)

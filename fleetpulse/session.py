@@ -112,3 +112,54 @@ def start_with_partitions(writer, spark: SparkSession, state_partitions: int | N
 def default_state_partitions(spark: SparkSession) -> int:
     """One state partition per core the cluster offers."""
     return max(1, int(spark.sparkContext.defaultParallelism))
+
+
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of a shared folder, as Spark itself resolves it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, as a mark."""
+    files, where = _file_system(spark, path)
+    files.create(where, True).close()
+
+
+def write_number(spark: SparkSession, path: str, value: int) -> None:
+    """One number as a small file of its own (replaced as a whole)."""
+    files, where = _file_system(spark, path)
+    out = files.create(where, True)
+    out.writeLong(int(value))
+    out.close()
+
+
+def read_number(spark: SparkSession, path: str) -> int | None:
+    """What ``write_number`` left there; None without a file."""
+    files, where = _file_system(spark, path)
+    if not files.exists(where):
+        return None
+    stream = files.open(where)
+    try:
+        return int(stream.readLong())
+    finally:
+        stream.close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """A folder of the package's own, if it is there."""
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    files, where = _file_system(spark, path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    files.mkdirs(target.getParent())
+    if not files.rename(where, target):
+        raise OSError(f"could not move {path} to {to}")

@@ -51,28 +51,34 @@ def encode_events(df: DataFrame) -> DataFrame:
                                         F.col("cpu_usage").alias("cpuUsage"))).alias("value"))
 
 
-def encode_results(df: DataFrame) -> DataFrame:
+def encode_results(df: DataFrame, keep=()) -> DataFrame:
     """O-06: result rows -> value with the six wire properties."""
-    return df.select(F.to_json(F.struct(
+    return df.select(*keep, F.to_json(F.struct(
         F.col("id").alias("id"), F.col("device_id").alias("deviceId"),
         F.col("window_start").alias("windowStart"), F.col("window_end").alias("windowEnd"),
         F.col("percentile_95").alias("percentile95"),
         F.col("last_updated").alias("lastUpdated"))).alias("value"))
 
 
-def decode_results(df: DataFrame, value_col: str = "value") -> DataFrame:
+def decode_results(df: DataFrame, value_col: str = "value", keep=(), record: bool = False) -> DataFrame:
     """O-03: result JSON -> result rows (for the writer's stream). Missing
     numbers read 0, as the consumer's primitive fields do; a record that is
-    not JSON at all reads null throughout (rejected as a null metric)."""
+    not JSON at all reads null throughout (rejected as a null metric).
+    ``record`` adds the text of every record that could not be decoded (null
+    for the others), so that it can be kept apart with its content."""
     from ..schema import RESULT_JSON_SCHEMA
 
-    r = df.select(F.from_json(F.col(value_col).cast("string"), RESULT_JSON_SCHEMA).alias("_r"))
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    text = F.col(value_col).cast("string")
+    r = df.select(*keep, text.alias("_v"), F.from_json(text, _with_corrupt(RESULT_JSON_SCHEMA), opts).alias("_r"))
     empty = F.col("_r.id").isNull() & F.col("_r.deviceId").isNull()
     for c in ("windowStart", "windowEnd", "percentile95", "lastUpdated"):
         empty = empty & F.col(f"_r.{c}").isNull()
     number = lambda c, zero: F.when(~empty, F.coalesce(F.col(f"_r.{c}"), F.lit(zero)))
+    broken = F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull()
+    extra = [F.when(broken, F.coalesce("_v", F.lit(""))).alias("record")] if record else []
     return r.select(F.col("_r.id").alias("id"), F.col("_r.deviceId").alias("device_id"),
                     number("windowStart", 0).cast("long").alias("window_start"),
                     number("windowEnd", 0).cast("long").alias("window_end"),
                     number("percentile95", 0.0).alias("percentile_95"),
-                    number("lastUpdated", 0).cast("long").alias("last_updated"))
+                    number("lastUpdated", 0).cast("long").alias("last_updated"), *keep, *extra)

@@ -2,8 +2,8 @@
 quarantine table.
 
 A second query over the same source. Its ``foreachBatch`` keeps the max
-event time of each micro-batch in a small table (one row per batch, keyed
-by batch id, beside the checkpoint); a row of batch k is late when its last
+event time so far, one small file per batch id beside the checkpoint, of which
+a batch reads its predecessor's alone; a row of batch k is late when its last
 window closed before the max event time of batches < k:
 
     floor(t / slide) * slide + size + out_of_orderness + lateness <= max_{<k}
@@ -22,7 +22,7 @@ from ..operators.clean import valid_events
 from ..operators.late import (ALLOWED_LATENESS_MS, DEFAULT_SIZE_MS, DEFAULT_SLIDE_MS,
                               OUT_OF_ORDERNESS_MS, close_time)
 from ..operators.windows import parse_duration_ms
-from ..session import start_with_partitions
+from ..session import delete_path, read_number, start_with_partitions, write_number
 
 
 def start_quarantine_stream(events: DataFrame, quarantine_path: str, state_path: str,
@@ -35,13 +35,7 @@ def start_quarantine_stream(events: DataFrame, quarantine_path: str, state_path:
     spark = events.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        prev = None
-        try:
-            seen = spark.read.schema("max_time long, batch_id long").parquet(state_path)
-            prev = seen.filter(F.col("batch_id") < batch_id).agg(F.max("max_time")).first()[0]
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":      # no batch recorded yet
-                raise
+        prev = read_number(spark, f"{state_path}/{batch_id - 1}")
         batch = valid_events(batch).persist()
         try:
             if prev is not None:
@@ -54,10 +48,10 @@ def start_quarantine_stream(events: DataFrame, quarantine_path: str, state_path:
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(quarantine_path))
             top = batch.agg(F.max("timestamp")).first()[0]
+            top = max((int(x) for x in (prev, top) if x is not None), default=None)
             if top is not None:
-                (spark.createDataFrame([(int(batch_id), int(top))], "batch_id long, max_time long")
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(state_path))
+                write_number(spark, f"{state_path}/{batch_id}", top)
+            delete_path(spark, f"{state_path}/{batch_id - 2}")
         finally:
             batch.unpersist()
 
@@ -68,4 +62,11 @@ def start_quarantine_stream(events: DataFrame, quarantine_path: str, state_path:
 
 
 def read_quarantine(spark: SparkSession, quarantine_path: str) -> DataFrame:
-    return spark.read.parquet(quarantine_path)
+    """The quarantined rows (none, if no row was ever late)."""
+    try:
+        return spark.read.parquet(quarantine_path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], "device_id string, timestamp long, cpu_usage double, ts timestamp, "
+                                         "event_id long, arrival long, message string, batch_id long")

@@ -1,181 +1,152 @@
-"""O-30: windows that fire once the watermark passes their end and fire
-again for every micro-batch that brings rows up to the allowed lateness.
-
-No built-in output mode does this (append fires once, update fires before
-the window closes), so it is one ``transformWithState`` operator (row interface):
-
-* Rows are first expanded to their windows, and the operator is keyed by
-  (device, window start): a hot device's windows spread over partitions,
-  and each key's state is one window's values plus its count and observed
-  bounds.
-* Spark's watermark is set to ``size + out_of_orderness + lateness`` behind
-  the max event time, so its own late-row filter never drops a row the
-  reference would still take; the reference's watermark is rebuilt inside
-  the processor as ``wm + delay - out_of_orderness``.
-* Timers: first firing when the reference watermark reaches the window end;
-  clean-up when it passes the end by the allowed lateness. Rows for an
-  already fired window re-emit it at once (one revision per micro-batch);
-  rows for a cleaned-up window are dropped (O-31 reports them).
-
-Emitted rows: id (a hash of device, window and revision), device_id,
-observed window_start / window_end, percentile_95, last_updated (the
-reference watermark at emission, never before the window end), win_start,
-win_end, event_count (= revision).
+"""O-30: windows that fire once the watermark passes their end and fire again
+for every micro-batch that brings rows, up to the allowed lateness.
+
+No built-in output mode does this for windows, but it does for their parts:
+
+* Spark's own state holds a histogram, (device, pane, value) -> count, first
+  and last time, where a pane is gcd(size, slide) wide: one state row per
+  value however many windows overlap, and a hot device spread over partitions
+  by value. In update mode each micro-batch hands over the rows that changed.
+* Spark drops a pane when the last window over it takes no more rows, and rows
+  that are too late for it before they reach the state: its delay is
+  ``out_of_orderness + lateness + size - pane``.
+* ``foreachBatch`` keeps what changed as a delta beside the checkpoint, rolled
+  up every ``ROLL_UP`` batches into the panes that are still open, so a batch
+  reads one roll-up and a bounded number of deltas. From them it assembles the
+  windows that fire now: those that became due with this batch, and those due
+  before, not yet closed, over a pane that changed. The percentile is the batch
+  selection of ``operators.quantile``, on the JVM; no list of values exists
+  anywhere.
+
+Per micro-batch, with ``prev`` and ``now`` the greatest event time before and
+after it: a window is due when ``end + out_of_orderness <= now``, newly so when
+also ``> prev``; it is closed to a batch when ``end + out_of_orderness +
+lateness <= prev``. A batch that runs again finds the same state, so it makes
+the same revisions. Closed windows keep their last revision.
+
+Revisions: id (a hash of device, window and event count), device_id, observed
+window_start / window_end, percentile_95, last_updated, win_start, win_end,
+event_count (which grows with every revision). ``last_updated`` is the window's
+end when it first fires and the watermark afterwards, or the wall clock.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
-import sys
+import time
 
-import numpy as np
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
-from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..functions.ids import result_id
 from ..functions.percentile import P95
-from ..operators.windows import assign_windows, parse_duration_ms
-from ..session import ensure_rocksdb_state
-
-# The processor runs in Python workers (also a driver-side one for init):
-# this module travels by value, so no worker has to import the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-OUTPUT_SCHEMA = T.StructType([
-    T.StructField("id", T.StringType()), T.StructField("device_id", T.StringType()),
-    T.StructField("window_start", T.LongType()), T.StructField("window_end", T.LongType()),
-    T.StructField("percentile_95", T.DoubleType()), T.StructField("last_updated", T.LongType()),
-    T.StructField("win_start", T.LongType()), T.StructField("win_end", T.LongType()),
-    T.StructField("event_count", T.LongType()),
-])
-
-
-def legacy_percentile(values: np.ndarray, counts: np.ndarray, p: float = P95) -> float:
-    """The percentile rule of ``functions.percentile`` over a (value, count)
-    histogram, in the same double arithmetic."""
-    total = int(counts.sum())
-    if total == 0:
-        return 0.0
-    ok = ~np.isnan(values)
-    if total == 1:
-        return float(values[0])
-    v, c = values[ok], counts[ok]
-    n = int(c.sum())
-    if n == 0:
-        return float("nan")
-    order = np.argsort(v, kind="stable")
-    v, c = v[order], c[order]
-    cum = np.cumsum(c)
-    pos = p * (n + 1)
-
-    def at(rank: int) -> float:
-        return float(v[int(np.searchsorted(cum, rank))])
-
-    if pos < 1:
-        return at(1)
-    if pos >= n:
-        return at(n)
-    f = math.floor(pos)
-    lo, hi = at(f), at(f + 1)
-    return lo + (pos - f) * (hi - lo)
-
-
-class RefiringWindows(StatefulProcessor):
-    """State per (device, window): the window's values (a list state,
-    appended once per micro-batch) and (count, min, max, fired).
-
-    Every state call is a round trip to the state store, so each callback
-    makes as few as it can: one read and one write of the summary, one
-    bulk append of the batch's values, the two timers once per window."""
-
-    def __init__(self, size_ms: int, out_of_orderness_ms: int, lateness_ms: int, delay_ms: int,
-                 p: float = P95):
-        self.size_ms = size_ms
-        self.shift = delay_ms - out_of_orderness_ms     # reference wm = spark wm + shift
-        self.lateness_ms = lateness_ms
-        self.p = p
+from ..operators.clean import valid_events
+from ..operators.quantile import histogram_windows
+from ..operators.windows import fan_out, parse_duration_ms
+from ..session import delete_path, path_exists, read_number, write_number
+
+PANES = "device_id string, _pane long, cpu_usage double, c long, mn long, mx long"
+
+# Deltas that a micro-batch reads at most, before they are rolled up.
+ROLL_UP = 16
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.vals = handle.getListState("vals", "v double")
-        self.meta = handle.getValueState("meta", "n long, mn long, mx long, fired boolean")
-
-    def _emit(self, device: str, win_start: int, n: int, mn: int, mx: int, ref_wm: int) -> Row:
-        vals = np.fromiter((r[0] for r in self.vals.get()), dtype="float64")
-        win_end = win_start + self.size_ms
-        rid = hashlib.sha256(f"{device}|{win_start}|{win_end}|{n}".encode()).hexdigest()
-        return Row(id=rid, device_id=device, window_start=mn, window_end=mx,
-                   percentile_95=legacy_percentile(vals, np.ones(len(vals), dtype="int64"),
-                                                   self.p),
-                   last_updated=max(win_end, ref_wm), win_start=win_start, win_end=win_end,
-                   event_count=n)
-
-    def handleInputRows(self, key, rows, timerValues):
-        device, win_start = key[0], int(key[1])
-        win_end = win_start + self.size_ms
-        ref_wm = timerValues.getCurrentWatermarkInMs() + self.shift
-        if ref_wm >= win_end + self.lateness_ms:
-            return iter([])          # window already closed for good
-        batch = list(rows)
-        if not batch:
-            return iter([])
-        meta = self.meta.get()
-        fresh = meta is None
-        n, mn, mx, fired = (0, None, None, False) if fresh else meta
-        out = []
-        if not fresh and not fired and ref_wm >= win_end:
-            # The window became due with this batch's watermark; its timer
-            # runs after these rows, so fire it here first, as it stood.
-            out.append(self._emit(device, win_start, n, mn, mx, win_end))
-        self.vals.appendList([(float(r["cpu_usage"]),) for r in batch])
-        times = [int(r["timestamp"]) for r in batch]
-        n += len(batch)
-        mn = min(times) if mn is None else min(mn, min(times))
-        mx = max(times) if mx is None else max(mx, max(times))
-        if fresh:
-            self.handle.registerTimer(win_end - self.shift)
-            self.handle.registerTimer(win_end + self.lateness_ms - self.shift)
-        fire = fired or ref_wm >= win_end
-        self.meta.update((n, mn, mx, fire))
-        if fire:
-            out.append(self._emit(device, win_start, n, mn, mx, ref_wm))
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        device, win_start = key[0], int(key[1])
-        win_end = win_start + self.size_ms
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        meta = self.meta.get()
-        if meta is None:
-            return iter([])
-        n, mn, mx, fired = meta
-        if t >= win_end + self.lateness_ms - self.shift:
-            self.vals.clear()
-            self.meta.clear()
-            return iter([])
-        if not fired:
-            self.meta.update((n, mn, mx, True))
-            return iter([self._emit(device, win_start, n, mn, mx, win_end)])
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
-def refiring_windows(events: DataFrame, size="30 seconds", slide="5 seconds",
-                     out_of_orderness="35 seconds", lateness="35 seconds",
-                     p: float = P95) -> DataFrame:
-    """Streaming (or batch) events -> revisions of window results."""
+
+def pane_updates(events: DataFrame, size, slide, out_of_orderness, lateness) -> DataFrame:
+    """The stateful part, for update mode: (device_id, _pane, cpu_usage, c,
+    mn, mx), counts so far."""
     size_ms, slide_ms = parse_duration_ms(size), parse_duration_ms(slide)
-    ooo_ms, late_ms = parse_duration_ms(out_of_orderness), parse_duration_ms(lateness)
-    delay_ms = size_ms + ooo_ms + late_ms
-    w = (assign_windows(events.filter(events.device_id.isNotNull()), size_ms, slide_ms)
-         .select("device_id", "win_start", "timestamp", "cpu_usage", "ts")
-         .withWatermark("ts", f"{delay_ms} milliseconds"))
-    ensure_rocksdb_state(events.sparkSession)
-    proc = RefiringWindows(size_ms, ooo_ms, late_ms, delay_ms, p)
-    return (w.groupBy("device_id", "win_start")
-            .transformWithState(statefulProcessor=proc, outputStructType=OUTPUT_SCHEMA,
-                                outputMode="Append", timeMode="EventTime"))
+    pane_ms = math.gcd(size_ms, slide_ms)
+    delay = parse_duration_ms(out_of_orderness) + parse_duration_ms(lateness) + size_ms - pane_ms
+    return (valid_events(events).withWatermark("ts", f"{delay} milliseconds")
+            .withColumn("cpu_usage", F.col("cpu_usage") + F.lit(0.0))
+            .groupBy("device_id", F.window("ts", f"{pane_ms} milliseconds").alias("w"), "cpu_usage")
+            .agg(F.count(F.lit(1)).alias("c"), F.min("timestamp").alias("mn"), F.max("timestamp").alias("mx"))
+            .select("device_id", F.unix_millis("w.start").alias("_pane"), "cpu_usage", "c", "mn", "mx"))
+
+
+class Revisions:
+    """What the micro-batches of one query have brought so far, in a shared
+    folder, and the revisions that follow."""
+
+    def __init__(self, spark, path: str, size, slide, out_of_orderness, lateness, p: float = P95):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.size_ms, self.slide_ms = parse_duration_ms(size), parse_duration_ms(slide)
+        self.pane_ms = math.gcd(self.size_ms, self.slide_ms)
+        self.ooo_ms, self.late_ms = parse_duration_ms(out_of_orderness), parse_duration_ms(lateness)
+        self.p = p
+
+    def _held(self, batch_id: int) -> DataFrame:
+        """The panes as batches before this one left them: parts that merge
+        by the greatest count."""
+        base = (batch_id - 1) // ROLL_UP * ROLL_UP if batch_id else 0
+        folders = [f"{self.path}/panes/{base}"] + [f"{self.path}/changes/{k}" for k in range(base, batch_id)]
+        folders = [f for f in folders if path_exists(self.spark, f"{f}/_SUCCESS")]
+        if not folders:
+            return self.spark.createDataFrame([], PANES)
+        return self.spark.read.schema(PANES).parquet(*folders)
+
+    @staticmethod
+    def _merged(parts: DataFrame) -> DataFrame:
+        # Counts only grow: of the states of one pane value the latest has the greatest.
+        return parts.groupBy("device_id", "_pane", "cpu_usage").agg(
+            F.max("c").alias("c"), F.min("mn").alias("mn"), F.max("mx").alias("mx"))
+
+    def record(self, changes: DataFrame, batch_id: int) -> tuple[int | None, int | None]:
+        """Keep a batch's changes; the greatest event time before and after
+        (None after a batch without rows)."""
+        prev = read_number(self.spark, f"{self.path}/clock/{batch_id - 1}")
+        changes.write.mode("overwrite").parquet(f"{self.path}/changes/{batch_id}")
+        top = self.spark.read.schema(PANES).parquet(f"{self.path}/changes/{batch_id}").agg(F.max("mx")).first()[0]
+        now = max((x for x in (prev, top) if x is not None), default=None)
+        if now is not None:
+            write_number(self.spark, f"{self.path}/clock/{batch_id}", now)
+        if batch_id and batch_id % ROLL_UP == 0:
+            parts = self._held(batch_id)
+            if prev is not None:    # panes whose windows all take no more rows are left behind
+                parts = parts.filter(F.col("_pane") + F.lit(self.size_ms + self.ooo_ms + self.late_ms) > prev)
+            self._merged(parts).write.mode("overwrite").parquet(f"{self.path}/panes/{batch_id}")
+            self._forget(batch_id - ROLL_UP)
+        return prev, None if top is None else now
+
+    def _forget(self, before: int) -> None:
+        """Folders that no batch reads again."""
+        for k in range(max(0, before - ROLL_UP), before):
+            for kind in ("changes", "clock"):
+                delete_path(self.spark, f"{self.path}/{kind}/{k}")
+        delete_path(self.spark, f"{self.path}/panes/{before - ROLL_UP}")
+
+    def of_batch(self, batch_id: int, prev: int | None, now: int | None, wall_ms: int | None = None) -> DataFrame:
+        """The windows that fire with this batch."""
+        changes = self.spark.read.schema(PANES).parquet(f"{self.path}/changes/{batch_id}")
+        end = F.col("win_start") + F.lit(self.size_ms)
+        due = end + F.lit(self.ooo_ms) <= F.lit(now)
+        newly = F.lit(True) if prev is None else end + F.lit(self.ooo_ms) > F.lit(prev)
+        open_ = F.lit(True) if prev is None else end + F.lit(self.ooo_ms + self.late_ms) > F.lit(prev)
+        panes = self._held(batch_id).unionByName(changes)
+        if prev is not None:
+            panes = panes.filter(F.col("_pane") + F.lit(self.size_ms + self.ooo_ms + self.late_ms) > F.lit(prev))
+        windows = lambda df: fan_out(df, self.size_ms, self.slide_ms, self.pane_ms).filter(due)
+        touched = windows(changes.select("device_id", "_pane").distinct()).filter(open_ & ~newly) \
+            .select("device_id", "win_start").distinct()
+        rows = windows(self._merged(panes))
+        fires = rows.filter(newly).unionByName(
+            rows.filter(open_ & ~newly).join(touched, ["device_id", "win_start"], "left_semi"))
+        res = histogram_windows(fires.drop("_pane"), ["device_id", "win_start"], p=self.p)
+        clock = F.lit(wall_ms).cast("long") if wall_ms is not None else \
+            F.when(newly, end).otherwise(F.greatest(end, F.lit(now - self.ooo_ms)))
+        win_end = end.alias("win_end")
+        return res.select(
+            result_id(F.col("device_id"), F.col("win_start"), end, F.col("event_count")).alias("id"),
+            "device_id", "window_start", "window_end", "percentile_95",
+            clock.cast("long").alias("last_updated"), "win_start", win_end, "event_count")
+
+
+def revisions_writer(revisions: Revisions, outbox, live_clock: bool = False):
+    """The ``foreachBatch`` function: changes -> revisions -> outbox."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        prev, now = revisions.record(batch, batch_id)
+        if now is not None:         # without a row nothing becomes due and nothing changes
+            wall = int(time.time() * 1000) if live_clock else None
+            outbox.deliver(batch_id, lambda: revisions.of_batch(batch_id, prev, now, wall))
+    return write

@@ -10,12 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from ..session import default_state_partitions, shared_path, start_with_partitions
-from ..sources.events import table_path
+from ..session import default_state_partitions, delete_path, move_path, path_exists, shared_path
+from ..sources.codec import decode_results
+from ..sources.events import bind_events, table_path
 from ..sources.store import TABLE_COLUMNS, MetricsTable
-from .streams import WATERMARK_DELAY, read_table_stream, start_metrics_stream
+from .late import read_quarantine, start_quarantine_stream
+from .outbox import Outbox, to_files
+from .streams import (WATERMARK_DELAY, read_result_stream, read_table_stream, start_job, start_metrics_stream,
+                      start_writer_stream)
 
 
 def _until_done(query) -> bool:
@@ -44,82 +47,106 @@ def stream_metrics_once(spark: SparkSession, sf_dir: str, size, slide,
     return table.scan().select(*[c for c in TABLE_COLUMNS if c != "created_at"])
 
 
-def write_arrival_chunks(spark: SparkSession, events: DataFrame, arrival: str, chunks: int,
-                         folder: str) -> None:
-    """Lay ``events`` out as ``chunks`` files in arrival order (file i holds
-    the i-th range of arrival numbers), written one after the other so a
-    file stream with one file per trigger replays them in that order."""
-    bounds = events.agg(F.min(arrival), F.max(arrival)).first()
-    lo, hi = int(bounds[0]), int(bounds[1])
-    step = (hi - lo) // chunks + 1
-    for i in range(chunks):
-        part = events.filter((F.col(arrival) >= lo + i * step) & (F.col(arrival) < lo + (i + 1) * step))
-        part.coalesce(1).write.mode("overwrite").parquet(f"{folder}/chunk-{i:05d}")
-
-
-def refire_replay(spark: SparkSession, sf_dir: str, size="30 seconds", slide="5 seconds",
-                  out_of_orderness="35 seconds", lateness="35 seconds",
-                  chunks: int = 8, prime: int = 7919, spread: int = 50,
-                  timeout_s: int | None = None) -> DataFrame:
-    """O-30 over the driver's events delivered in arrival order
-    (arrival = event_id + (event_id * prime) % spread), ``chunks`` micro-
-    batches: every revision the re-firing operator emits."""
-    from .refire import refiring_windows
-
+class ArrivalBatches:
+    """``events`` in order of arrival as the files of a stream source, one
+    micro-batch after the other: written once, in parallel, several files a
+    batch by volume; each batch's folder is then moved into the source's."""
+
+    def __init__(self, spark: SparkSession, events: DataFrame, arrival: str, batches: int):
+        self.spark, self.batches = spark, batches
+        lo, hi = (int(x) for x in events.agg(F.min(arrival), F.max(arrival)).first())
+        step = (hi - lo) // batches + 1
+        self.staged, self.source = shared_path(spark, "arrivals"), shared_path(spark, "arrived")
+        (events.withColumn("_batch", F.floor((F.col(arrival) - lo) / step).cast("int"))
+         .repartitionByRange("_batch", arrival).write.partitionBy("_batch").parquet(self.staged))
+        self.schema = events.schema
+
+    def stream(self) -> DataFrame:
+        return self.spark.readStream.schema(self.schema).option("recursiveFileLookup", "true").parquet(self.source)
+
+    def run(self, start) -> None:
+        """Deliver one batch, run the queries that ``start`` gives until
+        they have read it, and so on."""
+        for k in range(self.batches):
+            folder = f"{self.staged}/_batch={k}"
+            if not path_exists(self.spark, folder):         # no event arrived in this range
+                continue
+            move_path(self.spark, folder, f"{self.source}/{k:05d}")
+            for q in start():
+                q.awaitTermination()
+                if q.exception() is not None:
+                    raise RuntimeError(str(q.exception()))
+
+    def clear(self) -> None:
+        delete_path(self.spark, self.staged)
+        delete_path(self.spark, self.source)
+
+
+def arriving(spark: SparkSession, sf_dir: str, prime: int, spread: int, batches: int) -> ArrivalBatches:
+    """The driver's events with arrival = event_id + (event_id * prime) % spread."""
     raw = spark.read.parquet(table_path(sf_dir, "events"))
     arrival = F.col("event_id") + F.pmod(F.col("event_id") * F.lit(prime), F.lit(spread))
-    staged = shared_path(spark, "arrival-chunks")
-    write_arrival_chunks(spark, raw.withColumn("arrival", arrival), "arrival", chunks, staged)
-    schema = spark.read.parquet(f"{staged}/chunk-00000").schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(staged))
-    from ..sources.events import bind_events
-
-    revisions = refiring_windows(bind_events(stream, "user_id"), size, slide,
-                                 out_of_orderness, lateness)
-    out = shared_path(spark, "revisions")
-    q = start_with_partitions(
-        revisions.writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", shared_path(spark, "revisions-ckpt"))
-        .outputMode("append").trigger(availableNow=True),
-        spark, default_state_partitions(spark))
-    if not (q.awaitTermination(timeout_s) if timeout_s else _until_done(q)):
-        q.stop()
-        raise TimeoutError("stream did not finish")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(out)
+    return ArrivalBatches(spark, raw.withColumn("arrival", arrival), "arrival", batches)
+
+
+def job_replay(spark: SparkSession, sf_dir: str, size, slide, lateness, batches: int, prime: int, spread: int,
+               out_of_orderness="35 seconds") -> dict[str, DataFrame]:
+    """The whole job over the driver's events in order of arrival: the
+    outbox, the metrics table, the quarantine, and the files of the sink."""
+    source = arriving(spark, sf_dir, prime, spread, batches)
+    base = shared_path(spark, "job")
+    table = MetricsTable(spark, f"{base}/table", id_scope="date")
+    events = lambda: bind_events(source.stream(), "user_id", keep=("event_id", "arrival"))
+    source.run(lambda: start_job(
+        events, table, f"{base}/late", f"{base}/ckpt", size, slide, out_of_orderness, lateness,
+        targets={"files": to_files(f"{base}/sink")}, state_partitions=default_state_partitions(spark)))
+    source.clear()
+    return {"outbox": Outbox(spark, f"{base}/ckpt/results-state/outbox", {}).read(), "table": table.scan(),
+            "quarantine": read_quarantine(spark, f"{base}/late"),
+            "sink": decode_results(spark.read.text(f"{base}/sink").select("value"))}
+
+
+def refire_replay(spark: SparkSession, sf_dir: str, size, slide, lateness, batches: int, prime: int = 7919,
+                  spread: int = 50) -> DataFrame:
+    """O-30: the last revision of every window that fired, how many there
+    were, and how many of them the sink and the table hold."""
+    out = job_replay(spark, sf_dir, size, slide, lateness, batches, prime, spread)
+    last = F.max(F.struct("event_count", "window_start", "window_end", "percentile_95", "id")).alias("last")
+    windows = out["outbox"].groupBy("device_id", "win_start", "win_end").agg(
+        last, F.count(F.lit(1)).alias("revisions"))
+    served = out["outbox"].select("id", "device_id", "win_start", "win_end") \
+        .join(out["table"].select(F.col("event_id").alias("id"), F.lit(1).alias("t")), "id", "left") \
+        .join(out["sink"].select("id", F.lit(1).alias("s")), "id", "left") \
+        .groupBy("device_id", "win_start", "win_end").agg(F.count("t").alias("in_table"), F.count("s").alias("in_sink"))
+    return windows.join(served, ["device_id", "win_start", "win_end"]).select(
+        "device_id", "win_start", "win_end", "last.event_count", "last.window_start", "last.window_end",
+        "last.percentile_95", "revisions", "in_table", "in_sink")
 
 
 def quarantine_replay(spark: SparkSession, sf_dir: str, chunks: int = 8, prime: int = 7919,
-                      spread: int = 50, timeout_s: int | None = None) -> DataFrame:
+                      spread: int = 50) -> DataFrame:
     """O-31 stream over the driver's events in arrival order, ``chunks``
     micro-batches: the quarantined rows."""
-    from ..sources.events import bind_events
-    from .late import start_quarantine_stream
-
-    raw = spark.read.parquet(table_path(sf_dir, "events"))
-    arrival = F.col("event_id") + F.pmod(F.col("event_id") * F.lit(prime), F.lit(spread))
-    staged = shared_path(spark, "arrival-chunks")
-    write_arrival_chunks(spark, raw.withColumn("arrival", arrival), "arrival", chunks, staged)
-    schema = spark.read.parquet(f"{staged}/chunk-00000").schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(staged))
-    events = bind_events(stream, "user_id", keep=("event_id", "arrival"))
-    out = shared_path(spark, "quarantine")
-    q = start_quarantine_stream(events, out, shared_path(spark, "quarantine-state"),
-                                shared_path(spark, "quarantine-ckpt"),
-                                state_partitions=default_state_partitions(spark))
-    if not (q.awaitTermination(timeout_s) if timeout_s else _until_done(q)):
-        q.stop()
-        raise TimeoutError("stream did not finish")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    try:
-        return spark.read.parquet(out).select("event_id", "device_id", "timestamp", "arrival",
-                                              "message", "batch_id")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":          # nothing was late
-            raise
-        return spark.createDataFrame([], "event_id long, device_id string, timestamp long, "
-                                         "arrival long, message string, batch_id long")
+    source = arriving(spark, sf_dir, prime, spread, chunks)
+    base = shared_path(spark, "quarantine")
+    source.run(lambda: [start_quarantine_stream(
+        bind_events(source.stream(), "user_id", keep=("event_id", "arrival")), f"{base}/late", f"{base}/state",
+        f"{base}/ckpt", state_partitions=default_state_partitions(spark))])
+    source.clear()
+    return read_quarantine(spark, f"{base}/late")
+
+
+def writer_replay(spark: SparkSession, records: DataFrame, files: int, validate: str = "none",
+                  runs: int = 2) -> tuple[MetricsTable, DataFrame]:
+    """O-03: result records (column value) through the writer stream, a few
+    files a micro-batch, ``runs`` times over; the table and the rejects."""
+    base = shared_path(spark, "writer")
+    records.repartition(files).write.text(f"{base}/records")
+    table = MetricsTable(spark, f"{base}/table")
+    for k in range(runs):
+        q = start_writer_stream(read_result_stream(spark, "text", f"{base}/records", max_files_per_trigger=-(-files // 2)),
+                                table, f"{base}/ckpt-{k}", validate, f"{base}/rejects-{k}", available_now=True)
+        _until_done(q)
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return table, spark.read.parquet(f"{base}/rejects-{runs - 1}")

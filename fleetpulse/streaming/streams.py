@@ -11,20 +11,21 @@ runs the batch rank selection of ``operators.quantile`` over the windows
 closed in that batch. No window's values are ever held as one list, and a
 hot device's state is spread over partitions by value.
 
-O-28 (source idleness) needs no code: one source has one global watermark
-(the max event time seen minus the delay), so an idle partition never holds
-it back; for several unioned sources ``spark.sql.streaming.
-multipleWatermarkPolicy=max`` is the matching setting.
+O-28 (source idleness): one source has one global watermark (the max event
+time seen minus the delay), so an idle partition never holds it back; for
+several sources ``union_sources`` keeps a silent one from holding the others.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import result_id
 from ..functions.percentile import P95
-from ..operators.clean import to_metric_rows, valid_events
+from ..operators.clean import split_storable, to_metric_rows, valid_events
 from ..operators.quantile import histogram_windows
 from ..operators.windows import parse_duration_ms
 from ..schema import EVENT_SCHEMA
@@ -133,7 +134,7 @@ def start_metrics_stream(events: DataFrame, table: MetricsTable, checkpoint: str
                          watermark: str = WATERMARK_DELAY, available_now: bool = True,
                          processing_time: str | None = None, validate: str = "none",
                          reject_table: MetricsTable | None = None,
-                         state_partitions: int | None = None):
+                         state_partitions: int | None = None, live_clock: bool = False):
     """O-32: windows -> results -> idempotent append, one transaction per
     micro-batch. Each window is written once, when the watermark passes its
     end; rows later than that are for a quarantine stream started with
@@ -145,7 +146,8 @@ def start_metrics_stream(events: DataFrame, table: MetricsTable, checkpoint: str
     ``validate`` "none" follows the reference's bulk path; "strict" applies
     O-10 and sends rejected rows to ``reject_table``. ``state_partitions``
     fixes the number of state partitions at the query's first start
-    (default: the session's shuffle partitions).
+    (default: the session's shuffle partitions). ``live_clock`` stamps
+    ``last_updated`` with the wall clock at emission.
     """
     from ..operators.clean import split_valid
 
@@ -158,7 +160,8 @@ def start_metrics_stream(events: DataFrame, table: MetricsTable, checkpoint: str
         if batch.isEmpty():
             batch.unpersist()
             return
-        rows = to_metric_rows(results_from_histogram(batch)).persist()
+        now_ms = int(time.time() * 1000) if live_clock else None
+        rows = to_metric_rows(results_from_histogram(batch, now_ms=now_ms)).persist()
         try:
             if validate == "strict":
                 good, rejected = split_valid(rows)
@@ -187,83 +190,136 @@ def write_rejects(rejected: DataFrame, path: str, batch_id: int) -> None:
      .partitionBy("batch_id").parquet(path))
 
 
-def start_revisions_stream(events: DataFrame, table: MetricsTable, checkpoint: str,
-                           size=WINDOW_SIZE, slide=WINDOW_SLIDE,
-                           out_of_orderness: str = WATERMARK_DELAY,
-                           lateness: str = WATERMARK_DELAY, available_now: bool = True,
-                           state_partitions: int | None = None):
-    """O-30 + O-32: every revision of the re-firing windows, appended to the
-    table under its own id (a window fires when the watermark passes its end
-    and again for each batch with late rows, until it closes for good)."""
-    from .refire import refiring_windows
-
-    revisions = refiring_windows(events, size, slide, out_of_orderness, lateness)
+def union_sources(sources: list[DataFrame], delay: str) -> DataFrame:
+    """O-28: several event streams as one, with a watermark of ``delay`` that
+    follows the source that is furthest ahead, so that one that is silent
+    holds back nothing. (Spark's own default is the slowest source; the
+    session's policy is set for queries started from now on.)"""
+    spark = sources[0].sparkSession
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max")
+    out = None
+    for source in sources:
+        marked = source.withWatermark("ts", delay)
+        out = marked if out is None else out.unionByName(marked)
+    return out
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        table.append(to_metric_rows(batch))
 
-    w = (revisions.writeStream.outputMode("append").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint))
-    if available_now:
+def start_results_stream(events: DataFrame, targets: dict, checkpoint: str,
+                         size=WINDOW_SIZE, slide=WINDOW_SLIDE,
+                         out_of_orderness: str = WATERMARK_DELAY,
+                         lateness: str = WATERMARK_DELAY, available_now: bool = True,
+                         processing_time: str | None = None,
+                         state_partitions: int | None = None, live_clock: bool = False,
+                         state_path: str | None = None):
+    """O-30 + O-02 + O-32, the whole job: every revision of the re-firing
+    windows goes once to each of ``targets`` (name -> ``outbox.Target``: the
+    metrics table, a topic, files), under its own id. A window fires when the
+    watermark passes its end and again for each batch with late rows, until it
+    closes for good; what is later still belongs to a quarantine stream of the
+    same bounds. The stream's panes and outbox lie in ``state_path`` (default:
+    beside the checkpoint). ``live_clock`` stamps ``last_updated`` with the
+    wall clock at emission."""
+    from .outbox import Outbox
+    from .refire import Revisions, pane_updates, revisions_writer
+
+    spark = events.sparkSession
+    state = (state_path or checkpoint.rstrip("/") + "-state").rstrip("/")
+    revisions = Revisions(spark, f"{state}/windows", size, slide, out_of_orderness, lateness)
+    write = revisions_writer(revisions, Outbox(spark, f"{state}/outbox", targets), live_clock)
+    w = (pane_updates(events, size, slide, out_of_orderness, lateness)
+         .writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint))
+    if processing_time:
+        w = w.trigger(processingTime=processing_time)
+    elif available_now:
         w = w.trigger(availableNow=True)
-    return start_with_partitions(w, events.sparkSession, state_partitions)
+    return start_with_partitions(w, spark, state_partitions)
+
+
+def start_revisions_stream(events: DataFrame, table: MetricsTable, checkpoint: str, **options):
+    """``start_results_stream`` into the metrics table alone."""
+    from .outbox import to_table
+
+    return start_results_stream(events, {"table": to_table(table)}, checkpoint, **options)
 
 
 def start_kafka_results_stream(events: DataFrame, bootstrap: str, checkpoint: str,
-                               size=WINDOW_SIZE, slide=WINDOW_SLIDE,
-                               watermark: str = WATERMARK_DELAY):
-    """O-02: results as JSON values to the results topic."""
-    hist = window_histogram_stream(events, size, slide, watermark)
+                               topic: str = RESULTS_TOPIC, **options):
+    """O-02: every revision as a JSON value to the results topic."""
+    from .outbox import to_kafka
+
+    return start_results_stream(events, {"topic": to_kafka(kafka_sink_options(bootstrap, topic))}, checkpoint,
+                                **options)
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()          # the percentile plan reads it more than once
-        try:
-            (encode_results(results_from_histogram(batch)).write.format("kafka")
-             .options(**kafka_sink_options(bootstrap)).save())
-        finally:
-            batch.unpersist()
 
-    return (hist.writeStream.outputMode("append").foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint).start())
+def start_job(events, table: MetricsTable, quarantine_path: str, checkpoint: str, size=WINDOW_SIZE,
+              slide=WINDOW_SLIDE, out_of_orderness: str = WATERMARK_DELAY, lateness: str = WATERMARK_DELAY,
+              targets: dict | None = None, available_now: bool = True, state_partitions: int | None = None,
+              live_clock: bool = False):
+    """Results and quarantine with one set of bounds: every row with a device
+    is in the windows or in the quarantine. ``events``: a function giving the
+    stream (each query reads the source on its own). Returns both queries."""
+    from .late import start_quarantine_stream
+    from .outbox import to_table
+
+    bounds = {"size": size, "slide": slide, "out_of_orderness": out_of_orderness, "lateness": lateness,
+              "available_now": available_now, "state_partitions": state_partitions}
+    base = checkpoint.rstrip("/")
+    results = start_results_stream(events(), {"table": to_table(table), **(targets or {})}, f"{base}/results",
+                                   live_clock=live_clock, state_path=f"{base}/results-state", **bounds)
+    late = start_quarantine_stream(events(), quarantine_path, f"{base}/late-state", f"{base}/late", **bounds)
+    return results, late
 
 
 __all__ = ["EVENT_SCHEMA", "kafka_source_options", "kafka_sink_options", "read_event_stream",
            "read_table_stream", "window_histogram_stream", "results_from_histogram",
-           "start_metrics_stream", "start_kafka_results_stream"]
+           "start_metrics_stream", "start_results_stream", "start_revisions_stream",
+           "start_kafka_results_stream", "start_job", "union_sources"]
 
 
 def read_result_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
-                       options: dict | None = None) -> DataFrame:
+                       options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """O-03: the result records the writer consumes (JSON values from the
-    results topic, or JSON-lines files)."""
+    results topic, or JSON-lines files). ``arrival`` tells which of two
+    records came first, ``record`` holds the text of one that cannot be
+    decoded."""
     from ..sources.codec import decode_results
 
     if fmt == "kafka":
         raw = spark.readStream.format("kafka").options(**(options or {})).load()
-        return decode_results(raw.select(F.col("value").cast("string").alias("value")))
-    if fmt == "text":
-        return decode_results(spark.readStream.text(path))
-    raise ValueError(f"unknown stream format {fmt!r}")
+        raw = raw.select(F.col("value").cast("string").alias("value"),
+                         F.struct("timestamp", "partition", "offset").alias("arrival"))
+    elif fmt == "text":
+        reader = spark.readStream
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+        raw = reader.text(path).select("value", F.struct("_metadata.file_modification_time",
+                                                         "_metadata.file_path").alias("arrival"))
+    else:
+        raise ValueError(f"unknown stream format {fmt!r}")
+    return decode_results(raw, keep=("arrival",), record=True)
 
 
 def start_writer_stream(results: DataFrame, table: MetricsTable, checkpoint: str,
                         validate: str = "none", reject_path: str | None = None,
                         available_now: bool = False, processing_time: str | None = None):
-    """O-03 + O-09 + O-10 + O-21 + O-32: result records -> metrics rows
-    (validated if asked) -> idempotent append, one transaction per
-    micro-batch; the source offsets are committed only after the append."""
-    from ..operators.clean import split_valid
+    """O-03 + O-09 + O-10 + O-21 + O-32: result records -> metrics rows ->
+    idempotent append, one transaction per micro-batch; the source offsets are
+    committed only after the append.
+
+    A record that cannot be decoded, or that the table would refuse (no id, no
+    device, too long), goes to ``reject_path`` (default: beside the table) with
+    its reason and text, by batch id, and the rest of its batch is stored;
+    "strict" sends what fails validation there too. Of records that share an
+    id the first to arrive is stored."""
+    reject_path = reject_path or table.path + "-rejects"
+    extra = [c for c in ("arrival", "record") if c in results.columns]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = to_metric_rows(batch).persist()
+        rows = to_metric_rows(batch, keep=extra).persist()
         try:
-            if validate == "strict":
-                good, rejected = split_valid(rows)
-                if reject_path:
-                    write_rejects(rejected, reject_path, batch_id)
-                table.append(good)
-            else:
-                table.append(rows)
+            good, rejected = split_storable(rows, validate)
+            write_rejects(rejected.drop("arrival"), reject_path, batch_id)
+            table.append(good, order_cols=(*[c for c in extra if c == "arrival"], "last_updated"))
         finally:
             rows.unpersist()
 

@@ -1,0 +1,116 @@
+"""Reads of the stored table go to the dates that can answer them."""
+
+import datetime
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import T0
+from fleetpulse.plans import metrics as M
+from fleetpulse.sources.store import NEWEST, MetricsTable
+
+DAY = 86_400_000
+FIELDS = ("event_id string, device_id string, window_start long, window_end long, percentile_95 double, "
+          "last_updated long, created_at timestamp")
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, None) for r in rows], FIELDS).withColumn(
+        "window_date", F.to_date(F.timestamp_millis("window_start")))
+
+
+def rows_of(seed=1, days=8, n=400):
+    rnd = random.Random(seed)
+    out = []
+    for i in range(n):
+        start = T0 + rnd.randrange(days) * DAY + rnd.randrange(3) * 1000
+        end = start + rnd.choice([1_000, 1_000, 30_000, 2 * DAY])
+        out.append((f"e{i}", f"d{rnd.randrange(9)}", start, end, float(rnd.randrange(100)),
+                    end + rnd.choice([0, 0, 5_000, -3 * DAY])))
+    return out + [("gone", "old-device", T0, T0 + 5, 7.0, T0 + 6)]
+
+
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
+    t = MetricsTable(spark, str(tmp_path_factory.mktemp("stored") / "t"))
+    rows = rows_of()
+    for k in range(0, len(rows), 150):
+        t.append(frame(spark, rows[k:k + 150]))
+    t.append(frame(spark, rows[:150]))              # a replay
+    return t
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_reads_equal_reads_of_the_whole_table(table):
+    whole = table.scan()
+    assert table.dates() and sorted(d[0] for d in table.dates()) == sorted(
+        r[0] for r in whole.select("window_date").distinct().collect())
+    for n in (1, 5, 100):
+        for stored, plain in ((M.stored_top_devices(table, n), M.top_devices(whole, n)),
+                              (M.stored_top_at_latest_update(table, n), M.top_at_latest_update(whole, n)),
+                              (M.stored_newest_recent(table, n, 3 * DAY), M.newest_recent(whole, n, 3 * DAY)),
+                              (M.stored_newest_recent(table, n), M.newest_recent(whole, n))):
+            assert stored.collect() == plain.collect()
+    for device in [f"d{k}" for k in range(9)] + ["old-device", "nobody"]:
+        assert M.stored_latest_for_device(table, device).collect() == M.latest_for_device(whole, device).collect()
+
+
+def test_reads_are_pruned_by_date(table):
+    many = len(table.dates())
+    for df in (table.scan_newest("window_end"), table.scan_newest("last_updated"), table.scan_latest_of("d1")):
+        plan = plan_of(df)
+        assert "PartitionFilters: [" in plan and "window_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert df.select("window_date").distinct().count() < many
+    assert "EqualTo(device_id,d1)" in plan_of(M.stored_latest_for_device(table, "d1"))
+
+
+def test_arguments_are_checked(table):
+    for n in (0, 101, "x"):
+        for query in (M.stored_top_devices, M.stored_top_at_latest_update, M.stored_newest_recent):
+            with pytest.raises(ValueError):
+                query(table, n)
+    with pytest.raises(ValueError):
+        M.stored_latest_for_device(table, " ")
+
+
+def test_a_summary_without_its_rows_hides_nothing(spark, tmp_path):
+    """An append that was cut off after the summary: its bounds are too
+    high until it is replayed, and answers are right at any time."""
+    table = MetricsTable(spark, str(tmp_path / "t"))
+    table.append(frame(spark, rows_of(seed=5, n=60)))
+    later = frame(spark, [("late", "d1", T0 + 30 * DAY, T0 + 40 * DAY, 99.0, T0 + 40 * DAY)])
+    table._sum_up(later)
+    for step in range(2):
+        whole = table.scan()
+        assert M.stored_top_devices(table, 5).collect() == M.top_devices(whole, 5).collect()
+        assert M.stored_newest_recent(table, 9, DAY).collect() == M.newest_recent(whole, 9, DAY).collect()
+        assert M.stored_latest_for_device(table, "d1").collect() == M.latest_for_device(whole, "d1").collect()
+        table.append(later)
+    assert M.stored_top_devices(table, 5).first().percentile_95 == 99.0
+
+
+def test_rows_without_a_date_and_empty_tables(spark, tmp_path):
+    empty = MetricsTable(spark, str(tmp_path / "none"))
+    assert M.stored_top_devices(empty, 3).count() == 0 and M.stored_latest_for_device(empty, "d").count() == 0
+    table = MetricsTable(spark, str(tmp_path / "t"))
+    table.append(frame(spark, [("a", "d", T0, T0 + 1, 1.0, T0 + 1), ("b", "d", None, T0 + 9, 2.0, T0 + 9)]))
+    assert [r.percentile_95 for r in M.stored_top_devices(table, 3).collect()] == [2.0]
+    assert M.stored_latest_for_device(table, "d").first().percentile_95 == 2.0
+    table.append(frame(spark, []))
+    assert table.scan().count() == 2
+
+
+def test_compaction_keeps_the_rows(spark, tmp_path):
+    table = MetricsTable(spark, str(tmp_path / "t"))
+    for k in range(4):
+        table.append(frame(spark, [(f"{k}-{i}", f"d{i}", T0 + k, T0 + k + 1, 1.0 * i, T0) for i in range(5)]))
+    date = datetime.datetime.fromtimestamp(T0 / 1000, datetime.UTC).date()
+    before = sorted(table.scan().collect())
+    files = len(table.scan().inputFiles())
+    table.compact(date)
+    assert sorted(table.scan().collect()) == before and len(table.scan().inputFiles()) < files
+    assert [d[1] for d in table.dates()] == [T0 + 4] and NEWEST == ["window_end", "last_updated"]

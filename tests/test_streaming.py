@@ -12,7 +12,6 @@ from fleetpulse.operators.windows import window_p95
 from fleetpulse.session import shared_path
 from fleetpulse.sources.store import MetricsTable
 from fleetpulse.streaming.late import start_quarantine_stream
-from fleetpulse.streaming.refire import legacy_percentile, refiring_windows
 from fleetpulse.streaming.streams import (kafka_sink_options, kafka_source_options,
                                           read_event_stream, start_metrics_stream)
 
@@ -42,21 +41,6 @@ def seq_stream(spark, tmp_path):
     return read_event_stream(spark, "json", str(tmp_path / "src"), max_files_per_trigger=1)
 
 
-def test_refire_sequence(spark, seq_stream, tmp_path):
-    out = refiring_windows(seq_stream)
-    run(out.writeStream.format("memory").queryName("refire_seq").outputMode("append")
-        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
-    first = [r for r in spark.sql("select * from refire_seq").collect() if r.win_start == T0]
-    first.sort(key=lambda r: r.event_count)
-    # fired with 3 values, re-fired once the row at 1000 came; 2000 dropped
-    assert [r.event_count for r in first] == [3, 4]
-    assert first[0].percentile_95 == legacy_percentile(
-        __import__("numpy").array([0.0, 4000 % 97, 29999 % 97]),
-        __import__("numpy").ones(3, dtype="int64"))
-    assert (first[1].window_start, first[1].window_end) == (T0, T0 + 29999)
-    assert len({r.id for r in first}) == 2
-
-
 def test_quarantine_sequence(spark, seq_stream, tmp_path):
     qpath = str(tmp_path / "quarantine")
     run(start_quarantine_stream(seq_stream, qpath, str(tmp_path / "state"),
