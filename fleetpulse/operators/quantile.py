@@ -18,6 +18,10 @@ bucket plan here works on a *value histogram* and holds no list at all:
    partitioning, and a window sorted by value inside just those buckets
    (spillable, like any sort) gives exact ranks.
 
+4. Where a group may hold a large part of all rows (``sliced``), a bucket is
+   cut into ``SLICES`` slices in the same manner and the histogram is dealt by
+   slice: what one task holds and sorts is a slice, 1/4096 of a bucket.
+
 Exactness: buckets are contiguous value ranges because ``b`` is monotone
 (log2 is semi-monotone; scaling by a positive constant and floor keep it).
 """
@@ -41,6 +45,10 @@ BUCKET_SHIFT = 80000
 
 BUCKET = "_b"
 
+# Slices of a coarse bucket, for groups that may hold a large part of all rows.
+SLICES = 4096
+SLICE = "_s"
+
 
 def usable(v: Column) -> Column:
     """Values that take part in a percentile (null and NaN are dropped)."""
@@ -56,10 +64,21 @@ def coarse_bucket(v: Column) -> Column:
             .when(v > 0, pos).when(v < 0, -pos).otherwise(F.lit(0))).cast("long")
 
 
+def slice_of_bucket(v: Column) -> Column:
+    """Slice of a value within its coarse bucket, monotone like the bucket
+    (the same logarithm, scaled, less its floor)."""
+    x = F.least(F.greatest(F.log2(F.abs(v)), F.lit(-LOG2_CLAMP)), F.lit(LOG2_CLAMP)) * F.lit(float(BUCKETS_PER_OCTAVE))
+    at = F.floor((x - F.floor(x)) * F.lit(float(SLICES)))
+    return F.when(v > 0, at).when(v < 0, -at).otherwise(F.lit(0)).cast("long")
+
+
 def bucketed_histogram(hist: DataFrame, keys: Sequence[str], value: str,
-                       count_col: str = "c") -> DataFrame:
+                       count_col: str = "c", sliced: bool = False) -> DataFrame:
     """(keys, value, count) rows -> one row per distinct usable value:
     (keys, bucket, value, c), hash-partitioned by (keys, bucket).
+    ``sliced`` adds each value's slice of its bucket and partitions by that
+    too, for groups that may hold a large part of all rows: ``select_ranks``
+    then looks into the wanted buckets slice by slice.
 
     Rows may repeat a value (they are summed). Both branches of the
     selection read this one exchange: the bucket counts need no further
@@ -68,11 +87,39 @@ def bucketed_histogram(hist: DataFrame, keys: Sequence[str], value: str,
     # The explicit not-null filter equals what the join below would infer
     # for one branch only; stated here, both branches stay identical and
     # Spark reuses the exchange.
-    return (hist.filter(usable(v))
-            .withColumn(BUCKET, coarse_bucket(v))
-            .filter(F.col(BUCKET).isNotNull())
-            .repartition(*keys, BUCKET)
-            .groupBy(*keys, BUCKET, value).agg(F.sum(count_col).alias("c")))
+    hist = hist.filter(usable(v)).withColumn(BUCKET, coarse_bucket(v)).filter(F.col(BUCKET).isNotNull())
+    parts = [*keys, BUCKET]
+    if sliced:
+        hist, parts = hist.withColumn(SLICE, slice_of_bucket(v)), [*parts, SLICE]
+    return hist.repartition(*parts).groupBy(*parts, value).agg(F.sum(count_col).alias("c"))
+
+
+def _wanted(counts: DataFrame, keys: Sequence[str], part: str, below: Column, ranks: Sequence[str]) -> DataFrame:
+    """Of counts (keys, part, _bc, ...) in order of ``part`` the parts that
+    hold a wanted rank, with ``_prev``, the rows below each (``below`` rows lie
+    below all parts of a group)."""
+    running = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("_cum", below + F.sum("_bc").over(running)) \
+        .withColumn("_prev", F.col("_cum") - F.col("_bc"))
+    hit_any = F.lit(False)
+    for r in ranks:
+        hit_any = hit_any | ((F.col("_prev") < F.col(r)) & (F.col(r) <= F.col("_cum")))
+    return counts.filter(hit_any).drop("_cum", "_bc")
+
+
+def _picked(cand: DataFrame, keys: Sequence[str], parts: Sequence[str], value: str,
+            ranks: dict[str, str]) -> DataFrame:
+    """The values at the wanted ranks among the rows of the wanted parts, each
+    sorted by value (with spilling)."""
+    within = Window.partitionBy(*keys, *parts).orderBy(value).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    cand = cand.withColumn("_vcum", F.col("_prev") + F.sum("c").over(within))
+    picks = []
+    for name, rank in ranks.items():
+        r = F.col(rank)
+        hit = ((F.col("_vcum") - F.col("c")) < r) & (r <= F.col("_vcum"))
+        picks.append(F.max(F.when(hit, F.col(value))).alias(name))
+    return cand.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
 
 
 def select_ranks(bh: DataFrame, keys: Sequence[str], value: str,
@@ -84,32 +131,22 @@ def select_ranks(bh: DataFrame, keys: Sequence[str], value: str,
     usable value do not appear).
     """
     keys = list(keys)
-    counts = bh.groupBy(*keys, BUCKET).agg(F.sum("c").alias("_bc"))
+    ranks = {name: f"_r{name}" for name in rank_fns}
     # Bucket counts only: at most ~2^18 small rows per group.
-    running = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    counts = (counts.withColumn("_cum", F.sum("_bc").over(running))
-              .withColumn("n", F.sum("_bc").over(Window.partitionBy(*keys)))
-              .withColumn("_prev", F.col("_cum") - F.col("_bc")))
-    hit_any = F.lit(False)
+    counts = bh.groupBy(*keys, BUCKET).agg(F.sum("c").alias("_bc")) \
+        .withColumn("n", F.sum("_bc").over(Window.partitionBy(*keys)))
     for name, fn in rank_fns.items():
-        counts = counts.withColumn(f"_r{name}", fn(F.col("n")))
-        r = F.col(f"_r{name}")
-        hit_any = hit_any | ((F.col("_prev") < r) & (r <= F.col("_cum")))
-    targets = counts.filter(hit_any).select(*keys, BUCKET, "_prev", "n",
-                                            *[f"_r{name}" for name in rank_fns])
-    # Only the rows of the (at most two) wanted buckets per group go on, to a
-    # spillable window sorted by value; the histogram side is not moved.
-    cand = bh.join(targets, on=keys + [BUCKET])
-    within = Window.partitionBy(*keys, BUCKET).orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    cand = cand.withColumn("_vcum", F.col("_prev") + F.sum("c").over(within))
-    picks = []
-    for name in rank_fns:
-        r = F.col(f"_r{name}")
-        hit = ((F.col("_vcum") - F.col("c")) < r) & (r <= F.col("_vcum"))
-        picks.append(F.max(F.when(hit, F.col(value))).alias(name))
-    return cand.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
+        counts = counts.withColumn(ranks[name], fn(F.col("n")))
+    targets = _wanted(counts, keys, BUCKET, F.lit(0), list(ranks.values()))
+    # Only the rows of the (at most two) wanted buckets per group go on; the
+    # histogram side is not moved.
+    if SLICE not in bh.columns:
+        return _picked(bh.join(targets, on=keys + [BUCKET]), keys, [BUCKET], value, ranks)
+    cand = bh.join(targets.withColumnRenamed("_prev", "_low"), on=keys + [BUCKET])
+    slices = cand.groupBy(*keys, BUCKET, SLICE).agg(
+        F.sum("c").alias("_bc"), *[F.first(x).alias(x) for x in ("_low", "n", *ranks.values())])
+    inner = _wanted(slices, [*keys, BUCKET], SLICE, F.col("_low"), list(ranks.values()))
+    return _picked(bh.join(inner, on=[*keys, BUCKET, SLICE]), keys, [BUCKET, SLICE], value, ranks)
 
 
 def percentile_by_buckets(bh: DataFrame, keys: Sequence[str], value: str, p: float = P95,
@@ -129,11 +166,12 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str,
 
     NaN and null values are dropped; a group without any usable value does
     not appear (callers apply their own empty/NaN rules). Repeated values
-    are counted map-side before the first shuffle.
+    are counted map-side before the first shuffle. Groups may be as large as
+    the table: buckets are cut into slices, so no task holds a bucket.
     """
     keys = list(keys)
     hist = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c"))
-    return percentile_by_buckets(bucketed_histogram(hist, keys, value, "c"), keys, value, p, out)
+    return percentile_by_buckets(bucketed_histogram(hist, keys, value, "c", sliced=True), keys, value, p, out)
 
 
 def histogram_windows(hist: DataFrame, keys: Sequence[str], value: str = "cpu_usage",

@@ -181,3 +181,63 @@ def test_partials_methods_agree(spark, method):
     want = sorted(window_p95(events_df(spark, rows), "30 seconds", "5 seconds",
                              method="array").collect())
     assert got == want
+
+
+def test_slices_are_monotone_and_even(spark):
+    """Full-precision values of one group: buckets and their slices rise with
+    the value, and no slice holds more than a sliver of the rows."""
+    import random
+
+    from fleetpulse.operators import quantile as Q
+
+    rnd = random.Random(9)
+    values = [rnd.gauss(60.0, 15.0) for _ in range(20_000)] + [rnd.uniform(-1, 1) for _ in range(2_000)] + [
+        0.0, -0.0, 1.0, 2.0, 64.0, 1e308, -1e308, 5e-324, float("inf"), float("-inf")]
+    df = spark.createDataFrame([(1, float(v)) for v in values], "g int, v double")
+    rows = df.select("v", Q.coarse_bucket(F.col("v")).alias("b"), Q.slice_of_bucket(F.col("v")).alias("s")).collect()
+    order = sorted(rows, key=lambda r: r.v)
+    assert all((x.b, x.s) <= (y.b, y.s) for x, y in zip(order, order[1:]))
+    from collections import Counter
+    buckets, slices = Counter(r.b for r in rows), Counter((r.b, r.s) for r in rows)
+    assert max(buckets.values()) > 200 and max(slices.values()) < 20
+
+
+def test_one_group_of_full_precision_is_exact_and_dealt_evenly(spark):
+    import random
+
+    from conftest import legacy_p95
+    from fleetpulse.operators import quantile as Q
+
+    rnd = random.Random(10)
+    # nearly all rows in one coarse bucket, which also holds the wanted ranks
+    values = [rnd.uniform(90.0, 90.9) for _ in range(30_000)] + [rnd.uniform(0, 80) for _ in range(300)] + [90.5] * 500
+    df = spark.createDataFrame([(1, v) for v in values], "g int, v double").repartition(8)
+    for p in (0.95, 0.5, 0.01):
+        got = Q.exact_percentile(df, ["g"], "v", p, "x").first()
+        xs, pos = sorted(values), p * (len(values) + 1)
+        f = int(pos)
+        assert got.n == len(values) and got.x == xs[f - 1] + (pos - f) * (xs[f] - xs[f - 1])
+    assert Q.exact_percentile(df, ["g"], "v", 0.95, "x").first().x == legacy_p95(values)
+    hist = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        sizes = Q.bucketed_histogram(hist, ["g"], "v", sliced=True).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, x in before.items():
+            spark.conf.set(k, x)
+    held = [r["count"] for r in sizes]
+    assert len(held) == 16 and max(held) < 2 * sum(held) / 16
+
+
+def test_negative_groups_take_slices_in_order(spark):
+    from fleetpulse.operators import quantile as Q
+
+    values = [-(90.0 + k / 10_000) for k in range(5_000)] + [float("nan")] * 7
+    df = spark.createDataFrame([(k % 2, v) for k, v in enumerate(values)], "g int, v double")
+    for r in Q.exact_percentile(df, ["g"], "v", 0.95, "x").collect():
+        xs = sorted(v for k, v in enumerate(values) if k % 2 == r.g and v == v)
+        pos = 0.95 * (len(xs) + 1)
+        f = int(pos)
+        assert r.n == len(xs) and r.x == xs[f - 1] + (pos - f) * (xs[f] - xs[f - 1])
