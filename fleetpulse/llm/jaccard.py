@@ -26,11 +26,13 @@ over the corpus' size histogram.
 
 Copies: equal sets share one key, and everything is keyed by it. Near copies
 in thousands would make thousands of pairs for each; only components are
-asked for, so leaders come first: sets that share two min-hashes are compared
+asked for, so pairs within one are never needed. Leaders come first: sets that share two min-hashes are compared
 with at most ``LEADERS`` leaders, within a slab of a task and then between
-slabs, and the links found are united. Lists then pair only sets of
-different components, so no link between them is lost and no group is
-expanded into its pairs.
+slabs, and the links found are united. Then every row of a list proposes its
+``NEAREST`` partners of other components, a number of pairs that follows the
+lists' rows, and what links is united. At last lists pair all sets that are
+still of different components, so no link between them is lost and no group
+is expanded into its pairs.
 
 Defined cases: null or empty texts have no shingles and link with nothing;
 texts under a shingle's words have one, the whole sequence; repeated rows
@@ -57,7 +59,9 @@ LEADERS = 64             # sets that a min-hash group compares with at most
 ENOUGH = 3               # links after which a set looks for no further leader
 MAX_LIGHT = 29           # largest size for which subsets may be enumerated
 COUNT_BITS = 22          # at most so many bits of counters for rarity
-SKETCH = 256             # cells of a parity sketch
+SKETCH = 1024            # cells of a parity sketch
+NEAREST = 2              # partners that a row of a list proposes at first
+FLUSH = 1 << 16          # pairs that a task holds at most before it passes them on
 MOST_APART, MOST_CELLS = 63, 1 << 16  # sets that may differ in more elements have a cell for each, up to a bound
 LIST_BLOCK = 1024        # rows of a list that are compared at a time
 LIST_ROWS = 4096         # a list of more rows is dealt in blocks of about so many, which meet in pairs
@@ -138,12 +142,17 @@ def folded(sketch: bytes, size: int = SKETCH // 8) -> np.ndarray:
     return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, size))
 
 
-def may_link(x: bytes, y: bytes, total: int, rule: Rule = RULE) -> bool:
-    """Whether sets with these sketches and ``total`` elements may be linked."""
+def differing(x: bytes, y: bytes) -> int:
+    """Cells in which two sketches differ."""
     if len(x) != len(y):
         size = min(len(x), len(y))
         x, y = folded(x, size).tobytes(), folded(y, size).tobytes()
-    return rule.may_differ((int.from_bytes(x) ^ int.from_bytes(y)).bit_count(), total)
+    return (int.from_bytes(x) ^ int.from_bytes(y)).bit_count()
+
+
+def may_link(x: bytes, y: bytes, total: int, rule: Rule = RULE) -> bool:
+    """Whether sets with these sketches and ``total`` elements may be linked."""
+    return rule.may_differ(differing(x, y), total)
 
 
 def subset_rows(n: int, rule: Rule = RULE) -> int:
@@ -325,8 +334,8 @@ class _List:
     """One inverted list, read in order of size: (set, component, size,
     sketch). Rows that are too small for what follows are forgotten."""
 
-    def __init__(self, token: int, rule: Rule = RULE):
-        self.token, self.rule, self.held, self.fresh = token, rule, [], []
+    def __init__(self, token: int, rule: Rule = RULE, most: int | None = None):
+        self.token, self.rule, self.most, self.held, self.fresh = token, rule, most, [], []
 
     def add(self, row: tuple, out: set) -> None:
         self.fresh.append(row)
@@ -340,26 +349,38 @@ class _List:
             return
         self.held = [r for r in self.held if self.rule.fits(r[2], fresh[0][2])]
         if len({r[1] for r in (*self.held, *fresh)}) > 1:
-            self._block(fresh, fresh, True, out, self.rule)
+            self._block(fresh, fresh, True, out, self.rule, self.most)
             for lo in range(0, len(self.held), LIST_BLOCK):
-                self._block(fresh, self.held[lo:lo + LIST_BLOCK], False, out, self.rule)
+                self._block(fresh, self.held[lo:lo + LIST_BLOCK], False, out, self.rule, self.most)
         self.held += fresh
 
     @staticmethod
-    def _block(a: list, b: list, same: bool, out: set, rule: Rule) -> None:
+    def _block(a: list, b: list, same: bool, out: set, rule: Rule, most: int | None = None) -> None:
+        """Pairs of a row of ``a`` and one of ``b`` (an earlier one, if both
+        are the ``same``) that may be linked; with ``most``, each row of ``a``
+        proposes its nearest so many only."""
         if len(a) * len(b) <= 256:
-            found = ((x, y) for i, x in enumerate(a) for y in (b[:i] if same else b)
-                     if x[1] != y[1] and rule.fits(min(x[2], y[2]), max(x[2], y[2])))
-        else:
-            n, m = (np.array([r[2] for r in rows], np.int64) for rows in (a, b))
-            roots, others = (np.array([r[1] for r in rows], np.int64) for rows in (a, b))
-            x, y = (np.unpackbits(np.array([folded(r[3]) for r in rows]), axis=1).astype(np.float32) for rows in (a, b))
-            apart = x.sum(axis=1)[:, None] + y.sum(axis=1)[None] - 2 * (x @ y.T)
-            n, m = n[:, None], m[None]
-            ok = (roots[:, None] != others[None]) & rule.fits(np.minimum(n, m), np.maximum(n, m)) & rule.may_differ(apart, n + m)
-            if same:
-                ok &= np.tri(len(a), k=-1, dtype=bool)
-            found = ((a[i], b[j]) for i, j in zip(*np.nonzero(ok)))
+            for i, x in enumerate(a):
+                mine = [y for y in (b[:i] if same else b)
+                        if x[1] != y[1] and rule.fits(min(x[2], y[2]), max(x[2], y[2])) and may_link(x[3], y[3], x[2] + y[2], rule)]
+                if most is not None and len(mine) > most:
+                    mine = sorted(mine, key=lambda y: differing(x[3], y[3]))[:most]
+                out.update((min(x[0], y[0]), max(x[0], y[0])) for y in mine)
+            return
+        n, m = (np.array([r[2] for r in rows], np.int64) for rows in (a, b))
+        roots, others = (np.array([r[1] for r in rows], np.int64) for rows in (a, b))
+        x, y = (np.unpackbits(np.array([folded(r[3]) for r in rows]), axis=1).astype(np.float32) for rows in (a, b))
+        apart = x.sum(axis=1)[:, None] + y.sum(axis=1)[None] - 2 * (x @ y.T)
+        n, m = n[:, None], m[None]
+        ok = (roots[:, None] != others[None]) & rule.fits(np.minimum(n, m), np.maximum(n, m)) & rule.may_differ(apart, n + m)
+        if same:
+            ok &= np.tri(len(a), k=-1, dtype=bool)
+        if most is not None and len(b) > most:
+            near = np.argpartition(np.where(ok, apart, np.inf), most - 1, axis=1)[:, :most]
+            few = np.zeros_like(ok)
+            np.put_along_axis(few, near, True, axis=1)
+            ok &= few
+        found = ((a[i], b[j]) for i, j in zip(*np.nonzero(ok)))
         out.update((min(x[0], y[0]), max(x[0], y[0])) for x, y in found if may_link(x[3], y[3], x[2] + y[2], rule))
 
 
@@ -392,18 +413,23 @@ def _dealt(kept: DataFrame, rule: Rule) -> DataFrame:
             .select("token", "to.g", "to.h", "to.second", "s", "n", "root"))
 
 
-def _candidates(postings: DataFrame, labels: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """(a, b): sets of different components that share a list and may be
-    linked by size and sketch, each pair once."""
+def _lists(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, s, n, root): the lists that hold sets of several components."""
     rooted = staged(postings.join(labels.select(F.col("node").alias("s"), "root"), "s", "left")
                     .select("token", "s", "n", F.xxhash64(F.coalesce("root", "s")).alias("root")), "postings")
     # Lists within one component have no pair to offer.
     mixed = rooted.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
-    kept = staged(rooted.join(mixed, "token", "left_semi").select("token", "s", "n", "root"), "lists")
+    return staged(rooted.join(mixed, "token", "left_semi").select("token", "s", "n", "root"), "lists")
+
+
+def _candidates(kept: DataFrame, classes: DataFrame, rule: Rule, most: int | None = None) -> DataFrame:
+    """(a, b): sets of different components that share a list and may be
+    linked by size and sketch, each pair once. ``most`` bounds what a row of a
+    list proposes: its nearest partners."""
     long = kept.groupBy("token").count().where(F.col("count") > LIST_ROWS).select("token")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, told = _List(0, rule), set()          # pairs of earlier batches, as many as memory allows
+        now, told = _List(0, rule, most), set()          # pairs of earlier batches, as many as memory allows
         out: set[tuple[bytes, bytes]] = set()
 
         def rows() -> pa.RecordBatch:
@@ -419,8 +445,10 @@ def _candidates(postings: DataFrame, labels: DataFrame, classes: DataFrame, rule
             for token, *row in zip(*(batch.column(c).to_pylist() for c in ("token", "s", "root", "n", "sketch"))):
                 if token != now.token:
                     now.meet(out)
-                    now = _List(token, rule)
+                    now = _List(token, rule, most)
                 now.add(tuple(row), out)
+                if len(out) > FLUSH:
+                    yield rows()
             yield rows()
         now.meet(out)
         yield rows()
@@ -429,29 +457,35 @@ def _candidates(postings: DataFrame, labels: DataFrame, classes: DataFrame, rule
         """Both blocks of a pair, or one with itself; groups come one after another."""
         now, sides = None, ([], [])
 
-        def pairs() -> pa.RecordBatch:
+        def told(out: set) -> pa.RecordBatch:
+            cols = list(zip(*sorted(out))) or [(), ()]
+            out.clear()
+            return pa.record_batch([pa.array(x, pa.binary()) for x in cols], names=["a", "b"])
+
+        def pairs() -> Iterator[pa.RecordBatch]:
             out: set[tuple[bytes, bytes]] = set()
             first, second = sides
-            alone = now is not None and now[1] == now[2]
+            alone = now[1] == now[2]
             for i in range(0, len(first), LIST_BLOCK):
                 a = first[i:i + LIST_BLOCK]
                 if alone:
-                    _List._block(a, a, True, out, rule)
+                    _List._block(a, a, True, out, rule, most)
                 for j in range(0, i if alone else len(second), LIST_BLOCK):
-                    _List._block(a, (first if alone else second)[j:j + LIST_BLOCK], False, out, rule)
-            cols = list(zip(*sorted(out))) or [(), ()]
-            return pa.record_batch([pa.array(x, pa.binary()) for x in cols], names=["a", "b"])
+                    _List._block(a, (first if alone else second)[j:j + LIST_BLOCK], False, out, rule, most)
+                    if len(out) > FLUSH:
+                        yield told(out)
+            yield told(out)
 
         for batch in batches:
             for token, g, h, second, *row in zip(*(batch.column(c).to_pylist() for c in (
                     "token", "g", "h", "second", "s", "root", "n", "sketch"))):
                 if (token, g, h) != now:
                     if now is not None:
-                        yield pairs()
+                        yield from pairs()
                     now, sides = (token, g, h), ([], [])
                 sides[second].append(tuple(row))
         if now is not None:
-            yield pairs()
+            yield from pairs()
 
     sketches = classes.select("s", "sketch")
     found = (kept.join(long, "token", "left_anti").join(sketches, "s").repartition("token")
@@ -535,11 +569,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     early = components(light_links(texts, light, rule).union(
         leader_links(texts, light, bits_for(2 * classes.count(), 0.1), rule)))
     smallest = -(-percent * (light + 1) // 100)
-    pairs = staged(_candidates(_postings(texts, smallest, counts, bits, 1 + float(table.mean()), rule), early, classes,
-                                rule),
-                   "candidates")
-    links = _verified(texts, pairs, rule)
-    labels = components(links.union(early.where("node <> root").select("node", "root")))
+    # Near copies in thousands: at first every row of a list proposes its nearest partners, and what links is
+    # united. Then lists pair whatever is left of different components; pairs once refuted are not looked at again.
+    lists = _lists(_postings(texts, smallest, counts, bits, 1 + float(table.mean()), rule), early)
+    near = staged(_candidates(lists, classes, rule, NEAREST), "nearest")
+    labels = components(_verified(texts, near, rule).union(early.where("node <> root").select("node", "root")))
+    rest = staged(_candidates(_lists(lists.drop("root"), labels), classes, rule).join(near, ["a", "b"], "left_anti"), "rest")
+    if not rest.isEmpty():
+        labels = components(_verified(texts, rest, rule).union(labels.where("node <> root").select("node", "root")))
     lowest = classes.join(labels.withColumnRenamed("node", "s"), "s", "left") \
         .select("s", "low", F.coalesce("root", "s").alias("root"))
     lowest = staged(lowest, "rooted")

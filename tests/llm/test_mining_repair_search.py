@@ -301,3 +301,47 @@ def test_same_graph_from_a_task_that_runs_again():
     a, b = hnsw.build(unit, keys), hnsw.build(unit, keys)
     assert (a.ground == b.ground).all() and a.entry == b.entry and len(a.layers) == len(b.layers)
     assert ((a.ground >= -1) & (a.ground < 400)).all()
+
+
+# ---------------------------------------------------------------- near copies in groups
+
+@pytest.mark.parametrize("width, percent", [(5, 80), (3, 90)])
+def test_a_group_of_near_copies_makes_few_pairs(spark, monkeypatch, width, percent):
+    """Copies of one text with 1 to 4 words changed: fewer than two pairs a row
+    are looked at, and the components are those of brute force."""
+    from fleetpulse.llm import jaccard
+    rnd = random.Random(21)
+    words = ["".join(rnd.choice("abcdeilnorst") for _ in range(6)) for _ in range(3000)]
+    base = words[:100]
+    texts = {}
+    for i in range(1000):
+        near = list(base)
+        for at in rnd.sample(range(100), rnd.randint(1, 4)):
+            near[at] = rnd.choice(words)
+        texts[i] = " ".join(near)
+    asked, whole = [], jaccard._verified
+
+    def counted(docs, pairs, rule):
+        asked.append(pairs.count())
+        return whole(docs, pairs, rule)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs, width=width, percent=percent).collect()}
+    assert sum(asked) < 2 * len(texts)
+
+    sets = {i: {tuple(t.split()[k:k + width]) for k in range(101 - width)} for i, t in texts.items()}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for i in sets:
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    assert got == {i: find(i) for i in sets}
