@@ -24,22 +24,39 @@ NEAR = {"width": 5, "percent": 80}   # near copies: words in a shingle, least Ja
 SURE = 0.3          # least confidence of a language; chance is 0.25 with four languages
 
 
+BATCH_BYTES = 8 << 20      # of texts that travel to a Python worker at once, however long they are
+
+
+def _bounded(stage):
+    """A stage whose Arrow batches are bounded by their bytes, not by rows
+    alone: what a worker and its executor hold follows neither the length of
+    the texts nor what earlier stages left behind."""
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+    run.__name__, run.__doc__ = stage.__name__, stage.__doc__
+    return run
+
+
 def _names(docs: DataFrame) -> list[str]:
     return [f"`{c}`" for c in docs.columns]
 
 
+@_bounded
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose language is anyone's guess, go."""
     found = langid.predicted(docs, langid.fit(docs), _names(docs))
     return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= SURE)).select("row.*")
 
 
+@_bounded
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     forest = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.scored(docs, forest, _names(docs)).where(F.col("score") >= quality.THRESHOLD).select("row.*")
 
 
+@_bounded
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies one row stays, of those with the smallest id."""
     names = _names(docs)
@@ -55,6 +72,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return alone.union(several)
 
 
+@_bounded
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in windows that occur more than once go; other texts stay as they are."""
     out = substring.remove_repeats(docs, _names(docs))
@@ -64,6 +82,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return out.select(*[(new[c] if new.get(c) is not None else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
+@_bounded
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, placed in windows of 1024 ids."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).select(
