@@ -14,13 +14,16 @@ step sees the whole table in one task: rows are cut into chunks of
 consecutive arrival numbers; a per-chunk max is a plain aggregate; a prefix
 max over the chunk table (itself split into groups of chunks) gives the max
 of all earlier chunks; the running max inside a chunk is a window
-partitioned by chunk.
+partitioned by chunk. A chunk that many rows share (few arrival numbers, many
+rows each) is cut further, by arrival number and by stretches of the tie
+column, and the same three steps run on those units.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from .clean import valid_events
 from .windows import parse_duration_ms
@@ -31,7 +34,7 @@ DEFAULT_SLIDE_MS = 5_000
 OUT_OF_ORDERNESS_MS = 35_000
 ALLOWED_LATENESS_MS = 35_000
 
-# Rows per chunk of arrival numbers (the in-chunk window's largest unit).
+# Arrival numbers per chunk, and rows that a unit of the running maximum may hold.
 CHUNK = 1 << 16
 
 
@@ -61,21 +64,40 @@ def _exclusive_prefix_max(table: DataFrame, order: str, value: str, out: str,
 def max_seen_before(df: DataFrame, time: str, arrival: str, tie: str,
                     chunk: int = CHUNK) -> DataFrame:
     """Add ``max_before``: max of ``time`` over rows strictly earlier in
-    (arrival, tie) order (null for the first row).
-
-    Three levels, none of which holds more than ``chunk`` rows of a
-    partition or more than rows / chunk^2 rows in one task: rows within a
-    chunk of arrival numbers; chunks within a group of ``chunk`` chunks;
-    groups."""
+    (arrival, tie) order (null for the first row; rows equal in both are
+    taken by time).
+
+    The largest units: the rows of one *unit*, the units of one chunk, the
+    chunks of one group of ``chunk`` chunks, the groups. A chunk of arrival
+    numbers with at most twice ``chunk`` rows is a unit. In a fuller one every
+    arrival number is a unit of its own, and one with more than ``chunk`` rows
+    is cut into as many stretches of equal width of a numeric ``tie`` as it
+    has times ``chunk`` rows. Where no chunk is that full the tables of units
+    are empty, and adaptive execution drops their joins."""
     c = df.withColumn("_chunk", F.floor(F.col(arrival) / F.lit(chunk)).cast("long"))
-    per_chunk = c.groupBy("_chunk").agg(F.max(time).alias("_cmax"))
+    per_chunk = c.groupBy("_chunk").agg(F.max(time).alias("_cmax"), F.count(F.lit(1)).alias("_rows"))
     prefix = _exclusive_prefix_max(per_chunk, "_chunk", "_cmax", "_before_chunk", chunk)
-    inner = Window.partitionBy("_chunk").orderBy(arrival, tie).rowsBetween(
+    c = c.join(prefix.select("_chunk", "_before_chunk", (F.col("_rows") > F.lit(2 * chunk)).alias("_full")),
+               on="_chunk", how="left")
+    # What each arrival number of a full chunk holds, and its stretches.
+    c = c.withColumn("_own", F.when(F.col("_full"), F.col(arrival)))
+    numeric = isinstance(df.schema[tie].dataType, NumericType)
+    at = F.col(tie).cast("double") if numeric else F.lit(0.0)
+    per_arrival = (c.filter("_full").groupBy("_own").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(chunk)).alias("_cuts"), F.min(at).alias("_lo"), F.max(at).alias("_hi"))
+        .filter("_cuts > 1 and _hi > _lo"))
+    part = F.floor((at - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("_cuts")).cast("long")
+    c = c.join(per_arrival, on="_own", how="left").withColumn("_part", F.coalesce(part, F.lit(0).cast("long")))
+    # What came before a unit within its chunk.
+    units = c.filter("_full").groupBy("_chunk", "_own", "_part").agg(F.max(time).alias("_umax"))
+    earlier = Window.partitionBy("_chunk").orderBy("_own", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    units = units.withColumn("_before_unit", F.max("_umax").over(earlier)).select("_own", "_part", "_before_unit")
+    c = c.join(units, on=["_own", "_part"], how="left")
+    inner = Window.partitionBy("_chunk", "_own", "_part").orderBy(arrival, tie, time).rowsBetween(
         Window.unboundedPreceding, -1)
     c = c.withColumn("_before_in", F.max(time).over(inner))
-    out = c.join(prefix.select("_chunk", "_before_chunk"), on="_chunk", how="left")
-    return out.withColumn("max_before", F.greatest("_before_chunk", "_before_in")).drop(
-        "_chunk", "_before_chunk", "_before_in")
+    return (c.withColumn("max_before", F.greatest("_before_chunk", "_before_unit", "_before_in"))
+            .select(*df.columns, "max_before"))
 
 
 def late_events(df: DataFrame, arrival: str, tie: str, time: str = "timestamp",

@@ -47,3 +47,41 @@ def test_on_time_is_the_complement(spark):
                                "device_id string, timestamp long, cpu_usage double, arr long")
     kept = sorted(r.timestamp - T0 for r in on_time_events(df, "arr", "arr").collect())
     assert kept == sorted(t for t in seq if t != 2000)
+
+
+def test_running_max_with_many_rows_of_one_arrival_number(spark):
+    # Half of the rows share one arrival number, a chunk beside it is full of small ones; chunks of 8.
+    rnd = random.Random(9)
+    rows = []
+    for i in range(2400):
+        arr = 20 if i % 2 else rnd.choice([rnd.randrange(8), 16 + rnd.randrange(8), rnd.randrange(4000)])
+        rows.append((f"d{i}", T0 + rnd.randrange(10_000_000), arr, rnd.choice([i, i * 10 ** 15])))
+    for tie in ("long", "string"):
+        df = spark.createDataFrame(rows, "device_id string, timestamp long, arr long, tie long") \
+            .withColumn("tie", F.col("tie").cast(tie))
+        mine = max_seen_before(df, "timestamp", "arr", "tie", chunk=8)
+        assert mine.columns == ["device_id", "timestamp", "arr", "tie", "max_before"]
+        plain = df.withColumn("max_before", F.max("timestamp").over(
+            Window.orderBy("arr", "tie", "timestamp").rowsBetween(Window.unboundedPreceding, -1)))
+        key = lambda r: (r.device_id, r.max_before or 0)
+        assert sorted(mine.collect(), key=key) == sorted(plain.collect(), key=key)
+
+
+def test_no_unit_of_a_tied_arrival_number_holds_it_all(spark):
+    # One arrival number for half of the rows: the window's partitions stay near the chunk.
+    n, chunk = 4000, 100
+    df = spark.range(n).select(F.concat(F.lit("d"), "id").alias("device_id"), (F.lit(T0) + F.col("id")).alias("timestamp"),
+                               F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id")).cast("long").alias("arr"),
+                               F.col("id").alias("tie"))
+    out = max_seen_before(df, "timestamp", "arr", "tie", chunk=chunk)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "_before_in#" in line and "Window" in line]
+    assert windows and "_own" in windows[0] and "_part" in windows[0]
+    assert out.filter("max_before is null").count() == 1
+
+
+def test_null_arrival_numbers_and_an_empty_table(spark):
+    schema = "device_id string, timestamp long, arr long, tie long"
+    df = spark.createDataFrame([("a", T0, None, 1), ("b", T0 + 5, None, 2), ("c", T0 + 1, 3, 1)], schema)
+    assert max_seen_before(df, "timestamp", "arr", "tie", chunk=2).count() == 3
+    assert max_seen_before(df.limit(0), "timestamp", "arr", "tie").count() == 0
