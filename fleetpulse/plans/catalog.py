@@ -172,6 +172,38 @@ def _stored(spark, sf):
     return table
 
 
+def q_stored_unique_ids(spark, sf):
+    """Ids are unique over the whole table: a batch that repeats every second
+    stored id on another date and with other values adds its new ids only."""
+    from ..session import shared_path
+    from ..sources.store import MetricsTable
+
+    table = MetricsTable(spark, shared_path(spark, "unique"), id_scope="table")
+    rows = _metric_rows(spark, sf).persist()
+    half = F.pmod(F.col("last_updated") / SLIDE_4H_MS, F.lit(2)) == 0
+    table.append(rows.filter(half))
+    moved = F.when(half, F.date_add("window_date", 400)).otherwise(F.col("window_date"))
+    table.append(rows.withColumn("percentile_95", F.col("percentile_95") + F.lit(1.0)).withColumn("window_date", moved))
+    rows.unpersist()
+    return _as_text_date(table.scan().drop("created_at"))
+
+
+def q_stored_partials(spark, sf):
+    """Windows kept up to date from stored partials: three batches in order of
+    arrival, the second written twice, the first two folded before the third."""
+    from ..session import shared_path
+    from ..sources.partials import WindowStore
+
+    store = WindowStore(spark, shared_path(spark, "partials"), DAY_MS, SLIDE_4H_MS)
+    ev = _events(spark, sf, keep=("event_id",))
+    part = F.pmod(F.col("event_id") * F.lit(ARRIVAL_PRIME), F.lit(3))
+    for k in (0, 1, 1):
+        store.append(ev.filter(part == k), k)
+    store.fold(1)
+    store.append(ev.filter(part == 2), 2)
+    return store.windows()
+
+
 def q_stored_table(spark, sf):
     return _as_text_date(_stored(spark, sf).scan().drop("created_at"))
 
@@ -230,6 +262,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_row_accounting": q_stream_row_accounting,
     "writer_stream": q_writer_stream,
     "stored_table": q_stored_table,
+    "stored_unique_ids": q_stored_unique_ids,
+    "stored_partials": q_stored_partials,
     "stored_latest_for_device": lambda s, d: M.stored_latest_for_device(_stored(s, d), LOOKUP_DEVICE),
     "stored_top_devices": lambda s, d: M.stored_top_devices(_stored(s, d), TOP_N),
     "stored_newest": lambda s, d: M.stored_newest_recent(_stored(s, d), TOP_N, span_ms=DAY_MS),
@@ -476,6 +510,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_M_COLS} FROM m
             WHERE win_end <= (SELECT max(epoch_us(ts) // 1000) FROM events) - 35000""",
     }
-    sql |= {"stored_table": sql["metric_rows"], "stored_latest_for_device": sql["latest_for_device"],
+    half = f"CAST(last_updated // {SLIDE_4H_MS} AS BIGINT) % 2 = 0"
+    sql["stored_unique_ids"] = f"""WITH {_table_sql()}
+        SELECT event_id, device_id, window_start, window_end,
+               CASE WHEN {half} THEN percentile_95 ELSE percentile_95 + 1.0 END AS percentile_95, last_updated,
+               CAST(window_date AS VARCHAR) AS window_date FROM m"""
+    sql |= {"stored_partials": sql["p95_from_panes"], "stored_table": sql["metric_rows"], "stored_latest_for_device": sql["latest_for_device"],
             "stored_top_devices": sql["top_devices_observed"], "stored_newest": sql["newest_last_60s"]}
     return sql
