@@ -16,7 +16,9 @@ memory is bounded, nothing is shuffled, and a hot source does not matter.
 A retried task reads the same file split and gives the same windows.
 
 Defined cases: a null or empty text is the separator alone; repeated rows
-and null ids are packed row by row; an empty table gives no windows.
+and null ids are packed row by row; a special string of the tokenizer that
+stands in a text becomes its one id, as the library does by default; an empty
+table gives no windows.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -84,21 +87,32 @@ def pack(sizes: list[int], window: int) -> list[list[int]]:
         k += 1
 
 
-_workers: dict[int, ChunkEncoder] = {}
+blank = regex.compile(r"\p{White_Space}").search
 
 
-def _worker(spec: str) -> ChunkEncoder:
+class _Whole:
+    """Every text on its own, as the library takes it."""
+
+    def __init__(self, encode):
+        self.texts = encode
+
+
+_workers: dict[int, ChunkEncoder | _Whole] = {}
+
+
+def _worker(spec: str) -> ChunkEncoder | _Whole:
     key = hash(spec)
     if key not in _workers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_str(spec)
-        tokenizer.encode_special_tokens = True              # their strings in a text are ordinary text
-
         vocabulary = tokenizer.get_vocab()
         width = np.zeros(max(vocabulary.values()) + 1, np.int64)      # bytes of each id
         for token, i in vocabulary.items():
             width[i] = len(token)
+        added = tokenizer.get_added_tokens_decoder()
+        for i, token in added.items():                                # these stand for themselves
+            width[i] = len(token.content.encode())
 
         def encode(strings: list[str]) -> list[bytes]:
             coded = tokenizer.encode_batch_fast(strings, add_special_tokens=False)
@@ -115,7 +129,9 @@ def _worker(spec: str) -> ChunkEncoder:
             data = ids.tobytes()
             return [data[a:b] for a, b in zip(cut, cut[1:])]
 
-        _workers[key] = ChunkEncoder(encode, encode_chunks, CHUNKS)
+        # A string that the tokenizer takes whole may hold or take in blanks: then texts are not cut at them.
+        cut_at_blanks = not any(blank(t.content) or t.lstrip or t.rstrip or t.single_word for t in added.values())
+        _workers[key] = ChunkEncoder(encode, encode_chunks, CHUNKS) if cut_at_blanks else _Whole(encode)
     return _workers[key]
 
 

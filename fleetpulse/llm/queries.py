@@ -112,11 +112,11 @@ SQL = {
     "op3_url_filters": urls.SQL,
     "op11_collocations": collocations.SQL,
     "op2_topk": """
-        WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+        WITH v AS (SELECT vec_id, row_number() OVER () AS r, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
                      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
-             s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-                   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
-             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
-        SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5""",
+             s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+                   FROM v q JOIN v c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+             k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, rank::INT AS rank, vec_id, score FROM k WHERE rank <= 5""",
 }

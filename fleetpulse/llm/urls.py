@@ -9,15 +9,21 @@ hold on the day it was fetched.
 
 The join is an equi-join on the pattern with the range as a condition, over
 two plain tables, so Spark splits a pattern that covers a third of all
-captures; captures are gathered by id with sums that combine before they are
-shuffled. Intervals need the log of one pattern together, which is small:
+captures; hits are added up per capture with sums that combine before they
+are shuffled. Intervals need the log of one pattern together, which is small:
 entries of one day are reduced to one first.
 
+A host is read as a browser reads it: blanks around the URL and line breaks
+and tabs within it go, what stands before the last @ of the authority and the
+port do not belong to the host, nor do dots at its end; a backslash counts as a
+slash.
+
 Defined cases: a URL that is null, empty or without a host matches nothing
 (host is null); entries with a null field are ignored; of entries for one
-pattern and day 'remove' wins; repeated entries count once; repeated ids
-are told as one capture each row's id (rows of one id are united: the
-largest day counts); empty lists match nothing; extra columns are not read.
+pattern and day 'remove' wins; repeated entries count once; captures are
+told by their id, URL and day together (nulls included): rows equal in all
+three give one row, rows that share an id alone are captures of their own;
+empty lists match nothing; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -27,8 +33,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fleetpulse.llm.tables import staged
 
 
+HEAD = r"^[A-Za-z][A-Za-z0-9+.\-]*://"      # scheme
+APART = r"/?#\\"                             # what ends an authority or a path segment
+
+
+def cleaned(url: Column) -> Column:
+    return F.regexp_replace(F.translate(url, "\t\r\n", ""), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+
 def host_of(url: Column) -> Column:
-    host = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.\-]*://([^/?#:@]+)", 1)
+    authority = F.regexp_extract(cleaned(url), HEAD + rf"([^{APART}]*)", 1)
+    named = F.regexp_extract(F.regexp_replace(authority, r"^.*@", ""), r"^(\[[^\]]*\]|[^:]*)", 1)
+    host = F.lower(F.regexp_replace(named, r"\.+$", ""))
     return F.when(host != "", host)
 
 
@@ -38,7 +54,7 @@ def patterns_of(url: Column) -> Column:
     labels = F.split(host, r"\.")
     parents = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    segment = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+/([^/?#]+)", 1)
+    segment = F.regexp_extract(cleaned(url), HEAD + rf"[^{APART}]*[/\\]([^{APART}]+)", 1)
     return F.array_distinct(F.concat(parents, F.when(segment != "", F.array(F.concat(host, F.lit("/"), segment)))
                                      .otherwise(F.array().cast("array<string>"))))
 
@@ -53,14 +69,20 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
-    """captures (id, url, day) -> (id, n_active, rule): how many listed
-    patterns cover each capture on its day, and the first of them by name."""
+    """captures (id, url, day) -> (id, day, n_active, rule), a row for every
+    capture: how many listed patterns cover it on its day, and the first of
+    them by name."""
     listed = staged(intervals(entries), "list-intervals")
-    asked = captures.select("id", "day", F.explode(patterns_of(F.col("url"))).alias("pattern"))
-    hits = (asked.join(listed, "pattern").where("from_day <= day and day < to_day")
-            .groupBy("id").agg(F.countDistinct("pattern").alias("n_active"), F.min("pattern").alias("rule")))
-    return (captures.groupBy("id").agg(F.max("day").alias("day")).join(hits, "id", "left")
-            .select("id", "day", F.coalesce("n_active", F.lit(0)).alias("n_active"), "rule"))
+    # A capture is known by its URL's digest from here on, however long the URL is.
+    told = captures.select("id", "day", "url", F.unhex(F.md5("url")).alias("u"))
+    hits = (told.select("id", "day", "u", F.explode(patterns_of(F.col("url"))).alias("pattern"))
+            .join(listed, "pattern").where("from_day <= day and day < to_day")
+            .select("id", "day", "u", F.lit(0).alias("copy"), F.col("pattern").alias("rule")))
+    itself = told.select("id", "day", "u", F.lit(1).alias("copy"), F.lit(None).cast("string").alias("rule"))
+    # The intervals of a pattern are disjoint, so each copy of a capture hits it at most once.
+    return (itself.union(hits).groupBy("id", "day", "u")
+            .agg(F.sum("copy").alias("copies"), F.count("rule").alias("hits"), F.min("rule").alias("rule"))
+            .select("id", "day", F.expr("hits div copies").alias("n_active"), "rule"))
 
 
 def number(text: Column, salt: str, below: int) -> Column:
@@ -87,12 +109,18 @@ def dated_entries(captures: DataFrame) -> DataFrame:
 
 
 SQL = r"""
-    WITH c AS (SELECT page_id AS id, url,
-                      ('0x' || substr(md5(url || 'fetched'), 1, 6))::INT % 365 AS day,
-                      nullif(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://([^/?#:@]+)', 1), '') AS host,
-                      nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+/([^/?#]+)', 1), '') AS segment
-               FROM pages),
-         l AS (SELECT *, string_split(host, '.') AS labels FROM c WHERE host IS NOT NULL),
+    WITH c AS (SELECT DISTINCT page_id, url, ('0x' || substr(md5(url || 'fetched'), 1, 6))::INT % 365 AS day FROM pages),
+         t AS (SELECT row_number() OVER () AS id, page_id, day, trim(replace(replace(replace(
+                      url, chr(9), ''), chr(10), ''), chr(13), ''), array_to_string([chr(k) for k in range(1, 33)], '')) AS u
+               FROM c),
+         r AS (SELECT *, substr(u, strpos(u, '://') + 3) AS rest FROM t
+               WHERE strpos(u, '://') > 0 AND regexp_full_match(split_part(u, '://', 1), '[A-Za-z][A-Za-z0-9+.\-]*')),
+         s AS (SELECT *, string_split_regex(rest, '[/?#\\]') AS parts FROM r),
+         o AS (SELECT *, string_split(parts[1], '@')[-1] AS named, substr(rest, length(parts[1]) + 1, 1) AS mark FROM s),
+         h AS (SELECT id, day, lower(rtrim(CASE WHEN starts_with(named, '[') THEN split_part(named, ']', 1) || ']'
+                                               ELSE split_part(named, ':', 1) END, '.')) AS host,
+                      CASE WHEN mark IN ('/', chr(92)) THEN nullif(parts[2], '') END AS segment FROM o),
+         l AS (SELECT *, string_split(host, '.') AS labels FROM h WHERE host <> ''),
          a AS (SELECT DISTINCT id, day, unnest(list_concat(
                       [array_to_string(labels[i:], '.') for i in range(1, greatest(len(labels), 2))],
                       CASE WHEN segment IS NULL THEN [] ELSE [host || '/' || segment] END)) AS pattern FROM l),
@@ -103,8 +131,7 @@ SQL = r"""
                WHERE ('0x' || substr(md5(pattern || 'listed'), 1, 6))::INT % 4 = 0),
          i AS (SELECT pattern, added AS lo, CASE WHEN gone = 0 THEN 2147483647 ELSE added + 20 + more END AS hi FROM n
                UNION ALL SELECT pattern, added + 60 + more, 2147483647 FROM n WHERE gone = 1),
-         h AS (SELECT id, count(DISTINCT a.pattern) AS n_active, min(a.pattern) AS rule
+         f AS (SELECT id, count(DISTINCT a.pattern) AS n_active, min(a.pattern) AS rule
                FROM a JOIN i ON a.pattern = i.pattern AND i.lo <= a.day AND a.day < i.hi GROUP BY id)
-    SELECT c.id AS page_id, max(c.day) AS fetch_day, coalesce(max(n_active), 0) AS n_active, max(rule) AS rule,
-           coalesce(max(n_active), 0) > 0 AS blocked
-    FROM c LEFT JOIN h ON c.id = h.id GROUP BY c.id"""
+    SELECT t.page_id, t.day AS fetch_day, coalesce(f.n_active, 0) AS n_active, f.rule AS rule, f.id IS NOT NULL AS blocked
+    FROM t LEFT JOIN f ON t.id = f.id"""

@@ -92,7 +92,11 @@ def test_packing(docs, nothing):
     tokenizers = pytest.importorskip("tokenizers")
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = tokenizers.Tokenizer.from_file(path)
-    library.encode_special_tokens = True
+    special = ["a b <|endoftext|> c", "<|endoftext|>", "x<|endoftext|>y  <|endoftext|>", "<|endoftext|><|endoftext|> <|endoftext",
+               "a\n<|endoftext|>\n b", "a b <|endoftext |> c"]
+    more = [(10 ** 6 + i, t) for i, t in enumerate(special)]
+    assert library.encode(special[0], add_special_tokens=False).ids == [64, 275, 220, 50256, 269]
+    docs = docs.select("doc_id", "text").union(docs.sparkSession.createDataFrame(more, "doc_id long, text string"))
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     rows = packing.pack_documents(docs, path, group=16).collect()
     ids = {d: np.array([*library.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes() for d, t in texts.items()}
@@ -113,6 +117,16 @@ def test_packing(docs, nothing):
     assert packing.pack_documents(nothing, path).count() == 0
 
 
+def test_a_tokenizer_with_blanks_in_its_special_strings_takes_texts_whole():
+    tokenizers = pytest.importorskip("tokenizers")
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.add_special_tokens([tokenizers.AddedToken("<end of text>", special=True), tokenizers.AddedToken("<s>", lstrip=True)])
+    texts = ["a <end of text> b", "a   <s> c", "", "plain words", "<end of text>"]
+    got = packing._worker(library.to_str()).texts(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_differencing_spreads_evenly_and_keeps_the_capacity():
     rnd = random.Random(1)
     for _ in range(20):
@@ -290,13 +304,17 @@ def _vectors():
 
 def test_top_k(spark):
     rows = _vectors()
-    table = spark.createDataFrame(rows + [rows[5]], VECTORS)
-    x = {r[0]: [math.floor(256 * float(np.float32(c))) for c in r[1]] for r in rows
-         if r[1] is not None and None not in r[1] and np.isfinite(r[1]).all()}
+    # Rows that repeat an id: one with the same vector, one of a query with another.
+    rows += [rows[5], (50, rows[7][1], *rows[50][2:])]
+    table = spark.createDataFrame(rows, VECTORS)
+    x = [(r[0], [math.floor(256 * float(np.float32(c))) for c in r[1]]) for r in rows
+         if r[0] is not None and r[1] is not None and None not in r[1] and np.isfinite(r[1]).all()]
     want = []
-    for q in (i for i in x if i % 50 == 0):
-        found = sorted((-sum(a * b for a, b in zip(x[q], x[c])), c) for c in x if c != q and len(x[c]) == len(x[q]))[:5]
-        want += [(q, k, c, -s) for k, (s, c) in enumerate(found, 1)]
+    for n, (q, v) in enumerate(x):
+        if q % 50 == 0:
+            found = sorted((-sum(a * b for a, b in zip(v, w)), c) for m, (c, w) in enumerate(x)
+                           if m != n and len(w) == len(v))[:5]
+            want += [(q, k, c, -s) for k, (s, c) in enumerate(found, 1)]
     got = topk.top_k(table, F.col("id") % 50 == 0)
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert topk.top_k(table.limit(0), F.col("id") % 50 == 0).count() == 0
@@ -411,6 +429,33 @@ def test_url_filters_as_of(spark):
     assert urls.filter_urls(table.limit(0), entries).count() == 0
 
 
+def test_hosts_are_read_as_a_browser_reads_them(spark):
+    hosts = {"http://user@bad.example.com/": "bad.example.com", "http://user:pw@bad.example.com:8080/x": "bad.example.com",
+             "http://a@b@bad.example.com": "bad.example.com", "http://bad.example.com./a": "bad.example.com",
+             "  http://bad.example.com/a": "bad.example.com", "http://bad.example.com ": "bad.example.com",
+             "ht\ntp://bad.exa\tmple.com/a": "bad.example.com", "HTTP://BAD.example.COM?q=@good.org": "bad.example.com",
+             "http://bad.example.com\\@good.org/": "bad.example.com", "http://good.org/@bad.example.com": "good.org",
+             "http://[::1]:80/x": "[::1]", "http:///x": None, "http://...": None, "//bad.example.com": None, "": None,
+             "http://" + "a." * 4000 + "com/" + "x" * 50000: "a." * 4000 + "com"}
+    table = spark.createDataFrame(list(hosts.items()), "url string, want string")
+    for r in table.select("url", "want", urls.host_of(F.col("url")).alias("got")).collect():
+        assert r.got == r.want, r.url
+
+
+def test_captures_are_told_by_id_url_and_day(spark):
+    entries = spark.createDataFrame([("bad.example.com", 10, "add"), ("bad.example.com", 20, "remove")],
+                                    "pattern string, day int, action string")
+    captures = [(None, "http://bad.example.com/a", 12), (None, "http://bad.example.com/b", 12), (1, "http://bad.example.com/", 12),
+                (1, "http://bad.example.com/", 25), (1, "http://good.org/", 12), (2, None, 12), (3, "http://bad.example.com/", None),
+                (4, "http://bad.example.com/", 12), (4, "http://bad.example.com/", 12)]
+    # Extra columns that clash with names used inside.
+    table = spark.createDataFrame([(*c, 7, "z") for c in captures], "id long, url string, day int, copies int, pattern string")
+    got = Counter(map(tuple, urls.filter_urls(table, entries).collect()))
+    assert got == Counter([(None, 12, 1, "bad.example.com")] * 2 + [
+        (1, 12, 1, "bad.example.com"), (1, 25, 0, None), (1, 12, 0, None), (2, 12, 0, None), (3, None, 0, None),
+        (4, 12, 1, "bad.example.com")])
+
+
 def test_license_scan(docs, nothing):
     texts = {r.doc_id: r.text for r in docs.collect()}
     for r in licenses.scan(docs).collect():
