@@ -111,7 +111,7 @@ def dated_entries(captures: DataFrame) -> DataFrame:
 SQL = r"""
     WITH c AS (SELECT DISTINCT page_id, url, ('0x' || substr(md5(url || 'fetched'), 1, 6))::INT % 365 AS day FROM pages),
          t AS (SELECT row_number() OVER () AS id, page_id, day, trim(replace(replace(replace(
-                      url, chr(9), ''), chr(10), ''), chr(13), ''), array_to_string([chr(k) for k in range(1, 33)], '')) AS u
+                      url, chr(9), ''), chr(10), ''), chr(13), ''), array_to_string([chr(k::INT) for k in range(1, 33)], '')) AS u
                FROM c),
          r AS (SELECT *, substr(u, strpos(u, '://') + 3) AS rest FROM t
                WHERE strpos(u, '://') > 0 AND regexp_full_match(split_part(u, '://', 1), '[A-Za-z][A-Za-z0-9+.\-]*')),
