@@ -4,9 +4,13 @@ Letters in lower case (everything else is a blank) give n-grams of 1 to 3
 characters, hashed to ``DIMS`` features; weights are log(1 + count) times the
 inverse document frequency, counted over all training documents, scaled to
 length one. Follow-the-regularised-leader (per-coordinate rates, elastic net)
-trains sparse weights on at most ``PER_LANG`` documents of each language (a
-documented bound, chosen by a hash of the id). A fifth of those is kept from
-training to calibrate the temperature of the softmax.
+trains sparse weights on at most ``PER_LANG`` documents of each language and
+``IN_ALL`` of all (documented bounds, chosen by a hash of the id; counts of one
+n-gram in one of them over 65,535 count as that). A fifth of those is kept from
+training to calibrate the temperature of the softmax. A text of no learned
+language has weight on few trained n-grams and scores near chance, one over the
+number of languages; ``Model.floor`` is the confidence under which a
+language is anyone's guess.
 
 Defined cases: null texts and texts without a letter are ``und`` with score
 0, and so is every text if there is nothing to learn from; with one language
@@ -30,8 +34,10 @@ from fleetpulse.llm.textcore import slabs
 
 DIMS_BITS = 14
 DIMS = 1 << DIMS_BITS
-PER_LANG = 1200
+PER_LANG, IN_ALL = 1200, 20000
+ABOVE = 0.1         # of the way from chance to certainty: least confidence of a guess
 ALPHA, BETA, L1, L2, EPOCHS, BATCH = 0.5, 1.0, 1e-4, 1e-4, 5, 32
+GRID = np.exp(np.linspace(np.log(0.002), np.log(200), 160))      # temperatures that are tried
 UNKNOWN = "und"
 W = np.uint32
 # Odd multipliers of the n-gram hash.
@@ -88,6 +94,10 @@ class Model:
         k = int(np.argmax(p))
         return self.langs[k], float(p[k] / p.sum())
 
+    def floor(self) -> float:
+        chance = 1 / max(1, len(self.langs))
+        return chance + ABOVE * (1 - chance)
+
     def train(self, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> None:
         """FTRL-proximal over mini-batches, then temperature calibration."""
         n, c = len(rows), len(self.langs)
@@ -117,16 +127,29 @@ class Model:
                 w[used] = np.where(np.abs(zu) <= L1, 0, -(zu - np.sign(zu) * L1) / ((BETA + np.sqrt(s2)) / ALPHA + L2))
         self.weights, self.bias = w[:DIMS].astype(np.float32), w[DIMS]
         raw = np.array([self.logits(*rows[r]) for r in check]).reshape(len(check), c)
-        best = np.inf
-        for t in np.exp(np.linspace(np.log(0.02), np.log(5), 80)):
-            q = raw / t
-            loss = (np.log(np.exp(q - q.max(1, keepdims=True)).sum(1)) + q.max(1) - q[np.arange(len(check)), y[check]]).mean()
-            if loss < best - 1e-9:
-                best, self.temperature = loss, float(t)
+        self.temperature = temperature(raw, y[check])
+
+
+def temperature(raw: np.ndarray, y: np.ndarray) -> float:
+    """The softmax temperature of least loss on kept-back rows. Each label counts
+    as if one more row of every language had been seen (n rows right of n + c),
+    so that separable rows, too, have a best temperature inside the grid."""
+    n, c = raw.shape
+    if not n or c < 2:
+        return 1.0
+    target = np.full((n, c), 1 / (n + c))
+    target[np.arange(n), y] += n / (n + c)
+    best, chosen = np.inf, 1.0
+    for t in GRID:
+        q = raw / t
+        loss = (np.log(np.exp(q - q.max(1, keepdims=True)).sum(1)) + q.max(1) - (target * q).sum(1)).mean()
+        if loss < best - 1e-9:
+            best, chosen = loss, float(t)
+    return chosen
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        per_lang: int = PER_LANG) -> Model:
+        per_lang: int = PER_LANG, in_all: int = IN_ALL) -> Model:
     """Learn from rows whose crc32(id) mod 3 is not 1 and whose lang is known."""
     taught = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                          F.col(lang_col).cast("string").alias("lang")) \
@@ -151,6 +174,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     model = Model(sorted(counts), np.log((1 + df[DIMS]) / (1 + df[:DIMS])) + 1)
     if not counts:
         return model
+    per_lang = max(1, min(per_lang, in_all // len(counts)))
     share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, 1.5 * per_lang / n))])
     unit = (F.pmod(F.xxhash64(F.lit("language"), "id"), F.lit(1 << 30)) / float(1 << 30))
     chosen = taught.withColumn("order", unit).where(F.col("order") < share[F.col("lang")])

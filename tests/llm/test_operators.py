@@ -287,6 +287,66 @@ def test_language(spark, docs, nothing):
     assert langid.predicted(nothing, none, ["doc_id"]).count() == 0
 
 
+def test_texts_of_no_learned_language_score_under_the_floor(spark):
+    rnd = random.Random(8)
+    sounds = {"aa": "ba be bi do du ga".split(), "bb": "stra pfle scho wer ung".split(), "cc": "é ça où ña ço".split()}
+    text = lambda lang, n=25: " ".join("".join(rnd.choices(sounds[lang], k=rnd.randint(1, 4))) for _ in range(n))
+    rows = [(i, text(lang), lang) for i in range(300) for lang in (sorted(sounds)[i % 3],)]
+    strange = ["人人生而自由在尊严和权利上一律平等", "Все люди рождаются свободными и равными", "kyzykmyx hyvvyn txyk jylly"]
+    rows += [(900 + i, t, None) for i, t in enumerate(strange)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(table)
+    assert 1 / 3 < model.floor() < 0.5 and langid.GRID[0] < model.temperature < langid.GRID[-1]
+    for r in langid.predicted(table, model, ["doc_id"]).collect():
+        assert (r.score >= model.floor()) == (r.row.doc_id < 900), r
+    assert langid.Model(["aa"], model.idf).floor() == 1 == langid.Model(["aa"], model.idf).predict("x")[1]
+    few = langid.fit(table, in_all=30)          # ten documents a language
+    assert np.isfinite(few.weights).all() and few.langs == model.langs
+
+
+def test_temperature_is_the_least_loss_and_never_at_an_edge():
+    rnd = np.random.default_rng(3)
+    y = rnd.integers(0, 4, 500)
+    for scale in (0.05, 1.0, 30.0):
+        raw = rnd.standard_normal((500, 4)) * 0.1 * scale
+        raw[np.arange(500), y] += 3 * scale                   # separable rows
+        t = langid.temperature(raw, y)
+        assert langid.GRID[0] < t < langid.GRID[-1]
+        assert abs(np.log(t / (langid.temperature(raw * 7, y) / 7))) < 0.2      # follows the scale
+    mixed = rnd.standard_normal((20000, 4)) * 2               # labels drawn at a temperature of 0.8
+    p = np.exp(mixed / 0.8)
+    y = (p.cumsum(1) / p.sum(1, keepdims=True) < rnd.random((20000, 1))).sum(1)
+    assert abs(langid.temperature(mixed, y) - 0.8) < 0.08
+    assert langid.temperature(np.zeros((0, 3)), np.zeros(0, int)) == 1.0
+
+
+def test_ftrl_follows_the_rule_coordinate_by_coordinate(monkeypatch):
+    monkeypatch.setattr(langid, "EPOCHS", 3)
+    texts = ["abc abd", "abd ab", "xyz xyy", "yz xx", "abc xyz"]
+    rows, y = [langid.grams(t) for t in texts], np.array([0, 0, 1, 1, 1])
+    model = langid.Model(["aa", "bb"], np.linspace(1, 2, langid.DIMS))
+    model.train(rows, y)
+    order = np.random.default_rng(7).permutation(5)           # one batch of all rows, three times
+    cells = sorted({int(f) for at, _ in rows for f in at})
+    x = {r: dict(zip(map(int, rows[r][0]), model.vector(*rows[r]))) | {-1: 1.0} for r in order}
+    z, s, w = Counter(), Counter(), Counter()
+    for _ in range(3):
+        g = Counter()
+        for r in order:
+            e = [math.exp(sum(v * w[f, k] for f, v in x[r].items())) for k in (0, 1)]
+            for f, v in x[r].items():
+                for k in (0, 1):
+                    g[f, k] += v * (e[k] / sum(e) - (y[r] == k))
+        for c in g:
+            rate = (math.sqrt(s[c] + g[c] ** 2) - math.sqrt(s[c])) / langid.ALPHA
+            z[c] += g[c] - rate * w[c]
+            s[c] += g[c] ** 2
+            w[c] = 0 if abs(z[c]) <= langid.L1 else -(z[c] - math.copysign(langid.L1, z[c])) / (
+                (langid.BETA + math.sqrt(s[c])) / langid.ALPHA + langid.L2)
+    assert np.allclose(model.weights[cells], [[w[f, 0], w[f, 1]] for f in cells], atol=1e-5)
+    assert np.allclose(model.bias, [w[-1, 0], w[-1, 1]], atol=1e-5)
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, v string, node int"
 
 
