@@ -21,7 +21,6 @@ from fleetpulse.llm import jaccard, langid, packing, quality, substring
 from fleetpulse.llm.tables import staged
 
 NEAR = {"width": 5, "percent": 80}   # near copies: words in a shingle, least Jaccard similarity
-SURE = 0.3          # least confidence of a language; chance is 0.25 with four languages
 
 
 BATCH_BYTES = 8 << 20      # of texts that travel to a Python worker at once, however long they are
@@ -45,8 +44,9 @@ def _names(docs: DataFrame) -> list[str]:
 @_bounded
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose language is anyone's guess, go."""
-    found = langid.predicted(docs, langid.fit(docs), _names(docs))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= SURE)).select("row.*")
+    model = langid.fit(docs)
+    found = langid.predicted(docs, model, _names(docs))
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= model.floor())).select("row.*")
 
 
 @_bounded
