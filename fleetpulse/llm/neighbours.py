@@ -15,14 +15,14 @@ list of a node is enlarged to its whole component: components are compared
 in blocks of ``BLOCK`` nodes, which counts every link exactly without a row
 for each pair.
 
-An audit compares nodes of every label, chosen by a hash, with all nodes of
-it, in blocks: ``AUDIT`` of them, and four times as many as long as fewer than
-``LINKED`` have links at all. A label that is audited whole (small ones are at
-once) is exact by that. Any other is done when its audited nodes with links
-have found ``RECALL`` of them, a mean over nodes; until then it gets fresh
-trees, more of them the more bits they have, its lists double, and refinement
-goes on. Labels that are not done after ``ROUNDS`` rounds are compared whole,
-in blocks.
+Every label takes this way, whatever its size. The audit plants copies of nodes
+chosen by a hash (a quarter of a label's nodes, at most about ``AUDIT``) at a
+cosine barely over the threshold, the hardest links there are, and lets the
+graph find them: a label is done when ``RECALL`` of them are linked to
+their origin. So the audit costs the same with many links, few or none. Until
+then the label gets fresh trees, more of them the more bits they have, its lists
+double, and refinement goes on. Links of planted copies are dropped in the end. Labels
+that are not done after ``ROUNDS`` rounds are compared whole, in blocks.
 
 Defined cases: rows with a null label, a null or zero vector, or null or
 non-finite components link with nothing; vectors of different lengths never
@@ -41,7 +41,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetpulse.llm.tables import components, staged
 
-TREES, RUN, BLOCK, AUDIT, LINKED, RECALL, ROUNDS = 4, 128, 256, 200, 100, 0.98, 4
+TREES, RUN, BLOCK, AUDIT, RECALL, ROUNDS = 8, 128, 256, 200, 0.98, 4
+PLANTED = "p"       # begins the names of planted copies; names of nodes begin with a digit
 NODE = "node string, label string, v binary"
 
 
@@ -110,6 +111,18 @@ def with_bits(classes: DataFrame) -> DataFrame:
     return classes.withColumn("bits", F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / (RUN / 2)))).cast("int"))
 
 
+def perturbed(node: str, v: bytes, cosine: float) -> bytes:
+    """A copy of ``v`` at this cosine, in a direction told by the node's name
+    (in one dimension: an equal one)."""
+    x = np.frombuffer(v, "<f8")
+    x = x / np.sqrt(x @ x)
+    seed = int.from_bytes(blake2b(node.encode(), digest_size=8).digest(), "little")
+    w = np.random.default_rng(seed).standard_normal(len(x))
+    w -= (w @ x) * x
+    size = np.sqrt(w @ w)
+    return (cosine * x + (np.sqrt(1 - cosine * cosine) * w / size if size > 1e-9 else 0)).astype("<f8").tobytes()
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, id_col: str = "vec_id",
                     vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(id, n_links, component_id, kept) for every row."""
@@ -138,8 +151,23 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, id_
                    .agg(F.first("label").alias("label"), F.first("v").alias("v"), F.min("id").alias("low"),
                         F.count("*").alias("copies")), "nodes")
     # Only nodes of one label and length are compared: each such class has bits by its own size.
-    classes = staged(with_bits(nodes.groupBy("label", F.length("v").alias("bytes")).agg(F.count("*").alias("n"))), "classes")
+    classes = staged(with_bits(nodes.groupBy("label", F.length("v").alias("bytes"))
+                               .agg(F.count("*").alias("n"), F.min("node").alias("first"))), "classes")
     sized = nodes.select("node", "label", "v", F.length("v").alias("bytes")).join(classes, ["label", "bytes"])
+    cosine = min(1.0, threshold + (1 - threshold) / 10)       # of a planted copy and its origin
+
+    def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, v = batch.column("node").to_pylist(), batch.column("v").to_pylist()
+            yield batch.set_column(0, "node", pa.array([PLANTED + x for x in node], pa.string())) \
+                .set_column(1, "v", pa.array([perturbed(x, d, cosine) for x, d in zip(node, v)], pa.binary()))
+
+    one = F.pmod(F.xxhash64(F.lit("audit"), "node"), F.lit(1 << 30)) / float(1 << 30)
+    sets = ["label", "bytes"]
+    cols = ["node", "v", *sets, "bits"]
+    origins = sized.where((F.col("n") > 1) & ((one < F.least(F.lit(0.25), AUDIT / F.col("n"))) | (F.col("node") == F.col("first"))))
+    planted_nodes = staged(origins.select(*cols).mapInArrow(plant, origins.select(*cols).schema), "planted")
+    audited = sized.where("n > 1").select(*cols).union(planted_nodes)
 
     def planted(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,71 +229,44 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, id_
         if out[0]:
             yield _pairs(*out)
 
-    one = F.pmod(F.xxhash64(F.lit("audit"), "node"), F.lit(1 << 30)) / float(1 << 30)
-    sets = ["label", "bytes"]
+    def in_blocks(rows: DataFrame, group: list[str], many: str) -> DataFrame:
+        """Rows of a group in blocks: the pair of blocks (i, j), i <= j, gets the rows of both."""
+        blocks = F.ceil(F.col(many) / BLOCK).cast("int")
+        return (rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+                .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+                .repartition(*group, "i", "j").sortWithinPartitions(*group, "i", "j"))
 
-    def compared(asked: DataFrame, forest: bool) -> DataFrame:
-        """(label, bytes, a, b): links of the nodes whose hash lies between
-        ``done`` and ``upto`` of their class, or as many as unite the same."""
+    def compared(asked: DataFrame) -> DataFrame:
+        """(a, b): links that unite what all links within these classes unite."""
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for (label, size, *_), group in _grouped(batches, [*sets, "i", "j"]):
-                own, rows = ([r for r in group if r["asks"] == asks] for asks in (True, False))
-                if not own or not rows:
+            for (*_, i, j), group in _grouped(batches, [*sets, "i", "j"]):
+                rows, others = ([r for r in group if r["own"] == k] for k in (i, j))
+                if not rows or not others:
                     continue
-                hit = _unit([r["v"] for r in own]) @ _unit([r["v"] for r in rows]).T >= threshold
-                names = [r["node"] for r in own], [r["node"] for r in rows]
-                if forest:
-                    both = [*names[0], *names[1]]
-                    pairs = [(both[x], both[y]) for x, y in zip(*_forest(hit))]
-                else:
-                    pairs = [(names[0][x], names[1][y]) for x, y in zip(*np.nonzero(hit))]
-                pairs = [p for p in pairs if p[0] != p[1]]
-                yield _rows({"label": ([label] * len(pairs), pa.string()), "bytes": ([size] * len(pairs), pa.int32()),
-                             "a": ([p[0] for p in pairs], pa.string()), "b": ([p[1] for p in pairs], pa.string())})
-
-        here = sized.join(asked.select(*sets, "done", "upto"), sets)
-        rows = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
-        asks = F.greatest(F.lit(1), F.ceil(F.col("n") * (F.col("upto") - F.col("done")) / BLOCK)).cast("int")
-        place = lambda name, many: F.pmod(F.xxhash64(F.lit(name), "node"), many).cast("int")
-        each = lambda many: F.explode(F.sequence(F.lit(0), many - 1))
-        cols = [*sets, "i", "j", "asks", "node", "v"]
-        dealt = here.where((one >= F.col("done")) & (one < F.col("upto"))) \
-            .select("*", place("asks", asks).alias("i"), each(rows).alias("j"), F.lit(True).alias("asks")).select(*cols) \
-            .union(here.select("*", each(asks).alias("i"), place("rows", rows).alias("j"), F.lit(False).alias("asks")).select(*cols))
-        return staged(dealt.repartition(*sets, "i", "j").sortWithinPartitions(*sets, "i", "j")
-                      .mapInArrow(meet, "label string, bytes int, a string, b string"), "compared")
-
-    # What the audit is held against: the links of nodes chosen by a hash, until enough have some.
-    asked = classes.withColumn("done", F.lit(0.0)).withColumn(
-        "upto", F.when(F.col("n") <= 2 * BLOCK, 1.0).otherwise(F.lit(float(AUDIT)) / F.col("n")))
-    truth, pending = None, None
-    while True:
-        got = compared(asked, False)
-        truth = got if truth is None else truth.union(got)
-        linked = truth.groupBy(*sets).agg(F.count_distinct("a").alias("linked"))
-        judged = staged(asked.join(linked, sets, "left")
-                        .withColumn("enough", F.coalesce(F.col("linked") >= LINKED, F.lit(False))).drop("linked"), "judged")
-        some = judged.where("upto < 1 AND enough").drop("enough")
-        pending = some if pending is None else pending.union(some)
-        asked = judged.where("upto < 1 AND NOT enough").drop("enough").withColumn("done", F.col("upto")) \
-            .withColumn("upto", F.least(F.lit(1.0), 4 * F.col("upto")))
-        if asked.isEmpty():
-            break
-
-    def missing(pending: DataFrame, labels: DataFrame) -> DataFrame:
-        """Classes whose audited nodes lack links: a mean over nodes of the
-        share of their links that join nodes of one component."""
-        root = lambda name: labels.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
-        share = (truth.join(root("a"), "a", "left").join(root("b"), "b", "left").groupBy(*sets, "a")
-                 .agg(F.avg(F.coalesce(F.col("root_a") == F.col("root_b"), F.lit(False)).cast("double")).alias("share"))
-                 .groupBy(*sets).agg(F.avg("share").alias("share")))
-        return staged(pending.join(share, sets).where(F.col("share") < RECALL).drop("share"), "pending")
-
+                hit = _unit([r["v"] for r in rows]) @ _unit([r["v"] for r in others]).T >= threshold
+                both = [r["node"] for r in [*rows, *others]]
+                pairs = [(both[x], both[y]) for x, y in zip(*_forest(hit)) if both[x] != both[y]]
+                yield _rows({"a": ([x for x, _ in pairs], pa.string()), "b": ([y for _, y in pairs], pa.string())})
+
+        here = in_blocks(sized.join(asked.select(*sets), sets, "left_semi"), sets, "n")
+        return staged(here.select(*sets, "i", "j", "own", "node", "v").mapInArrow(meet, "a string, b string"), "compared")
+
+    def missing(pending: DataFrame, links: DataFrame) -> DataFrame:
+        """Classes whose planted copies lack links to their origins."""
+        met = links.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("origin")) \
+            .where(F.col("node") == F.concat(F.lit(PLANTED), F.col("origin"))).select("node").distinct() \
+            .withColumn("met", F.lit(1.0))
+        share = (planted_nodes.select("node", *sets).join(met, "node", "left")
+                 .groupBy(*sets).agg(F.avg(F.coalesce("met", F.lit(0.0))).alias("share")))
+        return staged(pending.join(share, sets).where(F.col("share") < RECALL).select(*sets), "pending")
+
+    pending = staged(classes.where("n > 1").select(*sets), "pending")
     size, graph, links = k, None, None
     for turn in range(ROUNDS):
         if pending.isEmpty():
             break
-        waiting = staged(sized.join(pending.select(*sets), sets, "left_semi"), "waiting")
+        waiting = staged(audited.join(pending, sets, "left_semi"), "waiting")
         found = from_trees(waiting, turn)
         fresh = found.where(F.col("sim") >= threshold).select("a", "b")
         links = fresh if links is None else links.union(fresh)
@@ -278,25 +279,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, id_
         members = (either.groupBy("pivot", "node").agg(F.max("sim").alias("sim")).withColumn("place", near)
                    .where(F.col("place") <= 2 * size).select("pivot", "node")
                    .union(waiting.select(F.col("node").alias("pivot"), "node")))
-        met = staged(members.join(nodes.select("node", "v"), "node").repartition("pivot").sortWithinPartitions("pivot")
+        met = staged(members.join(waiting.select("node", "v"), "node").repartition("pivot").sortWithinPartitions("pivot")
                      .mapInArrow(join_neighbours, "a string, b string, sim double"), "met")
         links = staged(links.union(met.where(F.col("sim") >= threshold).select("a", "b")).distinct(), "links")
-        pending = missing(pending, components(links))
+        pending = missing(pending, links)
         graph = staged(lists(graph.union(met), 2 * size), "graph")
         size *= 2
-    rest = pending.withColumn("done", F.col("upto")).withColumn("upto", F.lit(1.0))
-    all_links = truth.select("a", "b").union(compared(rest, True).select("a", "b"))
-    labels = components(all_links if links is None else all_links.union(links))
+    all_links = compared(pending)
+    if links is not None:
+        all_links = all_links.union(links.where(~F.col("a").startswith(PLANTED) & ~F.col("b").startswith(PLANTED)))
+    labels = components(all_links)
 
     # Every node's list becomes its component, compared in blocks.
     sizes = labels.groupBy("root").agg(F.count("*").alias("size"))
     joined = staged(nodes.select("node", "v", "low", "copies").join(labels, "node"), "members")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    placed = joined.join(sizes, "root").withColumn("blocks", blocks) \
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # The pair of blocks (i, j), i <= j, gets the nodes of both.
-    grid = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    grid = in_blocks(joined.join(sizes, "root"), ["root"], "size")
 
     def count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, many = [], []
@@ -318,8 +315,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, id_
                 node, many = [], []
         yield _rows({"node": (node, pa.string()), "links": (many, pa.int64())})
 
-    counts = (grid.select("root", "i", "j", "own", "node", "v", "copies").repartition("root", "i", "j")
-              .sortWithinPartitions("root", "i", "j").mapInArrow(count_links, "node string, links bigint")
+    counts = (grid.select("root", "i", "j", "own", "node", "v", "copies")
+              .mapInArrow(count_links, "node string, links bigint")
               .groupBy("node").agg(F.sum("links").alias("links")))
     lowest = joined.groupBy("root").agg(F.min("low").alias("lowest"))
     told = staged(nodes.select("node", "low", "copies").join(joined.select("node", "root"), "node", "left")

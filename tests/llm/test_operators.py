@@ -444,17 +444,42 @@ def test_signature_bits_follow_each_labels_own_size(spark):
 
 @pytest.mark.parametrize("rounds", [0, 1])
 def test_recall_is_secured_where_links_are_rare(spark, monkeypatch, rounds):
-    """One node in a hundred has a link: the audit asks until it sees some, and
-    what rounds do not find is compared whole."""
+    """One node in a hundred has a link: the audit plants its own, and what
+    rounds do not find is compared whole."""
     workers_import(spark, E.ROOT)
     monkeypatch.setattr(neighbours, "ROUNDS", rounds)
-    monkeypatch.setattr(neighbours, "LINKED", 20)
     monkeypatch.setattr(neighbours, "RECALL", 1.0)
     table, links = _pairs_table(spark, [(3000, 30), (1200, 300)])
     got = {r.vec_id: r.component_id for r in neighbours.near_duplicates(table).where("n_links > 0").collect()}
     assert len(links) > 300 and got == links
 
 
+def test_no_label_is_compared_whole_by_its_size_or_for_lack_of_links(spark, monkeypatch):
+    """Small labels, sparse ones and one without a link all go through the graph."""
+    workers_import(spark, E.ROOT)
+    whole = []
+    keep = neighbours.staged
+
+    def watched(df, name):
+        out = keep(df, name)
+        if name == "compared":
+            whole.append(out.count())
+        return out
+    monkeypatch.setattr(neighbours, "staged", watched)
+    table, links = _pairs_table(spark, [(40, 10), (400, 100), (5000, 0), (2000, 40), (1, 0), (2, 1)])
+    got = {r.vec_id: r.component_id for r in neighbours.near_duplicates(table).where("n_links > 0").collect()}
+    assert whole == [0]
+    assert got.items() <= links.items() and len(got) >= 0.98 * len(links) > 200
+
+
+def test_planted_copies_stand_at_their_cosine():
+    for dims in (1, 2, 64):
+        x = np.random.default_rng(dims).standard_normal(dims)
+        y = np.frombuffer(neighbours.perturbed("n", x.tobytes(), 0.937), "<f8")
+        assert abs(x @ y / np.sqrt((x @ x) * (y @ y)) - (1.0 if dims == 1 else 0.937)) < 1e-12
+        assert neighbours.perturbed("n", x.tobytes(), 0.937) == y.tobytes()
+
+
 def test_block_forest_keeps_components():
     rnd = np.random.default_rng(3)
     for share in (0.0, 0.02, 0.2):
