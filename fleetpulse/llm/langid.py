@@ -10,7 +10,8 @@ n-gram in one of them over 65,535 count as that). A fifth of those is kept from
 training to calibrate the temperature of the softmax. A text of no learned
 language has weight on few trained n-grams and scores near chance, one over the
 number of languages; ``Model.floor`` is the confidence under which a
-language is anyone's guess.
+language is anyone's guess. Where the kept-back rows do not reach it themselves
+(languages that cannot be told apart), it is chance, which no score is under.
 
 Defined cases: null texts and texts without a letter are ``und`` with score
 0, and so is every text if there is nothing to learn from; with one language
@@ -35,7 +36,7 @@ from fleetpulse.llm.textcore import slabs
 DIMS_BITS = 14
 DIMS = 1 << DIMS_BITS
 PER_LANG, IN_ALL = 1200, 20000
-ABOVE = 0.1         # of the way from chance to certainty: least confidence of a guess
+ABOVE, REACH = 0.1, 0.99    # the floor's part of the way from chance to certainty; share of kept-back rows over it
 ALPHA, BETA, L1, L2, EPOCHS, BATCH = 0.5, 1.0, 1e-4, 1e-4, 5, 32
 GRID = np.exp(np.linspace(np.log(0.002), np.log(200), 160))      # temperatures that are tried
 UNKNOWN = "und"
@@ -77,6 +78,7 @@ class Model:
         self.weights = np.zeros((DIMS, len(langs)), np.float32)
         self.bias = np.zeros(len(langs))
         self.temperature = 1.0
+        self.reached = 0.0          # confidence that a share of REACH of the kept-back rows has
 
     def vector(self, at: np.ndarray, count: np.ndarray) -> np.ndarray:
         v = np.log1p(count) * self.idf[at]
@@ -96,7 +98,8 @@ class Model:
 
     def floor(self) -> float:
         chance = 1 / max(1, len(self.langs))
-        return chance + ABOVE * (1 - chance)
+        floor = chance + ABOVE * (1 - chance)
+        return floor if self.reached >= floor else chance
 
     def train(self, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> None:
         """FTRL-proximal over mini-batches, then temperature calibration."""
@@ -128,6 +131,8 @@ class Model:
         self.weights, self.bias = w[:DIMS].astype(np.float32), w[DIMS]
         raw = np.array([self.logits(*rows[r]) for r in check]).reshape(len(check), c)
         self.temperature = temperature(raw, y[check])
+        q = np.exp((raw - raw.max(1, keepdims=True)) / self.temperature)
+        self.reached = float(np.quantile(1 / q.sum(1), 1 - REACH, method="lower")) if len(check) else 0.0
 
 
 def temperature(raw: np.ndarray, y: np.ndarray) -> float:

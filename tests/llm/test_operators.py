@@ -300,6 +300,11 @@ def test_texts_of_no_learned_language_score_under_the_floor(spark):
     for r in langid.predicted(table, model, ["doc_id"]).collect():
         assert (r.score >= model.floor()) == (r.row.doc_id < 900), r
     assert langid.Model(["aa"], model.idf).floor() == 1 == langid.Model(["aa"], model.idf).predict("x")[1]
+    # Languages that cannot be told apart: nothing goes for its score.
+    mixed = table.where("lang is not null").withColumn("lang", F.when(F.col("doc_id") % 7 < 3, "aa").otherwise("bb"))
+    guess = langid.fit(mixed)
+    assert guess.floor() == 0.5
+    assert langid.predicted(table, guess, ["doc_id"]).where(F.col("score") < guess.floor()).count() == 0
     few = langid.fit(table, in_all=30)          # ten documents a language
     assert np.isfinite(few.weights).all() and few.langs == model.langs
 
