@@ -4,12 +4,10 @@ Events (Kafka JSON, JSON files, or a Parquet folder) -> event time +
 watermark -> sliding windows -> p95 -> result sink or the metrics table.
 
 State is a *histogram*: the stateful operator is ``count / min / max``
-grouped by (device, window, value) in append mode. Every row of one window
-shares the window's end, so all of a window's rows leave the state in the
-same micro-batch, once the watermark passes the end; ``foreachBatch`` then
-runs the batch rank selection of ``operators.quantile`` over the windows
-closed in that batch. No window's values are ever held as one list, and a
-hot device's state is spread over partitions by value.
+grouped by (device, pane, value), see ``refire``; ``foreachBatch`` keeps what
+changed and runs the batch rank selection of ``operators.quantile`` over the
+windows that fire with that batch. No window's values are ever held as one
+list, and a hot device's state is spread over partitions by value.
 
 O-28 (source idleness): one source has one global watermark (the max event
 time seen minus the delay), so an idle partition never holds it back; for
@@ -23,11 +21,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ids import result_id
-from ..functions.percentile import P95
-from ..operators.clean import split_storable, to_metric_rows, valid_events
-from ..operators.quantile import histogram_windows
-from ..operators.windows import parse_duration_ms
+from ..operators.clean import split_storable, to_metric_rows
 from ..schema import EVENT_SCHEMA
 from ..sources.codec import decode_events, encode_results
 from ..sources.events import bind_events
@@ -100,44 +94,18 @@ def read_table_stream(spark: SparkSession, path: str, schema, device: str = "use
     return bind_events(reader.parquet(path), device)
 
 
-def window_histogram_stream(events: DataFrame, size=WINDOW_SIZE, slide=WINDOW_SLIDE,
-                            watermark: str = WATERMARK_DELAY) -> DataFrame:
-    """O-27 + O-29 stateful part: per (device, window, value) the count and
-    the first/last event time, emitted once the window is closed."""
-    size_s = f"{parse_duration_ms(size)} milliseconds"
-    slide_s = f"{parse_duration_ms(slide)} milliseconds"
-    ev = valid_events(events).withWatermark("ts", watermark)
-    return (ev.groupBy("device_id", F.window("ts", size_s, slide_s).alias("w"), "cpu_usage")
-            .agg(F.count(F.lit(1)).alias("c"), F.min("timestamp").alias("mn"),
-                 F.max("timestamp").alias("mx")))
-
-
-def results_from_histogram(hist: DataFrame, p: float = P95, now_ms: int | None = None,
-                           method: str = "auto") -> DataFrame:
-    """Batch step over closed windows' histogram rows -> result rows (the
-    same columns as ``operators.results.compute_results``)."""
-    h = hist.select("device_id",
-                    F.unix_millis(F.col("w.start")).alias("win_start"),
-                    F.unix_millis(F.col("w.end")).alias("win_end"),
-                    "cpu_usage", "c", "mn", "mx")
-    res = histogram_windows(h, ["device_id", "win_start", "win_end"], p=p, method=method)
-    clock = F.col("win_end") if now_ms is None else F.lit(int(now_ms)).cast("long")
-    return res.select(
-        result_id(F.col("device_id"), F.col("win_start"), F.col("win_end"),
-                  F.col("event_count")).alias("id"),
-        "device_id", "window_start", "window_end", "percentile_95",
-        clock.alias("last_updated"), "win_start", "win_end", "event_count")
-
-
 def start_metrics_stream(events: DataFrame, table: MetricsTable, checkpoint: str,
                          size=WINDOW_SIZE, slide=WINDOW_SLIDE,
                          watermark: str = WATERMARK_DELAY, available_now: bool = True,
                          processing_time: str | None = None, validate: str = "none",
                          reject_table: MetricsTable | None = None,
-                         state_partitions: int | None = None, live_clock: bool = False):
+                         state_partitions: int | None = None, live_clock: bool = False,
+                         state_path: str | None = None):
     """O-32: windows -> results -> idempotent append, one transaction per
     micro-batch. Each window is written once, when the watermark passes its
-    end; rows later than that are for a quarantine stream started with
+    end: the windows of ``Revisions`` without lateness, so the state holds a
+    row for every value of a pane, not of every window over it. Rows later
+    than that are for a quarantine stream started with
     ``lateness=0``, so that every row is in one of the two. Windows that
     fire again for late rows are ``start_revisions_stream``'s (with a
     quarantine of the default lateness). A replayed batch (after a failure, before the checkpoint
@@ -147,21 +115,22 @@ def start_metrics_stream(events: DataFrame, table: MetricsTable, checkpoint: str
     O-10 and sends rejected rows to ``reject_table``. ``state_partitions``
     fixes the number of state partitions at the query's first start
     (default: the session's shuffle partitions). ``live_clock`` stamps
-    ``last_updated`` with the wall clock at emission.
+    ``last_updated`` with the wall clock at emission. ``state_path`` as in
+    ``start_results_stream``.
     """
     from ..operators.clean import split_valid
+    from .refire import Revisions, pane_updates
 
-    hist = window_histogram_stream(events, size, slide, watermark)
+    spark = events.sparkSession
+    state = (state_path or checkpoint.rstrip("/") + "-state").rstrip("/")
+    revisions = Revisions(spark, f"{state}/windows", size, slide, watermark, 0)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # The micro-batch is the stateful operator's output: persist it so
-        # the selection's branches read it instead of running it again.
-        batch = batch.persist()
-        if batch.isEmpty():
-            batch.unpersist()
+        prev, now = revisions.record(batch, batch_id)
+        if now is None:
             return
         now_ms = int(time.time() * 1000) if live_clock else None
-        rows = to_metric_rows(results_from_histogram(batch, now_ms=now_ms)).persist()
+        rows = to_metric_rows(revisions.of_batch(batch_id, prev, now, now_ms)).persist()
         try:
             if validate == "strict":
                 good, rejected = split_valid(rows)
@@ -172,15 +141,14 @@ def start_metrics_stream(events: DataFrame, table: MetricsTable, checkpoint: str
                 table.append(rows)
         finally:
             rows.unpersist()
-            batch.unpersist()
 
-    w = (hist.writeStream.outputMode("append").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint))
+    w = (pane_updates(events, size, slide, watermark, 0)
+         .writeStream.outputMode("update").foreachBatch(write_batch).option("checkpointLocation", checkpoint))
     if processing_time:
         w = w.trigger(processingTime=processing_time)
     elif available_now:
         w = w.trigger(availableNow=True)
-    return start_with_partitions(w, events.sparkSession, state_partitions)
+    return start_with_partitions(w, spark, state_partitions)
 
 
 def write_rejects(rejected: DataFrame, path: str, batch_id: int) -> None:
@@ -271,8 +239,7 @@ def start_job(events, table: MetricsTable, quarantine_path: str, checkpoint: str
 
 
 __all__ = ["EVENT_SCHEMA", "kafka_source_options", "kafka_sink_options", "read_event_stream",
-           "read_table_stream", "window_histogram_stream", "results_from_histogram",
-           "start_metrics_stream", "start_results_stream", "start_revisions_stream",
+           "read_table_stream", "start_metrics_stream", "start_results_stream", "start_revisions_stream",
            "start_kafka_results_stream", "start_job", "union_sources"]
 
 
