@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.windows import fan_out, pane_partials, parse_duration_ms, windows_from_partials
+from ..operators.windows import pane_partials, parse_duration_ms, windows_from_partials
 from ..session import delete_path, path_exists, read_number, write_number
 
 DAY_MS = 86_400_000
@@ -70,23 +70,29 @@ class WindowStore:
             events = events.filter(F.col(c).isNotNull())
         return pane_partials(events, self.pane_ms, self.keys, self.value, self.time)
 
-    def _rolled(self, partials: DataFrame) -> DataFrame:
-        return windows_from_partials(partials, self.size_ms, self.slide_ms, self.pane_ms, self.keys, self.value)
+    def _rolled(self, partials: DataFrame, touched: str | None = None) -> DataFrame:
+        return windows_from_partials(partials, self.size_ms, self.slide_ms, self.pane_ms, self.keys, self.value,
+                                     touched=touched)
 
     # ------------------------------------------------------------------
 
-    def partials(self, schema: StructType | None = None, upto: int | None = None) -> DataFrame:
+    def partials(self, schema: StructType | None = None, upto: int | None = None, of: int | None = None) -> DataFrame:
         """All stored partials (the base and the batches after it), up to a
-        batch if one is named."""
+        batch if one is named; ``of`` adds whether a row is that batch's
+        (column ``_mine``)."""
         schema = schema or self._schemas()[0]
         folded = self._folded()
         fresh = self._read("panes", schema, "batch_id long, pane_date date").filter(F.col("batch_id") > F.lit(folded))
         if upto is not None:
             fresh = fresh.filter(F.col("batch_id") <= F.lit(upto))
+        if of is not None:
+            fresh = fresh.withColumn("_mine", F.col("batch_id") == F.lit(of))
         fresh = fresh.drop("batch_id")
         if folded < 0:
             return fresh
         base = self._read("base", schema, "upto long, pane_date date").filter(F.col("upto") == F.lit(folded))
+        if of is not None:
+            base = base.withColumn("_mine", F.lit(False))
         return base.drop("upto").unionByName(fresh)
 
     def append(self, events: DataFrame, batch_id: int) -> None:
@@ -113,29 +119,21 @@ class WindowStore:
         if not dates:
             self.spark.createDataFrame([], window_schema).write.mode("overwrite").parquet(out)
             return
-        gkeys = [*self.keys, "win_start"]
-        panes = mine.select(*self.keys, F.col("pane_start").alias("_pane")).distinct()
-        touched = self._fan_out(panes).select(*gkeys).distinct()
-        # Panes within a window's size of a touched pane: whole dates around the batch's own.
+        # Panes within a window's size of a touched pane: whole dates around the
+        # batch's own, and of those the keys' tiles of that size beside a touched one.
         days = -(-self.size_ms // DAY_MS)
         near = set()
         for d in dates:
             near.update(d.toordinal() + k for k in range(-days, days + 1))
         reach = [type(dates[0]).fromordinal(n) for n in sorted(near)]
-        kept = self.partials(pane_schema, batch_id).filter(F.col("pane_date").isin(reach)).drop("pane_date")
-        # Panes are cut to those of touched windows before they fan out.
-        wanted = touched.select(*self.keys, F.explode(F.sequence(
-            F.col("win_start"), F.col("win_start") + F.lit(self.size_ms - self.pane_ms), F.lit(self.pane_ms)))
-            .alias("pane_start")).distinct()
-        kept = kept.join(wanted, on=[*self.keys, "pane_start"], how="left_semi")
-        (self._rolled(kept).join(touched, on=gkeys, how="left_semi").select(*[f.name for f in window_schema.fields])
+        tile = F.col("pane_start") - F.pmod("pane_start", F.lit(self.size_ms))
+        tiles = mine.select(*self.keys, tile.alias("_tile")).distinct().select(*self.keys, F.explode(F.array(*[
+            F.col("_tile") + F.lit(k * self.size_ms) for k in (-1, 0, 1)])).alias("_tile")).distinct()
+        kept = self.partials(pane_schema, batch_id, of=batch_id).filter(F.col("pane_date").isin(reach)) \
+            .drop("pane_date").withColumn("_tile", tile).join(tiles, on=[*self.keys, "_tile"], how="left_semi")
+        (self._rolled(kept.drop("_tile"), touched="_mine").select(*[f.name for f in window_schema.fields])
          .write.mode("overwrite").parquet(out))
 
-    def _fan_out(self, panes: DataFrame) -> DataFrame:
-        if self.pane_ms == self.size_ms:
-            return panes.withColumnRenamed("_pane", "win_start")
-        return fan_out(panes, self.size_ms, self.slide_ms, self.pane_ms)
-
     def _results(self) -> DataFrame:
         """Every stored result with its batch: the base and what came after."""
         schema, folded = self._schemas()[1], self._folded()
@@ -149,8 +147,8 @@ class WindowStore:
         rows = self._results()
         gkeys = [*self.keys, "win_start"]
         rest = [c for c in rows.columns if c not in gkeys]
-        latest = rows.groupBy(*gkeys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_r"))
-        return latest.select(*[F.col(c) if c in gkeys else F.col(f"_r.{c}").alias(c) for c in rows.columns])
+        # One row a window and batch, so its columns may be taken one by one; numbers alone are hashed, not sorted.
+        return rows.groupBy(*gkeys).agg(*[F.max_by(c, "batch_id").alias(c) for c in rest]).select(*rows.columns)
 
     def windows(self) -> DataFrame:
         """Every window's current result: that of its latest batch."""

@@ -41,8 +41,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import result_id
 from ..functions.percentile import P95
 from ..operators.clean import valid_events
-from ..operators.quantile import histogram_windows
-from ..operators.windows import fan_out, parse_duration_ms
+from ..operators.windows import parse_duration_ms, windows_of_panes
 from ..session import delete_path, path_exists, read_number, write_number
 
 PANES = "device_id string, _pane long, cpu_usage double, c long, mn long, mx long"
@@ -87,10 +86,10 @@ class Revisions:
         return self.spark.read.schema(PANES).parquet(*folders)
 
     @staticmethod
-    def _merged(parts: DataFrame) -> DataFrame:
+    def _merged(parts: DataFrame, *more) -> DataFrame:
         # Counts only grow: of the states of one pane value the latest has the greatest.
         return parts.groupBy("device_id", "_pane", "cpu_usage").agg(
-            F.max("c").alias("c"), F.min("mn").alias("mn"), F.max("mx").alias("mx"))
+            F.max("c").alias("c"), F.min("mn").alias("mn"), F.max("mx").alias("mx"), *more)
 
     def record(self, changes: DataFrame, batch_id: int) -> tuple[int | None, int | None]:
         """Keep a batch's changes; the greatest event time before and after
@@ -123,16 +122,14 @@ class Revisions:
         due = end + F.lit(self.ooo_ms) <= F.lit(now)
         newly = F.lit(True) if prev is None else end + F.lit(self.ooo_ms) > F.lit(prev)
         open_ = F.lit(True) if prev is None else end + F.lit(self.ooo_ms + self.late_ms) > F.lit(prev)
-        panes = self._held(batch_id).unionByName(changes)
+        panes = self._held(batch_id).withColumn("_new", F.lit(False)) \
+            .unionByName(changes.withColumn("_new", F.lit(True)))
         if prev is not None:
             panes = panes.filter(F.col("_pane") + F.lit(self.size_ms + self.ooo_ms + self.late_ms) > F.lit(prev))
-        windows = lambda df: fan_out(df, self.size_ms, self.slide_ms, self.pane_ms).filter(due)
-        touched = windows(changes.select("device_id", "_pane").distinct()).filter(open_ & ~newly) \
-            .select("device_id", "win_start").distinct()
-        rows = windows(self._merged(panes))
-        fires = rows.filter(newly).unionByName(
-            rows.filter(open_ & ~newly).join(touched, ["device_id", "win_start"], "left_semi"))
-        res = histogram_windows(fires.drop("_pane"), ["device_id", "win_start"], p=self.p)
+        # Windows due before fire again over a pane that changed.
+        res = windows_of_panes(self._merged(panes, F.max("_new").alias("_new")), self.size_ms, self.slide_ms,
+                               self.pane_ms, ["device_id"], p=self.p, where=due & (newly | open_), touched="_new",
+                               always=newly)
         clock = F.lit(wall_ms).cast("long") if wall_ms is not None else \
             F.when(newly, end).otherwise(F.greatest(end, F.lit(now - self.ooo_ms)))
         win_end = end.alias("win_end")
