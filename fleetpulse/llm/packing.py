@@ -33,7 +33,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from fleetpulse.llm.bpe_words import ChunkEncoder
+from fleetpulse.llm.bpe_words import MARKS, ChunkEncoder
 from fleetpulse.llm.textcore import slabs
 
 WINDOW = 1024
@@ -41,7 +41,7 @@ PIECE = 256
 GROUP = 512
 SEPARATOR = 0
 RUN = 4096            # chunks given to the tokenizer in one string
-CHUNKS = 1_300_000    # chunks a worker remembers; only speed depends on it
+CHUNKS = 1_000_000    # chunks a worker remembers, some 60 MB; only speed depends on it
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
@@ -131,7 +131,8 @@ def _worker(spec: str) -> ChunkEncoder | _Whole:
 
         # A string that the tokenizer takes whole may hold or take in blanks: then texts are not cut at them.
         cut_at_blanks = not any(blank(t.content) or t.lstrip or t.rstrip or t.single_word for t in added.values())
-        _workers[key] = ChunkEncoder(encode, encode_chunks, CHUNKS) if cut_at_blanks else _Whole(encode)
+        marks = "".join(m for m in MARKS if not any(m in t.content for t in added.values()))
+        _workers[key] = ChunkEncoder(encode, encode_chunks, CHUNKS, marks) if cut_at_blanks else _Whole(encode)
     return _workers[key]
 
 
@@ -191,6 +192,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         flush_tails()
         if rows:
             yield out()
+        pa.default_memory_pool().release_unused()       # the worker may go on with other stages
 
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, f"id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, "
