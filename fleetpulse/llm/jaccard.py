@@ -16,7 +16,9 @@ over the corpus' size histogram.
   belongs to a shingle; a set of n shingles stands in the lists of its
   n // 10 + 1 rarest ones, so linked sets meet in one at least. Rarity is a
   count-min estimate over all documents (any order common to all sets gives
-  right results, a good one gives short lists). A list pairs sets of fitting
+  right results, a good one gives short lists), taken as it is: where shingles
+  outnumber the counters, all counts lie near their mean, and only whole counts
+  tell a shingle of one document from one that stands in ten. A list pairs sets of fitting
   sizes whose parity sketches allow the link: a sketch holds, for each of its
   cells, whether an odd number of elements falls there, so two sketches differ
   in no more cells than the sets differ in elements, which for linked sets are
@@ -117,8 +119,12 @@ def sets_of(texts: pa.Array, width: int) -> list[np.ndarray]:
     return out
 
 
-def distinct_sets(part: pa.RecordBatch, width: int) -> dict[bytes, np.ndarray]:
-    return {set_key(s): s for s in sets_of(part.column("text"), width) if len(s)}
+def distinct_sets(part: pa.RecordBatch, width: int, keep: np.ndarray | None = None) -> dict[bytes, np.ndarray]:
+    """The sets of a slab by their key, of the rows told by ``keep`` only."""
+    at = {k: i for i, k in enumerate(part.column("s").to_pylist()) if keep is None or keep[i]}
+    if not at:
+        return {}
+    return dict(zip(at, sets_of(part.column("text").take(pa.array(list(at.values()))), width)))
 
 
 def min_hash(values: np.ndarray, k: int) -> int:
@@ -178,8 +184,6 @@ def _light_rows(docs: DataFrame, largest: int, rule: Rule) -> DataFrame:
             k1, k2, m, extra, own = [], [], [], [], []
             for key, values in distinct_sets(part, rule.width).items():
                 n = len(values)
-                if n > largest:
-                    continue
                 a, b = mix(values ^ SALTS[2]), mix(values ^ SALTS[3])
                 for i in range(rule.depth(n) + 1):
                     left_out = np.array(list(combinations(range(n), i)), np.int64).reshape(comb(n, i), i)
@@ -194,7 +198,7 @@ def _light_rows(docs: DataFrame, largest: int, rule: Rule) -> DataFrame:
                                        pa.array(extra, pa.int32()), pa.array(own, pa.binary())],
                                       names=["k1", "k2", "m", "extra", "s"])
 
-    return docs.mapInArrow(run, "k1 bigint, k2 bigint, m int, extra int, s binary")
+    return docs.where(F.col("n") <= largest).mapInArrow(run, "k1 bigint, k2 bigint, m int, extra int, s binary")
 
 
 def light_links(docs: DataFrame, largest: int, rule: Rule) -> DataFrame:
@@ -227,17 +231,17 @@ class Leaders:
         return found, lead
 
 
-def leader_links(docs: DataFrame, larger_than: int, bits: int, rule: Rule) -> DataFrame:
+def leader_links(docs: DataFrame, classes: DataFrame, larger_than: int, bits: int, rule: Rule) -> DataFrame:
     """Links of sets with leaders of their min-hash groups (some links, not
     all: they only unite near copies early)."""
     schema = "group bigint, s binary, data binary, other binary"
 
     def keys(batch: pa.RecordBatch) -> np.ndarray:
-        found = [[min_hash(v, k) for v in distinct_sets(p, rule.width).values() if len(v) > larger_than for k in (0, 1)]
-                 for p in slabs([batch], "text")]
-        return np.array([x for f in found for x in f], U)
+        return np.concatenate([batch.column(c).to_numpy() for c in ("h0", "h1")]).view(U)
 
-    shared = docs.sparkSession.sparkContext.broadcast(build_repeat_sketch(docs, keys, bits))
+    # Of distinct sets: copies alone make no group.
+    shared = docs.sparkSession.sparkContext.broadcast(
+        build_repeat_sketch(classes.where(F.col("n") > larger_than).select("h0", "h1"), keys, bits))
 
     def rows_of(rows: list[tuple]) -> pa.RecordBatch:
         cols = list(zip(*rows)) or [()] * 4
@@ -249,11 +253,13 @@ def leader_links(docs: DataFrame, larger_than: int, bits: int, rule: Rule) -> Da
         for part in slabs(batches, "text"):
             groups: dict[int, Leaders] = {}
             out = []
-            many = {k: v for k, v in distinct_sets(part, rule.width).items() if len(v) > larger_than}
-            for salt in (0, 1):
-                hashes = np.array([min_hash(v, salt) for v in many.values()], U)
-                for (key, values), h, yes in zip(many.items(), hashes.view(np.int64).tolist(),
-                                                 repeated.repeated(hashes)):
+            hashes = [part.column(c).to_numpy().view(U) for c in ("h0", "h1")]
+            again = [repeated.repeated(h) for h in hashes]
+            many = distinct_sets(part, rule.width, again[0] | again[1])
+            for h01, yes01 in zip(hashes, again):
+                found_at = dict(zip(part.column("s").to_pylist(), zip(h01.view(np.int64).tolist(), yes01.tolist())))
+                for key, values in many.items():
+                    h, yes = found_at[key]
                     if yes:
                         found, lead = groups.setdefault(h, Leaders(rule)).add(key, values)
                         out += [(h, key, None, other) for other in found]
@@ -277,11 +283,11 @@ def leader_links(docs: DataFrame, larger_than: int, bits: int, rule: Rule) -> Da
             cols = list(zip(*out)) or [(), ()]
             yield pa.record_batch([pa.array(c, pa.binary()) for c in cols], names=["a", "b"])
 
-    return (docs.mapInArrow(first_round, schema).repartition("group").sortWithinPartitions("group", "s")
+    return (docs.where(F.col("n") > larger_than).mapInArrow(first_round, schema).repartition("group").sortWithinPartitions("group", "s")
             .mapInArrow(second_round, "a binary, b binary"))
 
 
-def _postings(docs: DataFrame, smallest: int, counts, bits: int, mean: float, rule: Rule) -> DataFrame:
+def _postings(docs: DataFrame, smallest: int, counts, bits: int, rule: Rule) -> DataFrame:
     """(token, s, n): sets of at least ``smallest`` in the lists of their
     rarest shingles, where another set of fitting size stands too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,11 +296,9 @@ def _postings(docs: DataFrame, smallest: int, counts, bits: int, mean: float, ru
             token, own, size = [], [], []
             for key, values in distinct_sets(part, rule.width).items():
                 n = len(values)
-                if n < smallest:
-                    continue
-                level = np.log2(1 + table[(values >> U(64 - bits)).astype(np.int64)] / mean).astype(np.int64)
+                count = table[(values >> U(64 - bits)).astype(np.int64)]
                 take = rule.depth(n) + 1
-                chosen = values[np.lexsort((values, level))[:take]]
+                chosen = values[np.lexsort((values, count))[:take]]
                 token.append(chosen.view(np.int64))
                 own += [key] * take
                 size.append(np.full(take, n, np.int32))
@@ -326,7 +330,7 @@ def _postings(docs: DataFrame, smallest: int, counts, bits: int, mean: float, ru
             yield held
 
     schema = "token bigint, s binary, n int"
-    return (docs.mapInArrow(run, schema).repartition("token").sortWithinPartitions("token", "n", "s")
+    return (docs.where(F.col("n") >= smallest).mapInArrow(run, schema).repartition("token").sortWithinPartitions("token", "n", "s")
             .mapInArrow(shared_lists, schema))
 
 
@@ -414,19 +418,20 @@ def _dealt(kept: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _lists(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    """(token, s, n, root): the lists that hold sets of several components."""
+    """(token, s, n, root, c): the lists that hold sets of several components, and their rows."""
     rooted = staged(postings.join(labels.select(F.col("node").alias("s"), "root"), "s", "left")
                     .select("token", "s", "n", F.xxhash64(F.coalesce("root", "s")).alias("root")), "postings")
     # Lists within one component have no pair to offer.
-    mixed = rooted.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
-    return staged(rooted.join(mixed, "token", "left_semi").select("token", "s", "n", "root"), "lists")
+    mixed = rooted.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("c")) \
+        .where("x <> y").select("token", "c")
+    return staged(rooted.join(mixed, "token").select("token", "s", "n", "root", "c"), "lists")
 
 
 def _candidates(kept: DataFrame, classes: DataFrame, rule: Rule, most: int | None = None) -> DataFrame:
     """(a, b): sets of different components that share a list and may be
     linked by size and sketch, each pair once. ``most`` bounds what a row of a
     list proposes: its nearest partners."""
-    long = kept.groupBy("token").count().where(F.col("count") > LIST_ROWS).select("token")
+    long = kept.where(F.col("c") > LIST_ROWS).drop("c")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, told = _List(0, rule, most), set()          # pairs of earlier batches, as many as memory allows
@@ -488,10 +493,10 @@ def _candidates(kept: DataFrame, classes: DataFrame, rule: Rule, most: int | Non
             yield from pairs()
 
     sketches = classes.select("s", "sketch")
-    found = (kept.join(long, "token", "left_anti").join(sketches, "s").repartition("token")
+    found = (kept.where(F.col("c") <= LIST_ROWS).join(sketches, "s").repartition("token")
              .sortWithinPartitions("token", "n").mapInArrow(scan, "a binary, b binary"))
     if not long.isEmpty():
-        found = found.union(_dealt(kept.join(long, "token", "left_semi"), rule).join(sketches, "s")
+        found = found.union(_dealt(long, rule).join(sketches, "s")
                             .repartition("token", "g", "h").sortWithinPartitions("token", "g", "h")
                             .mapInArrow(scan_blocks, "a binary, b binary"))
     return found.distinct()
@@ -509,9 +514,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = RepeatSketch(bits, shared.value)
         for part in slabs(batches, "text"):
-            have = distinct_sets(part, rule.width)
-            keys = [k for k, yes in zip(have, table.contains(head(have))) if yes] if have else []
-            yield pa.record_batch([pa.array(keys, pa.binary()), pa.array([have[k].tobytes() for k in keys], pa.binary())],
+            have = distinct_sets(part, rule.width, table.contains(head(part.column("s").to_pylist())))
+            yield pa.record_batch([pa.array(have, pa.binary()), pa.array([v.tobytes() for v in have.values()], pa.binary())],
                                   names=["s", "data"])
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -540,41 +544,45 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        percent: int = 90) -> DataFrame:
     """(id, n_shingles, component_id) for every row."""
     rule = Rule(width, percent)
-    texts = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slabs(batches, "text"):
             sets = sets_of(part.column("text"), width)
+            hashes = [[min_hash(s, k) if len(s) else 0 for s in sets] for k in (0, 1)]
             yield pa.record_batch([part.column("id"), pa.array([len(s) for s in sets], pa.int64()),
                                    pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
-                                   pa.array([parity(s, rule) if len(s) else None for s in sets], pa.binary())],
-                                  names=["id", "n_shingles", "s", "sketch"])
+                                   pa.array([parity(s, rule) if len(s) else None for s in sets], pa.binary()),
+                                   *(pa.array(np.array(h, U).view(np.int64)) for h in hashes), part.column("text")],
+                                  names=["id", "n_shingles", "s", "sketch", "h0", "h1", "text"])
 
+    # The texts stay beside their keys: later passes look at the sets that they need, not at all of them.
     rows = staged(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-                  .mapInArrow(keyed, f"id {kind}, n_shingles bigint, s binary, sketch binary"), "set-keys")
+                  .mapInArrow(keyed, f"id {kind}, n_shingles bigint, s binary, sketch binary, h0 bigint, h1 bigint, "
+                                     "text string"), "set-keys")
+    texts = rows.where("s is not null").select("s", F.col("n_shingles").alias("n"), "h0", "h1", "text")
     classes = staged(rows.where("s is not null").groupBy("s")
-                     .agg(F.min("id").alias("low"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch")), "set-classes")
+                     .agg(F.min("id").alias("low"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"),
+                          F.max("h0").alias("h0"), F.max("h1").alias("h1")), "set-classes")
     sizes = {r["n"]: r["c"] for r in classes.where(f"n <= {MAX_LIGHT}").groupBy("n").agg(F.count("*").alias("c")).collect()}
     light = boundary(sizes, rule)
     size = text_bytes(texts, "text")
     bits = min(COUNT_BITS, max(16, int(max(1, size // 40)).bit_length()))
 
     def shingles(batch: pa.RecordBatch) -> np.ndarray:
-        found = [s for p in slabs([batch], "text") for s in distinct_sets(p, width).values()]
+        found = [v for p in slabs([batch], "text") for v in distinct_sets(p, width).values()]
         return np.concatenate(found) if found else np.zeros(0, U)
 
-    table = build_counts(texts, shingles, bits)
-    counts = texts.sparkSession.sparkContext.broadcast(table)
+    counts = texts.sparkSession.sparkContext.broadcast(build_counts(texts.select("s", "text"), shingles, bits))
     early = components(light_links(texts, light, rule).union(
-        leader_links(texts, light, bits_for(2 * classes.count(), 0.1), rule)))
+        leader_links(texts, classes, light, bits_for(2 * classes.count(), 0.1), rule)))
     smallest = -(-percent * (light + 1) // 100)
     # Near copies in thousands: at first every row of a list proposes its nearest partners, and what links is
     # united. Then lists pair whatever is left of different components; pairs once refuted are not looked at again.
-    lists = _lists(_postings(texts, smallest, counts, bits, 1 + float(table.mean()), rule), early)
+    lists = _lists(_postings(texts, smallest, counts, bits, rule), early)
     near = staged(_candidates(lists, classes, rule, NEAREST), "nearest")
     labels = components(_verified(texts, near, rule).union(early.where("node <> root").select("node", "root")))
-    rest = staged(_candidates(_lists(lists.drop("root"), labels), classes, rule).join(near, ["a", "b"], "left_anti"), "rest")
+    rest = staged(_candidates(_lists(lists.drop("root", "c"), labels), classes, rule).join(near, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         labels = components(_verified(texts, rest, rule).union(labels.where("node <> root").select("node", "root")))
     lowest = classes.join(labels.withColumnRenamed("node", "s"), "s", "left") \
