@@ -97,7 +97,7 @@ def build_repeat_sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.nda
     schema = "block int, x binary, y binary"
     merged = df.mapInArrow(partial, schema).repartition("block").mapInArrow(merge, schema)
     out = RepeatSketch(bits)
-    for row in merged.toLocalIterator():
+    for row in merged.collect():             # in one job, not one a partition
         k = row["block"] * BLOCK
         x, y = np.frombuffer(row["x"], np.uint8), np.frombuffer(row["y"], np.uint8)
         out.seen[k:k + len(x)], out.again[k:k + len(y)] = x, y
@@ -130,7 +130,7 @@ def build_counts(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray],
 
     out = np.zeros(1 << bits, "<u2")
     for row in df.mapInArrow(partial, "block int, x binary").repartition("block") \
-            .mapInArrow(merge, "block int, x binary").toLocalIterator():
+            .mapInArrow(merge, "block int, x binary").collect():
         x = np.frombuffer(row["x"], "<u2")
         out[row["block"] * BLOCK:row["block"] * BLOCK + len(x)] = x
     return out
