@@ -32,8 +32,9 @@ asked for, so pairs within one are never needed. Leaders come first: sets that s
 with at most ``LEADERS`` leaders, within a slab of a task and then between
 slabs, and the links found are united. Then every row of a list proposes its
 ``NEAREST`` partners of other components, a number of pairs that follows the
-lists' rows, and what links is united. At last lists pair all sets that are
-still of different components, so no link between them is lost and no group
+lists' rows, and what links is united. A list in which every row could propose
+all its partners is settled by then. At last the other lists pair all sets that
+are still of different components, so no link between them is lost and no group
 is expanded into its pairs.
 
 Defined cases: null or empty texts have no shingles and link with nothing;
@@ -53,7 +54,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fleetpulse.llm.sketch import RepeatSketch, bits_for, build_counts, build_repeat_sketch, text_bytes
-from fleetpulse.llm.tables import components, staged
+from fleetpulse.llm.tables import components, staged, staged_texts
 from fleetpulse.llm.textcore import BASES, U, Words, mix, slabs, slices_hash, windows
 
 SIZE_CLASS = 1.25        # sizes in this ratio are one class when leaders are sought; the second min-hash's are shifted by half
@@ -340,6 +341,7 @@ class _List:
 
     def __init__(self, token: int, rule: Rule = RULE, most: int | None = None):
         self.token, self.rule, self.most, self.held, self.fresh = token, rule, most, [], []
+        self.cut = False         # whether ``most`` kept a pair back
 
     def add(self, row: tuple, out: set) -> None:
         self.fresh.append(row)
@@ -353,24 +355,26 @@ class _List:
             return
         self.held = [r for r in self.held if self.rule.fits(r[2], fresh[0][2])]
         if len({r[1] for r in (*self.held, *fresh)}) > 1:
-            self._block(fresh, fresh, True, out, self.rule, self.most)
+            self.cut |= self._block(fresh, fresh, True, out, self.rule, self.most)
             for lo in range(0, len(self.held), LIST_BLOCK):
-                self._block(fresh, self.held[lo:lo + LIST_BLOCK], False, out, self.rule, self.most)
+                self.cut |= self._block(fresh, self.held[lo:lo + LIST_BLOCK], False, out, self.rule, self.most)
         self.held += fresh
 
     @staticmethod
-    def _block(a: list, b: list, same: bool, out: set, rule: Rule, most: int | None = None) -> None:
+    def _block(a: list, b: list, same: bool, out: set, rule: Rule, most: int | None = None) -> bool:
         """Pairs of a row of ``a`` and one of ``b`` (an earlier one, if both
         are the ``same``) that may be linked; with ``most``, each row of ``a``
-        proposes its nearest so many only."""
+        proposes its nearest so many only. Tells whether a pair was kept back."""
+        cut = False
         if len(a) * len(b) <= 256:
             for i, x in enumerate(a):
                 mine = [y for y in (b[:i] if same else b)
                         if x[1] != y[1] and rule.fits(min(x[2], y[2]), max(x[2], y[2])) and may_link(x[3], y[3], x[2] + y[2], rule)]
                 if most is not None and len(mine) > most:
+                    cut = True
                     mine = sorted(mine, key=lambda y: differing(x[3], y[3]))[:most]
                 out.update((min(x[0], y[0]), max(x[0], y[0])) for y in mine)
-            return
+            return cut
         n, m = (np.array([r[2] for r in rows], np.int64) for rows in (a, b))
         roots, others = (np.array([r[1] for r in rows], np.int64) for rows in (a, b))
         x, y = (np.unpackbits(np.array([folded(r[3]) for r in rows]), axis=1).astype(np.float32) for rows in (a, b))
@@ -380,12 +384,14 @@ class _List:
         if same:
             ok &= np.tri(len(a), k=-1, dtype=bool)
         if most is not None and len(b) > most:
+            cut = bool((ok.sum(axis=1) > most).any())
             near = np.argpartition(np.where(ok, apart, np.inf), most - 1, axis=1)[:, :most]
             few = np.zeros_like(ok)
             np.put_along_axis(few, near, True, axis=1)
             ok &= few
         found = ((a[i], b[j]) for i, j in zip(*np.nonzero(ok)))
         out.update((min(x[0], y[0]), max(x[0], y[0])) for x, y in found if may_link(x[3], y[3], x[2] + y[2], rule))
+        return cut
 
 
 def _dealt(kept: DataFrame, rule: Rule) -> DataFrame:
@@ -427,15 +433,24 @@ def _lists(postings: DataFrame, labels: DataFrame) -> DataFrame:
     return staged(rooted.join(mixed, "token").select("token", "s", "n", "root", "c"), "lists")
 
 
+def _told(pairs: list, cut: list) -> pa.RecordBatch:
+    """Pairs, and the lists that kept some back."""
+    a, b = list(zip(*pairs)) or [(), ()]
+    return pa.record_batch([pa.array([*a, *[None] * len(cut)], pa.binary()), pa.array([*b, *[None] * len(cut)], pa.binary()),
+                            pa.array([*[None] * len(pairs), *cut], pa.int64())], names=["a", "b", "cut"])
+
+
 def _candidates(kept: DataFrame, classes: DataFrame, rule: Rule, most: int | None = None) -> DataFrame:
-    """(a, b): sets of different components that share a list and may be
+    """(a, b, cut): sets of different components that share a list and may be
     linked by size and sketch, each pair once. ``most`` bounds what a row of a
-    list proposes: its nearest partners."""
+    list proposes: its nearest partners; ``cut`` names the lists in which it did."""
+    told_of = "a binary, b binary, cut bigint"
     long = kept.where(F.col("c") > LIST_ROWS).drop("c")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, told = _List(0, rule, most), set()          # pairs of earlier batches, as many as memory allows
         out: set[tuple[bytes, bytes]] = set()
+        cut: list[int] = []
 
         def rows() -> pa.RecordBatch:
             fresh = sorted(out - told)
@@ -443,43 +458,50 @@ def _candidates(kept: DataFrame, classes: DataFrame, rule: Rule, most: int | Non
                 told.clear()
             told.update(fresh)
             out.clear()
-            cols = list(zip(*fresh)) or [(), ()]
-            return pa.record_batch([pa.array(x, pa.binary()) for x in cols], names=["a", "b"])
+            batch = _told(fresh, cut)
+            cut.clear()
+            return batch
+
+        def finish() -> None:
+            now.meet(out)
+            if now.cut:
+                cut.append(now.token)
 
         for batch in batches:
             for token, *row in zip(*(batch.column(c).to_pylist() for c in ("token", "s", "root", "n", "sketch"))):
                 if token != now.token:
-                    now.meet(out)
+                    finish()
                     now = _List(token, rule, most)
                 now.add(tuple(row), out)
                 if len(out) > FLUSH:
                     yield rows()
             yield rows()
-        now.meet(out)
+        finish()
         yield rows()
 
     def scan_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Both blocks of a pair, or one with itself; groups come one after another."""
         now, sides = None, ([], [])
 
-        def told(out: set) -> pa.RecordBatch:
-            cols = list(zip(*sorted(out))) or [(), ()]
+        def told(out: set, cut: list) -> pa.RecordBatch:
+            batch = _told(sorted(out), cut)
             out.clear()
-            return pa.record_batch([pa.array(x, pa.binary()) for x in cols], names=["a", "b"])
+            return batch
 
         def pairs() -> Iterator[pa.RecordBatch]:
             out: set[tuple[bytes, bytes]] = set()
             first, second = sides
+            cut = False
             alone = now[1] == now[2]
             for i in range(0, len(first), LIST_BLOCK):
                 a = first[i:i + LIST_BLOCK]
                 if alone:
-                    _List._block(a, a, True, out, rule, most)
+                    cut |= _List._block(a, a, True, out, rule, most)
                 for j in range(0, i if alone else len(second), LIST_BLOCK):
-                    _List._block(a, (first if alone else second)[j:j + LIST_BLOCK], False, out, rule, most)
+                    cut |= _List._block(a, (first if alone else second)[j:j + LIST_BLOCK], False, out, rule, most)
                     if len(out) > FLUSH:
-                        yield told(out)
-            yield told(out)
+                        yield told(out, [])
+            yield told(out, [now[0]] if cut else [])
 
         for batch in batches:
             for token, g, h, second, *row in zip(*(batch.column(c).to_pylist() for c in (
@@ -494,11 +516,11 @@ def _candidates(kept: DataFrame, classes: DataFrame, rule: Rule, most: int | Non
 
     sketches = classes.select("s", "sketch")
     found = (kept.where(F.col("c") <= LIST_ROWS).join(sketches, "s").repartition("token")
-             .sortWithinPartitions("token", "n").mapInArrow(scan, "a binary, b binary"))
+             .sortWithinPartitions("token", "n").mapInArrow(scan, told_of))
     if not long.isEmpty():
         found = found.union(_dealt(long, rule).join(sketches, "s")
                             .repartition("token", "g", "h").sortWithinPartitions("token", "g", "h")
-                            .mapInArrow(scan_blocks, "a binary, b binary"))
+                            .mapInArrow(scan_blocks, told_of))
     return found.distinct()
 
 
@@ -557,9 +579,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                   names=["id", "n_shingles", "s", "sketch", "h0", "h1", "text"])
 
     # The texts stay beside their keys: later passes look at the sets that they need, not at all of them.
-    rows = staged(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-                  .mapInArrow(keyed, f"id {kind}, n_shingles bigint, s binary, sketch binary, h0 bigint, h1 bigint, "
-                                     "text string"), "set-keys")
+    rows = staged_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+                        .mapInArrow(keyed, f"id {kind}, n_shingles bigint, s binary, sketch binary, h0 bigint, h1 bigint, "
+                                           "text string"), "set-keys")
     texts = rows.where("s is not null").select("s", F.col("n_shingles").alias("n"), "h0", "h1", "text")
     classes = staged(rows.where("s is not null").groupBy("s")
                      .agg(F.min("id").alias("low"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"),
@@ -578,13 +600,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         leader_links(texts, classes, light, bits_for(2 * classes.count(), 0.1), rule)))
     smallest = -(-percent * (light + 1) // 100)
     # Near copies in thousands: at first every row of a list proposes its nearest partners, and what links is
-    # united. Then lists pair whatever is left of different components; pairs once refuted are not looked at again.
+    # united. Then lists that kept pairs back pair whatever is left of different components; the others have
+    # proposed all, and pairs once refuted are not looked at again.
     lists = _lists(_postings(texts, smallest, counts, bits, rule), early)
-    near = staged(_candidates(lists, classes, rule, NEAREST), "nearest")
+    proposed = staged(_candidates(lists, classes, rule, NEAREST), "nearest")
+    near, cut = proposed.where("cut is null").select("a", "b"), proposed.where("cut is not null").select("cut").distinct()
     labels = components(_verified(texts, near, rule).union(early.where("node <> root").select("node", "root")))
-    rest = staged(_candidates(_lists(lists.drop("root", "c"), labels), classes, rule).join(near, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        labels = components(_verified(texts, rest, rule).union(labels.where("node <> root").select("node", "root")))
+    if not cut.isEmpty():
+        left = lists.drop("root", "c").join(cut, F.col("token") == F.col("cut"), "left_semi")
+        rest = staged(_candidates(_lists(left, labels), classes, rule).select("a", "b").join(near, ["a", "b"], "left_anti"), "rest")
+        if not rest.isEmpty():
+            labels = components(_verified(texts, rest, rule).union(labels.where("node <> root").select("node", "root")))
     lowest = classes.join(labels.withColumnRenamed("node", "s"), "s", "left") \
         .select("s", "low", F.coalesce("root", "s").alias("root"))
     lowest = staged(lowest, "rooted")
