@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import default_state_partitions, delete_path, move_path, path_exists, shared_path
+from ..session import (default_state_partitions, delete_path, drop_dead_shuffles, files_in, move_path, path_exists,
+                       shared_path)
 from ..sources.codec import decode_results
 from ..sources.events import bind_events, table_path
 from ..sources.store import TABLE_COLUMNS, MetricsTable
@@ -138,10 +139,19 @@ def quarantine_replay(spark: SparkSession, sf_dir: str, chunks: int = 8, prime:
 
 def writer_replay(spark: SparkSession, records: DataFrame, files: int, validate: str = "none",
                   runs: int = 2) -> tuple[MetricsTable, DataFrame]:
-    """O-03: result records (column value) through the writer stream, a few
-    files a micro-batch, ``runs`` times over; the table and the rejects."""
+    """O-03: result records (column value) through the writer stream, in two
+    micro-batches, ``runs`` times over; the table and the rejects. Records are
+    packed files of the tasks they come from; where these are fewer than
+    ``files``, the records are few, and are dealt to as many."""
     base = shared_path(spark, "writer")
-    records.repartition(files).write.text(f"{base}/records")
+    packed = lambda df, to: df.write.option("compression", "gzip").text(to)
+    packed(records, f"{base}/records")
+    if files_in(spark, f"{base}/records") < files:
+        move_path(spark, f"{base}/records", f"{base}/staged")
+        packed(spark.read.text(f"{base}/staged").repartition(files), f"{base}/records")
+        delete_path(spark, f"{base}/staged")
+    files = max(files, files_in(spark, f"{base}/records"))
+    drop_dead_shuffles(spark)
     table = MetricsTable(spark, f"{base}/table")
     for k in range(runs):
         q = start_writer_stream(read_result_stream(spark, "text", f"{base}/records", max_files_per_trigger=-(-files // 2)),

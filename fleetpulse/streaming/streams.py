@@ -20,13 +20,14 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.clean import split_storable, to_metric_rows
 from ..schema import EVENT_SCHEMA
 from ..sources.codec import decode_events, encode_results
 from ..sources.events import bind_events
 from ..session import start_with_partitions
-from ..sources.store import MetricsTable
+from ..sources.store import CODEC, MetricsTable
 
 # The reference job's settings (code, not README).
 WATERMARK_DELAY = "35 seconds"
@@ -154,10 +155,22 @@ def start_metrics_stream(events: DataFrame, table: MetricsTable, checkpoint: str
 def write_rejects(rejected: DataFrame, path: str, batch_id: int) -> None:
     """Rejected rows with their reason; a replayed batch replaces its own."""
     (rejected.withColumn("batch_id", F.lit(batch_id).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
      .partitionBy("batch_id").parquet(path))
 
 
+def _as_columns(rows: DataFrame, column: str) -> tuple[DataFrame, list[str]]:
+    """``rows`` with a struct column as columns that sort as it does. Cached
+    columns pack what repeats from row to row (the file of a record), the
+    bytes of a struct they keep as they are."""
+    kind = rows.schema[column].dataType
+    if not isinstance(kind, T.StructType):
+        return rows, [column]
+    parts = {f"_{column}": F.col(column).isNotNull()} | {
+        f"_{column}_{f.name}": F.col(column)[f.name] for f in kind.fields}
+    return rows.withColumns(parts).drop(column), list(parts)
+
+
 def union_sources(sources: list[DataFrame], delay: str) -> DataFrame:
     """O-28: several event streams as one, with a watermark of ``delay`` that
     follows the source that is furthest ahead, so that one that is silent
@@ -282,11 +295,14 @@ def start_writer_stream(results: DataFrame, table: MetricsTable, checkpoint: str
     extra = [c for c in ("arrival", "record") if c in results.columns]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = to_metric_rows(batch, keep=extra).persist()
+        rows, order = to_metric_rows(batch, keep=extra), []
+        if "arrival" in extra:
+            rows, order = _as_columns(rows, "arrival")
+        rows = rows.persist()
         try:
             good, rejected = split_storable(rows, validate)
-            write_rejects(rejected.drop("arrival"), reject_path, batch_id)
-            table.append(good, order_cols=(*[c for c in extra if c == "arrival"], "last_updated"))
+            write_rejects(rejected.drop(*order), reject_path, batch_id)
+            table.append(good, order_cols=(*order, "last_updated"), cached=True)
         finally:
             rows.unpersist()
 
